@@ -96,3 +96,263 @@ def q_turnover_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turnovers of every posting date in one job (the whole fact table)."""
     f = Fixtures(spark, sf_dir)
     return TO.account_turnover_range(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d)
+
+# ---------------------------------------------------------------- ledger report
+
+from tallyspark.operators import report as RP  # noqa: E402
+
+REPORT_VIEWS = ["md_account_d", "md_currency_d", "md_ledger_account_s", "ft_balance_f", "md_exchange_rate_d",
+                "ft_posting_f"]
+
+
+def report_cte(day_sql: str) -> str:
+    """Reference per-account report rows for the date literal ``day_sql``."""
+    ms = f"CAST(date_trunc('month', {day_sql}) AS DATE)"
+    me = f"last_day({day_sql})"
+    rub = "cur.currency_code IN ('643', '810')"
+    val = "cur.currency_code NOT IN ('643', '810')"
+    deb = "COALESCE(tr.debet_amount_rub, 0)"
+    cre = "COALESCE(tr.credit_amount_rub, 0)"
+    return f"""
+SELECT {ms} AS from_date, {me} AS to_date, s.chapter, substr(acc_d.account_number, 1, 5) AS ledger_account,
+       acc_d.char_type AS characteristic, acc_d.account_rk, tr.on_date AS turn_date,
+       CASE WHEN {rub} THEN b.balance_out ELSE 0 END AS balance_in_rub,
+       CASE WHEN {val} THEN b.balance_out * exch_r.reduced_cource ELSE 0 END AS balance_in_val,
+       CASE WHEN {rub} THEN b.balance_out ELSE b.balance_out * exch_r.reduced_cource END AS balance_in_total,
+       CASE WHEN {rub} THEN {deb} ELSE 0 END AS turn_deb_rub,
+       CASE WHEN {val} THEN {deb} ELSE 0 END AS turn_deb_val,
+       {deb} AS turn_deb_total,
+       CASE WHEN {rub} THEN {cre} ELSE 0 END AS turn_cre_rub,
+       CASE WHEN {val} THEN {cre} ELSE 0 END AS turn_cre_val,
+       {cre} AS turn_cre_total,
+       CASE WHEN {rub} AND acc_d.char_type = 'A' THEN b.balance_out - {cre} + {deb}
+            WHEN {rub} AND acc_d.char_type = 'P' THEN b.balance_out + {cre} - {deb}
+            ELSE 0 END AS balance_out_rub,
+       CASE WHEN {val} AND acc_d.char_type = 'A' THEN (b.balance_out * exch_r.reduced_cource) - {cre} + {deb}
+            WHEN {val} AND acc_d.char_type = 'P' THEN (b.balance_out * exch_r.reduced_cource) + {cre} - {deb}
+            ELSE 0 END AS balance_out_val,
+       b.balance_out, exch_r.reduced_cource
+FROM md_ledger_account_s s
+JOIN md_account_d acc_d ON substr(acc_d.account_number, 1, 5) = CAST(s.ledger_account AS VARCHAR)
+JOIN md_currency_d cur ON cur.currency_rk = acc_d.currency_rk
+LEFT JOIN ft_balance_f b ON b.account_rk = acc_d.account_rk AND b.on_date = {ms} - INTERVAL 1 DAY
+LEFT JOIN md_exchange_rate_d exch_r ON exch_r.currency_rk = acc_d.currency_rk
+     AND {day_sql} BETWEEN exch_r.data_actual_date AND exch_r.data_actual_end_date
+LEFT JOIN dm_account_turnover_f tr ON tr.account_rk = acc_d.account_rk AND tr.on_date BETWEEN {ms} AND {me}
+WHERE {day_sql} BETWEEN s.start_date AND s.end_date
+  AND {day_sql} BETWEEN acc_d.data_actual_date AND acc_d.data_actual_end_date
+  AND {day_sql} BETWEEN cur.data_actual_date AND cur.data_actual_end_date"""
+
+
+def _report_select() -> str:
+    cols = ["from_date", "to_date", "chapter", "ledger_account", "characteristic"]
+    for m in ["balance_in_rub", "balance_in_val", "balance_in_total", "turn_deb_rub", "turn_deb_val",
+              "turn_deb_total", "turn_cre_rub", "turn_cre_val", "turn_cre_total", "balance_out_rub",
+              "balance_out_val"]:
+        cols.append(f"CAST(SUM({m}) AS DECIMAL(23,8)) AS {m}")
+        cols.append(f"CAST(0 AS DECIMAL(23,8)) AS r_{m}")
+    cols.append("CAST(SUM(balance_out_rub + balance_out_val) AS DECIMAL(23,8)) AS balance_out_total")
+    cols.append("CAST(0 AS DECIMAL(23,8)) AS r_balance_out_total")
+    return ("SELECT " + ", ".join(cols) + " FROM wt_turnovers "
+            "GROUP BY from_date, to_date, chapter, ledger_account, characteristic")
+
+
+def turnover_mart_sql(days: list[dt.date]) -> str:
+    return _TURNOVER_SQL_BODY.replace("FROM wt_turn t", f"FROM ({turnover_days_cte(days)}) t")
+
+
+def report_sql(day: dt.date, turnover_days: list[dt.date], body: str) -> str:
+    return O.with_views(REPORT_VIEWS, body, {
+        "dm_account_turnover_f": turnover_mart_sql(turnover_days),
+        "wt_turnovers": report_cte(repr_day(day)),
+    })
+
+
+def _report_inputs(spark, sf_dir, turnover_days):
+    f = Fixtures(spark, sf_dir)
+    postings, acc, rates = f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d
+    if len(turnover_days) == 1:
+        turn = TO.account_turnover(postings, acc, rates, turnover_days[0])
+    else:
+        turn = TO.account_turnover_range(postings, acc, rates, turnover_days[0], turnover_days[-1])
+    return f, turn
+
+
+@query("ledger_report", report_sql(D15, [D15], _report_select()))
+def q_ledger_report(spark, sf_dir):
+    f, turn = _report_inputs(spark, sf_dir, [D15])
+    return RP.ledger_report(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
+                            f.md_exchange_rate_d, turn, D15)
+
+
+@query("ledger_report_3d", report_sql(D15, [D14, D15, D16], _report_select()))
+def q_ledger_report_3d(spark, sf_dir):
+    """Report over three turnover days: each account's opening balance counted per day."""
+    f, turn = _report_inputs(spark, sf_dir, [D14, D15, D16])
+    return RP.ledger_report(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
+                            f.md_exchange_rate_d, turn, D15)
+
+
+@query("opening_balance", O.with_views(REPORT_VIEWS, """
+SELECT account_rk, ledger_account, balance_out, reduced_cource,
+       CAST(balance_in_rub AS DECIMAL(23,8)) AS balance_in_rub, CAST(balance_in_val AS DECIMAL(23,8)) AS balance_in_val,
+       CAST(balance_in_total AS DECIMAL(23,8)) AS balance_in_total
+FROM wt_turnovers""", {
+    "dm_account_turnover_f": "SELECT * FROM (" + turnover_mart_sql([D15]) + ") x WHERE false",
+    "wt_turnovers": report_cte(repr_day(D15)),
+}))
+def q_opening_balance(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return RP.opening_balance(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
+                              f.md_exchange_rate_d, D15)
+
+
+@query("closing_balance", report_sql(D15, [D14, D15, D16], """
+SELECT account_rk, turn_date, characteristic,
+       CAST(balance_out_rub AS DECIMAL(23,8)) AS balance_out_rub, CAST(balance_out_val AS DECIMAL(23,8)) AS balance_out_val,
+       CAST(balance_out_rub + balance_out_val AS DECIMAL(23,8)) AS balance_out_total
+FROM wt_turnovers"""))
+def q_closing_balance(spark, sf_dir):
+    f, turn = _report_inputs(spark, sf_dir, [D14, D15, D16])
+    return RP.closing_balance(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
+                              f.md_exchange_rate_d, turn, D15)
+
+# ---------------------------------------------------------------- legs, intervals, dates
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tallyspark.functions import dates as DT  # noqa: E402
+
+
+@query("posting_legs", O.with_views(["ft_posting_f"], """
+SELECT oper_date, credit_account_rk AS account_rk, credit_amount, CAST(NULL AS DECIMAL(15,2)) AS debet_amount FROM ft_posting_f
+UNION ALL
+SELECT oper_date, debet_account_rk, CAST(NULL AS DECIMAL(15,2)), debet_amount FROM ft_posting_f"""))
+def q_posting_legs(spark, sf_dir):
+    return TO.posting_legs(Fixtures(spark, sf_dir).ft_posting_f)
+
+
+@query("rate_interval_join", O.with_views(["ft_posting_f", "md_account_d", "md_exchange_rate_d"], """
+SELECT l.oper_date, l.account_rk, a.currency_rk, l.credit_amount, l.debet_amount, er.reduced_cource
+FROM (SELECT oper_date, credit_account_rk AS account_rk, credit_amount, CAST(NULL AS DECIMAL(15,2)) AS debet_amount FROM ft_posting_f
+      UNION ALL
+      SELECT oper_date, debet_account_rk, CAST(NULL AS DECIMAL(15,2)), debet_amount FROM ft_posting_f) l
+JOIN md_account_d a ON a.account_rk = l.account_rk AND l.oper_date BETWEEN a.data_actual_date AND a.data_actual_end_date
+LEFT JOIN md_exchange_rate_d er ON er.currency_rk = a.currency_rk
+     AND l.oper_date BETWEEN er.data_actual_date AND er.data_actual_end_date"""))
+def q_rate_interval_join(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return TO.rate_interval_join(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d)
+
+
+@query("valid_on_date", O.with_views(["md_account_d"], """
+SELECT account_rk, data_actual_date, data_actual_end_date, account_number, char_type, currency_rk
+FROM md_account_d WHERE DATE '1998-09-15' BETWEEN data_actual_date AND data_actual_end_date"""))
+def q_valid_on_date(spark, sf_dir):
+    acc = Fixtures(spark, sf_dir).md_account_d
+    return (acc.filter(DT.valid_on(D15, "data_actual_date", "data_actual_end_date"))
+            .select("account_rk", "data_actual_date", "data_actual_end_date", "account_number", "char_type",
+                    "currency_rk"))
+
+
+@query("month_bounds", O.with_views(["ft_posting_f"], """
+SELECT oper_date, CAST(date_trunc('month', oper_date) AS DATE) AS month_start, last_day(oper_date) AS month_end,
+       CAST(CAST(date_trunc('month', oper_date) AS DATE) - INTERVAL 1 DAY AS DATE) AS prev_month_end
+FROM (SELECT DISTINCT oper_date FROM ft_posting_f) d"""))
+def q_month_bounds(spark, sf_dir):
+    days = Fixtures(spark, sf_dir).ft_posting_f.select("oper_date").distinct()
+    d = F.col("oper_date")
+    return days.select(d, DT.month_start(d).alias("month_start"), DT.month_end(d).alias("month_end"),
+                       DT.prev_month_end(d).alias("prev_month_end"))
+
+
+# ---------------------------------------------------------------- posting stats
+
+from tallyspark.operators import stats as ST  # noqa: E402
+
+_STATS_CTE = """
+SELECT oper_date, min(credit_amount) AS min_credit, min(debet_amount) AS min_debet,
+       max(credit_amount) AS max_credit, max(debet_amount) AS max_debet
+FROM ft_posting_f WHERE oper_date = DATE '1998-09-15' GROUP BY oper_date"""
+
+
+@query("posting_stats", O.with_views(["ft_posting_f"], _STATS_CTE))
+def q_posting_stats(spark, sf_dir):
+    return ST.posting_stats(Fixtures(spark, sf_dir).ft_posting_f, D15)
+
+
+@query("posting_report", O.with_views(["ft_posting_f"], """
+SELECT oper_date, 1 AS line_no, 'On date: ' || COALESCE(CAST(oper_date AS VARCHAR), 'None') AS line FROM st
+UNION ALL SELECT oper_date, 2, 'min credit >> ' || COALESCE(CAST(min_credit AS VARCHAR), 'None') FROM st
+UNION ALL SELECT oper_date, 3, 'min debet >> ' || COALESCE(CAST(min_debet AS VARCHAR), 'None') FROM st
+UNION ALL SELECT oper_date, 4, 'max_credit >> ' || COALESCE(CAST(max_credit AS VARCHAR), 'None') FROM st
+UNION ALL SELECT oper_date, 5, 'max_debet >> ' || COALESCE(CAST(max_debet AS VARCHAR), 'None') FROM st""",
+                                        {"st": _STATS_CTE}))
+def q_posting_report(spark, sf_dir):
+    return ST.posting_report(ST.posting_stats(Fixtures(spark, sf_dir).ft_posting_f, D15))
+
+
+# ---------------------------------------------------------------- clean-up and checks
+
+from tallyspark.operators import checks as CK  # noqa: E402
+from tallyspark.operators import clean as CL  # noqa: E402
+from tallyspark.schemas import KEYS, MAX_LENGTH, NOT_NULL  # noqa: E402
+
+
+@query("posting_preagg", O.with_views(["ft_posting_f"], "SELECT * FROM ft_posting_f"))
+def q_posting_preagg(spark, sf_dir):
+    return CL.posting_preagg(Fixtures(spark, sf_dir).posting_raw)
+
+
+@query("rate_dedupe", O.with_views(["md_exchange_rate_d"], "SELECT * FROM md_exchange_rate_d"))
+def q_rate_dedupe(spark, sf_dir):
+    return CL.rate_dedupe(Fixtures(spark, sf_dir).exchange_rate_raw)
+
+
+@query("clean_ledger", O.with_views(["ledger_raw"], """
+SELECT ledger_account, start_date,
+       COALESCE(CAST(CAST(trunc(pair_account) AS BIGINT) AS VARCHAR), '') AS pair_account,
+       COALESCE(section_name, '') AS section_name
+FROM ledger_raw"""))
+def q_clean_ledger(spark, sf_dir):
+    return CL.clean_ledger(Fixtures(spark, sf_dir).ledger_raw)
+
+
+@query("key_duplicates", O.with_views(["posting_raw"], """
+SELECT oper_date, credit_account_rk, debet_account_rk, COUNT(*) AS n_rows
+FROM posting_raw GROUP BY oper_date, credit_account_rk, debet_account_rk HAVING COUNT(*) > 1"""))
+def q_key_duplicates(spark, sf_dir):
+    return CK.key_duplicates(Fixtures(spark, sf_dir).posting_raw, KEYS["ft_posting_f"])
+
+
+def _null_sql(table: str, cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(CASE WHEN {c} IS NULL THEN 1 END) AS n_null "
+        f"FROM {table}" for c in cols)
+
+
+_ACCOUNT_NOT_NULL = KEYS["md_account_d"] + NOT_NULL["md_account_d"]
+
+
+@query("null_violations", O.with_views(["posting_raw", "md_account_d"],
+                                       _null_sql("posting_raw", KEYS["ft_posting_f"]) + "\nUNION ALL\n"
+                                       + _null_sql("md_account_d", _ACCOUNT_NOT_NULL)))
+def q_null_violations(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return CK.union_all([CK.null_violations(f.posting_raw, "posting_raw", KEYS["ft_posting_f"]),
+                         CK.null_violations(f.md_account_d, "md_account_d", _ACCOUNT_NOT_NULL)])
+
+
+def _length_sql(table: str, limits: dict[str, int]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, {n} AS max_length, "
+        f"COUNT(CASE WHEN length({c}) > {n} THEN 1 END) AS n_too_long FROM {table}" for c, n in limits.items())
+
+
+@query("length_violations", O.with_views(["md_account_d", "md_currency_d"],
+                                         _length_sql("md_account_d", MAX_LENGTH["md_account_d"]) + "\nUNION ALL\n"
+                                         + _length_sql("md_currency_d", MAX_LENGTH["md_currency_d"])))
+def q_length_violations(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return CK.union_all([CK.length_violations(f.md_account_d, "md_account_d", MAX_LENGTH["md_account_d"]),
+                         CK.length_violations(f.md_currency_d, "md_currency_d", MAX_LENGTH["md_currency_d"])])
