@@ -356,3 +356,115 @@ def q_length_violations(spark, sf_dir):
     f = Fixtures(spark, sf_dir)
     return CK.union_all([CK.length_violations(f.md_account_d, "md_account_d", MAX_LENGTH["md_account_d"]),
                          CK.length_violations(f.md_currency_d, "md_currency_d", MAX_LENGTH["md_currency_d"])])
+
+# ---------------------------------------------------------------- upsert, period replace, counts
+
+from tallyspark import schemas as SC  # noqa: E402
+from tallyspark.operators import upsert as UP  # noqa: E402
+from tallyspark.session import scratch_path  # noqa: E402
+from tallyspark.sinks import files as FS  # noqa: E402
+
+
+@query("keyed_upsert", O.with_views(["upsert_target", "upsert_incoming"], """
+SELECT COALESCE(i.id, t.id) AS id,
+       CASE WHEN i.id IS NOT NULL THEN i.segment ELSE t.segment END AS segment,
+       CAST(CASE WHEN i.id IS NOT NULL THEN i.amount ELSE t.amount END AS DECIMAL(15,2)) AS amount
+FROM upsert_target t FULL JOIN upsert_incoming i ON t.id = i.id"""))
+def q_keyed_upsert(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return UP.keyed_upsert(f.upsert_target, f.upsert_incoming, ["id"])
+
+
+@query("replace_day", O.with_views(TURNOVER_VIEWS, _TURNOVER_SQL_BODY,
+                                   {"wt_turn": turnover_days_cte([D14, D15])}))
+def q_replace_day(spark, sf_dir):
+    """Days 14 and 15 loaded, then day 15 recomputed and replaced: each day once."""
+    f = Fixtures(spark, sf_dir)
+    root = scratch_path(spark, "turnover")
+    for d in (D14, D15, D15):
+        turn = TO.account_turnover(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d, d)
+        FS.replace_partition(turn, root, {"on_date": d})
+    return FS.read_partitioned(spark, root, SC.DM_ACCOUNT_TURNOVER_F)
+
+
+D_AUG = dt.date(1998, 8, 15)
+
+
+@query("replace_month", O.with_views(REPORT_VIEWS, f"""
+SELECT * FROM ({report_sql(D_AUG, [D15], _report_select())}) a
+UNION ALL
+SELECT * FROM ({report_sql(D15, [D15], _report_select())}) s"""))
+def q_replace_month(spark, sf_dir):
+    """August and September reports written, then September replaced: each month once."""
+    f, turn = _report_inputs(spark, sf_dir, [D15])
+    root = scratch_path(spark, "report")
+    for d in (D_AUG, D15, D15):
+        rep = RP.ledger_report(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
+                               f.md_exchange_rate_d, turn, d)
+        ms, me = DT.month_bounds_py(d)
+        FS.replace_partition(rep, root, {"from_date": ms, "to_date": me})
+    return FS.read_partitioned(spark, root, SC.DM_F101_ROUND_F)
+
+
+@query("load_counts", O.with_views(TURNOVER_VIEWS, """
+SELECT on_date, COUNT(*) AS row_count, '[END] inserted ' || CAST(COUNT(*) AS VARCHAR) || ' rows.' AS message
+FROM (""" + _TURNOVER_SQL_BODY + """) x GROUP BY on_date""", {"wt_turn": turnover_days_cte([D14, D15, D16])}))
+def q_load_counts(spark, sf_dir):
+    """Rows written per day, as the end-of-load log line."""
+    f = Fixtures(spark, sf_dir)
+    turn = TO.account_turnover_range(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d, D14, D16)
+    counts = turn.groupBy("on_date").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.withColumn("message", F.concat(F.lit("[END] inserted "), F.col("row_count").cast("string"),
+                                                 F.lit(" rows.")))
+
+
+# ---------------------------------------------------------------- versioned import
+
+from tallyspark.operators import history as HI  # noqa: E402
+
+IMPORT_DATE = dt.date(1998, 10, 1)
+_VERSION_MEASURES = {"amount": "decimal(23,8)"}
+_VERSION_TEXT = {"amount": "raw_amount"}
+_PARSED_CTE = """
+SELECT id, seq, raw_amount,
+       CASE WHEN raw_amount IS NULL OR trim(raw_amount) = '' THEN CAST(0 AS DECIMAL(23,8))
+            ELSE TRY_CAST(raw_amount AS DECIMAL(23,8)) END AS amount
+FROM version_incoming"""
+_HISTORY_SQL = """
+SELECT id, amount, insert_date, LEAD(seq) OVER (PARTITION BY id ORDER BY seq) IS NULL AS actuality
+FROM (SELECT * FROM (SELECT *, LAG(COALESCE(amount, 0)) OVER (PARTITION BY id ORDER BY seq) AS prev FROM u) l
+      WHERE is_old OR prev IS NULL OR prev <> COALESCE(amount, 0)) k
+UNION ALL
+SELECT id, amount, insert_date, actuality FROM version_current WHERE NOT actuality"""
+_U_CTE = """
+SELECT id, amount, insert_date, CAST(-1 AS BIGINT) AS seq, TRUE AS is_old FROM version_current WHERE actuality
+UNION ALL
+SELECT id, amount, DATE '1998-10-01', seq, FALSE FROM parsed WHERE amount IS NOT NULL"""
+
+
+def _history(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return HI.versioned_import(f.version_current, f.version_incoming, ["id"], _VERSION_MEASURES, IMPORT_DATE,
+                               text_columns=_VERSION_TEXT)
+
+
+@query("versioned_import", O.with_views(["version_current", "version_incoming"], _HISTORY_SQL,
+                                        {"parsed": _PARSED_CTE, "u": _U_CTE}))
+def q_versioned_import(spark, sf_dir):
+    return _history(spark, sf_dir)
+
+
+@query("current_versions", O.with_views(["version_current", "version_incoming"],
+                                        "SELECT * FROM (" + _HISTORY_SQL + ") h WHERE actuality",
+                                        {"parsed": _PARSED_CTE, "u": _U_CTE}))
+def q_current_versions(spark, sf_dir):
+    return HI.current_versions(_history(spark, sf_dir))
+
+
+@query("bad_rows", O.with_views(["version_incoming"], """
+SELECT id, seq, 'BAD ROW: <' || CAST(id AS VARCHAR) || '>' AS log_message,
+       substr('INSERT_ERROR: dm_f101_round_f_v2 - invalid number in amount: ' || raw_amount, 1, 250) AS error_text
+FROM parsed WHERE amount IS NULL""", {"parsed": _PARSED_CTE}))
+def q_bad_rows(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return HI.bad_rows(f.version_incoming, ["id"], _VERSION_MEASURES, "dm_f101_round_f_v2", _VERSION_TEXT)
