@@ -468,3 +468,135 @@ FROM parsed WHERE amount IS NULL""", {"parsed": _PARSED_CTE}))
 def q_bad_rows(spark, sf_dir):
     f = Fixtures(spark, sf_dir)
     return HI.bad_rows(f.version_incoming, ["id"], _VERSION_MEASURES, "dm_f101_round_f_v2", _VERSION_TEXT)
+
+# ---------------------------------------------------------------- mirror from deltas
+
+from tallyspark.operators import mirror as MI  # noqa: E402
+from tallyspark.sources.fixtures import LOADED_UP_TO  # noqa: E402
+
+MIRROR_KEYS = ["user_id", "event_type"]
+LOG_BEGIN = dt.datetime(2024, 2, 1, 0, 0, 0)
+LOG_END = dt.datetime(2024, 2, 1, 0, 5, 0)
+_PENDING_SQL = """
+SELECT DISTINCT delta_id FROM mirror_delta WHERE delta_id NOT IN (SELECT ID FROM loaded_batches WHERE tab = 'events')"""
+
+
+def _log_frame(f):
+    return f.loaded_batches.select(F.lit(None).cast("timestamp").alias("BEGIN"),
+                                   F.lit(None).cast("timestamp").alias("END"), "ID",
+                                   F.col("tab").alias("TABLE"))
+
+
+@query("pending_batches", O.with_views(["mirror_delta", "loaded_batches"], _PENDING_SQL))
+def q_pending_batches(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return MI.pending_batches(f.mirror_delta.select("delta_id"), _log_frame(f), "events")
+
+
+@query("mirror_merge", O.with_views(["mirror_delta"], """
+SELECT user_id, event_type, event_id, value
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY delta_id DESC) AS rn FROM mirror_delta) r
+WHERE rn = 1"""))
+def q_mirror_merge(spark, sf_dir):
+    """Mirror built from the batches already loaded, then the pending ones merged on top."""
+    f = Fixtures(spark, sf_dir)
+    deltas = f.mirror_delta
+    first = MI.mirror_apply(None, deltas.filter(F.col("delta_id") <= LOADED_UP_TO), MIRROR_KEYS)
+    pending = MI.pending_batches(deltas.select("delta_id"), _log_frame(f), "events")
+    todo = deltas.join(pending, "delta_id", "left_semi")
+    return MI.mirror_apply(first, todo, MIRROR_KEYS)
+
+
+@query("batch_log", O.with_views(["mirror_delta", "loaded_batches"], f"""
+SELECT TIMESTAMP '{LOG_BEGIN}' AS "BEGIN", TIMESTAMP '{LOG_END}' AS "END", delta_id AS "ID", 'events' AS "TABLE"
+FROM ({_PENDING_SQL}) p"""))
+def q_batch_log(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    pending = MI.pending_batches(f.mirror_delta.select("delta_id"), _log_frame(f), "events")
+    return MI.batch_log(pending, "events", LOG_BEGIN, LOG_END)
+
+
+# ---------------------------------------------------------------- categories and round trips
+
+from tallyspark.operators import categories as CA  # noqa: E402
+
+_COUNTS_SQL = 'SELECT Discipline, COUNT(*) AS "count" FROM athletes GROUP BY Discipline'
+_JOIN_SQL = """
+SELECT lower(c.Discipline) AS discipline, c."count" FROM counts c JOIN disciplines d ON lower(c.Discipline) = d.discipline"""
+
+
+@query("category_counts", O.with_views(["athletes"], _COUNTS_SQL))
+def q_category_counts(spark, sf_dir):
+    return CA.category_counts(Fixtures(spark, sf_dir).athletes)
+
+
+@query("category_join", O.with_views(["athletes", "disciplines"], _JOIN_SQL, {"counts": _COUNTS_SQL}))
+def q_category_join(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    return CA.category_join(CA.category_counts(f.athletes), f.disciplines)
+
+
+@query("csv_roundtrip", O.with_views(["athletes"], _COUNTS_SQL))
+def q_csv_roundtrip(spark, sf_dir):
+    """Counts written as one tab-separated file with a header, read back with a schema."""
+    counts = CA.category_counts(Fixtures(spark, sf_dir).athletes)
+    path = scratch_path(spark, "counts_tsv")
+    counts.repartition(1).write.csv(path, header=True, sep="\t")
+    return spark.read.schema("Discipline STRING, count BIGINT").csv(path, header=True, sep="\t")
+
+
+@query("parquet_roundtrip", O.with_views(["athletes", "disciplines"], _JOIN_SQL, {"counts": _COUNTS_SQL}))
+def q_parquet_roundtrip(spark, sf_dir):
+    f = Fixtures(spark, sf_dir)
+    path = scratch_path(spark, "category_join")
+    CA.category_join(CA.category_counts(f.athletes), f.disciplines).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("report_export", report_sql(D15, [D15], "SELECT " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" for c in SC.REPORT_COLUMNS) + " FROM (" + _report_select() + ") r"))
+def q_report_export(spark, sf_dir):
+    """The month report exported as ';' CSV with a header and read back as text."""
+    f, turn = _report_inputs(spark, sf_dir, [D15])
+    rep = RP.ledger_report(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
+                           f.md_exchange_rate_d, turn, D15)
+    path = FS.export_csv(rep, scratch_path(spark, "report_csv"))
+    return FS.read_text_csv(spark, path, rep.columns)
+
+
+# ---------------------------------------------------------------- audit, messages, date texts
+
+from tallyspark.operators import audit as AU  # noqa: E402
+
+AUDIT_AT = dt.datetime(1998, 10, 1, 12, 0, 0)
+
+
+@query("audit_log", O.with_views(["audit_raw"], f"""
+SELECT TIMESTAMP '{AUDIT_AT}' AS date_and_time,
+       CASE status WHEN 'begin' THEN 'BEGIN_LOADING' WHEN 'error' THEN 'ERROR'
+                   WHEN 'finish' THEN 'FINISH_LOADING' WHEN 'inform' THEN 'INFORM_MESS' END AS status,
+       substr(description, 1, 255) AS description
+FROM audit_raw WHERE status IN ('begin', 'error', 'finish', 'inform')"""))
+def q_audit_log(spark, sf_dir):
+    return AU.audit_log(Fixtures(spark, sf_dir).audit_raw, at=AUDIT_AT)
+
+
+@query("split_messages", """
+SELECT ROW_NUMBER() OVER (ORDER BY doc_id, piece_no) AS record_id, doc_id, piece_no,
+       substr(text, CAST(piece_no * 4000 + 1 AS INTEGER), 4000) AS message, 1 AS message_type
+FROM (SELECT doc_id, text, CAST(unnest(range(CAST(ceil(length(text) / 4000.0) AS BIGINT))) AS INTEGER) AS piece_no
+      FROM documents WHERE length(text) > 0) p""")
+def q_split_messages(spark, sf_dir):
+    docs = Fixtures(spark, sf_dir).t.documents
+    return AU.split_messages(docs, "text", ["doc_id"])
+
+
+@query("validate_dates", O.with_views(["date_text"], r"""
+SELECT s, regexp_matches(s, '^\d{4}-\d{2}-\d{2}$') AS shape_ok,
+       CASE WHEN regexp_matches(s, '^\d{4}-\d{2}-\d{2}$') THEN TRY_CAST(s AS DATE) END AS on_date
+FROM date_text"""))
+def q_validate_dates(spark, sf_dir):
+    texts = Fixtures(spark, sf_dir).date_text
+    shape = DT.date_shape_ok("s")
+    return texts.select("s", shape.alias("shape_ok"),
+                        F.when(shape, DT.parse_date("s")).alias("on_date"))
