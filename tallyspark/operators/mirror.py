@@ -8,8 +8,9 @@ batch id among the snapshot and all batches; that is one aggregate
 one task.  Rows with a NULL key never match and are always appended.
 
 Two rows of one key inside one batch: Delta raises for a matched key and
-inserts both for a new one; here the default ``on_duplicate='error'`` raises
-in both cases, ``'last'`` keeps the row with the greatest ``order_col``.
+inserts both for a new one; here the default ``on_duplicate='error'`` fails
+the job in both cases, ``'last'`` keeps the row with the greatest
+``order_col``.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators.upsert import DuplicateKeyError, first_duplicate, latest_per_key
+from tallyspark.operators.upsert import latest_per_key, unique_on
 from tallyspark.schemas import LOAD_LOG
 
 BATCH_COL = "delta_id"
@@ -39,10 +40,8 @@ def mirror_apply(snapshot: DataFrame | None, batches: DataFrame, keys: list[str]
     """
     cols = [c for c in batches.columns if c != BATCH_COL]
     if on_duplicate == "error":
-        dup = first_duplicate(batches, keys + [BATCH_COL])
-        if dup is not None:
-            raise DuplicateKeyError(f"batch {dup[BATCH_COL]} holds key {[dup[k] for k in keys]} more than once")
-        ranked = batches
+        # Fails the job (lazily, in the same pass) if a batch holds a key twice.
+        ranked = unique_on(batches, keys + [BATCH_COL], "batch")
     elif on_duplicate == "last":
         if order_col is None:
             raise ValueError("on_duplicate='last' needs order_col")
@@ -74,6 +73,11 @@ def read_batches(spark: SparkSession, path: str, table: str, schema=None, sep: s
     return df.withColumn(BATCH_COL, folder)
 
 
+def read_batch_folders(spark: SparkSession, root: str, schema) -> DataFrame:
+    """Parquet batches stored as ``root/delta_id=<id>/``; the id stays text (no type inference)."""
+    return spark.read.schema(schema).parquet(root)
+
+
 def read_load_log(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """The load log with ids as text; an empty log when the file does not exist yet."""
     try:

@@ -1,4 +1,4 @@
-"""Keyed upsert and latest-row-per-key selection.
+"""Keyed upsert and per-key row selection.
 
 ``keyed_upsert`` returns the next version of a table: rows of the target whose
 key is not in the incoming data, plus every incoming row cast to the target's
@@ -7,14 +7,16 @@ columns).  Target columns that the incoming data lacks keep their old value
 on a match.  NULL keys never match (SQL equality), so such rows are kept from
 both sides.
 
-Plan: one shuffle of each side on the key (left-anti join), then a union; no
-row-at-a-time work.  Incoming data must be unique on the key; the check is a
-partial aggregate that brings at most one offending key to the driver.
+Plan: the incoming rows are grouped on the key (a partial aggregate, so a hot
+key is combined map-side) which both enforces uniqueness and hash-partitions
+them on the key; the left-anti join with the target reuses that partitioning.
+A duplicate key fails the job lazily through ``raise_error`` inside the same
+job, so the check costs no extra pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,12 +24,16 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def first_duplicate(df: DataFrame, keys: list[str]):
-    """One duplicated non-NULL key (as a Row) or None."""
-    not_null = F.lit(True)
+def _any_null(keys: list[str]) -> Column:
+    out = F.lit(False)
     for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    rows = (df.filter(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        out = out | F.col(k).isNull()
+    return out
+
+
+def first_duplicate(df: DataFrame, keys: list[str]):
+    """One duplicated non-NULL key (as a Row) or None (an eager probe; at most one row returned)."""
+    rows = (df.filter(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") > 1).select(*keys).take(1))
     return rows[0] if rows else None
 
@@ -38,17 +44,31 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "incoming") -> Non
         raise DuplicateKeyError(f"{what} rows are not unique on {keys}: {dup.asDict()}")
 
 
+def unique_on(df: DataFrame, keys: list[str], what: str = "incoming") -> DataFrame:
+    """``df`` itself, failing the job if a non-NULL key occurs twice (NULL-key rows pass through).
+
+    One aggregate on the key: duplicates are found while the rows are being
+    shuffled to their key's partition anyway.
+    """
+    others = [c for c in df.columns if c not in keys]
+    null_key = _any_null(keys)
+    grouped = (df.filter(~null_key).groupBy(*keys)
+               .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_r")))
+    msg = F.concat(F.lit(f"{what} rows are not unique on {keys}: "),
+                   F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
+    checked = grouped.select(*keys, F.when(F.col("_n") > 1, F.raise_error(msg)).otherwise(F.col("_r")).alias("_r"))
+    out = checked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
+    return out.unionByName(df.filter(null_key))
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """The row with the greatest ``order_col`` per key (an aggregate: hot keys combine map-side).
 
     Rows with a NULL key are returned unchanged (they never match anything).
     """
     others = [c for c in df.columns if c not in keys]
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    keyed = df.filter(~null_key)
-    best = keyed.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(order_col)).alias("_r"))
+    null_key = _any_null(keys)
+    best = df.filter(~null_key).groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(order_col)).alias("_r"))
     best = best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
     return best.unionByName(df.filter(null_key))
 
@@ -57,11 +77,11 @@ def keyed_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], on_dup
                  order_col: str | None = None) -> DataFrame:
     """Next version of ``target`` after upserting ``incoming`` on ``keys``.
 
-    ``on_duplicate``: ``'error'`` (default) raises when the incoming data holds a
-    key twice; ``'last'`` keeps the row with the greatest ``order_col``.
+    ``on_duplicate``: ``'error'`` (default) fails the job when the incoming data
+    holds a key twice; ``'last'`` keeps the row with the greatest ``order_col``.
     """
     if on_duplicate == "error":
-        assert_unique(incoming, keys)
+        incoming = unique_on(incoming, keys)
     elif on_duplicate == "last":
         if order_col is None:
             raise ValueError("on_duplicate='last' needs order_col")

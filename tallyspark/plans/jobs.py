@@ -62,9 +62,9 @@ def load_detail(spark: SparkSession, csv_folder: str, detail_root: str, log_root
                                      ledger_pair_as_float=(table == "md_ledger_account_s"))
             df = clean_detail(table, df)
             keys = S.KEYS[table]
-            UP.assert_unique(df, keys, table)
             target = TB.read_current(spark, detail_root, table)
-            nxt = df if target is None else UP.keyed_upsert(target, df, keys)
+            # A duplicate key fails the write job, which is logged below.
+            nxt = UP.unique_on(df, keys, table) if target is None else UP.keyed_upsert(target, df, keys)
             TB.write_next(spark, nxt, detail_root, table)
         except Exception as e:  # the table is skipped, the load goes on
             _append_log(spark, log_root, "error", f"ERROR: {table} {str(e).splitlines()[0]}"[:255])

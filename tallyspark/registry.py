@@ -498,13 +498,16 @@ SELECT user_id, event_type, event_id, value
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY delta_id DESC) AS rn FROM mirror_delta) r
 WHERE rn = 1"""))
 def q_mirror_merge(spark, sf_dir):
-    """Mirror built from the batches already loaded, then the pending ones merged on top."""
+    """Deltas stored one folder per batch; mirror built from the loaded ones, then pending ones merged."""
     f = Fixtures(spark, sf_dir)
-    deltas = f.mirror_delta
-    first = MI.mirror_apply(None, deltas.filter(F.col("delta_id") <= LOADED_UP_TO), MIRROR_KEYS)
-    pending = MI.pending_batches(deltas.select("delta_id"), _log_frame(f), "events")
-    todo = deltas.join(pending, "delta_id", "left_semi")
-    return MI.mirror_apply(first, todo, MIRROR_KEYS)
+    root = scratch_path(spark, "deltas")
+    f.mirror_delta.write.partitionBy("delta_id").parquet(root)
+    deltas = MI.read_batch_folders(spark, root, f.mirror_delta.schema)
+    loaded = _log_frame(f)
+    first = MI.mirror_apply(None, deltas.join(loaded.select(F.col("ID").alias("delta_id")), "delta_id", "left_semi"),
+                            MIRROR_KEYS)
+    pending = MI.pending_batches(deltas.select("delta_id"), loaded, "events")
+    return MI.mirror_apply(first, deltas.join(pending, "delta_id", "left_semi"), MIRROR_KEYS)
 
 
 @query("batch_log", O.with_views(["mirror_delta", "loaded_batches"], f"""

@@ -194,8 +194,14 @@ DISCIPLINE_ROWS = [
 ]
 
 
+def literal_table(spark, rows: list[tuple], names: list[str], types: list[str]) -> DataFrame:
+    """A small fixed table built JVM-side (no Python worker round trip)."""
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def disciplines(spark) -> DataFrame:
-    return spark.createDataFrame(DISCIPLINE_ROWS, "row_id BIGINT, discipline STRING, season STRING")
+    return literal_table(spark, DISCIPLINE_ROWS, ["row_id", "discipline", "season"], ["bigint", "string", "string"])
 
 
 # Event type -> audit status word.
@@ -218,7 +224,7 @@ DATE_TEXT_ROWS = ["2018-01-15", "2018-13-45", "15.01.2018", "2018-1-5", ""]
 def date_text(t: BaseTables) -> DataFrame:
     """Date texts: the fixed cases plus one text per order in several spellings."""
     spark = t.spark
-    fixed = spark.createDataFrame([(s,) for s in DATE_TEXT_ROWS], "s STRING")
+    fixed = literal_table(spark, [(s,) for s in DATE_TEXT_ROWS], ["s"], ["string"])
     k = F.col("o_orderkey")
     d = F.col("o_orderdate")
     derived = t.orders.select(
