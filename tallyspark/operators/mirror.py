@@ -15,6 +15,8 @@ the job in both cases, ``'last'`` keeps the row with the greatest
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,7 +71,8 @@ def read_batches(spark: SparkSession, path: str, table: str, schema=None, sep: s
     reader = spark.read.option("header", True).option("sep", sep)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(f"{path.rstrip('/')}/*/{table}.csv")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    # ``{batch}/{table}.csv`` is a file, or a folder of part files when Spark wrote it.
+    folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{re.escape(table)}\.csv(/[^/]+)?$", 1)
     return df.withColumn(BATCH_COL, folder)
 
 
