@@ -3,9 +3,9 @@
 ``audit_log`` maps a status word to the stored status and drops unknown ones.
 ``split_messages`` cuts each message into 4,000-character pieces (one row
 each, message type 1) and numbers the rows consecutively in (message order,
-piece) order without a single-partition window: rows are range-partitioned on
-the order columns, numbered inside each partition, and shifted by the row
-count of all earlier partitions (a table with one row per partition).
+piece) order without a single-partition window over the rows: rows are
+numbered inside buckets of message ids and shifted by the row count of all
+earlier buckets (a table with one row per bucket).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 # Status words and the stored status they map to.
 AUDIT_STATUS = {"begin": "BEGIN_LOADING", "error": "ERROR", "finish": "FINISH_LOADING", "inform": "INFORM_MESS"}
+DEFAULT_BUCKET = 1 << 16
 # Stored description limit and message piece size.
 DESCRIPTION_LIMIT = 255
 PIECE_SIZE = 4000
@@ -46,29 +47,33 @@ def message_pieces(messages: DataFrame, text_col: str, size: int = PIECE_SIZE) -
 
 
 def consecutive_ids(df: DataFrame, order_cols: list[str], id_col: str = "record_id", start: int = 1,
-                    partitions: int | None = None) -> DataFrame:
+                    bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ``order_cols`` order, fully distributed.
 
-    ``order_cols`` must identify rows uniquely for the numbering to be stable.
+    The first order column must be an integer; rows are numbered inside
+    buckets of ``bucket_width`` consecutive values of it and shifted by the
+    row count of all earlier buckets (a table with one row per bucket).  All
+    steps are deterministic, so a re-run task numbers the same rows the same
+    way.  ``order_cols`` must identify rows uniquely.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # At most ``n`` rows: one per partition, so the running total is tiny.
-    offsets = sizes.select("_pid", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    lead = F.col(order_cols[0])
+    bucketed = df.withColumn("_b", F.floor(lead / F.lit(bucket_width)).cast("bigint"))
+    local = bucketed.withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy(*order_cols)))
+    sizes = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per non-empty bucket: the running total runs over that small table.
+    offsets = sizes.select("_b", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     ).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
+    return (local.join(offsets, "_b")
             .withColumn(id_col, F.col("_off") + F.col("_rn") + F.lit(start - 1))
-            .drop("_pid", "_rn", "_off"))
+            .drop("_b", "_rn", "_off"))
 
 
 def split_messages(messages: DataFrame, text_col: str, order_cols: list[str], first_id: int = 1,
-                   message_type: int = NOTICE, size: int = PIECE_SIZE) -> DataFrame:
+                   message_type: int = NOTICE, size: int = PIECE_SIZE, bucket_width: int = DEFAULT_BUCKET
+                   ) -> DataFrame:
     """``lg_messages``-style rows: record_id, order columns, piece_no, message, message_type."""
     pieces = message_pieces(messages.select(*order_cols, text_col), text_col, size)
-    numbered = consecutive_ids(pieces, order_cols + ["piece_no"], "record_id", first_id)
+    numbered = consecutive_ids(pieces, order_cols + ["piece_no"], "record_id", first_id, bucket_width)
     return numbered.select("record_id", *order_cols, "piece_no", "message",
                            F.lit(message_type).alias("message_type"))

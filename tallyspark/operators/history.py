@@ -6,25 +6,29 @@ skipped; otherwise the current version is closed (``actuality = false``) and
 the row becomes the new current version.  Keys absent from the file are left
 alone; one file may carry several versions of a key.
 
-Set-based form (one shuffle on the key, one sort):
+Set-based form:
 
 1. ``u`` = open versions (seq = -1) union parsed incoming rows (seq = file order)
 2. keep the open version, or a row whose measures differ from the row just
-   before it in ``u`` (a skipped row equals the state, so comparing with the
-   previous row equals comparing with the state)
-3. ``actuality`` = no later kept row; closed history rows are carried over.
-
-Both window passes share one partitioning and ordering, so Spark plans a
-single exchange and a single sort.  Text that does not parse is split off as a
-rejected row with a ``BAD ROW: <k0:k1:...>`` message and an error text cut to
-250 characters.
+   before it in (key, seq) order (a skipped row equals the state, so comparing
+   with the previous row equals comparing with the state)
+3. ``actuality`` = no later kept row of the key; closed history rows are
+   carried over untouched (they never enter the shuffle).
+
+"Previous / next row of the key" comes from ``neighbours_in_key``, which
+windows by (key, seq bucket) so a key with very many versions is spread over
+many tasks instead of one window per key.  Text that does not parse is
+split off as a rejected row with a ``BAD ROW: <k0:k1:...>`` message and an
+error text cut to 250 characters.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.operators.sequence import DEFAULT_BUCKET, neighbours_in_key
+
 # Limits of the logged error text and its prefix.
 ERROR_TEXT_LIMIT = 250
 
@@ -66,7 +70,8 @@ def bad_rows(incoming: DataFrame, keys: list[str], measures: dict[str, str], tar
 
 def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], measures: dict[str, str],
                      insert_date, text_columns: dict[str, str] | None = None, seq_col: str = "seq",
-                     date_col: str = "insert_date", flag_col: str = "actuality") -> DataFrame:
+                     date_col: str = "insert_date", flag_col: str = "actuality",
+                     bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
     """Next version of the history table after importing ``incoming`` (valid rows only)."""
     text_columns = text_columns or {m: m for m in measures}
     names = list(measures)
@@ -79,12 +84,16 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
         *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], F.col(date_col),
         F.lit(-1).cast("bigint").alias("_seq"), F.lit(True).alias("_old"))
     u = open_rows.unionByName(new_rows)
-    w = Window.partitionBy(*keys).orderBy("_seq")
     state = F.struct(*[F.coalesce(F.col(m), F.lit(0).cast(measures[m])).alias(m) for m in names])
-    prev = F.lag(state).over(w)
-    kept = (u.withColumn("_prev", prev)
-            .filter(F.col("_old") | F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(state)))
-    current = kept.select(*keys, *names, date_col, (F.lead("_seq").over(w).isNull()).alias(flag_col))
+    u = u.withColumn("_s", state)
+    # Previous row of the same key in seq order (NULL: the key has no version yet).
+    scanned = neighbours_in_key(u, keys, "_seq", ["_s"], prev_col="_prev", next_col=None,
+                                bucket_width=bucket_width)
+    kept = scanned.filter(F.col("_old") | F.col("_prev").isNull() | ~F.col("_prev._s").eqNullSafe(F.col("_s")))
+    # Current version = no later kept row of the same key.
+    kept = neighbours_in_key(kept.select(*keys, *names, date_col, "_seq"), keys, "_seq", ["_seq"],
+                             prev_col=None, next_col="_nxt", bucket_width=bucket_width)
+    current = kept.select(*keys, *names, date_col, F.col("_nxt").isNull().alias(flag_col))
     closed = history.filter(~F.coalesce(F.col(flag_col), F.lit(False))).select(
         *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], date_col, flag_col)
     return current.unionByName(closed)

@@ -36,9 +36,11 @@ def test_versioned_import_matches_row_loop(spark, current, rows):
     hist = spark.createDataFrame([(k, Decimal(v), D0, True) for k, v in current.items()],
                                  "id INT, amount DECIMAL(23,8), insert_date DATE, actuality BOOLEAN")
     inc = spark.createDataFrame([(k, i, str(v)) for i, (k, v) in enumerate(rows)], "id INT, seq BIGINT, amount STRING")
-    got = HI.versioned_import(hist, inc, ["id"], {"amount": "decimal(23,8)"}, D1)
-    got = sorted((r.id, int(r.amount), r.insert_date, r.actuality) for r in got.collect())
-    assert got == history_model(current, rows)
+    want = history_model(current, rows)
+    for width in (1 << 20, 2):  # one bucket per key, and keys split over many buckets
+        got = HI.versioned_import(hist, inc, ["id"], {"amount": "decimal(23,8)"}, D1, bucket_width=width)
+        got = sorted((r.id, int(r.amount), r.insert_date, r.actuality) for r in got.collect())
+        assert got == want
 
 
 def mirror_model(snapshot: dict, batches: list):
@@ -80,7 +82,8 @@ def test_upsert_matches_dict_update_and_is_idempotent(spark, target, incoming):
 def test_split_messages_matches_piece_loop(spark, texts):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id INT, text STRING")
     got = [(r.record_id, r.doc_id, r.piece_no, r.message)
-           for r in AU.split_messages(docs, "text", ["doc_id"], first_id=5, size=4).orderBy("record_id").collect()]
+           for r in AU.split_messages(docs, "text", ["doc_id"], first_id=5, size=4, bucket_width=2)
+           .orderBy("record_id").collect()]
     want, rid = [], 5
     for i, t in enumerate(texts):
         rest, p = t, 0
@@ -88,3 +91,18 @@ def test_split_messages_matches_piece_loop(spark, texts):
             want.append((rid, i, p, rest[:4]))
             rest, p, rid = rest[4:], p + 1, rid + 1
     assert got == want
+
+
+@settings(**SETTINGS)
+@given(rows=st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.integers(0, 40)), max_size=30, unique=True))
+def test_neighbours_in_key_match_a_per_key_scan(spark, rows):
+    from tallyspark.operators.sequence import neighbours_in_key
+    df = spark.createDataFrame(rows, "k STRING, s INT")
+    got = sorted((r.k or "", r.s, r._prev.s if r._prev else None, r._next.s if r._next else None)
+                 for r in neighbours_in_key(df, ["k"], "s", ["s"], bucket_width=3).collect())
+    want = []
+    for k in {k for k, _ in rows}:
+        seqs = sorted(s for kk, s in rows if kk == k)
+        for i, s in enumerate(seqs):
+            want.append((k or "", s, seqs[i - 1] if i else None, seqs[i + 1] if i + 1 < len(seqs) else None))
+    assert got == sorted(want)
