@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.dates import as_date
+from tallyspark.functions.dates import DATE_SHAPE, as_date
 
 # Labels of the five report lines, in output order (the
 # inconsistent spelling is the report's own).
@@ -35,9 +37,19 @@ def report_file_name(on_date) -> str:
     return f"output_{as_date(on_date).isoformat()}.csv"
 
 
-def write_posting_report(stats: DataFrame, folder: str, on_date) -> str | None:
-    """Write the report lines as a one-column text file; no file when the date has no row."""
-    lines = posting_report(stats)
+def write_posting_report(postings: DataFrame, folder: str, date_text: str) -> str | None:
+    """Stats of the date written as the five-line text file ``output_{date}.csv``.
+
+    No file when the date text does not have the ``YYYY-MM-DD`` shape or the
+    date has no postings.
+    """
+    if not re.fullmatch(DATE_SHAPE, date_text or ""):
+        return None
+    try:
+        on_date = as_date(date_text)
+    except ValueError:
+        return None
+    lines = posting_report(posting_stats(postings, on_date))
     if not lines.take(1):
         return None
     path = f"{folder.rstrip('/')}/{report_file_name(on_date)}"

@@ -27,6 +27,7 @@ from tallyspark.sinks import files as FS
 from tallyspark.sources import csv as CSV
 
 LOG_TABLE = "log_data"
+MESSAGE_TABLE = "lg_messages"
 
 
 def _append_log(spark: SparkSession, root: str, status: str, text: str, at=None) -> None:
@@ -38,6 +39,28 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{LOG_TABLE}")
 
 
+def read_messages(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/{MESSAGE_TABLE}")
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return None
+        raise
+
+
+def writelog(spark: SparkSession, root: str, texts: list[str], message_type: int = AU.NOTICE) -> None:
+    """Append messages to the message log: 4,000-character pieces, ids continuing the log's maximum."""
+    current = read_messages(spark, root)
+    last = 0
+    if current is not None:
+        row = current.agg(F.max("record_id").alias("m")).first()
+        last = int(row["m"] or 0)
+    msgs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "msg_no BIGINT, message_text STRING")
+    pieces = AU.split_messages(msgs, "message_text", ["msg_no"], first_id=last + 1, message_type=message_type)
+    (pieces.select("record_id", F.localtimestamp().alias("date_time"), "message", "message_type")
+     .write.mode("append").parquet(f"{root.rstrip('/')}/{MESSAGE_TABLE}"))
+
+
 # ---------------------------------------------------------------- E-1: load detail files, then calculate
 
 def clean_detail(table: str, df: DataFrame) -> DataFrame:
@@ -83,13 +106,16 @@ def fill_turnover(spark: SparkSession, detail: dict[str, DataFrame], mart_root:
                   log_root: str | None = None) -> int:
     """Replace one day of the turnover mart; returns the row count of the day."""
     d = as_date(on_date)
+    if log_root:
+        writelog(spark, log_root, [f"[BEGIN] fill(i_OnDate => date '{d.isoformat()}');",
+                                   f"delete on_date = {d.isoformat()}", "insert"])
     obs = Observation(f"turnover_{d.isoformat()}")
     turn = TO.account_turnover(detail["ft_posting_f"], detail["md_account_d"], detail["md_exchange_rate_d"], d)
     FS.replace_partition(turn.observe(obs, F.count(F.lit(1)).alias("rows")),
                          f"{mart_root.rstrip('/')}/dm_account_turnover_f", {"on_date": d})
     n = int(obs.get["rows"])
     if log_root:
-        _append_log(spark, log_root, "inform", f"[END] inserted {n} rows.")
+        writelog(spark, log_root, [f"[END] inserted {n} rows."])
     return n
 
 
@@ -98,6 +124,9 @@ def fill_report(spark: SparkSession, detail: dict[str, DataFrame], mart_root: st
     """Replace the month of ``on_date`` in the report mart (reads the turnover mart)."""
     d = as_date(on_date)
     ms, me = month_bounds_py(d)
+    if log_root:
+        writelog(spark, log_root, [f"[BEGIN] fill(i_OnDate => date '{d.isoformat()}');",
+                                   f"delete on_date = {d.isoformat()}", "insert"])
     turn = FS.read_partitioned(spark, f"{mart_root.rstrip('/')}/dm_account_turnover_f", S.DM_ACCOUNT_TURNOVER_F)
     rep = RP.ledger_report(detail["md_account_d"], detail["md_currency_d"], detail["md_ledger_account_s"],
                            detail["ft_balance_f"], detail["md_exchange_rate_d"], turn, d)
@@ -106,10 +135,23 @@ def fill_report(spark: SparkSession, detail: dict[str, DataFrame], mart_root: st
                          f"{mart_root.rstrip('/')}/dm_f101_round_f", {"from_date": ms, "to_date": me})
     n = int(obs.get["rows"])
     if log_root:
-        _append_log(spark, log_root, "inform", f"[END] inserted {n} rows.")
+        writelog(spark, log_root, [f"[END] inserted {n} rows."])
     return n
 
 
+def calculate(spark: SparkSession, detail_root: str, mart_root: str, on_date, log_root: str) -> dict[str, object]:
+    """Turnover of the date, then the month report; a failure is logged and the next step still runs."""
+    detail = detail_tables(spark, detail_root)
+    out: dict[str, object] = {}
+    for name, step in (("turnover", fill_turnover), ("report", fill_report)):
+        try:
+            out[name] = step(spark, detail, mart_root, on_date, log_root)
+        except Exception as e:
+            _append_log(spark, log_root, "error", f"ERROR: {name} {str(e).splitlines()[0]}"[:255])
+            out[name] = "error"
+    return out
+
+
 # ---------------------------------------------------------------- E-2: export the report, import versions
 
 def export_report(spark: SparkSession, mart_root: str, path: str) -> str:

@@ -395,15 +395,20 @@ SELECT * FROM ({report_sql(D_AUG, [D15], _report_select())}) a
 UNION ALL
 SELECT * FROM ({report_sql(D15, [D15], _report_select())}) s"""))
 def q_replace_month(spark, sf_dir):
-    """August and September reports written, then September replaced: each month once."""
-    f, turn = _report_inputs(spark, sf_dir, [D15])
-    root = scratch_path(spark, "report")
+    """Turnover mart filled for the 15th; August and September reports written from it, then
+    September replaced: each month once."""
+    f = Fixtures(spark, sf_dir)
+    marts = scratch_path(spark, "marts")
+    turn_root, rep_root = f"{marts}/dm_account_turnover_f", f"{marts}/dm_f101_round_f"
+    FS.replace_partition(TO.account_turnover(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d, D15),
+                         turn_root, {"on_date": D15})
+    turn = FS.read_partitioned(spark, turn_root, SC.DM_ACCOUNT_TURNOVER_F)
     for d in (D_AUG, D15, D15):
         rep = RP.ledger_report(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
                                f.md_exchange_rate_d, turn, d)
         ms, me = DT.month_bounds_py(d)
-        FS.replace_partition(rep, root, {"from_date": ms, "to_date": me})
-    return FS.read_partitioned(spark, root, SC.DM_F101_ROUND_F)
+        FS.replace_partition(rep, rep_root, {"from_date": ms, "to_date": me})
+    return FS.read_partitioned(spark, rep_root, SC.DM_F101_ROUND_F)
 
 
 @query("load_counts", O.with_views(TURNOVER_VIEWS, """
@@ -501,7 +506,8 @@ def q_mirror_merge(spark, sf_dir):
     """Deltas stored one folder per batch; mirror built from the loaded ones, then pending ones merged."""
     f = Fixtures(spark, sf_dir)
     root = scratch_path(spark, "deltas")
-    f.mirror_delta.write.partitionBy("delta_id").parquet(root)
+    # One folder per batch, one file per folder.
+    f.mirror_delta.repartition("delta_id").write.partitionBy("delta_id").parquet(root)
     deltas = MI.read_batch_folders(spark, root, f.mirror_delta.schema)
     loaded = _log_frame(f)
     first = MI.mirror_apply(None, deltas.join(loaded.select(F.col("ID").alias("delta_id")), "delta_id", "left_semi"),

@@ -63,7 +63,13 @@ def test_load_then_calculate(spark, tmp_dir):
     assert n_rep == want.count()
     log = J.read_log(spark, logs)
     assert log.filter(F.col("status") == "FINISH_LOADING").count() == 12
-    assert log.filter(F.col("description") == f"[END] inserted {n_turn} rows.").count() >= 1
+    msgs = J.read_messages(spark, logs).orderBy("record_id").collect()
+    assert [m.record_id for m in msgs] == list(range(1, len(msgs) + 1))
+    assert msgs[0].message == "[BEGIN] fill(i_OnDate => date '1998-09-15');"
+    assert msgs[3].message == f"[END] inserted {n_turn} rows."
+    # The calculate step repeats both and logs; ids keep counting.
+    assert J.calculate(spark, detail, marts, DAY, logs) == {"turnover": n_turn, "report": n_rep}
+    assert J.read_messages(spark, logs).count() == 16
 
     # E-2: export the report, import it twice into the versioned history.
     path = J.export_report(spark, marts, f"{tmp_dir}/report_csv")
@@ -108,3 +114,14 @@ def test_mirror_job_applies_only_pending_folders(spark, tmp_dir):
     assert sorted(r.ID for r in log.collect()) == ids
     exported = spark.read.option("header", True).option("sep", ";").csv(f"{tmp_dir}/export")
     assert exported.count() == want.count()
+
+
+def test_posting_report_file(spark, tmp_dir):
+    from tallyspark.operators import stats as ST
+    post = Fixtures(spark, SF).ft_posting_f
+    path = ST.write_posting_report(post, tmp_dir, "1998-09-15")
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert path.endswith("output_1998-09-15.csv") and len(lines) == 5 and lines[0] == "On date: 1998-09-15"
+    assert ST.write_posting_report(post, tmp_dir, "2018-13-45") is None
+    assert ST.write_posting_report(post, tmp_dir, "15.09.1998") is None
+    assert ST.write_posting_report(post, tmp_dir, "1970-01-01") is None
