@@ -24,6 +24,8 @@ error text cut to 250 characters.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +85,15 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
     open_rows = history.filter(F.col(flag_col)).select(
         *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], F.col(date_col),
         F.lit(-1).cast("bigint").alias("_seq"), F.lit(True).alias("_old"))
-    u = open_rows.unionByName(new_rows)
+    # Only open versions of keys present in the file take part; the others
+    # stay as they are (the incoming key set is usually far smaller than the
+    # history, and Spark broadcasts it when it measures it small).
+    file_keys = new_rows.select(*[F.col(k).alias(f"_fk_{k}") for k in keys]).distinct()
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_fk_{k}")) for k in keys])
+    touched = open_rows.join(file_keys, on, "left_semi")
+    untouched = open_rows.join(file_keys, on, "left_anti").select(
+        *keys, *names, date_col, F.lit(True).alias(flag_col))
+    u = touched.unionByName(new_rows)
     state = F.struct(*[F.coalesce(F.col(m), F.lit(0).cast(measures[m])).alias(m) for m in names])
     u = u.withColumn("_s", state)
     # Previous row of the same key in seq order (NULL: the key has no version yet).
@@ -96,7 +106,7 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
     current = kept.select(*keys, *names, date_col, F.col("_nxt").isNull().alias(flag_col))
     closed = history.filter(~F.coalesce(F.col(flag_col), F.lit(False))).select(
         *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], date_col, flag_col)
-    return current.unionByName(closed)
+    return current.unionByName(untouched).unionByName(closed)
 
 
 def current_versions(history: DataFrame, flag_col: str = "actuality") -> DataFrame:

@@ -9,7 +9,9 @@ both sides.
 
 Plan: the incoming rows are grouped on the key (a partial aggregate, so a hot
 key is combined map-side) which both enforces uniqueness and hash-partitions
-them on the key; the left-anti join with the target reuses that partitioning.
+them on the key; the left-anti join with the target reuses that partitioning,
+and when the incoming data is small Spark broadcasts its keys so the target is
+streamed without a shuffle.
 A duplicate key fails the job lazily through ``raise_error`` inside the same
 job, so the check costs no extra pass.
 """
@@ -95,6 +97,9 @@ def keyed_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], on_dup
         raise ValueError(f"incoming data lacks key columns {sorted(set(keys) - set(given))}")
     inc = incoming.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in given])
     if missing:
-        inc = inc.join(target.select(*keys, *missing), keys, "left")
+        # Old values of the columns the file lacks, for matched keys only: the
+        # semi-join streams the target past the (broadcastable) incoming keys.
+        matched = target.select(*keys, *missing).join(inc.select(*keys), keys, "left_semi")
+        inc = inc.join(matched, keys, "left")
     kept = target.join(inc.select(*keys), keys, "left_anti")
     return kept.unionByName(inc.select(*cols))
