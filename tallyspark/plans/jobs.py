@@ -73,22 +73,32 @@ def clean_detail(table: str, df: DataFrame) -> DataFrame:
     return df
 
 
+# Fact-like tables are stored by date so a daily job reads one folder.
+PARTITION_BY = {"ft_posting_f": ["oper_date"], "ft_balance_f": ["on_date"]}
+
+
 def load_detail(spark: SparkSession, csv_folder: str, detail_root: str, log_root: str,
-                date_format: str = "yyyy-MM-dd") -> dict[str, str]:
-    """Load the six detail files with keyed upsert; a failing table is logged and the next one loads."""
+                date_format: str = "yyyy-MM-dd", partition_by: dict[str, list[str]] | None = None
+                ) -> dict[str, str]:
+    """Load the six detail files as keyed upserts; a failing table is logged and the next one loads.
+
+    Each load appends only the file's rows (merge-on-read): the table's
+    current content is the latest load per key, so a load costs the size of
+    the file, not of the table.
+    """
     results = {}
+    layout = PARTITION_BY if partition_by is None else partition_by
+    load_id = TB.new_load_id()
     for table, schema in CSV.DETAIL_FILES:
         _append_log(spark, log_root, "begin", f"Start loading table {table}")
         try:
             df = CSV.read_detail_csv(spark, f"{csv_folder.rstrip('/')}/{table}.csv", schema,
                                      date_format=date_format,
                                      ledger_pair_as_float=(table == "md_ledger_account_s"))
-            df = clean_detail(table, df)
-            keys = S.KEYS[table]
-            target = TB.read_current(spark, detail_root, table)
+            df = clean_detail(table, df).select(*schema.names)
             # A duplicate key fails the write job, which is logged below.
-            nxt = UP.unique_on(df, keys, table) if target is None else UP.keyed_upsert(target, df, keys)
-            TB.write_next(spark, nxt, detail_root, table)
+            TB.append_load(UP.unique_on(df, S.KEYS[table], table), detail_root, table, load_id,
+                           layout.get(table))
         except Exception as e:  # the table is skipped, the load goes on
             _append_log(spark, log_root, "error", f"ERROR: {table} {str(e).splitlines()[0]}"[:255])
             results[table] = "error"
@@ -99,7 +109,7 @@ def load_detail(spark: SparkSession, csv_folder: str, detail_root: str, log_root
 
 
 def detail_tables(spark: SparkSession, detail_root: str) -> dict[str, DataFrame]:
-    return {t: TB.read_current(spark, detail_root, t) for t, _ in CSV.DETAIL_FILES}
+    return {t: TB.read_latest(spark, detail_root, t, S.KEYS[t], schema) for t, schema in CSV.DETAIL_FILES}
 
 
 def fill_turnover(spark: SparkSession, detail: dict[str, DataFrame], mart_root: str, on_date,
@@ -197,7 +207,12 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
 
 def run_mirror(spark: SparkSession, deltas_path: str, table: str, keys: list[str], mirror_root: str,
                log_path: str, export_path: str, schema=None) -> list[str]:
-    """Apply every unloaded delta folder (string order) to the mirror, export it, append the load log."""
+    """Apply every unloaded delta folder (string order) to the mirror, export it, append the load log.
+
+    The mirror store keeps every applied batch row with its batch id (one
+    folder per batch); the mirror itself is the row of the greatest batch id
+    per key.  Applying batches appends only their rows.
+    """
     begin = dt.datetime.now()
     batches = MI.read_batches(spark, deltas_path, table, schema)
     log = MI.read_load_log(spark, log_path)
@@ -207,10 +222,11 @@ def run_mirror(spark: SparkSession, deltas_path: str, table: str, keys: list[str
     if not ids:
         return []
     todo = batches.filter(F.col(MI.BATCH_COL).isin(ids))
-    current = TB.read_current(spark, mirror_root, table)
-    nxt = MI.mirror_apply(current, todo, keys)
-    TB.write_next(spark, nxt, mirror_root, table)
-    mirror = TB.read_current(spark, mirror_root, table)
+    store = TB.table_path(mirror_root, table)
+    # A batch holding a key twice fails the write.
+    (UP.unique_on(todo, keys + [MI.BATCH_COL], "batch").hint("rebalance", MI.BATCH_COL).write.mode("append")
+     .partitionBy(MI.BATCH_COL).parquet(store))
+    mirror = read_mirror(spark, mirror_root, table, keys, todo.schema)
     mirror.write.mode("overwrite").csv(export_path, header=True, sep=";")
     end = dt.datetime.now()
     rows = spark.createDataFrame([(i,) for i in ids], f"{MI.BATCH_COL} STRING")
@@ -218,3 +234,10 @@ def run_mirror(spark: SparkSession, deltas_path: str, table: str, keys: list[str
     MI.batch_log(rows, table, begin, end).write.mode("append").option("header", True).option("sep", ";") \
         .csv(log_path)
     return ids
+
+
+def read_mirror(spark: SparkSession, mirror_root: str, table: str, keys: list[str], schema) -> DataFrame:
+    """Current mirror rows: per key, the row of the greatest batch id."""
+    store = spark.read.schema(schema).parquet(TB.table_path(mirror_root, table))
+    cols = [c for c in schema.names if c != MI.BATCH_COL]
+    return UP.latest_per_key(store, keys, MI.BATCH_COL).select(*cols)

@@ -1,14 +1,22 @@
-"""Versioned parquet tables in a folder: ``{root}/{table}/version=N``.
+"""Table folders used by the file jobs.
 
-A job that reads a table and writes its next state writes ``version=N+1``
-and never overwrites what it reads.  The current version is found from the
-partition values (a one-value aggregate).
+Versioned tables (``{root}/{table}/version=N``): a job that reads a table and
+writes its next state writes ``version=N+1`` and never overwrites what it
+reads.  The current version is found from the partition values.
+
+Merge-on-read keyed tables (below): loads append, readers take the latest
+load per key.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyspark.operators.upsert import latest_per_key
 
 
 def table_path(root: str, table: str) -> str:
@@ -38,3 +46,52 @@ def write_next(spark: SparkSession, df: DataFrame, root: str, table: str) -> int
     nxt = 0 if v is None else v + 1
     df.write.mode("errorifexists").parquet(f"{table_path(root, table)}/version={nxt}")
     return nxt
+
+
+# ---------------------------------------------------------------- merge-on-read keyed tables
+#
+# A keyed table that receives upserts is stored as the union of all loads,
+# each row tagged with its load id; the table's content is the row of the
+# latest load per key.  A load appends only its own rows (no rewrite of the
+# table), and a reader's filter on a key column (e.g. one posting date) is
+# pushed below the per-key aggregate and prunes partition folders.
+
+LOAD_COL = "_load"
+
+
+def new_load_id() -> int:
+    """Load ids increase with time (microseconds since the epoch, UTC)."""
+    return int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
+
+
+def append_load(df: DataFrame, root: str, table: str, load_id: int | None = None,
+                partition_by: list[str] | None = None) -> int:
+    load_id = load_id if load_id is not None else new_load_id()
+    out = df.withColumn(LOAD_COL, F.lit(load_id).cast("bigint"))
+    if partition_by:
+        # Few files per folder; AQE still splits a folder holding a hot date.
+        out = out.hint("rebalance", *partition_by)
+    writer = out.write.mode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(table_path(root, table))
+    return load_id
+
+
+def read_latest(spark: SparkSession, root: str, table: str, keys: list[str], schema=None) -> DataFrame | None:
+    """Current rows of a merge-on-read table (latest load per key; NULL-key rows all kept)."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(_with_load(schema))
+    try:
+        df = reader.parquet(table_path(root, table))
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+    cols = schema.names if schema is not None else [c for c in df.columns if c != LOAD_COL]
+    return latest_per_key(df, keys, LOAD_COL).select(*cols)
+
+
+def _with_load(schema):
+    return T.StructType(list(schema.fields) + [T.StructField(LOAD_COL, T.LongType(), True)])

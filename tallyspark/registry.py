@@ -507,7 +507,7 @@ def q_mirror_merge(spark, sf_dir):
     f = Fixtures(spark, sf_dir)
     root = scratch_path(spark, "deltas")
     # One folder per batch, one file per folder.
-    f.mirror_delta.repartition("delta_id").write.partitionBy("delta_id").parquet(root)
+    f.mirror_delta.hint("rebalance", "delta_id").write.partitionBy("delta_id").parquet(root)
     deltas = MI.read_batch_folders(spark, root, f.mirror_delta.schema)
     loaded = _log_frame(f)
     first = MI.mirror_apply(None, deltas.join(loaded.select(F.col("ID").alias("delta_id")), "delta_id", "left_semi"),
