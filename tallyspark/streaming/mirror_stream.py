@@ -1,13 +1,12 @@
 """Mirror maintained by Structured Streaming over the delta folders.
 
 The file source picks up new ``{path}/{batch}/{table}.csv`` files; each
-micro-batch is merged into the mirror inside ``foreachBatch`` and written as
-the next snapshot version.  The file source orders files by modification
-time, not by folder name, so the snapshot keeps each row's batch id and the
-merge takes, per key, the row of the greatest batch id among the snapshot and
-the micro-batch.  The result is then the same whatever order the folders
-arrive in, and re-running a micro-batch after a failure writes the same rows
-again (the merge is idempotent).
+micro-batch is appended, with its batch id, to the same store the batch job
+uses (one folder per batch), inside ``foreachBatch``.  The mirror is the row
+of the greatest batch id per key over the store.  The file source orders
+files by modification time, not by folder name; since the mirror is defined
+by batch id, the result is the same whatever order the folders arrive in, and
+re-running a micro-batch after a failure only appends identical rows.
 """
 
 from __future__ import annotations
@@ -16,19 +15,13 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark.operators.mirror import BATCH_COL
-from tallyspark.operators.upsert import latest_per_key, unique_on
+from tallyspark.operators.upsert import unique_on
 from tallyspark.plans import tables as TB
-
-
-def merge_keep_batch_id(snapshot: DataFrame | None, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge rows carrying ``delta_id`` into a snapshot that also carries it (order-independent)."""
-    batch = unique_on(batch, keys + [BATCH_COL], "batch")
-    if snapshot is not None:
-        batch = snapshot.select(*batch.columns).unionByName(batch)
-    return latest_per_key(batch, keys, BATCH_COL)
+from tallyspark.plans.jobs import read_mirror as read_store
 
 
 def start_mirror_stream(spark: SparkSession, deltas_path: str, table: str, keys: list[str], schema,
@@ -38,17 +31,20 @@ def start_mirror_stream(spark: SparkSession, deltas_path: str, table: str, keys:
               .csv(f"{deltas_path.rstrip('/')}/*/{table}.csv"))
     folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{re.escape(table)}\.csv(/[^/]+)?$", 1)
     source = source.withColumn(BATCH_COL, folder)
+    store = TB.table_path(mirror_root, table)
 
     def apply(batch_df: DataFrame, epoch_id: int) -> None:
-        current = TB.read_current(batch_df.sparkSession, mirror_root, table)
-        TB.write_next(batch_df.sparkSession, merge_keep_batch_id(current, batch_df, keys), mirror_root, table)
+        (unique_on(batch_df, keys + [BATCH_COL], "batch").hint("rebalance", BATCH_COL)
+         .write.mode("append").partitionBy(BATCH_COL).parquet(store))
 
     writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def read_mirror(spark: SparkSession, mirror_root: str, table: str) -> DataFrame | None:
-    """Current mirror rows without the batch id."""
-    cur = TB.read_current(spark, mirror_root, table)
-    return None if cur is None else cur.drop(BATCH_COL)
+def read_mirror(spark: SparkSession, mirror_root: str, table: str, keys: list[str], schema) -> DataFrame:
+    """Current mirror rows (``schema`` without the batch id)."""
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    full = T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.StringType(), True)])
+    return read_store(spark, mirror_root, table, keys, full)

@@ -29,7 +29,7 @@ def test_stream_matches_batch_merge_regardless_of_arrival_order(spark, tmp_dir):
         _write(deltas, root, i)
     q = MS.start_mirror_stream(spark, root, "events", KEYS, SCHEMA, f"{tmp_dir}/mirror", f"{tmp_dir}/ckpt")
     q.awaitTermination()
-    got = MS.read_mirror(spark, f"{tmp_dir}/mirror", "events")
+    got = MS.read_mirror(spark, f"{tmp_dir}/mirror", "events", KEYS, SCHEMA)
     want = MI.mirror_apply(None, deltas.filter(F.col("delta_id").isin(ids)), KEYS)
     assert got.count() == want.count()
     assert got.select(*want.columns).exceptAll(want).count() == 0
