@@ -48,20 +48,36 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
     return spark
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this client: use the session setting
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+    else:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
     # Unset: only happens in local tests / benchmarks.
-    local = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    key = id(spark)
+    if key not in _LOCAL_DIRS:
+        _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(_LOCAL_DIRS[key])
+    if sc is not None:
+        return sc.getCheckpointDir() or _LOCAL_DIRS[key]
+    return _LOCAL_DIRS[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
