@@ -111,7 +111,7 @@ def report_rows(accounts: DataFrame, currencies: DataFrame, ledger: DataFrame, b
     return rows.select(
         F.lit(ms).alias("from_date"), F.lit(me).alias("to_date"),
         "chapter", "ledger_account", F.col("char_type").alias("characteristic"),
-        "account_rk", "turn_date",
+        "account_rk", "turn_date", "cur_code",
         "balance_in_rub", "balance_in_val", "balance_in_total",
         *split(deb, "turn_deb"),
         *split(cre, "turn_cre"),

@@ -554,6 +554,15 @@ def q_csv_roundtrip(spark, sf_dir):
     return spark.read.schema("Discipline STRING, count BIGINT").csv(path, header=True, sep="\t")
 
 
+@query("athletes_csv_counts", O.with_views(["athletes"], _COUNTS_SQL))
+def q_athletes_csv_counts(spark, sf_dir):
+    """Categories written as a ';' CSV with a header, read back with an inferred schema, counted."""
+    path = scratch_path(spark, "athletes_csv")
+    Fixtures(spark, sf_dir).athletes.write.csv(path, header=True, sep=";")
+    athletes = spark.read.csv(path, header=True, inferSchema=True, sep=";")
+    return CA.category_counts(athletes)
+
+
 @query("parquet_roundtrip", O.with_views(["athletes", "disciplines"], _JOIN_SQL, {"counts": _COUNTS_SQL}))
 def q_parquet_roundtrip(spark, sf_dir):
     f = Fixtures(spark, sf_dir)

@@ -244,3 +244,46 @@ def test_posting_report_prints_none_for_missing_values(spark):
     assert lines == ["On date: 2024-03-15", "min credit >> None", "min debet >> None", "max_credit >> None",
                      "max_debet >> None"]
     assert ST.posting_stats(post, D(2024, 3, 16)).count() == 0
+
+
+def test_report_rub_plus_val_equals_total_when_code_known(spark):
+    from tallyspark.sources.fixtures import Fixtures
+    f = Fixtures(spark, "/root/testdata/sf0.01")
+    turn = TO.account_turnover(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d, D(1998, 9, 15))
+    rows = RP.report_rows(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
+                          f.md_exchange_rate_d, turn, D(1998, 9, 15)).filter(F.col("cur_code").isNotNull())
+    for side in ("turn_deb", "turn_cre"):
+        bad = rows.filter(F.col(f"{side}_rub") + F.col(f"{side}_val") != F.col(f"{side}_total"))
+        assert bad.count() == 0
+    assert rows.count() > 0
+
+
+def test_report_totals_match_the_published_figures(spark):
+    """Sum of balance_in_total over the sf0.01 report: one turnover day vs three."""
+    from tallyspark import registry as R
+    one_day = R.QUERIES["ledger_report"](spark, "/root/testdata/sf0.01").agg(F.sum("balance_in_total")).first()[0]
+    three = R.QUERIES["ledger_report_3d"](spark, "/root/testdata/sf0.01").agg(F.sum("balance_in_total")).first()[0]
+    assert one_day == dec("68540272.653")
+    assert three == dec("69033680.3668")
+
+
+def test_replace_day_twice_equals_once(spark, tmp_dir):
+    acc = accounts(spark, [(1, "30001840000000000001", "A", 7, D(2024, 3, 1)),
+                           (2, "30001840000000000002", "A", 7, D(2024, 3, 1))])
+    post = postings(spark, [(DAY, 1, 2, 3, 3)])
+    turn = TO.account_turnover(post, acc, rates(spark, []), DAY)
+    root = f"{tmp_dir}/t"
+    FS.replace_partition(turn, root, {"on_date": DAY})
+    once = sorted(tuple(r) for r in FS.read_partitioned(spark, root, S.DM_ACCOUNT_TURNOVER_F).collect())
+    FS.replace_partition(turn, root, {"on_date": DAY})
+    assert sorted(tuple(r) for r in FS.read_partitioned(spark, root, S.DM_ACCOUNT_TURNOVER_F).collect()) == once
+
+
+def test_explicit_schema_keeps_code_leading_zeros(spark, tmp_dir):
+    from tallyspark.sources import csv as CSV
+    rates_df = spark.createDataFrame([(D(2024, 1, 1), FAR, 5, dec("1.5"), "036")], S.MD_EXCHANGE_RATE_D)
+    path = CSV.write_detail_csv(rates_df, f"{tmp_dir}/rates.csv")
+    typed = CSV.read_detail_csv(spark, path, S.MD_EXCHANGE_RATE_D)
+    assert typed.first().code_iso_num == "036"
+    inferred = spark.read.csv(path, header=True, inferSchema=True, sep=";")
+    assert inferred.first().CODE_ISO_NUM == 36  # what type inference does to codes
