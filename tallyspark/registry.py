@@ -34,64 +34,55 @@ D16 = dt.date(1998, 9, 16)
 
 # ---------------------------------------------------------------- turnover
 
-_TURNOVER_SQL_BODY = """
-SELECT t.oper_date AS on_date, t.account_rk,
-       CAST(COALESCE(SUM(t.credit_amount), 0) AS DECIMAL(23,8)) AS credit_amount,
-       CAST(COALESCE(SUM(t.credit_amount_rub), 0) AS DECIMAL(23,8)) AS credit_amount_rub,
-       CAST(COALESCE(SUM(t.debet_amount), 0) AS DECIMAL(23,8)) AS debet_amount,
-       CAST(COALESCE(SUM(t.debet_amount_rub), 0) AS DECIMAL(23,8)) AS debet_amount_rub
-FROM wt_turn t GROUP BY t.oper_date, t.account_rk"""
-
-
-def turnover_cte(day_sql: str) -> str:
-    """Reference turnover CTE for the date expression ``day_sql`` (a literal)."""
-    return f"""
-SELECT p.oper_date, p.credit_account_rk AS account_rk, p.credit_amount,
-       p.credit_amount * COALESCE(er.reduced_cource, 1) AS credit_amount_rub,
-       CAST(NULL AS DECIMAL(34,8)) AS debet_amount, CAST(NULL AS DECIMAL(34,8)) AS debet_amount_rub
-FROM ft_posting_f p JOIN md_account_d a ON a.account_rk = p.credit_account_rk
-LEFT JOIN md_exchange_rate_d er ON er.currency_rk = a.currency_rk
-     AND {day_sql} BETWEEN er.data_actual_date AND er.data_actual_end_date
-WHERE p.oper_date = {day_sql} AND {day_sql} BETWEEN a.data_actual_date AND a.data_actual_end_date
-  AND a.data_actual_date BETWEEN CAST(date_trunc('month', {day_sql}) AS DATE) AND last_day({day_sql})
-UNION ALL
-SELECT p.oper_date, p.debet_account_rk, CAST(NULL AS DECIMAL(34,8)), CAST(NULL AS DECIMAL(34,8)),
-       p.debet_amount, p.debet_amount * COALESCE(er.reduced_cource, 1)
-FROM ft_posting_f p JOIN md_account_d a ON a.account_rk = p.debet_account_rk
-LEFT JOIN md_exchange_rate_d er ON er.currency_rk = a.currency_rk
-     AND {day_sql} BETWEEN er.data_actual_date AND er.data_actual_end_date
-WHERE p.oper_date = {day_sql} AND {day_sql} BETWEEN a.data_actual_date AND a.data_actual_end_date
-  AND a.data_actual_date BETWEEN CAST(date_trunc('month', {day_sql}) AS DATE) AND last_day({day_sql})"""
-
-
-TURNOVER_VIEWS = ["ft_posting_f", "md_account_d", "md_exchange_rate_d"]
+def repr_day(d: dt.date) -> str:
+    return f"DATE '{d.isoformat()}'"
 
 
-def turnover_sql(day: dt.date) -> str:
-    return O.with_views(TURNOVER_VIEWS, _TURNOVER_SQL_BODY,
-                        {"wt_turn": turnover_cte(f"DATE '{day.isoformat()}'")})
+def days_filter(days: list[dt.date] | None) -> str:
+    """Posting-date condition: the listed days, or every posting when None."""
+    if days is None:
+        return "TRUE"
+    return "oper_date IN (" + ", ".join(repr_day(d) for d in days) + ")"
 
 
-def turnover_days_cte(days: list[dt.date]) -> str:
-    parts = [f"SELECT * FROM ({turnover_cte(repr_day(d))}) x{i}" for i, d in enumerate(days)]
-    return "\nUNION ALL\n".join(parts)
+def turnover_select(days: list[dt.date] | None) -> str:
+    """Oracle turnover rows for the postings of ``days``: both legs of each posting, the
+    account version valid on (and opened in the month of) the posting date, and every rate
+    valid on that date (overlaps fan out)."""
+    cond = days_filter(days)
+    return f"""
+SELECT leg.oper_date AS on_date, leg.account_rk,
+       CAST(COALESCE(SUM(leg.cre), 0) AS DECIMAL(23,8)) AS credit_amount,
+       CAST(COALESCE(SUM(leg.cre * COALESCE(fx.reduced_cource, 1)), 0) AS DECIMAL(23,8)) AS credit_amount_rub,
+       CAST(COALESCE(SUM(leg.deb), 0) AS DECIMAL(23,8)) AS debet_amount,
+       CAST(COALESCE(SUM(leg.deb * COALESCE(fx.reduced_cource, 1)), 0) AS DECIMAL(23,8)) AS debet_amount_rub
+FROM (SELECT oper_date, credit_account_rk AS account_rk, credit_amount AS cre, CAST(NULL AS DECIMAL(15,2)) AS deb
+      FROM ft_posting_f WHERE {cond}
+      UNION ALL
+      SELECT oper_date, debet_account_rk, NULL, debet_amount FROM ft_posting_f WHERE {cond}) leg
+JOIN md_account_d acct
+  ON acct.account_rk = leg.account_rk
+ AND leg.oper_date BETWEEN acct.data_actual_date AND acct.data_actual_end_date
+ AND acct.data_actual_date BETWEEN CAST(date_trunc('month', leg.oper_date) AS DATE) AND last_day(leg.oper_date)
+LEFT JOIN md_exchange_rate_d fx
+  ON fx.currency_rk = acct.currency_rk AND leg.oper_date BETWEEN fx.data_actual_date AND fx.data_actual_end_date
+GROUP BY leg.oper_date, leg.account_rk"""
 
 
-def repr_day(d: dt.date) -> str:
-    return f"DATE '{d.isoformat()}'"
+TURNOVER_VIEWS = ["ft_posting_f", "md_account_d", "md_exchange_rate_d"]
 
 
-def turnover_range_sql(days: list[dt.date]) -> str:
-    return O.with_views(TURNOVER_VIEWS, _TURNOVER_SQL_BODY, {"wt_turn": turnover_days_cte(days)})
+def turnover_sql(days: list[dt.date] | None) -> str:
+    return O.with_views(TURNOVER_VIEWS, turnover_select(days))
 
 
-@query("account_turnover", turnover_sql(D15))
+@query("account_turnover", turnover_sql([D15]))
 def q_account_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = Fixtures(spark, sf_dir)
     return TO.account_turnover(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d, D15)
 
 
-@query("turnover_range", O.with_views(TURNOVER_VIEWS, _TURNOVER_SQL_BODY, {"wt_turn": turnover_cte("p.oper_date")}))
+@query("turnover_range", turnover_sql(None))
 def q_turnover_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turnovers of every posting date in one job (the whole fact table)."""
     f = Fixtures(spark, sf_dir)
@@ -106,42 +97,49 @@ REPORT_VIEWS = ["md_account_d", "md_currency_d", "md_ledger_account_s", "ft_bala
 
 
 def report_cte(day_sql: str) -> str:
-    """Reference per-account report rows for the date literal ``day_sql``."""
-    ms = f"CAST(date_trunc('month', {day_sql}) AS DATE)"
-    me = f"last_day({day_sql})"
-    rub = "cur.currency_code IN ('643', '810')"
-    val = "cur.currency_code NOT IN ('643', '810')"
-    deb = "COALESCE(tr.debet_amount_rub, 0)"
-    cre = "COALESCE(tr.credit_amount_rub, 0)"
+    """Oracle per-account report rows for the date literal ``day_sql``.
+
+    ``grp`` is 'rub' / 'val' by currency code and NULL when the code is NULL,
+    so a NULL code falls into neither the rub nor the val columns."""
+    m0 = f"CAST(date_trunc('month', {day_sql}) AS DATE)"
+    m1 = f"last_day({day_sql})"
     return f"""
-SELECT {ms} AS from_date, {me} AS to_date, s.chapter, substr(acc_d.account_number, 1, 5) AS ledger_account,
-       acc_d.char_type AS characteristic, acc_d.account_rk, tr.on_date AS turn_date,
-       CASE WHEN {rub} THEN b.balance_out ELSE 0 END AS balance_in_rub,
-       CASE WHEN {val} THEN b.balance_out * exch_r.reduced_cource ELSE 0 END AS balance_in_val,
-       CASE WHEN {rub} THEN b.balance_out ELSE b.balance_out * exch_r.reduced_cource END AS balance_in_total,
-       CASE WHEN {rub} THEN {deb} ELSE 0 END AS turn_deb_rub,
-       CASE WHEN {val} THEN {deb} ELSE 0 END AS turn_deb_val,
-       {deb} AS turn_deb_total,
-       CASE WHEN {rub} THEN {cre} ELSE 0 END AS turn_cre_rub,
-       CASE WHEN {val} THEN {cre} ELSE 0 END AS turn_cre_val,
-       {cre} AS turn_cre_total,
-       CASE WHEN {rub} AND acc_d.char_type = 'A' THEN b.balance_out - {cre} + {deb}
-            WHEN {rub} AND acc_d.char_type = 'P' THEN b.balance_out + {cre} - {deb}
-            ELSE 0 END AS balance_out_rub,
-       CASE WHEN {val} AND acc_d.char_type = 'A' THEN (b.balance_out * exch_r.reduced_cource) - {cre} + {deb}
-            WHEN {val} AND acc_d.char_type = 'P' THEN (b.balance_out * exch_r.reduced_cource) + {cre} - {deb}
-            ELSE 0 END AS balance_out_val,
-       b.balance_out, exch_r.reduced_cource
-FROM md_ledger_account_s s
-JOIN md_account_d acc_d ON substr(acc_d.account_number, 1, 5) = CAST(s.ledger_account AS VARCHAR)
-JOIN md_currency_d cur ON cur.currency_rk = acc_d.currency_rk
-LEFT JOIN ft_balance_f b ON b.account_rk = acc_d.account_rk AND b.on_date = {ms} - INTERVAL 1 DAY
-LEFT JOIN md_exchange_rate_d exch_r ON exch_r.currency_rk = acc_d.currency_rk
-     AND {day_sql} BETWEEN exch_r.data_actual_date AND exch_r.data_actual_end_date
-LEFT JOIN dm_account_turnover_f tr ON tr.account_rk = acc_d.account_rk AND tr.on_date BETWEEN {ms} AND {me}
-WHERE {day_sql} BETWEEN s.start_date AND s.end_date
-  AND {day_sql} BETWEEN acc_d.data_actual_date AND acc_d.data_actual_end_date
-  AND {day_sql} BETWEEN cur.data_actual_date AND cur.data_actual_end_date"""
+SELECT from_date, to_date, chapter, ledger_account, characteristic, account_rk, turn_date, cur_code,
+       CASE WHEN grp = 'rub' THEN opening ELSE 0 END AS balance_in_rub,
+       CASE WHEN grp = 'val' THEN opening * fx ELSE 0 END AS balance_in_val,
+       CASE WHEN grp = 'rub' THEN opening ELSE opening * fx END AS balance_in_total,
+       CASE WHEN grp = 'rub' THEN deb ELSE 0 END AS turn_deb_rub,
+       CASE WHEN grp = 'val' THEN deb ELSE 0 END AS turn_deb_val,
+       deb AS turn_deb_total,
+       CASE WHEN grp = 'rub' THEN cre ELSE 0 END AS turn_cre_rub,
+       CASE WHEN grp = 'val' THEN cre ELSE 0 END AS turn_cre_val,
+       cre AS turn_cre_total,
+       CASE WHEN grp = 'rub' AND characteristic = 'A' THEN opening - cre + deb
+            WHEN grp = 'rub' AND characteristic = 'P' THEN opening + cre - deb ELSE 0 END AS balance_out_rub,
+       CASE WHEN grp = 'val' AND characteristic = 'A' THEN opening * fx - cre + deb
+            WHEN grp = 'val' AND characteristic = 'P' THEN opening * fx + cre - deb ELSE 0 END AS balance_out_val,
+       opening AS balance_out, fx AS reduced_cource
+FROM (
+  SELECT {m0} AS from_date, {m1} AS to_date, led.chapter, substr(ac.account_number, 1, 5) AS ledger_account,
+         ac.char_type AS characteristic, ac.account_rk, mv.on_date AS turn_date, cy.currency_code AS cur_code,
+         CASE WHEN cy.currency_code IN ('643', '810') THEN 'rub'
+              WHEN cy.currency_code NOT IN ('643', '810') THEN 'val' END AS grp,
+         ob.balance_out AS opening, rt.reduced_cource AS fx,
+         COALESCE(mv.debet_amount_rub, 0) AS deb, COALESCE(mv.credit_amount_rub, 0) AS cre
+  FROM md_account_d ac
+  JOIN md_ledger_account_s led
+    ON CAST(led.ledger_account AS VARCHAR) = substr(ac.account_number, 1, 5)
+   AND {day_sql} BETWEEN led.start_date AND led.end_date
+  JOIN md_currency_d cy
+    ON cy.currency_rk = ac.currency_rk AND {day_sql} BETWEEN cy.data_actual_date AND cy.data_actual_end_date
+  LEFT JOIN ft_balance_f ob
+    ON ob.account_rk = ac.account_rk AND ob.on_date = {m0} - INTERVAL 1 DAY
+  LEFT JOIN md_exchange_rate_d rt
+    ON rt.currency_rk = ac.currency_rk AND {day_sql} BETWEEN rt.data_actual_date AND rt.data_actual_end_date
+  LEFT JOIN dm_account_turnover_f mv
+    ON mv.account_rk = ac.account_rk AND mv.on_date BETWEEN {m0} AND {m1}
+  WHERE {day_sql} BETWEEN ac.data_actual_date AND ac.data_actual_end_date
+) per_account"""
 
 
 def _report_select() -> str:
@@ -158,7 +156,7 @@ def _report_select() -> str:
 
 
 def turnover_mart_sql(days: list[dt.date]) -> str:
-    return _TURNOVER_SQL_BODY.replace("FROM wt_turn t", f"FROM ({turnover_days_cte(days)}) t")
+    return turnover_select(days)
 
 
 def report_sql(day: dt.date, turnover_days: list[dt.date], body: str) -> str:
@@ -375,8 +373,7 @@ def q_keyed_upsert(spark, sf_dir):
     return UP.keyed_upsert(f.upsert_target, f.upsert_incoming, ["id"])
 
 
-@query("replace_day", O.with_views(TURNOVER_VIEWS, _TURNOVER_SQL_BODY,
-                                   {"wt_turn": turnover_days_cte([D14, D15])}))
+@query("replace_day", turnover_sql([D14, D15]))
 def q_replace_day(spark, sf_dir):
     """Days 14 and 15 loaded, then day 15 recomputed and replaced: each day once."""
     f = Fixtures(spark, sf_dir)
@@ -413,7 +410,7 @@ def q_replace_month(spark, sf_dir):
 
 @query("load_counts", O.with_views(TURNOVER_VIEWS, """
 SELECT on_date, COUNT(*) AS row_count, '[END] inserted ' || CAST(COUNT(*) AS VARCHAR) || ' rows.' AS message
-FROM (""" + _TURNOVER_SQL_BODY + """) x GROUP BY on_date""", {"wt_turn": turnover_days_cte([D14, D15, D16])}))
+FROM (""" + turnover_select([D14, D15, D16]) + """) x GROUP BY on_date"""))
 def q_load_counts(spark, sf_dir):
     """Rows written per day, as the end-of-load log line."""
     f = Fixtures(spark, sf_dir)
