@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyspark.schemas import MART, RATE
+from tallyspark.schemas import MART
 
 # Widest amount that multiplies with a DECIMAL(18,6) rate without losing scale.
 SUM_AMOUNT = "decimal(19,2)"
@@ -23,16 +23,3 @@ def to_mart(c: Column) -> Column:
 
 def zero_mart() -> Column:
     return F.lit(0).cast(MART)
-
-
-def as_rate(c: Column) -> Column:
-    return c.cast(RATE)
-
-
-def null_of(type_name: str) -> Column:
-    return F.lit(None).cast(type_name)
-
-
-def blank_as_zero_decimal(c: Column, type_name: str = "decimal(23,8)") -> Column:
-    """Text measure for comparison: blank -> 0, unparsable -> NULL (rejected)."""
-    return F.when(F.trim(c) == "", F.lit(0).cast(type_name)).otherwise(c.try_cast(type_name))

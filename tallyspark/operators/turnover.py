@@ -24,7 +24,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.dates import as_date, days_between, month_bounds_py, valid_on
+from tallyspark.functions.dates import as_date, month_bounds_py, valid_on
 from tallyspark.functions.money import SUM_AMOUNT, to_mart
 from tallyspark.schemas import AMOUNT
 
@@ -156,7 +156,3 @@ def rate_interval_join(postings: DataFrame, accounts: DataFrame, rates: DataFram
         rt = rates_by_day(rates, span[0], span[1]).withColumnRenamed("day", "oper_date")
     return joined.join(rt, ["currency_rk", "oper_date"], "left").select(
         "oper_date", "account_rk", "currency_rk", "credit_amount", "debet_amount", "reduced_cource")
-
-
-def days(first_day, last_day) -> list[dt.date]:
-    return days_between(first_day, last_day)

@@ -41,12 +41,6 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> Da
     return spark.read.schema(schema).parquet(root).select(*schema.names)
 
 
-def write_snapshot(df: DataFrame, path: str) -> str:
-    """Write a new table version; never the folder the input was read from."""
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
 def to_text_columns(df: DataFrame) -> DataFrame:
     """Every column as text; decimals print in plain digits (``0.00000000``, not ``0E-8``)."""
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
