@@ -60,7 +60,8 @@ def mirror_apply(snapshot: DataFrame | None, batches: DataFrame, keys: list[str]
 
 def batch_log(pending: DataFrame, table: str, begin, end) -> DataFrame:
     """Load-log rows (BEGIN, END, ID, TABLE) for the applied batches."""
-    return pending.select(F.lit(begin).cast("timestamp").alias("BEGIN"), F.lit(end).cast("timestamp").alias("END"),
+    return pending.select(F.lit(begin).cast("timestamp_ntz").alias("BEGIN"),
+                          F.lit(end).cast("timestamp_ntz").alias("END"),
                           F.col(BATCH_COL).alias("ID"), F.lit(table).alias("TABLE"))
 
 

@@ -187,7 +187,7 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
     history = TB.read_current(spark, history_root, table)
     if history is None:
         history = spark.createDataFrame([], T.StructType(
-            S.DM_F101_ROUND_F.fields + [T.StructField("insert_date", T.TimestampType()),
+            S.DM_F101_ROUND_F.fields + [T.StructField("insert_date", T.TimestampNTZType()),
                                         T.StructField("actuality", T.BooleanType())]))
     when = insert_date or dt.datetime.now()
     bad = HI.bad_rows(typed, keys, measures, f"dm.{table}")
@@ -196,7 +196,7 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
     AU.audit_log(err_log.unionByName(bad_log)).write.mode("append").parquet(f"{log_root.rstrip('/')}/{LOG_TABLE}")
     nxt = HI.versioned_import(history, typed, keys, measures, when)
     obs = Observation("import")
-    nxt = nxt.observe(obs, F.count_if(F.col("insert_date") == F.lit(when).cast("timestamp")).alias("inserted"))
+    nxt = nxt.observe(obs, F.count_if(F.col("insert_date") == F.lit(when).cast("timestamp_ntz")).alias("inserted"))
     TB.write_next(spark, nxt, history_root, table)
     n = int(obs.get["inserted"])
     _append_log(spark, log_root, "finish", f"Finish loading table {table} - Inserted: {n}")

@@ -483,8 +483,8 @@ SELECT DISTINCT delta_id FROM mirror_delta WHERE delta_id NOT IN (SELECT ID FROM
 
 
 def _log_frame(f):
-    return f.loaded_batches.select(F.lit(None).cast("timestamp").alias("BEGIN"),
-                                   F.lit(None).cast("timestamp").alias("END"), "ID",
+    return f.loaded_batches.select(F.lit(None).cast("timestamp_ntz").alias("BEGIN"),
+                                   F.lit(None).cast("timestamp_ntz").alias("END"), "ID",
                                    F.col("tab").alias("TABLE"))
 
 

@@ -95,7 +95,7 @@ LEDGER_COLUMNS = [
 MD_LEDGER_ACCOUNT_S = _struct(LEDGER_COLUMNS)
 
 LOG_DATA = _struct([
-    ("date_and_time", T.TimestampType()), ("status", T.StringType()), ("description", T.StringType()),
+    ("date_and_time", T.TimestampNTZType()), ("status", T.StringType()), ("description", T.StringType()),
 ])
 
 DM_ACCOUNT_TURNOVER_F = _struct([
@@ -122,12 +122,12 @@ DM_F101_ROUND_F = _struct(
 )
 
 LG_MESSAGES = _struct([
-    ("record_id", T.LongType()), ("date_time", T.TimestampType()), ("pid", T.IntegerType()),
+    ("record_id", T.LongType()), ("date_time", T.TimestampNTZType()), ("pid", T.IntegerType()),
     ("message", T.StringType()), ("message_type", T.IntegerType()),
 ])
 
 LOAD_LOG = _struct([
-    ("BEGIN", T.TimestampType()), ("END", T.TimestampType()), ("ID", T.StringType()), ("TABLE", T.StringType()),
+    ("BEGIN", T.TimestampNTZType()), ("END", T.TimestampNTZType()), ("ID", T.StringType()), ("TABLE", T.StringType()),
 ])
 
 DISCIPLINES = "row_id BIGINT, discipline STRING, season STRING"
