@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.sequence import DEFAULT_BUCKET, neighbours_in_key
+from tallyspark.operators.sequence import BUCKET, DEFAULT_BUCKET, KEY, neighbours_in_key
 
 # Limits of the logged error text and its prefix.
 ERROR_TEXT_LIMIT = 250
@@ -98,10 +98,11 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
     u = u.withColumn("_s", state)
     # Previous row of the same key in seq order (NULL: the key has no version yet).
     scanned = neighbours_in_key(u, keys, "_seq", ["_s"], prev_col="_prev", next_col=None,
-                                bucket_width=bucket_width)
+                                bucket_width=bucket_width, keep_grouping=True)
     kept = scanned.filter(F.col("_old") | F.col("_prev").isNull() | ~F.col("_prev._s").eqNullSafe(F.col("_s")))
-    # Current version = no later kept row of the same key.
-    kept = neighbours_in_key(kept.select(*keys, *names, date_col, "_seq"), keys, "_seq", ["_seq"],
+    # Current version = no later kept row of the same key.  The second pass
+    # keeps the first pass's grouping columns, so it needs no new shuffle.
+    kept = neighbours_in_key(kept.select(*keys, *names, date_col, "_seq", KEY, BUCKET), keys, "_seq", ["_seq"],
                              prev_col=None, next_col="_nxt", bucket_width=bucket_width)
     current = kept.select(*keys, *names, date_col, F.col("_nxt").isNull().alias(flag_col))
     closed = history.filter(~F.coalesce(F.col(flag_col), F.lit(False))).select(

@@ -8,27 +8,30 @@ tasks.  ``lag``/``lead`` inside a bucket give the neighbours; the first and
 last row of each bucket take their neighbour from the adjacent non-empty
 bucket of the same key, found on a table with one row per (key, bucket).
 
+The key is carried as one struct column (``_kk``): a struct is never NULL
+itself, so plain equality on it is null-safe, and the window, the per-bucket
+edge table and the edge join all use the same (``_kk``, ``_b``) hash
+partitioning; only the small edge table moves.  Callers that run several
+passes keep ``_kk``/``_b`` between them (``keep_grouping=True``) so the later
+passes reuse the partitioning instead of shuffling again.
+
 Everything is a deterministic function of the data (no sampling, no
 partition ids), so re-running a lost task gives the same rows.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET = 1 << 20
-
-
-def _null_safe_on(keys: list[str], left: DataFrame, right: DataFrame):
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+KEY = "_kk"
+BUCKET = "_b"
 
 
 def neighbours_in_key(df: DataFrame, keys: list[str], seq_col: str, value_cols: list[str],
                       prev_col: str | None = "_prev", next_col: str | None = "_next",
-                      bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
+                      bucket_width: int = DEFAULT_BUCKET, keep_grouping: bool = False) -> DataFrame:
     """Add ``prev_col`` / ``next_col``: struct of ``value_cols`` of the previous / next row of the
     same key in ``seq_col`` order (NULL for the first / last row of the key).
 
@@ -37,27 +40,28 @@ def neighbours_in_key(df: DataFrame, keys: list[str], seq_col: str, value_cols:
     """
     value = F.struct(*[F.col(c) for c in value_cols])
     seq = F.col(seq_col)
-    bucketed = df.withColumn("_b", F.floor(seq / F.lit(bucket_width)).cast("bigint"))
-    w = Window.partitionBy(*keys, "_b").orderBy(seq)
-    local = bucketed
+    grouped = df
+    if KEY not in df.columns:
+        grouped = grouped.withColumn(KEY, F.struct(*[F.col(k) for k in keys]))
+    if BUCKET not in df.columns:
+        grouped = grouped.withColumn(BUCKET, F.floor(seq / F.lit(bucket_width)).cast("bigint"))
+    w = Window.partitionBy(KEY, BUCKET).orderBy(seq)
+    local = grouped
     if prev_col:
         local = local.withColumn("_lp", F.lag(value).over(w))
     if next_col:
         local = local.withColumn("_ln", F.lead(value).over(w))
-    # One row per (key, bucket), already partitioned like the window above.
-    edges = bucketed.groupBy(*keys, "_b").agg(F.min_by(value, seq).alias("_first"),
-                                              F.max_by(value, seq).alias("_last"))
-    ew = Window.partitionBy(*keys).orderBy("_b")
-    edge_cols = [F.col(k).alias(f"_e_{k}") for k in keys] + [F.col("_b").alias("_e_b")]
+    # One row per (key, bucket); built from the same partitioning as the window.
+    edges = grouped.groupBy(KEY, BUCKET).agg(F.min_by(value, seq).alias("_first"),
+                                             F.max_by(value, seq).alias("_last"))
+    ew = Window.partitionBy(KEY).orderBy(BUCKET)
+    edge_cols = [F.col(KEY), F.col(BUCKET)]
     if prev_col:
         edge_cols.append(F.lag("_last").over(ew).alias("_bp"))
     if next_col:
         edge_cols.append(F.lead("_first").over(ew).alias("_bn"))
-    edges = edges.select(*edge_cols)
-    cond = reduce(lambda a, b: a & b, [local[k].eqNullSafe(edges[f"_e_{k}"]) for k in keys]) & \
-        (local["_b"] == edges["_e_b"])
-    out = local.join(edges, cond, "inner")
-    drop = ["_b", "_e_b"] + [f"_e_{k}" for k in keys]
+    out = local.join(edges.select(*edge_cols), [KEY, BUCKET], "inner")
+    drop = [] if keep_grouping else [KEY, BUCKET]
     if prev_col:
         out = out.withColumn(prev_col, F.coalesce(F.col("_lp"), F.col("_bp")))
         drop += ["_lp", "_bp"]
