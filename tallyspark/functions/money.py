@@ -23,3 +23,13 @@ def to_mart(c: Column) -> Column:
 
 def zero_mart() -> Column:
     return F.lit(0).cast(MART)
+
+
+def decimal_text(c: Column, scale: int) -> Column:
+    """Plain decimal text with exactly ``scale`` fraction digits (``0.00000000``, never ``0E-8``).
+
+    A cast to string prints small values in scientific form when ANSI mode is
+    off; ``format_number`` at the column's own scale is exact (no rounding)
+    in every mode, and only its thousands separators need removing.
+    """
+    return F.regexp_replace(F.format_number(c, scale), ",", "")

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.functions.money import decimal_text
+
 
 def _partition_value(v) -> str:
     if isinstance(v, (dt.date, dt.datetime)):
@@ -43,7 +45,13 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> Da
 
 def to_text_columns(df: DataFrame) -> DataFrame:
     """Every column as text; decimals print in plain digits (``0.00000000``, not ``0E-8``)."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.DecimalType):
+            cols.append(decimal_text(F.col(f.name), f.dataType.scale).alias(f.name))
+        else:
+            cols.append(F.col(f.name).cast("string").alias(f.name))
+    return df.select(*cols)
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ";", single_file: bool = False) -> str:

@@ -19,6 +19,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.money import decimal_text
 from tallyspark.operators.clean import posting_preagg, rate_dedupe
 from tallyspark.sources.testdata import BaseTables
 
@@ -162,9 +163,9 @@ def version_incoming(t: BaseTables) -> DataFrame:
     first = t.customer.select(
         k.alias("id"), (k * 2).alias("seq"),
         F.when(k % 9 == 0, F.lit("")).when(k % 11 == 0, F.lit("bad"))
-        .when(k % 5 == 2, (bal + 1).cast("string")).otherwise(bal.cast("string")).alias("raw_amount"))
+        .when(k % 5 == 2, decimal_text(bal + 1, 8)).otherwise(decimal_text(bal, 8)).alias("raw_amount"))
     second = t.customer.filter(k % 7 == 0).select(
-        k.alias("id"), (k * 2 + 1).alias("seq"), (bal + 7).cast("string").alias("raw_amount"))
+        k.alias("id"), (k * 2 + 1).alias("seq"), decimal_text(bal + 7, 8).alias("raw_amount"))
     return first.unionByName(second)
 
 
