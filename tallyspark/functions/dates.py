@@ -80,3 +80,20 @@ def parse_date(text: str | Column) -> Column:
 def days_between(start, end) -> list[dt.date]:
     a, b = as_date(start), as_date(end)
     return [a + dt.timedelta(days=i) for i in range((b - a).days + 1)]
+
+
+def naive_timestamp(value) -> Column:
+    """A TIMESTAMP_NTZ literal for a Python date/datetime, independent of any time zone.
+
+    ``lit(datetime)`` would build a zone-aware timestamp (shifted by the
+    session zone when cast); going through the text keeps the wall-clock value.
+    """
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, dt.datetime):
+        text = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.functions.dates import naive_timestamp
+
 # Status words and the stored status they map to.
 AUDIT_STATUS = {"begin": "BEGIN_LOADING", "error": "ERROR", "finish": "FINISH_LOADING", "inform": "INFORM_MESS"}
 DEFAULT_BUCKET = 1 << 16
@@ -31,7 +33,7 @@ def _status_map(status: Column) -> Column:
 
 def audit_log(messages: DataFrame, at=None, status_col: str = "status", text_col: str = "description") -> DataFrame:
     """``log_data`` rows: (date_and_time, status, description); unknown status writes nothing."""
-    when = F.localtimestamp() if at is None else F.lit(at).cast("timestamp_ntz")
+    when = F.localtimestamp() if at is None else naive_timestamp(at)
     return (messages.select(when.alias("date_and_time"), _status_map(F.col(status_col)).alias("status"),
                             F.substring(F.col(text_col), 1, DESCRIPTION_LIMIT).alias("description"))
             .filter(F.col("status").isNotNull()))

@@ -28,7 +28,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyspark.functions.dates import naive_timestamp
 from tallyspark.operators.sequence import BUCKET, DEFAULT_BUCKET, KEY, neighbours_in_key
 
 # Limits of the logged error text and its prefix.
@@ -80,7 +82,7 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
     date_type = history.schema[date_col].dataType
     parsed = parse_incoming(incoming, measures, text_columns).filter(F.col("_bad").isNull())
     new_rows = parsed.select(*keys, *[F.col(f"_p_{m}").alias(m) for m in names],
-                             F.lit(insert_date).cast(date_type).alias(date_col),
+                             _date_literal(insert_date, date_type).alias(date_col),
                              F.col(seq_col).cast("bigint").alias("_seq"), F.lit(False).alias("_old"))
     open_rows = history.filter(F.col(flag_col)).select(
         *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], F.col(date_col),
@@ -110,5 +112,12 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
     return current.unionByName(untouched).unionByName(closed)
 
 
+def _date_literal(value, date_type) -> Column:
+    """The import's date/time as a literal of the history column's type (zone-free for NTZ)."""
+    if isinstance(date_type, T.TimestampNTZType):
+        return naive_timestamp(value)
+    return F.lit(value).cast(date_type)
+
+
 def current_versions(history: DataFrame, flag_col: str = "actuality") -> DataFrame:
     return history.filter(F.col(flag_col))

@@ -20,6 +20,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.functions.dates import naive_timestamp
 from tallyspark.operators.upsert import latest_per_key, unique_on
 from tallyspark.schemas import LOAD_LOG
 
@@ -60,8 +61,7 @@ def mirror_apply(snapshot: DataFrame | None, batches: DataFrame, keys: list[str]
 
 def batch_log(pending: DataFrame, table: str, begin, end) -> DataFrame:
     """Load-log rows (BEGIN, END, ID, TABLE) for the applied batches."""
-    return pending.select(F.lit(begin).cast("timestamp_ntz").alias("BEGIN"),
-                          F.lit(end).cast("timestamp_ntz").alias("END"),
+    return pending.select(naive_timestamp(begin).alias("BEGIN"), naive_timestamp(end).alias("END"),
                           F.col(BATCH_COL).alias("ID"), F.lit(table).alias("TABLE"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark import schemas as S
-from tallyspark.functions.dates import as_date, month_bounds_py
+from tallyspark.functions.dates import as_date, month_bounds_py, naive_timestamp
 from tallyspark.operators import audit as AU
 from tallyspark.operators import clean as CL
 from tallyspark.operators import history as HI
@@ -196,7 +196,7 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
     AU.audit_log(err_log.unionByName(bad_log)).write.mode("append").parquet(f"{log_root.rstrip('/')}/{LOG_TABLE}")
     nxt = HI.versioned_import(history, typed, keys, measures, when)
     obs = Observation("import")
-    nxt = nxt.observe(obs, F.count_if(F.col("insert_date") == F.lit(when).cast("timestamp_ntz")).alias("inserted"))
+    nxt = nxt.observe(obs, F.count_if(F.col("insert_date") == naive_timestamp(when)).alias("inserted"))
     TB.write_next(spark, nxt, history_root, table)
     n = int(obs.get["inserted"])
     _append_log(spark, log_root, "finish", f"Finish loading table {table} - Inserted: {n}")
