@@ -129,6 +129,46 @@ def fill_turnover(spark: SparkSession, detail: dict[str, DataFrame], mart_root:
     return n
 
 
+def _existing_days(spark: SparkSession, root: str, schema, column: str, a, b) -> set:
+    """Partition values of ``column`` already stored in [a, b] (bounded by the range length)."""
+    try:
+        stored = FS.read_partitioned(spark, root, schema)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return set()
+        raise
+    days = stored.filter(F.col(column).between(F.lit(a), F.lit(b))).select(column).distinct()
+    return {r[0] for r in days.collect()}
+
+
+def fill_turnover_range(spark: SparkSession, detail: dict[str, DataFrame], mart_root: str, first_day, last_day,
+                        log_root: str | None = None) -> dict:
+    """Replace every day of [first_day, last_day] in the turnover mart with one computation.
+
+    Days with rows are replaced by a dynamic partition overwrite in one write
+    job.  Stored days of the range that now come out empty are cleared
+    afterwards (as the one-day job clears an empty day); the days written come
+    from an ``Observation`` on the same job, so nothing is computed twice.
+    """
+    a, b = as_date(first_day), as_date(last_day)
+    root = f"{mart_root.rstrip('/')}/dm_account_turnover_f"
+    stored = _existing_days(spark, root, S.DM_ACCOUNT_TURNOVER_F, "on_date", a, b)
+    turn = TO.account_turnover_range(detail["ft_posting_f"], detail["md_account_d"], detail["md_exchange_rate_d"],
+                                     a, b)
+    obs = Observation(f"turnover_{a.isoformat()}_{b.isoformat()}")
+    observed = turn.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set("on_date").alias("days"))
+    (observed.hint("rebalance", "on_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("on_date").parquet(root))
+    written = set(obs.get["days"] or [])
+    cleared = sorted(stored - written)
+    for d in cleared:
+        FS.replace_partition(turn.filter(F.lit(False)), root, {"on_date": d})
+    n = int(obs.get["rows"])
+    if log_root:
+        writelog(spark, log_root, [f"[END] inserted {n} rows for {a.isoformat()} .. {b.isoformat()}."])
+    return {"rows": n, "days_with_rows": len(written), "days_cleared": len(cleared)}
+
+
 def fill_report(spark: SparkSession, detail: dict[str, DataFrame], mart_root: str, on_date,
                 log_root: str | None = None) -> int:
     """Replace the month of ``on_date`` in the report mart (reads the turnover mart)."""

@@ -127,3 +127,26 @@ def test_posting_report_file(spark, tmp_dir):
     assert ST.write_posting_report(post, tmp_dir, "2018-13-45") is None
     assert ST.write_posting_report(post, tmp_dir, "15.09.1998") is None
     assert ST.write_posting_report(post, tmp_dir, "1970-01-01") is None
+
+
+def test_turnover_range_fill_replaces_days_and_clears_empty_ones(spark, tmp_dir):
+    f = Fixtures(spark, SF)
+    detail = {"ft_posting_f": f.ft_posting_f, "md_account_d": f.md_account_d,
+              "md_exchange_rate_d": f.md_exchange_rate_d}
+    marts = f"{tmp_dir}/dm"
+    root = f"{marts}/dm_account_turnover_f"
+    # A stale day inside the range and a day outside it.
+    stale = TO.account_turnover(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d, DAY)
+    from tallyspark.sinks import files as FS
+    FS.replace_partition(stale, root, {"on_date": dt.date(1998, 7, 20)})
+    FS.replace_partition(stale, root, {"on_date": dt.date(1998, 10, 20)})
+    res = J.fill_turnover_range(spark, detail, marts, dt.date(1998, 7, 15), dt.date(1998, 9, 30))
+    got = FS.read_partitioned(spark, root, S.DM_ACCOUNT_TURNOVER_F)
+    want = TO.account_turnover_range(f.ft_posting_f, f.md_account_d, f.md_exchange_rate_d,
+                                     dt.date(1998, 7, 15), dt.date(1998, 9, 30))
+    inside = got.filter(F.col("on_date") <= dt.date(1998, 9, 30))
+    assert inside.count() == want.count() == res["rows"]
+    assert inside.exceptAll(want).count() == 0
+    assert got.filter(F.col("on_date") == dt.date(1998, 10, 20)).count() == stale.count()
+    assert res["days_cleared"] == 1  # the stale 1998-07-20 folder
+    assert got.filter(F.col("on_date") == dt.date(1998, 7, 20)).count() == 0
