@@ -106,3 +106,37 @@ def test_neighbours_in_key_match_a_per_key_scan(spark, rows):
         for i, s in enumerate(seqs):
             want.append((k or "", s, seqs[i - 1] if i else None, seqs[i + 1] if i + 1 < len(seqs) else None))
     assert got == sorted(want)
+
+
+def test_hot_key_spread_over_buckets_keeps_exact_neighbours(spark):
+    """One key holds a third of the rows; with 1,000-wide buckets it spans 20 window groups."""
+    from pyspark.sql import functions as F
+
+    from tallyspark.operators.sequence import neighbours_in_key
+    n = 60_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("k"),
+        F.col("id").alias("s"))
+    out = neighbours_in_key(df, ["k"], "s", ["s"], bucket_width=1000)
+    hot = out.filter("k = 0")
+    assert hot.count() == n // 3
+    bad = hot.filter(~((F.col("_prev").isNull() & (F.col("s") == 0)) | (F.col("_prev.s") == F.col("s") - 3)))
+    assert bad.count() == 0
+    bad_next = hot.filter(~((F.col("_next").isNull() & (F.col("s") == n - 3)) | (F.col("_next.s") == F.col("s") + 3)))
+    assert bad_next.count() == 0
+
+
+def test_versioned_import_with_a_hot_key(spark):
+    """Many versions of one key in one file, alternating values: every change is a new version."""
+    from pyspark.sql import functions as F
+    hist = spark.createDataFrame([(0, Decimal(0), D0, True)],
+                                 "id INT, amount DECIMAL(23,8), insert_date DATE, actuality BOOLEAN")
+    rows = 5_000
+    inc = spark.range(rows).select(F.lit(0).alias("id"), F.col("id").alias("seq"),
+                                   (F.floor(F.col("id") / 2) % 2).cast("string").alias("amount"))
+    out = HI.versioned_import(hist, inc, ["id"], {"amount": "decimal(23,8)"}, D1, bucket_width=64)
+    # Values 0,0,1,1,0,0,...: a change every second row, the first pair equals the open version.
+    assert out.count() == 1 + (rows // 2 - 1)
+    assert out.filter("actuality").count() == 1
+    last = (rows - 1) // 2 % 2
+    assert out.filter("actuality").first().amount == Decimal(last)
