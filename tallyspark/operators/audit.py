@@ -5,7 +5,7 @@
 each, message type 1) and numbers the rows consecutively in (message order,
 piece) order without a single-partition window over the rows: rows are
 numbered inside buckets of message ids and shifted by the row count of all
-earlier buckets (a table with one row per bucket).
+earlier buckets (a table with at most 65,536 rows, one per bucket).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from tallyspark.functions.dates import naive_timestamp
 
 # Status words and the stored status they map to.
 AUDIT_STATUS = {"begin": "BEGIN_LOADING", "error": "ERROR", "finish": "FINISH_LOADING", "inform": "INFORM_MESS"}
-DEFAULT_BUCKET = 1 << 16
+MAX_BUCKETS = 1 << 16
 # Stored description limit and message piece size.
 DESCRIPTION_LIMIT = 255
 PIECE_SIZE = 4000
@@ -49,20 +49,30 @@ def message_pieces(messages: DataFrame, text_col: str, size: int = PIECE_SIZE) -
 
 
 def consecutive_ids(df: DataFrame, order_cols: list[str], id_col: str = "record_id", start: int = 1,
-                    bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
+                    bucket_width: int | None = None, max_buckets: int = MAX_BUCKETS) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ``order_cols`` order, fully distributed.
 
     The first order column must be an integer; rows are numbered inside
-    buckets of ``bucket_width`` consecutive values of it and shifted by the
-    row count of all earlier buckets (a table with one row per bucket).  All
-    steps are deterministic, so a re-run task numbers the same rows the same
-    way.  ``order_cols`` must identify rows uniquely.
+    buckets of consecutive values of it and shifted by the row count of all
+    earlier buckets (a table with one row per bucket).  Without an explicit
+    ``bucket_width`` the width is chosen from the column's span (two control
+    values) so there are at most ``max_buckets`` buckets: the running total
+    over the bucket table stays small however sparse the ids are.  All steps
+    are deterministic, so a re-run task numbers the same rows the same way.
+    ``order_cols`` must identify rows uniquely.
     """
     lead = F.col(order_cols[0])
-    bucketed = df.withColumn("_b", F.floor(lead / F.lit(bucket_width)).cast("bigint"))
+    if bucket_width is None:
+        span = df.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi")).first()
+        lo = int(span["lo"] or 0)
+        hi = int(span["hi"] or 0)
+        bucket_width = max(1, -(-(hi - lo + 1) // max_buckets))
+    else:
+        lo = 0
+    bucketed = df.withColumn("_b", F.floor((lead - F.lit(lo)) / F.lit(bucket_width)).cast("bigint"))
     local = bucketed.withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy(*order_cols)))
     sizes = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per non-empty bucket: the running total runs over that small table.
+    # At most ``max_buckets`` rows: the running total runs over that small table.
     offsets = sizes.select("_b", F.coalesce(
         F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     ).alias("_off"))
@@ -72,7 +82,7 @@ def consecutive_ids(df: DataFrame, order_cols: list[str], id_col: str = "record_
 
 
 def split_messages(messages: DataFrame, text_col: str, order_cols: list[str], first_id: int = 1,
-                   message_type: int = NOTICE, size: int = PIECE_SIZE, bucket_width: int = DEFAULT_BUCKET
+                   message_type: int = NOTICE, size: int = PIECE_SIZE, bucket_width: int | None = None
                    ) -> DataFrame:
     """``lg_messages``-style rows: record_id, order columns, piece_no, message, message_type."""
     pieces = message_pieces(messages.select(*order_cols, text_col), text_col, size)

@@ -140,3 +140,11 @@ def test_versioned_import_with_a_hot_key(spark):
     assert out.filter("actuality").count() == 1
     last = (rows - 1) // 2 % 2
     assert out.filter("actuality").first().amount == Decimal(last)
+
+
+def test_consecutive_ids_with_sparse_ids_and_few_buckets(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(1000).select((F.col("id") * 1_000_000_000_007).alias("doc"), F.lit(0).alias("piece"))
+    out = AU.consecutive_ids(df, ["doc", "piece"], "rid", start=10, max_buckets=4)
+    got = [r.rid for r in out.orderBy("doc").collect()]
+    assert got == list(range(10, 1010))
