@@ -287,3 +287,14 @@ def test_explicit_schema_keeps_code_leading_zeros(spark, tmp_dir):
     assert typed.first().code_iso_num == "036"
     inferred = spark.read.csv(path, header=True, inferSchema=True, sep=";")
     assert inferred.first().CODE_ISO_NUM == 36  # what type inference does to codes
+
+
+def test_sql_table_function_matches_posting_stats(spark):
+    from tallyspark import sql_api
+    from tallyspark.sources.fixtures import Fixtures
+    post = Fixtures(spark, "/root/testdata/sf0.001").ft_posting_f
+    sql_api.register(spark, {"ft_posting_f": post})
+    got = [tuple(r) for r in spark.sql("SELECT * FROM posting_data(DATE '1998-09-15')").collect()]
+    want = [tuple(r) for r in ST.posting_stats(post, D(1998, 9, 15)).collect()]
+    assert got == want and len(got) == 1
+    assert spark.sql("SELECT * FROM posting_data(DATE '1970-01-01')").count() == 0
