@@ -12,8 +12,11 @@ Set-based form:
 2. keep the open version, or a row whose measures differ from the row just
    before it in (key, seq) order (a skipped row equals the state, so comparing
    with the previous row equals comparing with the state)
-3. ``actuality`` = no later kept row of the key; closed history rows are
-   carried over untouched (they never enter the shuffle).
+3. ``actuality`` = no later kept row of the key.
+
+Only open versions of keys present in the file enter step 1; closed history
+rows and open versions of other keys are carried over untouched and never
+enter the shuffle.
 
 "Previous / next row of the key" comes from ``neighbours_in_key``, which
 windows by (key, seq bucket) so a key with very many versions is spread over
@@ -33,7 +36,7 @@ from pyspark.sql import types as T
 from tallyspark.functions.dates import naive_timestamp
 from tallyspark.operators.sequence import BUCKET, DEFAULT_BUCKET, KEY, neighbours_in_key
 
-# Limits of the logged error text and its prefix.
+# Fixed value: length limit of the logged error text.
 ERROR_TEXT_LIMIT = 250
 
 
