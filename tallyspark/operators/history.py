@@ -75,20 +75,25 @@ def bad_rows(incoming: DataFrame, keys: list[str], measures: dict[str, str], tar
                     F.substring(error, 1, ERROR_TEXT_LIMIT).alias("error_text"))
 
 
-def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], measures: dict[str, str],
-                     insert_date, text_columns: dict[str, str] | None = None, seq_col: str = "seq",
-                     date_col: str = "insert_date", flag_col: str = "actuality",
-                     bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
-    """Next version of the history table after importing ``incoming`` (valid rows only)."""
+def _version_scan(history: DataFrame, incoming: DataFrame, keys: list[str], measures: dict[str, str],
+                  insert_date, text_columns: dict[str, str] | None, seq_col: str, date_col: str, flag_col: str,
+                  bucket_width: int, carry: list[str]):
+    """Shared scan: (touched open + kept new rows with ``_old``/``_seq``, untouched open rows, closed rows).
+
+    ``carry`` columns of the history ride along on the open versions (NULL
+    on new rows), e.g. a stored row identity.
+    """
     text_columns = text_columns or {m: m for m in measures}
     names = list(measures)
     date_type = history.schema[date_col].dataType
+    carried = [F.col(c) for c in carry]
+    no_carry = [F.lit(None).cast(history.schema[c].dataType).alias(c) for c in carry]
     parsed = parse_incoming(incoming, measures, text_columns).filter(F.col("_bad").isNull())
     new_rows = parsed.select(*keys, *[F.col(f"_p_{m}").alias(m) for m in names],
-                             _date_literal(insert_date, date_type).alias(date_col),
+                             _date_literal(insert_date, date_type).alias(date_col), *no_carry,
                              F.col(seq_col).cast("bigint").alias("_seq"), F.lit(False).alias("_old"))
     open_rows = history.filter(F.col(flag_col)).select(
-        *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], F.col(date_col),
+        *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], F.col(date_col), *carried,
         F.lit(-1).cast("bigint").alias("_seq"), F.lit(True).alias("_old"))
     # Only open versions of keys present in the file take part; the others
     # stay as they are (the incoming key set is usually far smaller than the
@@ -97,7 +102,7 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_fk_{k}")) for k in keys])
     touched = open_rows.join(file_keys, on, "left_semi")
     untouched = open_rows.join(file_keys, on, "left_anti").select(
-        *keys, *names, date_col, F.lit(True).alias(flag_col))
+        *keys, *names, date_col, *carry, F.lit(True).alias(flag_col))
     u = touched.unionByName(new_rows)
     state = F.struct(*[F.coalesce(F.col(m), F.lit(0).cast(measures[m])).alias(m) for m in names])
     u = u.withColumn("_s", state)
@@ -107,12 +112,50 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
     kept = scanned.filter(F.col("_old") | F.col("_prev").isNull() | ~F.col("_prev._s").eqNullSafe(F.col("_s")))
     # Current version = no later kept row of the same key.  The second pass
     # keeps the first pass's grouping columns, so it needs no new shuffle.
-    kept = neighbours_in_key(kept.select(*keys, *names, date_col, "_seq", KEY, BUCKET), keys, "_seq", ["_seq"],
-                             prev_col=None, next_col="_nxt", bucket_width=bucket_width)
-    current = kept.select(*keys, *names, date_col, F.col("_nxt").isNull().alias(flag_col))
+    kept = neighbours_in_key(kept.select(*keys, *names, date_col, *carry, "_seq", "_old", KEY, BUCKET), keys,
+                             "_seq", ["_seq"], prev_col=None, next_col="_nxt", bucket_width=bucket_width)
+    current = kept.select(*keys, *names, date_col, *carry, "_seq", "_old",
+                          F.col("_nxt").isNull().alias(flag_col))
     closed = history.filter(~F.coalesce(F.col(flag_col), F.lit(False))).select(
-        *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], date_col, flag_col)
-    return current.unionByName(untouched).unionByName(closed)
+        *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], date_col, *carried, flag_col)
+    return current, untouched, closed
+
+
+def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], measures: dict[str, str],
+                     insert_date, text_columns: dict[str, str] | None = None, seq_col: str = "seq",
+                     date_col: str = "insert_date", flag_col: str = "actuality",
+                     bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
+    """Next version of the history table after importing ``incoming`` (valid rows only)."""
+    current, untouched, closed = _version_scan(history, incoming, keys, measures, insert_date, text_columns,
+                                               seq_col, date_col, flag_col, bucket_width, [])
+    names = list(measures)
+    return (current.select(*keys, *names, date_col, flag_col)
+            .unionByName(untouched).unionByName(closed))
+
+
+def versioned_changes(history: DataFrame, incoming: DataFrame, keys: list[str], measures: dict[str, str],
+                      insert_date, row_cols: tuple[str, str], load_id: int,
+                      text_columns: dict[str, str] | None = None, seq_col: str = "seq",
+                      date_col: str = "insert_date", flag_col: str = "actuality",
+                      bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
+    """Only the rows an import changes, for an append-only history.
+
+    ``row_cols`` = (creating load, file position) identify a history row.
+    Returned: every new version (identity = ``load_id`` and its file position)
+    and, for each open version the import closes, the same identity with
+    ``actuality = false``.  The history's content is the latest record per
+    identity, so appending these equals rewriting the table with
+    ``versioned_import``.
+    """
+    rload, rseq = row_cols
+    current, _, _ = _version_scan(history, incoming, keys, measures, insert_date, text_columns, seq_col,
+                                  date_col, flag_col, bucket_width, [rload, rseq])
+    names = list(measures)
+    changed = current.filter(~F.col("_old") | ~F.col(flag_col))
+    return changed.select(
+        *keys, *names, date_col, flag_col,
+        F.when(F.col("_old"), F.col(rload)).otherwise(F.lit(load_id)).cast("bigint").alias(rload),
+        F.when(F.col("_old"), F.col(rseq)).otherwise(F.col("_seq")).cast("bigint").alias(rseq))
 
 
 def _date_literal(value, date_type) -> Column:

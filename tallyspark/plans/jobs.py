@@ -209,9 +209,33 @@ def export_report(spark: SparkSession, mart_root: str, path: str) -> str:
     return FS.export_csv(rep, path)
 
 
+HISTORY_ROW = ("_rload", "_rseq")
+
+
+def history_schema() -> T.StructType:
+    """Stored history rows: report columns, version columns, row identity."""
+    return T.StructType(S.DM_F101_ROUND_F.fields + [
+        T.StructField("insert_date", T.TimestampNTZType()), T.StructField("actuality", T.BooleanType()),
+        T.StructField(HISTORY_ROW[0], T.LongType()), T.StructField(HISTORY_ROW[1], T.LongType())])
+
+
+def read_history(spark: SparkSession, history_root: str, table: str = "dm_f101_round_f_v2",
+                 with_identity: bool = False) -> DataFrame | None:
+    """The versioned report table: the latest record of every history row."""
+    hist = TB.read_latest(spark, history_root, table, list(HISTORY_ROW), history_schema())
+    if hist is None or with_identity:
+        return hist
+    return hist.drop(*HISTORY_ROW)
+
+
 def import_report_versions(spark: SparkSession, csv_path: str, history_root: str, log_root: str,
                            insert_date=None, table: str = "dm_f101_round_f_v2") -> int:
-    """Import an exported report into the versioned history table; returns rows inserted."""
+    """Import an exported report into the versioned history table; returns rows inserted.
+
+    The history is append-only: an import appends its new versions and one
+    closing record for each version it closes (same row identity,
+    ``actuality = false``); readers take the latest record per row.
+    """
     _append_log(spark, log_root, "begin", f"Start loading table {table}")
     try:
         raw = CSV.read_text_rows(spark, csv_path)
@@ -224,20 +248,19 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
     typed = raw.select(F.col("from_date").try_cast("date").alias("from_date"),
                        F.col("to_date").try_cast("date").alias("to_date"),
                        "chapter", "ledger_account", "characteristic", *measures, "seq")
-    history = TB.read_current(spark, history_root, table)
+    history = read_history(spark, history_root, table, with_identity=True)
     if history is None:
-        history = spark.createDataFrame([], T.StructType(
-            S.DM_F101_ROUND_F.fields + [T.StructField("insert_date", T.TimestampNTZType()),
-                                        T.StructField("actuality", T.BooleanType())]))
+        history = spark.createDataFrame([], history_schema())
     when = insert_date or dt.datetime.now()
     bad = HI.bad_rows(typed, keys, measures, f"dm.{table}")
     bad_log = bad.select(F.lit("inform").alias("status"), F.col("log_message").alias("description"))
     err_log = bad.select(F.lit("error").alias("status"), F.col("error_text").alias("description"))
     AU.audit_log(err_log.unionByName(bad_log)).write.mode("append").parquet(f"{log_root.rstrip('/')}/{LOG_TABLE}")
-    nxt = HI.versioned_import(history, typed, keys, measures, when)
+    load_id = TB.new_load_id()
+    changes = HI.versioned_changes(history, typed, keys, measures, when, HISTORY_ROW, load_id)
     obs = Observation("import")
-    nxt = nxt.observe(obs, F.count_if(F.col("insert_date") == naive_timestamp(when)).alias("inserted"))
-    TB.write_next(spark, nxt, history_root, table)
+    changes = changes.observe(obs, F.count_if(F.col(HISTORY_ROW[0]) == F.lit(load_id)).alias("inserted"))
+    TB.append_load(changes, history_root, table, load_id)
     n = int(obs.get["inserted"])
     _append_log(spark, log_root, "finish", f"Finish loading table {table} - Inserted: {n}")
     return n

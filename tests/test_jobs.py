@@ -78,8 +78,11 @@ def test_load_then_calculate(spark, tmp_dir):
     assert first == n_rep
     again = J.import_report_versions(spark, path, f"{tmp_dir}/hist", logs, dt.datetime(2024, 1, 2))
     assert again == 0
-    hist = TB.read_current(spark, f"{tmp_dir}/hist", "dm_f101_round_f_v2")
+    hist = J.read_history(spark, f"{tmp_dir}/hist")
     assert hist.count() == n_rep and hist.filter("actuality").count() == n_rep
+    # The second import appended nothing.
+    stored = spark.read.parquet(f"{tmp_dir}/hist/dm_f101_round_f_v2")
+    assert stored.count() == n_rep
 
 
 def test_failed_table_is_logged_and_next_loads(spark, tmp_dir):
