@@ -1,11 +1,7 @@
-"""Table folders used by the file jobs.
+"""Table folders used by the file jobs: merge-on-read keyed tables.
 
-Versioned tables (``{root}/{table}/version=N``): a job that reads a table and
-writes its next state writes ``version=N+1`` and never overwrites what it
-reads.  The current version is found from the partition values.
-
-Merge-on-read keyed tables (below): loads append, readers take the latest
-load per key.
+Loads append their rows tagged with a load id and never overwrite what they
+read; readers take the latest load per key.
 """
 
 from __future__ import annotations
@@ -23,31 +19,6 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> int | None:
-    try:
-        df = spark.read.parquet(table_path(root, table))
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    row = df.agg(F.max("version").alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
-
-
-def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    v = current_version(spark, root, table)
-    if v is None:
-        return None
-    return spark.read.parquet(f"{table_path(root, table)}/version={v}")
-
-
-def write_next(spark: SparkSession, df: DataFrame, root: str, table: str) -> int:
-    v = current_version(spark, root, table)
-    nxt = 0 if v is None else v + 1
-    df.write.mode("errorifexists").parquet(f"{table_path(root, table)}/version={nxt}")
-    return nxt
-
-
 # ---------------------------------------------------------------- merge-on-read keyed tables
 #
 # A keyed table that receives upserts is stored as the union of all loads,

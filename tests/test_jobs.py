@@ -9,7 +9,6 @@ from tallyspark.operators import mirror as MI
 from tallyspark.operators import report as RP
 from tallyspark.operators import turnover as TO
 from tallyspark.plans import jobs as J
-from tallyspark.plans import tables as TB
 from tallyspark.sources import csv as CSV
 from tallyspark.sources.fixtures import Fixtures
 
