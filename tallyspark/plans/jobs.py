@@ -220,9 +220,9 @@ def history_schema() -> T.StructType:
 
 
 def read_history(spark: SparkSession, history_root: str, table: str = "dm_f101_round_f_v2",
-                 with_identity: bool = False) -> DataFrame | None:
+                 with_identity: bool = False, where=None) -> DataFrame | None:
     """The versioned report table: the latest record of every history row."""
-    hist = TB.read_latest(spark, history_root, table, list(HISTORY_ROW), history_schema())
+    hist = TB.read_latest(spark, history_root, table, list(HISTORY_ROW), history_schema(), where)
     if hist is None or with_identity:
         return hist
     return hist.drop(*HISTORY_ROW)
@@ -248,7 +248,14 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
     typed = raw.select(F.col("from_date").try_cast("date").alias("from_date"),
                        F.col("to_date").try_cast("date").alias("to_date"),
                        "chapter", "ledger_account", "characteristic", *measures, "seq")
-    history = read_history(spark, history_root, table, with_identity=True)
+    # Report months in the file (bounded by the file): keys include the month,
+    # so only those months' history can change, and the store is partitioned
+    # by it.
+    months = [r[0] for r in typed.select("from_date").distinct().collect()]
+    in_months = F.col("from_date").isin([m for m in months if m is not None])
+    if None in months:
+        in_months = in_months | F.col("from_date").isNull()
+    history = read_history(spark, history_root, table, with_identity=True, where=in_months)
     if history is None:
         history = spark.createDataFrame([], history_schema())
     when = insert_date or dt.datetime.now()
@@ -258,10 +265,10 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
     AU.audit_log(err_log.unionByName(bad_log)).write.mode("append").parquet(f"{log_root.rstrip('/')}/{LOG_TABLE}")
     load_id = TB.new_load_id()
     changes = HI.versioned_changes(history, typed, keys, measures, when, HISTORY_ROW, load_id)
-    obs = Observation("import")
-    changes = changes.observe(obs, F.count_if(F.col(HISTORY_ROW[0]) == F.lit(load_id)).alias("inserted"))
-    TB.append_load(changes, history_root, table, load_id)
-    n = int(obs.get["inserted"])
+    TB.append_load(changes, history_root, table, load_id, ["from_date"])
+    # Rows this load created (its own records, read back from the months it wrote).
+    stored = spark.read.schema(TB._with_load(history_schema())).parquet(TB.table_path(history_root, table))
+    n = stored.filter(in_months & (F.col(TB.LOAD_COL) == load_id) & (F.col(HISTORY_ROW[0]) == load_id)).count()
     _append_log(spark, log_root, "finish", f"Finish loading table {table} - Inserted: {n}")
     return n
 

@@ -49,8 +49,14 @@ def append_load(df: DataFrame, root: str, table: str, load_id: int | None = None
     return load_id
 
 
-def read_latest(spark: SparkSession, root: str, table: str, keys: list[str], schema=None) -> DataFrame | None:
-    """Current rows of a merge-on-read table (latest load per key; NULL-key rows all kept)."""
+def read_latest(spark: SparkSession, root: str, table: str, keys: list[str], schema=None, where=None
+                ) -> DataFrame | None:
+    """Current rows of a merge-on-read table (latest load per key; NULL-key rows all kept).
+
+    ``where`` filters the stored records before the per-key step; it must only
+    test columns that are equal in every record of a key (so it selects whole
+    keys), and on partition columns it prunes folders.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(_with_load(schema))
@@ -60,6 +66,8 @@ def read_latest(spark: SparkSession, root: str, table: str, keys: list[str], sch
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
+    if where is not None:
+        df = df.filter(where)
     cols = schema.names if schema is not None else [c for c in df.columns if c != LOAD_COL]
     return latest_per_key(df, keys, LOAD_COL).select(*cols)
 
