@@ -9,7 +9,10 @@ has none, which is the case in tests and local benchmarks.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -69,43 +72,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             return configured
-    # Unset: only happens in local tests / benchmarks.
+    # Unset: a machine-local folder is only right where every task runs in this process.
+    master = sc.master if sc is not None else "remote"
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     key = id(spark)
     if key not in _LOCAL_DIRS:
         _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(_LOCAL_DIRS[key])
-    if sc is not None:
-        return sc.getCheckpointDir() or _LOCAL_DIRS[key]
-    return _LOCAL_DIRS[key]
+        atexit.register(shutil.rmtree, _LOCAL_DIRS[key], ignore_errors=True)
+        sc.setCheckpointDir(_LOCAL_DIRS[key])
+    return sc.getCheckpointDir() or _LOCAL_DIRS[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tallyspark", f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024,
-                 max_partitions: int = 50_000) -> dict[str, str]:
-    """Settings sized for a cluster run over ``input_bytes`` of input.
-
-    Shuffled bytes are a fraction of the input after column pruning and
-    map-side pre-aggregation, so shuffle partitions start at one per four
-    ``partition_bytes`` of input (at least two per core, at most
-    ``max_partitions`` to keep shuffle bookkeeping bounded) and AQE coalesces
-    the small ones.  Scan splits use ``partition_bytes`` so a task holds a
-    bounded slice of a file.  Skew splitting stays on for hot keys that
-    survive the pre-aggregation.
-    """
-    parts = min(max(2 * total_cores, -(-input_bytes // (4 * partition_bytes))), max_partitions)
-    conf = dict(SCALE_CONF)
-    conf.update({
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    })
-    return conf
