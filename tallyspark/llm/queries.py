@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyspark.llm import mixing, quality_mcd
+from tallyspark.llm import bpe, mixing, quality_mcd
 from tallyspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_bpe")
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    out = bpe.decode(ids.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids"))
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op5_mixing", r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
