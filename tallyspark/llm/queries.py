@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, mixing, pstable_lsh, quality_mcd
+from tallyspark.llm import bpe, mixing, pstable_lsh, quality_mcd, setsketch
 from tallyspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op3_pstable_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable_lsh.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query("op4_setsketch")
+def op4_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.classes(table(spark, sf_dir, "documents"), n=2, percent=80).drop("node")
+
+
 @query("op5_mixing", r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
