@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, mixing, pstable_lsh, quality_mcd, setsketch
+from tallyspark.llm import bpe, langid, mixing, pstable_lsh, quality_mcd, setsketch
 from tallyspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,15 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken")
 
 
+@query("op6_langid")
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = langid.fold(F.col("doc_id"))
+    model = langid.train(docs, fold != 1)
+    out = langid.detect(docs.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "text"), model)
+    return out.drop("text")
+
+
 @query("op9_quality_mcd")
 def op9_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.assess(table(spark, sf_dir, "documents")).drop("distance2")
