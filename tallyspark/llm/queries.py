@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, langid, mixing, pstable_lsh, quality_mcd, setsketch
+from tallyspark.llm import bpe, langid, mixing, pstable_lsh, quality_mcd, secret_scan, setsketch
 from tallyspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,12 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "n_chars", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
 @query("op9_quality_mcd")
 def op9_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.assess(table(spark, sf_dir, "documents")).drop("distance2")
