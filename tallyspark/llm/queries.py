@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, langid, mixing, pstable_lsh, quality_mcd, secret_scan, setsketch
+from tallyspark.llm import bpe, langid, mixing, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup
 from tallyspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_mcd")
 def op9_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.assess(table(spark, sf_dir, "documents")).drop("distance2")
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+                      F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
