@@ -86,16 +86,11 @@ class Codec:
     LOOKAHEAD = 8
 
     def __init__(self, name: str, folder: str | None = None):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        file, ranks, self.special, self.bytes_of = vocabulary_of(name, folder)
-        self.tok = Tokenizer.from_file(file)
-        self.tok.no_padding()
-        self.tok.no_truncation()
+        self.file, ranks, self.special, self.bytes_of = vocabulary_of(name, folder)
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split
@@ -105,6 +100,17 @@ class Codec:
         self.letter = [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
         self.cache: dict[str, list[int]] = {}
 
+    @functools.cached_property
+    def tok(self):
+        """The tokenizers library's form, loaded when a text needs it."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(self.file)
+        tok.no_padding()
+        tok.no_truncation()
+        return tok
+
     def parts(self, text: str) -> list[str]:
         """The text cut at special tokens; those are every second part."""
         return self.split(text) if any(s in text for s in self.special) else [text]

@@ -71,7 +71,8 @@ def test_test_table(spark):
 
 
 def test_repeated_ids(spark):
-    base = "".join(random.Random(4).choice("abcdefgh") for _ in range(400))
+    rng = random.Random(4)
+    base = "".join(rng.choice("abcdefgh") for _ in range(400))
     rows = [(1, base), (1, base), (2, "q" + base), (None, base)]
     got = run(spark.createDataFrame(rows, "doc_id long, text string"))
     assert [(r[0], r[2]) for r in got] == [(1, 0), (1, 0), (2, 400), (None, 400)]
