@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, langid, mixing, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup
+from tallyspark.llm import bpe, langid, license_scan, mixing, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup
 from tallyspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,12 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
+@query("op7_license_scan", license_scan.oracle())
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "sentence_ids", F.array_join("licences", ",").alias("licences"))
+
+
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
