@@ -15,9 +15,13 @@ Documents with the same set are one node.  Links are found in two passes:
    bucket's centre, under ``ORDERS`` different orders, so the pairs grow with
    the nodes however large a bucket is.  Links that hold join nodes into
    components.
-2. The rest: buckets that still hold several components are compared inside,
-   but only nodes of different components whose set sizes allow the threshold;
-   a bucket is cut into parts of bounded size, and only likely links leave it.
+2. Families: in buckets that still hold several components, nodes of different
+   components whose set sizes allow the threshold are compared by their
+   sketches, and no more likely links leave a bucket than connect its
+   components.  Components connected so are a family.  The full sets of a
+   family are then compared inside it, the likeliest pairs first and only while
+   their components are apart, so again a few links leave it.  Large buckets and
+   families are cut into parts of bounded size that meet pairwise.
 
 With 32 bands of 4 registers a pair at similarity 0.8 meets in no band with
 probability below 5e-8.
@@ -54,7 +58,9 @@ REGISTERS = BANDS * BAND_ROWS
 BASE = 1.001              # spacing of the register values
 RATE = 20.0               # rate of the exponential variates
 ORDERS = 2
-PART_ROWS = 512           # nodes of a bucket compared in one task
+PART_ROWS = 512           # nodes of a bucket in one part; two parts are compared in one task
+FAMILY_ROWS = 1_024       # the same for the nodes of a family, with their texts
+GROUP_ROWS = 4_096        # rows of sorted groups handled at once
 MAX_BROADCAST_NODES = 500_000
 CACHE_WORDS = 300_000
 
@@ -174,11 +180,15 @@ def _probable(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a binary, b binary")
 
 
-def _true(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets reach the threshold."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node")
-    used = written(used, "nodes-to-check")
-    few = used.count() <= MAX_BROADCAST_NODES
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _texts(docs: DataFrame, used: DataFrame, n: int) -> DataFrame:
+    """node, text of the nodes in ``used`` (node, doc_id)."""
+    used = written(used, "nodes-to-read")
+    side = F.broadcast(used) if used.count() <= MAX_BROADCAST_NODES else used
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts that have the set of the node, which matters where a doc_id repeats."""
@@ -187,21 +197,21 @@ def _true(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent:
                     for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
+    same = F.col("d.doc_id").eqNullSafe(F.col("u.doc_id"))
+    texts = docs.select("doc_id", "text").alias("d").join(side.alias("u"), same).select("node", "text")
+    return texts.mapInArrow(own, "node binary, text string").dropDuplicates(["node"])
+
+
+def _true(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose full sets reach the threshold."""
+    used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id"), "node")
+    texts = written(_texts(docs, used, n), "texts-to-check")
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = shingles(x, n), shingles(y, n)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            keep = pa.array(keep, pa.bool_())
+            keep = pa.array([_linked(shingles(x, n), shingles(y, n), percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    side = F.broadcast(used) if few else used
-    same = F.col("d.doc_id").eqNullSafe(F.col("u.doc_id"))
-    texts = (docs.select("doc_id", "text").alias("d").join(side.alias("u"), same).select("node", "text")
-             .mapInArrow(own, "node binary, text string").dropDuplicates(["node"]))
-    texts = written(texts, "texts-to-check")
     left, right = (texts.select(F.col("node").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a binary, b binary")
 
@@ -219,46 +229,136 @@ def _star_pairs(bands: DataFrame, percent: int) -> DataFrame:
             .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
 
 
-def _rest_pairs(bands: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Likely links between nodes of different components that share a bucket."""
+def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups from batches that are sorted by ``key``, with the number of each row's group."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = pa.concat_tables([rest, table]) if rest is not None else table
+        if rest.num_rows > 1:
+            new = _changes(rest, key)
+            cut = int(np.flatnonzero(new)[-1]) if new.any() else 0
+            if cut and rest.num_rows >= GROUP_ROWS:
+                yield rest.slice(0, cut), np.cumsum(new[:cut])
+                rest = rest.slice(cut).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest, np.cumsum(_changes(rest, key))
+
+
+def _changes(table: pa.Table, key: list[str]) -> np.ndarray:
+    new = np.zeros(table.num_rows, bool)
+    for k in key:
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return new
+
+
+def _likely_pairs(group: np.ndarray, reg: np.ndarray, n: np.ndarray, allowed, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one group that are ``allowed``, may have the similarity, and their estimates."""
+    least, out = likely(percent), []
+    for d in range(1, int(np.bincount(group - group.min()).max())):
+        i = np.flatnonzero(group[d:] == group[:-d])
+        i = i[allowed(i, i + d) & (np.minimum(n[i], n[i + d]) * 100 >= np.maximum(n[i], n[i + d]) * percent)]
+        for at in range(0, len(i), 8192):
+            x = i[at:at + 8192]
+            g, l = _counts(reg[x], reg[x + d])
+            # Registers of sets this alike differ in so few places; the estimate is only made for those.
+            near = g + l <= (1 - least) * REGISTERS + 16
+            x, g, l = x[near], g[near], l[near]
+            j = estimate(g, l, n[x], n[x + d]) if len(x) else np.array([])
+            out.append((x[j >= least], x[j >= least] + d, j[j >= least]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.array([], int), np.array([], int), np.array([]))
+
+
+class _Sets:
+    """Disjoint sets of a few items."""
+
+    def __init__(self, k: int):
+        self.up = list(range(k))
+
+    def find(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        """False if both were in one set."""
+        i, j = self.find(i), self.find(j)
+        self.up[i] = j
+        return i != j
+
+
+def _paired_parts(rows: DataFrame, key: list[str], part_rows: int) -> DataFrame:
+    """``rows`` with part, p and q: groups of ``key`` cut into parts of bounded size, of which every two meet once, as (p, q)."""
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).select(*key, F.ceil(F.col("rows") / part_rows).cast("int").alias("parts"))
+    cut = rows.join(sizes, key).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return cut.withColumn("p", F.least("part", "with")).withColumn("q", F.greatest("part", "with")).drop("with", "parts")
+
+
+def _families(bands: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of different components with a likely link in a shared bucket, no more than connect them."""
     named = bands.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named.select("band", "value", "node", "n", "root"), "bands-with-roots")
-    open_ = named.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi")
-    # Sizes of linked sets are in the same class or in neighbouring ones.
+    bucket = ["band", "value"]
+    spread = [F.min("root").alias("lo"), F.max("root").alias("hi")]
+    open_ = named.groupBy(*bucket).agg(*spread).filter("lo <> hi").select(*bucket)
+    # Sizes of linked sets are in the same class or in neighbouring ones; a row stands in its own and, as a guest, in the next.
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
-    rows = (named.join(open_.select("band", "value", "size"), ["band", "value"]).withColumn("own", size_class)
-            .withColumn("class", F.explode(F.array("own", F.col("own") + 1))))
-    sizes = rows.groupBy("band", "value", "class").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                                       F.max(F.col("own") == F.col("class")).alias("home"))
-    sizes = sizes.filter("home AND lo <> hi").withColumn("parts", F.ceil(F.col("rows") / PART_ROWS).cast("int")).drop("lo", "hi", "home", "rows")
-    cells = rows.join(sizes, ["band", "value", "class"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # Every two parts of a cell meet once.
-    cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("band", "value", "class", F.least("part", "with").alias("p"), F.greatest("part", "with").alias("q"), "node", "n", "root", "part",
-                         (F.col("own") == F.col("class")).alias("home"))
-    cells = cells.join(nodes.select("node", "registers"), "node")
-    least = likely(percent)
+    rows = named.join(open_, bucket).withColumn("own", size_class).withColumn("class", F.explode(F.array("own", F.col("own") + 1)))
+    cell = [*bucket, "class"]
+    mixed = rows.groupBy(*cell).agg(*spread, F.max(F.col("own") == F.col("class")).alias("home")).filter("home AND lo <> hi").select(*cell)
+    cells = _paired_parts(rows.join(mixed, cell), cell, PART_ROWS).join(nodes.select("node", "registers"), "node")
+    key = [*cell, "p", "q"]
+
+    def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in _groups(batches, key):
+            reg = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            n, part, apart = (table.column(c).to_numpy() for c in ("n", "part", "apart"))
+            home = table.column("own").to_numpy() == table.column("class").to_numpy()
+            names, root = np.unique(np.array(table.column("root").to_pylist(), "S16"), return_inverse=True)
+            ok = lambda i, j: (root[i] != root[j]) & (home[i] | home[j]) & ((part[i] != part[j]) | ~apart[i])
+            i, j, _ = _likely_pairs(group, reg, n.astype(float), ok, percent)
+            raw = table.column("root").to_pylist()
+            sets = _Sets(len(names))
+            keep = [k for k, (x, y) in enumerate(zip(root[i].tolist(), root[j].tolist())) if sets.join(x, y)]
+            yield pa.RecordBatch.from_pydict({"a": pa.array([raw[i[k]] for k in keep], pa.binary()), "b": pa.array([raw[j[k]] for k in keep], pa.binary())})
+
+    cells = cells.select(*key, "node", "n", "root", "part", "own", "registers", (F.col("p") != F.col("q")).alias("apart"))
+    return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(connect, "a binary, b binary").distinct()
+
+
+def _rest_links(docs: DataFrame, bands: DataFrame, nodes: DataFrame, roots: DataFrame, n: int, percent: int) -> DataFrame:
+    """True links (a, b) that connect components which the stars left apart, no more than connect them."""
+    family = components(_families(bands, nodes, roots, percent)).select(F.col("node").alias("root"), F.col("root").alias("family"))
+    members = (nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+               .join(family, "root").select("family", "root", "node", "doc_id"))
+    members = _paired_parts(written(members, "family-members"), ["family"], FAMILY_ROWS)
+    texts = _texts(docs, members.select("node", "doc_id").distinct(), n)
+    key = ["family", "p", "q"]
 
-    def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        reg = np.frombuffer(b"".join(cell.registers), np.uint16).reshape(-1, REGISTERS)
-        n, node, part, home = cell.n.to_numpy(float), cell.node.to_numpy(), cell.part.to_numpy(), cell.home.to_numpy()
-        root = np.unique(cell.root.to_numpy(), return_inverse=True)[1]
-        p, q = cell.p.iloc[0], cell.q.iloc[0]
-        out_a, out_b = [], []
-        for i in range(len(cell)):
-            k = np.flatnonzero((root[i + 1:] != root[i]) & (home[i + 1:] | home[i]) & ((part[i + 1:] != part[i]) | (p == q))
-                               & (np.minimum(n[i + 1:], n[i]) * 100 >= np.maximum(n[i + 1:], n[i]) * percent)) + i + 1
-            if len(k):
-                g, l = _counts(reg[i], reg[k])
-                near = g + l <= (1 - least) * REGISTERS + 16
-                k, g, l = k[near], g[near], l[near]
-                if len(k):
-                    k = k[estimate(g, l, np.full(len(k), n[i]), n[k]) >= least]
-                    out_a += [min(node[i], node[x]) for x in k]
-                    out_b += [max(node[i], node[x]) for x in k]
-        return pd.DataFrame({"a": out_a, "b": out_b})
-
-    return cells.groupBy("band", "value", "class", "p", "q").applyInPandas(compare, "a binary, b binary").distinct()
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in _groups(batches, key):
+            sets_of = [shingles(t, n) for t in table.column("text").to_pylist()]
+            reg = np.stack([registers(h) for h in sets_of])
+            size = np.array([len(h) for h in sets_of], float)
+            part, apart, node = table.column("part").to_numpy(), table.column("apart").to_numpy(), table.column("node").to_pylist()
+            number = {r: k for k, r in enumerate(dict.fromkeys(table.column("root").to_pylist()))}
+            root = np.array([number[r] for r in table.column("root").to_pylist()])
+            ok = lambda i, j: (root[i] != root[j]) & ((part[i] != part[j]) | ~apart[i])
+            i, j, sure = _likely_pairs(group, reg, size, ok, percent)
+            joined, links = _Sets(len(number)), []
+            # The likeliest first: pairs of components that are joined by then need no comparison.
+            for k in np.argsort(-sure, kind="stable").tolist():
+                x, y = int(i[k]), int(j[k])
+                if joined.find(root[x]) != joined.find(root[y]) and _linked(sets_of[x], sets_of[y], percent):
+                    joined.join(root[x], root[y])
+                    links.append((node[x], node[y]))
+            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
+
+    rows = members.join(texts, "node").select(*key, "node", "root", "part", "text", (F.col("p") != F.col("q")).alias("apart"))
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(check, "a binary, b binary")
 
 
 def classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -269,8 +369,7 @@ def classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFram
     bands = written(_bands(nodes), "bands")
     links = written(_true(written(_probable(_star_pairs(bands, percent), nodes, percent), "star-pairs"), docs, nodes, n, percent), "star-links")
     roots = components(links)
-    rest = written(_rest_pairs(bands, nodes, roots, percent), "rest-pairs")
-    more = _true(rest, docs, nodes, n, percent)
+    more = written(_rest_links(docs, bands, nodes, roots, n, percent), "rest-links")
     roots = components(links.unionByName(more))
     groups = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))

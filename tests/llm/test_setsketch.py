@@ -80,6 +80,8 @@ def made_rows():
 @pytest.mark.parametrize("n,part", [(2, 512), (5, 8)])
 def test_classes_against_all_pairs(spark, n, part, monkeypatch):
     monkeypatch.setattr(S, "PART_ROWS", part)
+    monkeypatch.setattr(S, "FAMILY_ROWS", part)
+    monkeypatch.setattr(S, "GROUP_ROWS", part)
     rows = made_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("NODE", F.lit(1)).withColumn("registers", F.lit("x"))
     assert run(df, n=n) == brute(rows, n)
