@@ -113,14 +113,14 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     Rows with the same doc_id, source and size are interchangeable for the mix; their copies are dealt to
     them in the order of their texts."""
-    size, turn, n = own_name(docs, "mix_size"), own_name(docs, "mix_turn"), own_name(docs, "mix_copies")
-    same = ["doc_id", "source", "size"]
+    size, turn, n = own_name(docs, "mix_size"), own_name(docs, "mix_turn"), own_name(docs, "mix_copy")
+    t = {c: own_name(docs, f"mix_t_{c}") for c in ("doc_id", "source", "size", "turn", "copies")}
     counts = mix_counts(docs, **options)
-    counts = counts.withColumn("turn", F.row_number().over(W.partitionBy(*same).orderBy(F.desc("copies"))))
-    counts = counts.filter(F.col("copies") > 0).select(*[F.col(c).alias(f"t_{c}") for c in same], "turn", "copies")
+    counts = counts.withColumn("turn", F.row_number().over(W.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies"))))
+    counts = counts.filter(F.col("copies") > 0).select(*[F.col(c).alias(a) for c, a in t.items()])
     rows = docs.withColumn(size, doc_size(F.col("text")))
     rows = rows.withColumn(turn, F.row_number().over(W.partitionBy("doc_id", "source", size).orderBy("text")))
-    on = (F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & F.col("source").eqNullSafe(F.col("t_source"))
-          & (F.col(size) == F.col("t_size")) & (F.col(turn) == F.col("turn")))
-    taken = rows.join(counts, on).withColumn(n, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    on = (F.col("doc_id").eqNullSafe(F.col(t["doc_id"])) & F.col("source").eqNullSafe(F.col(t["source"]))
+          & (F.col(size) == F.col(t["size"])) & (F.col(turn) == F.col(t["turn"])))
+    taken = rows.join(counts, on).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(t["copies"]).cast("int"))))
     return taken.select(*docs.columns)
