@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, langid, license_scan, mixing, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup
+from tallyspark.llm import bpe, langid, license_scan, mixing, paragraph_dedup, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup
 from tallyspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op2_paragraph_dedup")
+def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op3_pstable_lsh")
 def op3_pstable_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable_lsh.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
