@@ -58,7 +58,7 @@ REGISTERS = BANDS * BAND_ROWS
 BASE = 1.001              # spacing of the register values
 RATE = 20.0               # rate of the exponential variates
 ORDERS = 2
-PART_ROWS = 512           # nodes of a bucket in one part; two parts are compared in one task
+PART_ROWS = 2_048         # nodes of a bucket in one part; two parts are compared in one task
 FAMILY_ROWS = 1_024       # the same for the nodes of a family, with their texts
 GROUP_ROWS = 4_096        # rows of sorted groups handled at once
 MAX_BROADCAST_NODES = 500_000
