@@ -36,5 +36,17 @@ def length_violations(df: DataFrame, table: str, limits: dict[str, int]) -> Data
         for c, n in present.items()])))
 
 
+def enforced(df: DataFrame, table: str, not_null: list[str], limits: dict[str, int]) -> DataFrame:
+    """``df`` itself, failing the job at a NULL in ``not_null`` or a text over its limit (a filter: never optimised away)."""
+    fault = F.lit(None).cast("string")
+    for c, n in limits.items():
+        if c in df.columns:
+            fault = F.when(F.length(c) > n, F.lit(f"{table}.{c} is longer than {n}")).otherwise(fault)
+    for c in not_null:
+        if c in df.columns:
+            fault = F.when(F.col(c).isNull(), F.lit(f"{table}.{c} is NULL")).otherwise(fault)
+    return df.filter(F.when(fault.isNotNull(), F.raise_error(fault).cast("boolean")).otherwise(F.lit(True)))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

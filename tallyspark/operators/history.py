@@ -40,15 +40,31 @@ from tallyspark.operators.sequence import BUCKET, DEFAULT_BUCKET, KEY, neighbour
 ERROR_TEXT_LIMIT = 250
 
 
+def month_filter(months: DataFrame):
+    """A function that keeps the rows whose ``from_date`` is one of ``months`` (one column; NULL equals NULL)."""
+    side = months.select(F.col("from_date").alias("_month"))
+
+    def keep(rows: DataFrame) -> DataFrame:
+        return rows.join(side, F.col("from_date").eqNullSafe(F.col("_month")), "left_semi")
+    return keep
+
+
 def parse_measure(text: Column, type_name: str) -> Column:
     """Blank (or missing) -> 0, otherwise the parsed number; NULL when unparsable."""
     return (F.when(text.isNull() | (F.trim(text) == ""), F.lit(0).cast(type_name))
             .otherwise(text.try_cast(type_name)))
 
 
+def key_text_column(key: str) -> str:
+    """Column that holds the text a parsed key came from, where the caller keeps it."""
+    return f"{key}_text"
+
+
 def parse_incoming(incoming: DataFrame, measures: dict[str, str], text_columns: dict[str, str] | None = None
                    ) -> DataFrame:
-    """Add parsed measure columns and a ``_bad`` column naming the first unparsable measure."""
+    """Add parsed measure columns and a ``_bad`` column naming the first unparsable measure or key.
+
+    A key is unparsable when it is NULL while its text column (``key_text_column``) is not."""
     text_columns = text_columns or {m: m for m in measures}
     out = incoming
     bad = F.lit(None).cast("string")
@@ -56,6 +72,9 @@ def parse_incoming(incoming: DataFrame, measures: dict[str, str], text_columns:
         src = F.col(text_columns[m])
         out = out.withColumn(f"_p_{m}", parse_measure(src, measures[m]))
         bad = F.when(F.col(f"_p_{m}").isNull(), F.lit(m)).otherwise(bad)
+    for k in reversed(incoming.columns):
+        if key_text_column(k) in incoming.columns:
+            bad = F.when(F.col(k).isNull() & F.col(key_text_column(k)).isNotNull(), F.lit(k)).otherwise(bad)
     return out.withColumn("_bad", bad)
 
 
@@ -64,11 +83,15 @@ def bad_rows(incoming: DataFrame, keys: list[str], measures: dict[str, str], tar
     """Rejected rows with the log message and the cut error text."""
     text_columns = text_columns or {m: m for m in measures}
     p = parse_incoming(incoming, measures, text_columns).filter(F.col("_bad").isNotNull())
-    key_text = F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
     bad_text = F.lit(None).cast("string")
     for m in reversed(list(measures)):
         bad_text = F.when(F.col("_bad") == m, F.col(text_columns[m])).otherwise(bad_text)
-    error = F.concat(F.lit(f"INSERT_ERROR: {target_name} - invalid number in "), F.col("_bad"), F.lit(": "),
+    texts = {k: key_text_column(k) for k in keys if key_text_column(k) in incoming.columns}
+    for k, text in texts.items():
+        bad_text = F.when(F.col("_bad") == k, F.col(text)).otherwise(bad_text)
+    key_text = F.concat_ws(":", *[F.coalesce(F.col(texts.get(k, k)).cast("string"), F.lit("")) for k in keys])
+    kind = F.when(F.col("_bad").isin(list(texts)), F.lit("date")).otherwise(F.lit("number"))
+    error = F.concat(F.lit(f"INSERT_ERROR: {target_name} - invalid "), kind, F.lit(" in "), F.col("_bad"), F.lit(": "),
                      F.coalesce(bad_text, F.lit("")))
     return p.select(*keys, seq_col,
                     F.concat(F.lit("BAD ROW: <"), key_text, F.lit(">")).alias("log_message"),

@@ -15,14 +15,16 @@ the job in both cases, ``'last'`` keeps the row with the greatest
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.functions.dates import naive_timestamp
 from tallyspark.operators.upsert import latest_per_key, unique_on
 from tallyspark.schemas import LOAD_LOG
+from tallyspark.sources.csv import by_name
 
 BATCH_COL = "delta_id"
 
@@ -67,14 +69,23 @@ def batch_log(pending: DataFrame, table: str, begin, end) -> DataFrame:
 
 # ---------------------------------------------------------------- file layout of the reference
 
-def read_batches(spark: SparkSession, path: str, table: str, schema=None, sep: str = ";") -> DataFrame:
-    """All ``{path}/{batch}/{table}.csv`` files with the batch folder name as ``delta_id``."""
-    reader = spark.read.option("header", True).option("sep", sep)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(f"{path.rstrip('/')}/*/{table}.csv")
-    # ``{batch}/{table}.csv`` is a file, or a folder of part files when Spark wrote it.
-    folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{re.escape(table)}\.csv(/[^/]+)?$", 1)
-    return df.withColumn(BATCH_COL, folder)
+def read_batches(spark: SparkSession, path: str, table: str, schema, ids: list[str], sep: str = ";") -> DataFrame | None:
+    """The rows of ``{path}/{id}/{table}.csv`` for the listed batch folders, with the folder name as ``delta_id``.
+
+    Columns are matched by header name; a value that its type cannot hold fails the job.  Only the listed
+    folders are opened.  Headers may differ between batches, so each batch is a plan of its own; a column that
+    a batch lacks is NULL there.  None if no folder is listed."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    frames = []
+    for i in ids:
+        text = spark.read.option("header", True).option("sep", sep).csv(f"{path.rstrip('/')}/{i}/{table}.csv")
+        frames.append(by_name(text, schema).withColumn(BATCH_COL, F.lit(i)))
+    if not frames:
+        return None
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    missing = [f for f in schema.fields if f.name not in every.columns]
+    every = every.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else every
+    return every.select(*[f.name for f in schema.fields], BATCH_COL)
 
 
 def read_batch_folders(spark: SparkSession, root: str, schema) -> DataFrame:

@@ -22,10 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-class DuplicateKeyError(ValueError):
-    pass
-
-
 def _any_null(keys: list[str]) -> Column:
     out = F.lit(False)
     for k in keys:
@@ -33,34 +29,32 @@ def _any_null(keys: list[str]) -> Column:
     return out
 
 
-def first_duplicate(df: DataFrame, keys: list[str]):
-    """One duplicated non-NULL key (as a Row) or None (an eager probe; at most one row returned)."""
-    rows = (df.filter(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > 1).select(*keys).take(1))
-    return rows[0] if rows else None
+def _by_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with a column that keeps every row with a NULL key in a group of its own, and the grouping columns.
+
+    One read and one shuffle serve both kinds of rows, and NULL keys spread over all tasks."""
+    apart = F.when(_any_null(keys), F.monotonically_increasing_id())
+    return df.withColumn("_apart", apart), [*keys, "_apart"]
 
 
-def assert_unique(df: DataFrame, keys: list[str], what: str = "incoming") -> None:
-    dup = first_duplicate(df, keys)
-    if dup is not None:
-        raise DuplicateKeyError(f"{what} rows are not unique on {keys}: {dup.asDict()}")
+def _unpacked(df: DataFrame, keys: list[str], others: list[str], columns: list[str]) -> DataFrame:
+    return df.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*columns)
 
 
 def unique_on(df: DataFrame, keys: list[str], what: str = "incoming") -> DataFrame:
     """``df`` itself, failing the job if a non-NULL key occurs twice (NULL-key rows pass through).
 
     One aggregate on the key: duplicates are found while the rows are being
-    shuffled to their key's partition anyway.
+    shuffled to their key's partition anyway.  The check is a filter, so it
+    also runs when only the keys or a count are asked for.
     """
     others = [c for c in df.columns if c not in keys]
-    null_key = _any_null(keys)
-    grouped = (df.filter(~null_key).groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_r")))
+    rows, by = _by_key(df, keys)
+    grouped = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(0).alias("_"), *others)).alias("_r"))
     msg = F.concat(F.lit(f"{what} rows are not unique on {keys}: "),
                    F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
-    checked = grouped.select(*keys, F.when(F.col("_n") > 1, F.raise_error(msg)).otherwise(F.col("_r")).alias("_r"))
-    out = checked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
-    return out.unionByName(df.filter(null_key))
+    checked = grouped.filter(F.when(F.col("_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
+    return _unpacked(checked, keys, others, df.columns)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
@@ -69,10 +63,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     Rows with a NULL key are returned unchanged (they never match anything).
     """
     others = [c for c in df.columns if c not in keys]
-    null_key = _any_null(keys)
-    best = df.filter(~null_key).groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(order_col)).alias("_r"))
-    best = best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
-    return best.unionByName(df.filter(null_key))
+    rows, by = _by_key(df, keys)
+    best = rows.groupBy(*by).agg(F.max_by(F.struct(F.lit(0).alias("_"), *others), F.col(order_col)).alias("_r"))
+    return _unpacked(best, keys, others, df.columns)
 
 
 def keyed_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], on_duplicate: str = "error",

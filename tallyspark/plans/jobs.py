@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tallyspark import schemas as S
 from tallyspark.functions.dates import as_date, month_bounds_py
 from tallyspark.operators import audit as AU
+from tallyspark.operators import checks as CK
 from tallyspark.operators import clean as CL
 from tallyspark.operators import history as HI
 from tallyspark.operators import mirror as MI
@@ -88,19 +89,20 @@ def load_detail(spark: SparkSession, csv_folder: str, detail_root: str, log_root
     """
     results = {}
     layout = PARTITION_BY if partition_by is None else partition_by
-    load_id = TB.new_load_id()
+    load_id = TB.new_load_id(spark, detail_root, [t for t, _ in CSV.DETAIL_FILES])
     for table, schema in CSV.DETAIL_FILES:
         _append_log(spark, log_root, "begin", f"Start loading table {table}")
         try:
             df = CSV.read_detail_csv(spark, f"{csv_folder.rstrip('/')}/{table}.csv", schema,
                                      date_format=date_format,
                                      ledger_pair_as_float=(table == "md_ledger_account_s"))
-            df = clean_detail(table, df).select(*schema.names)
-            # A duplicate key fails the write job, which is logged below.
-            TB.append_load(UP.unique_on(df, S.KEYS[table], table), detail_root, table, load_id,
-                           layout.get(table))
+            df = _with_old_values(spark, clean_detail(table, df), detail_root, table, schema)
+            # A duplicate key, a NULL or a text over its limit fails the write job, which is logged below.
+            df = CK.enforced(UP.unique_on(df, S.KEYS[table], table), table, S.KEYS[table] + S.NOT_NULL.get(table, []),
+                             S.MAX_LENGTH.get(table, {}))
+            TB.append_load(df, detail_root, table, load_id, layout.get(table))
         except Exception as e:  # the table is skipped, the load goes on
-            _append_log(spark, log_root, "error", f"ERROR: {table} {str(e).splitlines()[0]}"[:255])
+            _append_log(spark, log_root, "error", _error_line(spark, log_root, table, e))
             results[table] = "error"
             continue
         _append_log(spark, log_root, "finish", f"Finish loading table {table}")
@@ -108,6 +110,27 @@ def load_detail(spark: SparkSession, csv_folder: str, detail_root: str, log_root
     return results
 
 
+def _with_old_values(spark: SparkSession, df: DataFrame, detail_root: str, table: str, schema: T.StructType) -> DataFrame:
+    """``df`` with every column of the table; columns that the file lacks keep the stored value of the key."""
+    lacking = [c for c in schema.names if c not in df.columns]
+    keys = S.KEYS[table]
+    if not set(keys) <= set(df.columns):
+        raise ValueError(f"{table}: the file lacks key columns {sorted(set(keys) - set(df.columns))}")
+    if lacking:
+        stored = TB.read_latest(spark, detail_root, table, keys, schema)
+        if stored is None:
+            df = df.withColumns({c: F.lit(None).cast(schema[c].dataType) for c in lacking})
+        else:
+            df = df.join(stored.select(*keys, *lacking), keys, "left")
+    return df.select(*schema.names)
+
+
+def _error_line(spark: SparkSession, log_root: str, what: str, e: Exception) -> str:
+    """First line of an error for the load log; the whole text goes to the message log."""
+    writelog(spark, log_root, [f"ERROR: {what} {e}"])
+    return f"ERROR: {what} {str(e).splitlines()[0]}"[:255]
+
+
 def detail_tables(spark: SparkSession, detail_root: str) -> dict[str, DataFrame]:
     return {t: TB.read_latest(spark, detail_root, t, S.KEYS[t], schema) for t, schema in CSV.DETAIL_FILES}
 
@@ -177,7 +200,9 @@ def fill_report(spark: SparkSession, detail: dict[str, DataFrame], mart_root: st
     if log_root:
         writelog(spark, log_root, [f"[BEGIN] fill(i_OnDate => date '{d.isoformat()}');",
                                    f"delete on_date = {d.isoformat()}", "insert"])
-    turn = FS.read_partitioned(spark, f"{mart_root.rstrip('/')}/dm_account_turnover_f", S.DM_ACCOUNT_TURNOVER_F)
+    turn = TB.stored_rows(spark, mart_root, "dm_account_turnover_f", S.DM_ACCOUNT_TURNOVER_F)
+    if turn is None:  # no turnover stored yet: opening balances only
+        turn = spark.createDataFrame([], S.DM_ACCOUNT_TURNOVER_F)
     rep = RP.ledger_report(detail["md_account_d"], detail["md_currency_d"], detail["md_ledger_account_s"],
                            detail["ft_balance_f"], detail["md_exchange_rate_d"], turn, d)
     obs = Observation(f"report_{d.isoformat()}")
@@ -194,10 +219,12 @@ def calculate(spark: SparkSession, detail_root: str, mart_root: str, on_date, lo
     detail = detail_tables(spark, detail_root)
     out: dict[str, object] = {}
     for name, step in (("turnover", fill_turnover), ("report", fill_report)):
+        _append_log(spark, log_root, "begin", f"Start calculating {name}")
         try:
             out[name] = step(spark, detail, mart_root, on_date, log_root)
+            _append_log(spark, log_root, "finish", f"Finish calculating {name}")
         except Exception as e:
-            _append_log(spark, log_root, "error", f"ERROR: {name} {str(e).splitlines()[0]}"[:255])
+            _append_log(spark, log_root, "error", _error_line(spark, log_root, name, e))
             out[name] = "error"
     return out
 
@@ -241,21 +268,21 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
         raw = CSV.read_text_rows(spark, csv_path)
     except Exception as e:
         _append_log(spark, log_root, "error", f"ERROR: {table} - Cannot read file *.csv")
+        writelog(spark, log_root, [str(e)])
         _append_log(spark, log_root, "inform", str(e).splitlines()[0][:255])
         raise
     keys = S.REPORT_KEYS
     measures = {c: "decimal(23,8)" for c in S.REPORT_COLUMNS[5:]}
-    typed = raw.select(F.col("from_date").try_cast("date").alias("from_date"),
-                       F.col("to_date").try_cast("date").alias("to_date"),
-                       "chapter", "ledger_account", "characteristic", *measures, "seq")
-    # Report months in the file (bounded by the file): keys include the month,
-    # so only those months' history can change, and the store is partitioned
-    # by it.
-    months = [r[0] for r in typed.select("from_date").distinct().collect()]
-    in_months = F.col("from_date").isin([m for m in months if m is not None])
-    if None in months:
-        in_months = in_months | F.col("from_date").isNull()
-    history = read_history(spark, history_root, table, with_identity=True, where=in_months)
+    typed = raw.select(*[F.col(c).try_cast("date").alias(c) for c in keys[:2]],
+                       *[F.col(c).alias(HI.key_text_column(c)) for c in keys[:2]], *keys[2:], *measures, "seq")
+    # Keys include the report month, so only the history of the file's months can change, and the store is
+    # partitioned by it: a semi-join, pruned to those folders at run time.
+    months = typed.select("from_date").distinct()
+    in_months = HI.month_filter(months)
+    stored = TB.stored_rows(spark, history_root, table, TB._with_load(history_schema()))
+    history = None
+    if stored is not None:
+        history = UP.latest_per_key(in_months(stored), list(HISTORY_ROW), TB.LOAD_COL).drop(TB.LOAD_COL)
     if history is None:
         history = spark.createDataFrame([], history_schema())
     when = insert_date or dt.datetime.now()
@@ -263,12 +290,12 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
     bad_log = bad.select(F.lit("inform").alias("status"), F.col("log_message").alias("description"))
     err_log = bad.select(F.lit("error").alias("status"), F.col("error_text").alias("description"))
     AU.audit_log(err_log.unionByName(bad_log)).write.mode("append").parquet(f"{log_root.rstrip('/')}/{LOG_TABLE}")
-    load_id = TB.new_load_id()
+    load_id = TB.new_load_id(spark, history_root, [table])
     changes = HI.versioned_changes(history, typed, keys, measures, when, HISTORY_ROW, load_id)
     TB.append_load(changes, history_root, table, load_id, ["from_date"])
     # Rows this load created (its own records, read back from the months it wrote).
-    stored = spark.read.schema(TB._with_load(history_schema())).parquet(TB.table_path(history_root, table))
-    n = stored.filter(in_months & (F.col(TB.LOAD_COL) == load_id) & (F.col(HISTORY_ROW[0]) == load_id)).count()
+    stored = in_months(TB.stored_rows(spark, history_root, table, TB._with_load(history_schema())))
+    n = stored.filter((F.col(TB.LOAD_COL) == load_id) & (F.col(HISTORY_ROW[0]) == load_id)).count()
     _append_log(spark, log_root, "finish", f"Finish loading table {table} - Inserted: {n}")
     return n
 
@@ -276,26 +303,25 @@ def import_report_versions(spark: SparkSession, csv_path: str, history_root: str
 # ---------------------------------------------------------------- E-3: mirror from delta folders
 
 def run_mirror(spark: SparkSession, deltas_path: str, table: str, keys: list[str], mirror_root: str,
-               log_path: str, export_path: str, schema=None) -> list[str]:
+               log_path: str, export_path: str, schema) -> list[str]:
     """Apply every unloaded delta folder (string order) to the mirror, export it, append the load log.
 
-    The mirror store keeps every applied batch row with its batch id (one
-    folder per batch); the mirror itself is the row of the greatest batch id
-    per key.  Applying batches appends only their rows.
+    Batches are found by listing folders; only pending ones are opened, and an
+    empty one is logged like any other.  The mirror store keeps every applied
+    batch row with its batch id (one folder per batch), and a batch replaces
+    its own folder, so a run repeated after a failure adds no row; the mirror
+    itself is the row of the greatest batch id per key.
     """
     begin = dt.datetime.now()
-    batches = MI.read_batches(spark, deltas_path, table, schema)
-    log = MI.read_load_log(spark, log_path)
-    pending = MI.pending_batches(batches.select(MI.BATCH_COL), log, table)
+    folders = FS.folder_names(spark, deltas_path)
+    listed = spark.createDataFrame([(i,) for i in folders], f"{MI.BATCH_COL} STRING")
+    pending = MI.pending_batches(listed, MI.read_load_log(spark, log_path), table)
     # Folder names only: bounded by the number of delta folders.
     ids = [r[MI.BATCH_COL] for r in pending.collect()]
     if not ids:
         return []
-    todo = batches.filter(F.col(MI.BATCH_COL).isin(ids))
-    store = TB.table_path(mirror_root, table)
-    # A batch holding a key twice fails the write.
-    (UP.unique_on(todo, keys + [MI.BATCH_COL], "batch").hint("rebalance", MI.BATCH_COL).write.mode("append")
-     .partitionBy(MI.BATCH_COL).parquet(store))
+    todo = MI.read_batches(spark, deltas_path, table, schema, ids)
+    write_batches(todo, keys, mirror_root, table)
     mirror = read_mirror(spark, mirror_root, table, keys, todo.schema)
     mirror.write.mode("overwrite").csv(export_path, header=True, sep=";")
     end = dt.datetime.now()
@@ -306,6 +332,12 @@ def run_mirror(spark: SparkSession, deltas_path: str, table: str, keys: list[str
     return ids
 
 
+def write_batches(rows: DataFrame, keys: list[str], mirror_root: str, table: str) -> None:
+    """Store the rows of whole batches; a batch holding a key twice fails, a batch written again replaces itself."""
+    (UP.unique_on(rows, keys + [MI.BATCH_COL], "batch").hint("rebalance", MI.BATCH_COL).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(MI.BATCH_COL).parquet(TB.table_path(mirror_root, table)))
+
+
 def read_mirror(spark: SparkSession, mirror_root: str, table: str, keys: list[str], schema) -> DataFrame:
     """Current mirror rows: per key, the row of the greatest batch id."""
     store = spark.read.schema(schema).parquet(TB.table_path(mirror_root, table))

@@ -30,14 +30,28 @@ def table_path(root: str, table: str) -> str:
 LOAD_COL = "_load"
 
 
-def new_load_id() -> int:
-    """Load ids increase with time (microseconds since the epoch, UTC)."""
-    return int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
+def new_load_id(spark: SparkSession, root: str, tables: list[str]) -> int:
+    """A load id above every stored one: the clock (microseconds since the epoch, UTC) unless that has fallen back."""
+    now = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
+    for table in tables:
+        stored = stored_rows(spark, root, table, T.StructType([T.StructField(LOAD_COL, T.LongType())]))
+        if stored is not None:
+            now = max(now, (stored.agg(F.max(LOAD_COL)).first()[0] or 0) + 1)
+    return now
+
+
+def stored_rows(spark: SparkSession, root: str, table: str, schema=None) -> DataFrame | None:
+    """All stored records of a table, or None before its first load."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(table_path(root, table))
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
-def append_load(df: DataFrame, root: str, table: str, load_id: int | None = None,
-                partition_by: list[str] | None = None) -> int:
-    load_id = load_id if load_id is not None else new_load_id()
+def append_load(df: DataFrame, root: str, table: str, load_id: int, partition_by: list[str] | None = None) -> int:
     out = df.withColumn(LOAD_COL, F.lit(load_id).cast("bigint"))
     if partition_by:
         # Few files per folder; AQE still splits a folder holding a hot date.
@@ -57,15 +71,9 @@ def read_latest(spark: SparkSession, root: str, table: str, keys: list[str], sch
     test columns that are equal in every record of a key (so it selects whole
     keys), and on partition columns it prunes folders.
     """
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(_with_load(schema))
-    try:
-        df = reader.parquet(table_path(root, table))
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+    df = stored_rows(spark, root, table, _with_load(schema) if schema is not None else None)
+    if df is None:
+        return None
     if where is not None:
         df = df.filter(where)
     cols = schema.names if schema is not None else [c for c in df.columns if c != LOAD_COL]

@@ -1,15 +1,16 @@
 """File sinks: period replace, snapshots, CSV exports.
 
-Period replace writes straight into the partition directory
-(``root/on_date=YYYY-MM-DD``) with overwrite mode: a static-partition
-overwrite, so an empty result also clears the period and other periods are
-never touched.  (A dynamic partition overwrite of an empty result would keep
-the old rows.)  Re-running a period is idempotent.
+Period replace writes the new rows to a hidden folder of the same table and,
+once they are complete, puts it in the place of the partition directory
+(``root/on_date=YYYY-MM-DD``): a job that fails leaves the old rows, an empty
+result clears the period, and other periods are never touched.  Re-running a
+period is idempotent.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +32,52 @@ def partition_dir(root: str, spec: dict) -> str:
     return path
 
 
+def _moved(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its file system (any Hadoop one)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    if not a.getFileSystem(conf).rename(a, b):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _deleted(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _parents(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p.getParent())
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly in ``path`` (a listing, no file is opened)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
 def replace_partition(df: DataFrame, root: str, spec: dict) -> str:
     """Replace one period of a partitioned parquet table with ``df`` (may be empty)."""
-    path = partition_dir(root, spec)
-    df.drop(*spec.keys()).write.mode("overwrite").parquet(path)
+    spark, path, token = df.sparkSession, partition_dir(root, spec), uuid.uuid4().hex
+    new, old = f"{root.rstrip('/')}/_new-{token}", f"{root.rstrip('/')}/_old-{token}"
+    try:
+        df.drop(*spec.keys()).write.parquet(new)
+    except Exception:
+        _deleted(spark, new)
+        raise
+    _parents(spark, path)
+    if _exists(spark, path):
+        _moved(spark, path, old)
+    _moved(spark, new, path)
+    _deleted(spark, old)
+    # Readers of this session list the folder again.
+    spark.catalog.refreshByPath(root)
     return path
 
 

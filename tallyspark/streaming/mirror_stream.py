@@ -1,12 +1,12 @@
 """Mirror maintained by Structured Streaming over the delta folders.
 
 The file source picks up new ``{path}/{batch}/{table}.csv`` files; each
-micro-batch is appended, with its batch id, to the same store the batch job
+micro-batch is written, with its batch ids, to the same store the batch job
 uses (one folder per batch), inside ``foreachBatch``.  The mirror is the row
 of the greatest batch id per key over the store.  The file source orders
 files by modification time, not by folder name; since the mirror is defined
 by batch id, the result is the same whatever order the folders arrive in, and
-re-running a micro-batch after a failure only appends identical rows.
+re-running a micro-batch after a failure replaces the batches it holds.
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark.operators.mirror import BATCH_COL
-from tallyspark.operators.upsert import unique_on
-from tallyspark.plans import tables as TB
 from tallyspark.plans.jobs import read_mirror as read_store
+from tallyspark.plans.jobs import write_batches
 
 
 def start_mirror_stream(spark: SparkSession, deltas_path: str, table: str, keys: list[str], schema,
@@ -31,11 +30,9 @@ def start_mirror_stream(spark: SparkSession, deltas_path: str, table: str, keys:
               .csv(f"{deltas_path.rstrip('/')}/*/{table}.csv"))
     folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{re.escape(table)}\.csv(/[^/]+)?$", 1)
     source = source.withColumn(BATCH_COL, folder)
-    store = TB.table_path(mirror_root, table)
 
     def apply(batch_df: DataFrame, epoch_id: int) -> None:
-        (unique_on(batch_df, keys + [BATCH_COL], "batch").hint("rebalance", BATCH_COL)
-         .write.mode("append").partitionBy(BATCH_COL).parquet(store))
+        write_batches(batch_df, keys, mirror_root, table)
 
     writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -112,7 +112,7 @@ def test_mirror_job_applies_only_pending_folders(spark, tmp_dir):
     assert J.run_mirror(spark, *args, schema=schema) == [ids[3]]
     want = MI.mirror_apply(None, deltas.filter(F.col("delta_id").isin(ids)), keys)
     got = J.read_mirror(spark, f"{tmp_dir}/mirror", "events", keys,
-                        MI.read_batches(spark, f"{tmp_dir}/deltas", "events", schema).schema)
+                        MI.read_batches(spark, f"{tmp_dir}/deltas", "events", schema, ids).schema)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
     log = MI.read_load_log(spark, f"{tmp_dir}/log.csv")
     assert sorted(r.ID for r in log.collect()) == ids
