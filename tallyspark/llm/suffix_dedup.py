@@ -53,7 +53,9 @@ GRAM = 32
 CHUNK = 1 << 23           # windows of a text handled at once; places in a chunk fit 24 bits
 HOT = 256                 # different stretches of one anchor string in a batch that spread it
 PART_BYTES = 8 << 20      # text bytes for each group of stretches
-PART_STRINGS = 50_000     # edges merged in one task
+BATCH_BYTES = 12 << 20    # text bytes whose equal stretches are collapsed before the exchange
+PART_STRINGS = 20_000     # edges merged in one task
+COMPARED = 4_096          # edges, in whole groups, whose windows are compared at once
 SAMPLE = 20               # sampled edges for each splitter
 LAST = (1 << 63) - 1
 
@@ -122,9 +124,34 @@ _FOUND = "doc long, text_key long, at long, n long, offset int, edge boolean"
 
 def _gathered(docs: DataFrame, parts: int) -> DataFrame:
     """Stretches as packed records by part; those that repeat another of their batch as found rows (part < 0)."""
+    def packed(recs: list[np.ndarray]) -> pa.RecordBatch:
+        r = np.concatenate(recs)
+        r = r[np.lexsort((r["at"], r["text"], r["doc"], r["whole"], r["anchor"]))]
+        first = _firsts(_starts(r["anchor"], r["whole"]), (r["doc"], r["text"], r["at"]))
+        later, r = r[~first], r[first]
+        # Different stretches of one anchor string.
+        distinct = _starts(r["anchor"], r["whole"])
+        head = _starts(r["anchor"])
+        group = np.cumsum(head) - 1
+        hot = (np.bincount(group, weights=distinct, minlength=1) >= HOT)[group]
+        # Two stretches of a hot string stay with its anchor, as a sign to stretches of other batches.
+        nth = np.cumsum(distinct) - np.cumsum(distinct)[np.flatnonzero(head)][group]
+        sign = r[hot & (nth < 2)]
+        part = np.where(hot, r["whole"], r["anchor"]) % _u(parts)
+        r["n"][hot] |= 1 << 12
+        r, part = np.concatenate([r, sign]), np.concatenate([part, sign["anchor"] % _u(parts)]).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        r, part = r[order], part[order]
+        cut = np.flatnonzero(_starts(part))
+        blobs = [r[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(r)))]
+        gone = _joined(later["doc"], later["text"], later["at"], later["n"])
+        blobs.append(np.rec.fromarrays(gone, dtype=_SURE).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(np.append(part[cut], len(r) % parts), pa.int32()),
+                                           pa.array([False] * len(cut) + [True]), pa.array(blobs, pa.binary())], names=["part", "sure", "blob"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recs, size = [], 0
         for batch in batches:
-            recs = []
             for doc, key, text in zip(*[c.to_pylist() for c in batch.columns]):
                 raw = text.encode("utf-8", "surrogatepass")
                 at, n, offset, anchor = stretches(np.frombuffer(raw, np.uint8))
@@ -133,33 +160,12 @@ def _gathered(docs: DataFrame, parts: int) -> DataFrame:
                 r["whole"] = np.fromiter(whole, _u, len(at))
                 r["anchor"], r["doc"], r["text"], r["at"], r["n"], r["offset"] = anchor, doc, key, at, n, offset
                 recs.append(r)
-            if not recs:
-                continue
-            r = np.concatenate(recs)
-            r = r[np.lexsort((r["at"], r["text"], r["doc"], r["whole"], r["anchor"]))]
-            first = _firsts(_starts(r["anchor"], r["whole"]), (r["doc"], r["text"], r["at"]))
-            later, r = r[~first], r[first]
-            # Different stretches of one anchor string.
-            distinct = _starts(r["anchor"], r["whole"])
-            head = _starts(r["anchor"])
-            group = np.cumsum(head) - 1
-            n_distinct = np.bincount(group, weights=distinct, minlength=1).astype(int)
-            hot = n_distinct[group] >= HOT
-            # Two stretches of a hot string stay with its anchor, as a sign to stretches of other batches.
-            nth = np.cumsum(distinct) - np.cumsum(distinct)[np.flatnonzero(head)][group] if len(r) else np.array([], int)
-            sign = r[hot & (nth < 2)]
-            part = np.where(hot, r["whole"], r["anchor"]) % _u(parts)
-            r["n"][hot] |= 1 << 12
-            r, part = np.concatenate([r, sign]), np.concatenate([part, sign["anchor"] % _u(parts)]).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            r, part = r[order], part[order]
-            cut = np.flatnonzero(_starts(part)) if len(r) else np.array([], int)
-            ends = np.append(cut[1:], len(r)) if len(r) else cut
-            blobs = [r[a:b].tobytes() for a, b in zip(cut, ends)]
-            gone = _joined(later["doc"], later["text"], later["at"], later["n"])
-            blobs.append(np.rec.fromarrays(gone, dtype=_SURE).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(part[cut], int(batch.num_rows) % parts), pa.int32()),
-                                              pa.array([False] * len(cut) + [True]), pa.array(blobs, pa.binary())], names=["part", "sure", "blob"])
+                size += len(raw)
+                if size >= BATCH_BYTES:
+                    yield packed(recs)
+                    recs, size = [], 0
+        if recs:
+            yield packed(recs)
 
     return docs.mapInArrow(run, "part int, sure boolean, blob binary")
 
@@ -321,18 +327,7 @@ _WINDOW = "doc long, text_key long, at long, n long, h1 long, h2 long"
 
 def _merged(cut: set[bytes]):
     """Repeated windows among the edges of one part; windows of groups that were cut, with their hashes."""
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        strings, group, origin = [], [], []
-        g, open_group = -1, False
-        for key, shared, r, i in merge_runs([(x["shared"], x["rest"]) for x in rows]):
-            if g < 0 or shared < GRAM:
-                g += 1
-            offset = rows[r]["offset"][i]
-            split = len(key) - offset
-            strings.append(key[split:][::-1] + key[:split])
-            group.append(-1 if key[:GRAM] in cut else g)
-            origin.append((rows[r]["doc"][i], rows[r]["text_key"][i], rows[r]["at"][i], rows[r]["n"][i]))
+    def compared(strings: list[bytes], group: list[int], origin: list[tuple]) -> pa.Table:
         doc, text, at, n = (np.array(c, np.int64) for c in zip(*origin))
         data = np.frombuffer(b"".join(strings), np.uint8)
         size = np.array([len(s) for s in strings])
@@ -353,6 +348,23 @@ def _merged(cut: set[bytes]):
                          "at": np.concatenate([gone[2], at[loose]]), "n": np.concatenate([gone[3], np.ones(m, np.int64)]),
                          "h1": pa.array(np.concatenate([np.zeros(k, np.int64), h[loose]]), mask=np.arange(k + m) < k),
                          "h2": pa.array(np.concatenate([np.zeros(k, np.int64), h2]), mask=np.arange(k + m) < k)})
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        out, strings, group, origin = [], [], [], []
+        g = 0
+        for key, shared, r, i in merge_runs([(x["shared"], x["rest"]) for x in rows]):
+            if shared < GRAM:
+                g += 1
+                if len(strings) >= COMPARED:
+                    out.append(compared(strings, group, origin))
+                    strings, group, origin = [], [], []
+            offset = rows[r]["offset"][i]
+            split = len(key) - offset
+            strings.append(key[split:][::-1] + key[:split])
+            group.append(-1 if key[:GRAM] in cut else g)
+            origin.append((rows[r]["doc"][i], rows[r]["text_key"][i], rows[r]["at"][i], rows[r]["n"][i]))
+        return pa.concat_tables([*out, compared(strings, group, origin)])
     return run
 
 

@@ -61,6 +61,8 @@ def test_removal_against_all_windows(spark, hot, strings, part, monkeypatch):
     monkeypatch.setattr(D, "PART_STRINGS", strings)
     monkeypatch.setattr(D, "PART_BYTES", part)
     monkeypatch.setattr(D, "SAMPLE", 40)
+    monkeypatch.setattr(D, "BATCH_BYTES", part)
+    monkeypatch.setattr(D, "COMPARED", strings // 4)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("AT", F.lit(1)).withColumn("doc", F.lit("x")).repartition(5)
     assert run(df) == brute(rows)
 
