@@ -77,11 +77,6 @@ def parse_date(text: str | Column) -> Column:
     return F.try_to_date(c, "yyyy-MM-dd")
 
 
-def days_between(start, end) -> list[dt.date]:
-    a, b = as_date(start), as_date(end)
-    return [a + dt.timedelta(days=i) for i in range((b - a).days + 1)]
-
-
 def naive_timestamp(value) -> Column:
     """A TIMESTAMP_NTZ literal for a Python date/datetime, independent of any time zone.
 

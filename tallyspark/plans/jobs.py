@@ -79,9 +79,9 @@ PARTITION_BY = {"ft_posting_f": ["oper_date"], "ft_balance_f": ["on_date"]}
 
 
 def load_detail(spark: SparkSession, csv_folder: str, detail_root: str, log_root: str,
-                date_format: str = "yyyy-MM-dd", partition_by: dict[str, list[str]] | None = None
-                ) -> dict[str, str]:
-    """Load the six detail files as keyed upserts; a failing table is logged and the next one loads.
+                date_format: str = "yyyy-MM-dd", partition_by: dict[str, list[str]] | None = None,
+                tables: list[str] | None = None) -> dict[str, str]:
+    """Load the detail files (all six, or the listed ones) as keyed upserts; a failing table is logged and the next one loads.
 
     Each load appends only the file's rows (merge-on-read): the table's
     current content is the latest load per key, so a load costs the size of
@@ -89,8 +89,9 @@ def load_detail(spark: SparkSession, csv_folder: str, detail_root: str, log_root
     """
     results = {}
     layout = PARTITION_BY if partition_by is None else partition_by
-    load_id = TB.new_load_id(spark, detail_root, [t for t, _ in CSV.DETAIL_FILES])
-    for table, schema in CSV.DETAIL_FILES:
+    files = [(t, s) for t, s in CSV.DETAIL_FILES if tables is None or t in tables]
+    load_id = TB.new_load_id(spark, detail_root, [t for t, _ in files])
+    for table, schema in files:
         _append_log(spark, log_root, "begin", f"Start loading table {table}")
         try:
             df = CSV.read_detail_csv(spark, f"{csv_folder.rstrip('/')}/{table}.csv", schema,
@@ -131,8 +132,8 @@ def _error_line(spark: SparkSession, log_root: str, what: str, e: Exception) ->
     return f"ERROR: {what} {str(e).splitlines()[0]}"[:255]
 
 
-def detail_tables(spark: SparkSession, detail_root: str) -> dict[str, DataFrame]:
-    return {t: TB.read_latest(spark, detail_root, t, S.KEYS[t], schema) for t, schema in CSV.DETAIL_FILES}
+def detail_tables(spark: SparkSession, detail_root: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
+    return {t: TB.read_latest(spark, detail_root, t, S.KEYS[t], schema) for t, schema in CSV.DETAIL_FILES if tables is None or t in tables}
 
 
 def fill_turnover(spark: SparkSession, detail: dict[str, DataFrame], mart_root: str, on_date,

@@ -96,62 +96,59 @@ REPORT_VIEWS = ["md_account_d", "md_currency_d", "md_ledger_account_s", "ft_bala
                 "ft_posting_f"]
 
 
-def report_cte(day_sql: str) -> str:
-    """Oracle per-account report rows for the date literal ``day_sql``.
+def report_views(day_sql: str) -> dict[str, str]:
+    """Oracle views for the date literal ``day_sql``: ``account_line`` has one row for each account (and turnover
+    day, and rate), ``signed`` one row for each line and measure, with the amount in roubles.
 
-    ``grp`` is 'rub' / 'val' by currency code and NULL when the code is NULL,
-    so a NULL code falls into neither the rub nor the val columns."""
+    ``side`` is 'rub' or 'val' by currency code and 'none' when the code is NULL: such lines count in totals of
+    opening balances and turnovers only."""
     m0 = f"CAST(date_trunc('month', {day_sql}) AS DATE)"
     m1 = f"last_day({day_sql})"
-    return f"""
-SELECT from_date, to_date, chapter, ledger_account, characteristic, account_rk, turn_date, cur_code,
-       CASE WHEN grp = 'rub' THEN opening ELSE 0 END AS balance_in_rub,
-       CASE WHEN grp = 'val' THEN opening * fx ELSE 0 END AS balance_in_val,
-       CASE WHEN grp = 'rub' THEN opening ELSE opening * fx END AS balance_in_total,
-       CASE WHEN grp = 'rub' THEN deb ELSE 0 END AS turn_deb_rub,
-       CASE WHEN grp = 'val' THEN deb ELSE 0 END AS turn_deb_val,
-       deb AS turn_deb_total,
-       CASE WHEN grp = 'rub' THEN cre ELSE 0 END AS turn_cre_rub,
-       CASE WHEN grp = 'val' THEN cre ELSE 0 END AS turn_cre_val,
-       cre AS turn_cre_total,
-       CASE WHEN grp = 'rub' AND characteristic = 'A' THEN opening - cre + deb
-            WHEN grp = 'rub' AND characteristic = 'P' THEN opening + cre - deb ELSE 0 END AS balance_out_rub,
-       CASE WHEN grp = 'val' AND characteristic = 'A' THEN opening * fx - cre + deb
-            WHEN grp = 'val' AND characteristic = 'P' THEN opening * fx + cre - deb ELSE 0 END AS balance_out_val,
-       opening AS balance_out, fx AS reduced_cource
-FROM (
-  SELECT {m0} AS from_date, {m1} AS to_date, led.chapter, substr(ac.account_number, 1, 5) AS ledger_account,
-         ac.char_type AS characteristic, ac.account_rk, mv.on_date AS turn_date, cy.currency_code AS cur_code,
-         CASE WHEN cy.currency_code IN ('643', '810') THEN 'rub'
-              WHEN cy.currency_code NOT IN ('643', '810') THEN 'val' END AS grp,
-         ob.balance_out AS opening, rt.reduced_cource AS fx,
-         COALESCE(mv.debet_amount_rub, 0) AS deb, COALESCE(mv.credit_amount_rub, 0) AS cre
-  FROM md_account_d ac
-  JOIN md_ledger_account_s led
-    ON CAST(led.ledger_account AS VARCHAR) = substr(ac.account_number, 1, 5)
-   AND {day_sql} BETWEEN led.start_date AND led.end_date
-  JOIN md_currency_d cy
-    ON cy.currency_rk = ac.currency_rk AND {day_sql} BETWEEN cy.data_actual_date AND cy.data_actual_end_date
-  LEFT JOIN ft_balance_f ob
-    ON ob.account_rk = ac.account_rk AND ob.on_date = {m0} - INTERVAL 1 DAY
-  LEFT JOIN md_exchange_rate_d rt
-    ON rt.currency_rk = ac.currency_rk AND {day_sql} BETWEEN rt.data_actual_date AND rt.data_actual_end_date
-  LEFT JOIN dm_account_turnover_f mv
-    ON mv.account_rk = ac.account_rk AND mv.on_date BETWEEN {m0} AND {m1}
-  WHERE {day_sql} BETWEEN ac.data_actual_date AND ac.data_actual_end_date
-) per_account"""
+    return {
+        "chart": f"""
+SELECT chapter, CAST(ledger_account AS VARCHAR) AS ledger_account FROM md_ledger_account_s
+WHERE start_date <= {day_sql} AND end_date >= {day_sql}""",
+        "money": f"""
+SELECT currency_rk, CASE WHEN currency_code IS NULL THEN 'none' WHEN currency_code IN ('643', '810') THEN 'rub' ELSE 'val' END AS side
+FROM md_currency_d WHERE data_actual_date <= {day_sql} AND data_actual_end_date >= {day_sql}""",
+        "price": f"""
+SELECT currency_rk, reduced_cource FROM md_exchange_rate_d
+WHERE data_actual_date <= {day_sql} AND data_actual_end_date >= {day_sql}""",
+        "opening": f"SELECT account_rk, balance_out FROM ft_balance_f WHERE on_date = {m0} - INTERVAL 1 DAY",
+        "moved": f"""
+SELECT account_rk, on_date AS turn_date, debet_amount_rub, credit_amount_rub FROM dm_account_turnover_f
+WHERE on_date >= {m0} AND on_date <= {m1}""",
+        "account_line": f"""
+SELECT {m0} AS from_date, {m1} AS to_date, chapter, ledger_account, char_type AS characteristic, account_rk, turn_date, side,
+       balance_out, reduced_cource,
+       CASE side WHEN 'rub' THEN balance_out ELSE balance_out * reduced_cource END AS brought,
+       COALESCE(debet_amount_rub, 0) - COALESCE(credit_amount_rub, 0) AS net,
+       COALESCE(debet_amount_rub, 0) AS deb, COALESCE(credit_amount_rub, 0) AS cre
+FROM (SELECT *, substr(account_number, 1, 5) AS ledger_account FROM md_account_d
+      WHERE data_actual_date <= {day_sql} AND data_actual_end_date >= {day_sql}) acc
+JOIN chart USING (ledger_account) JOIN money USING (currency_rk)
+LEFT JOIN price USING (currency_rk) LEFT JOIN opening USING (account_rk) LEFT JOIN moved USING (account_rk)""",
+        "signed": """
+SELECT *, 'balance_in' AS measure, brought AS amount FROM account_line
+UNION ALL SELECT *, 'turn_deb', deb FROM account_line
+UNION ALL SELECT *, 'turn_cre', cre FROM account_line
+UNION ALL SELECT *, 'balance_out', CASE WHEN side = 'none' OR characteristic NOT IN ('A', 'P') THEN 0
+                                        WHEN characteristic = 'A' THEN brought + net ELSE brought - net END FROM account_line""",
+    }
+
+
+def side_of(side: str, amount: str = "amount") -> str:
+    """The amount where the line is of the side, else 0."""
+    return amount if side == "total" else f"CASE WHEN side = '{side}' THEN {amount} ELSE 0 END"
 
 
 def _report_select() -> str:
     cols = ["from_date", "to_date", "chapter", "ledger_account", "characteristic"]
-    for m in ["balance_in_rub", "balance_in_val", "balance_in_total", "turn_deb_rub", "turn_deb_val",
-              "turn_deb_total", "turn_cre_rub", "turn_cre_val", "turn_cre_total", "balance_out_rub",
-              "balance_out_val"]:
-        cols.append(f"CAST(SUM({m}) AS DECIMAL(23,8)) AS {m}")
-        cols.append(f"CAST(0 AS DECIMAL(23,8)) AS r_{m}")
-    cols.append("CAST(SUM(balance_out_rub + balance_out_val) AS DECIMAL(23,8)) AS balance_out_total")
-    cols.append("CAST(0 AS DECIMAL(23,8)) AS r_balance_out_total")
-    return ("SELECT " + ", ".join(cols) + " FROM wt_turnovers "
+    for m in ["balance_in", "turn_deb", "turn_cre", "balance_out"]:
+        for side in ["rub", "val", "total"]:
+            cols.append(f"CAST(SUM({side_of(side)}) FILTER (WHERE measure = '{m}') AS DECIMAL(23,8)) AS {m}_{side}")
+            cols.append(f"CAST(0 AS DECIMAL(23,8)) AS r_{m}_{side}")
+    return ("SELECT " + ", ".join(cols) + " FROM signed "
             "GROUP BY from_date, to_date, chapter, ledger_account, characteristic")
 
 
@@ -161,8 +158,7 @@ def turnover_mart_sql(days: list[dt.date]) -> str:
 
 def report_sql(day: dt.date, turnover_days: list[dt.date], body: str) -> str:
     return O.with_views(REPORT_VIEWS, body, {
-        "dm_account_turnover_f": turnover_mart_sql(turnover_days),
-        "wt_turnovers": report_cte(repr_day(day)),
+        "dm_account_turnover_f": turnover_mart_sql(turnover_days), **report_views(repr_day(day)),
     })
 
 
@@ -191,13 +187,12 @@ def q_ledger_report_3d(spark, sf_dir):
                             f.md_exchange_rate_d, turn, D15)
 
 
-@query("opening_balance", O.with_views(REPORT_VIEWS, """
+@query("opening_balance", O.with_views(REPORT_VIEWS, f"""
 SELECT account_rk, ledger_account, balance_out, reduced_cource,
-       CAST(balance_in_rub AS DECIMAL(23,8)) AS balance_in_rub, CAST(balance_in_val AS DECIMAL(23,8)) AS balance_in_val,
-       CAST(balance_in_total AS DECIMAL(23,8)) AS balance_in_total
-FROM wt_turnovers""", {
-    "dm_account_turnover_f": "SELECT * FROM (" + turnover_mart_sql([D15]) + ") x WHERE false",
-    "wt_turnovers": report_cte(repr_day(D15)),
+       CAST({side_of("rub", "brought")} AS DECIMAL(23,8)) AS balance_in_rub,
+       CAST({side_of("val", "brought")} AS DECIMAL(23,8)) AS balance_in_val, CAST(brought AS DECIMAL(23,8)) AS balance_in_total
+FROM account_line""", {
+    "dm_account_turnover_f": "SELECT * FROM (" + turnover_mart_sql([D15]) + ") x WHERE false", **report_views(repr_day(D15)),
 }))
 def q_opening_balance(spark, sf_dir):
     f = Fixtures(spark, sf_dir)
@@ -205,11 +200,10 @@ def q_opening_balance(spark, sf_dir):
                               f.md_exchange_rate_d, D15)
 
 
-@query("closing_balance", report_sql(D15, [D14, D15, D16], """
-SELECT account_rk, turn_date, characteristic,
-       CAST(balance_out_rub AS DECIMAL(23,8)) AS balance_out_rub, CAST(balance_out_val AS DECIMAL(23,8)) AS balance_out_val,
-       CAST(balance_out_rub + balance_out_val AS DECIMAL(23,8)) AS balance_out_total
-FROM wt_turnovers"""))
+@query("closing_balance", report_sql(D15, [D14, D15, D16], f"""
+SELECT account_rk, turn_date, characteristic, CAST({side_of("rub")} AS DECIMAL(23,8)) AS balance_out_rub,
+       CAST({side_of("val")} AS DECIMAL(23,8)) AS balance_out_val, CAST(amount AS DECIMAL(23,8)) AS balance_out_total
+FROM signed WHERE measure = 'balance_out'"""))
 def q_closing_balance(spark, sf_dir):
     f, turn = _report_inputs(spark, sf_dir, [D14, D15, D16])
     return RP.closing_balance(f.md_account_d, f.md_currency_d, f.md_ledger_account_s, f.ft_balance_f,
@@ -521,6 +515,48 @@ def q_batch_log(spark, sf_dir):
     return MI.batch_log(pending, "events", LOG_BEGIN, LOG_END)
 
 
+# ---------------------------------------------------------------- the file jobs themselves
+
+from tallyspark.plans import jobs as JB  # noqa: E402
+from tallyspark.sources import csv as CSVS  # noqa: E402
+
+
+@query("load_upsert_job", O.with_views(["ft_balance_f"], """
+SELECT on_date, account_rk, currency_rk,
+       CAST(CASE WHEN account_rk % 2 = 0 THEN balance_out + 1 ELSE balance_out END AS DECIMAL(15,2)) AS balance_out
+FROM ft_balance_f"""))
+def q_load_upsert_job(spark, sf_dir):
+    """Balances loaded by the load job, then every second one again with a changed amount, from a file with its
+    columns in another order and without the currency, which keeps its stored value."""
+    f, root = Fixtures(spark, sf_dir), scratch_path(spark, "load_job")
+    CSVS.write_detail_csv(f.ft_balance_f, f"{root}/in1/ft_balance_f.csv")
+    again = f.ft_balance_f.filter("account_rk % 2 = 0").select((F.col("balance_out") + 1).cast("decimal(15,2)").alias("balance_out"),
+                                                               "account_rk", "on_date")
+    CSVS.write_detail_csv(again, f"{root}/in2/ft_balance_f.csv")
+    for folder in ("in1", "in2"):
+        results = JB.load_detail(spark, f"{root}/{folder}", f"{root}/ds", f"{root}/logs", tables=["ft_balance_f"])
+        if results != {"ft_balance_f": "ok"}:
+            raise RuntimeError(f"load failed: {results}")
+    return JB.detail_tables(spark, f"{root}/ds", ["ft_balance_f"])["ft_balance_f"]
+
+
+@query("mirror_job", O.with_views(["mirror_delta"], """
+SELECT user_id, event_type, event_id, value
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY delta_id DESC) AS rn FROM mirror_delta) r
+WHERE rn = 1"""))
+def q_mirror_job(spark, sf_dir):
+    """CSV delta folders applied by the mirror job in two runs, the later folders with their columns in another order."""
+    deltas, root = Fixtures(spark, sf_dir).mirror_delta, scratch_path(spark, "mirror_job")
+    schema = deltas.drop("delta_id").schema
+    # Folder names: as many as there are batches.
+    ids = sorted(r[0] for r in deltas.select("delta_id").distinct().collect())
+    for half, columns in ((ids[:len(ids) // 2], schema.names), (ids[len(ids) // 2:], schema.names[::-1])):
+        for i in half:
+            deltas.filter(F.col("delta_id") == i).select(*columns).write.csv(f"{root}/deltas/{i}/events.csv", header=True, sep=";")
+        JB.run_mirror(spark, f"{root}/deltas", "events", MIRROR_KEYS, f"{root}/store", f"{root}/log", f"{root}/export", schema)
+    return JB.read_mirror(spark, f"{root}/store", "events", MIRROR_KEYS, deltas.schema).select("user_id", "event_type", "event_id", "value")
+
+
 # ---------------------------------------------------------------- categories and round trips
 
 from tallyspark.operators import categories as CA  # noqa: E402
@@ -543,10 +579,10 @@ def q_category_join(spark, sf_dir):
 
 @query("csv_roundtrip", O.with_views(["athletes"], _COUNTS_SQL))
 def q_csv_roundtrip(spark, sf_dir):
-    """Counts written as one tab-separated file with a header, read back with a schema."""
+    """Counts written as tab-separated files with a header, read back with a schema."""
     counts = CA.category_counts(Fixtures(spark, sf_dir).athletes)
     path = scratch_path(spark, "counts_tsv")
-    counts.repartition(1).write.csv(path, header=True, sep="\t")
+    counts.write.csv(path, header=True, sep="\t")
     return spark.read.schema("Discipline STRING, count BIGINT").csv(path, header=True, sep="\t")
 
 
@@ -618,9 +654,6 @@ def q_validate_dates(spark, sf_dir):
 
 # ---------------------------------------------------------------- detail file load
 
-from tallyspark.sources import csv as CSVS  # noqa: E402
-
-
 @query("load_detail", O.with_views(["ft_posting_f"], "SELECT * FROM ft_posting_f"))
 def q_load_detail(spark, sf_dir):
     """Postings written in the detail-file layout (';', header, row number first) and read back."""

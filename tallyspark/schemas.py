@@ -94,10 +94,6 @@ LEDGER_COLUMNS = [
 ]
 MD_LEDGER_ACCOUNT_S = _struct(LEDGER_COLUMNS)
 
-LOG_DATA = _struct([
-    ("date_and_time", T.TimestampNTZType()), ("status", T.StringType()), ("description", T.StringType()),
-])
-
 DM_ACCOUNT_TURNOVER_F = _struct([
     ("on_date", T.DateType()), ("account_rk", T.IntegerType()),
     ("credit_amount", MART), ("credit_amount_rub", MART),
@@ -121,11 +117,6 @@ DM_F101_ROUND_F = _struct(
     + [(c, MART) for c in REPORT_COLUMNS[5:]]
 )
 
-LG_MESSAGES = _struct([
-    ("record_id", T.LongType()), ("date_time", T.TimestampNTZType()), ("pid", T.IntegerType()),
-    ("message", T.StringType()), ("message_type", T.IntegerType()),
-])
-
 LOAD_LOG = _struct([
     ("BEGIN", T.TimestampNTZType()), ("END", T.TimestampNTZType()), ("ID", T.StringType()), ("TABLE", T.StringType()),
 ])
