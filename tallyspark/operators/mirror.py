@@ -53,12 +53,12 @@ def mirror_apply(snapshot: DataFrame | None, batches: DataFrame, keys: list[str]
         ranked = latest_per_key(batches, keys + [BATCH_COL], order_col)
     else:
         raise ValueError(f"on_duplicate must be 'error' or 'last', not {on_duplicate!r}")
-    latest = latest_per_key(ranked, keys, BATCH_COL).select(*cols)
-    if snapshot is None:
-        return latest
-    snap = snapshot.select(*[F.col(c).cast(latest.schema[c].dataType).alias(c) for c in cols])
-    kept = snap.join(latest.select(*keys), keys, "left_anti")
-    return kept.unionByName(latest)
+    if snapshot is not None:
+        # The snapshot comes before every batch: the empty id sorts first.
+        kinds = ranked.schema
+        snap = snapshot.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in cols], F.lit("").alias(BATCH_COL))
+        ranked = snap.unionByName(ranked)
+    return latest_per_key(ranked, keys, BATCH_COL).select(*cols)
 
 
 def batch_log(pending: DataFrame, table: str, begin, end) -> DataFrame:

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tallyspark import registry
 from tallyspark.sources.testdata import BASE_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -43,15 +44,15 @@ def duck():
 
 
 def test_every_query_has_oracle_or_is_listed():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only <= {"load_detail_rows"}, rows_only
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = registry.QUERIES[name](spark, SF)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(registry.ORACLE[name])
     ocols = [d[0] for d in res.description]
     want = _rows(ocols, res.fetchall())
     assert sorted(df.columns) == sorted(ocols)

@@ -1,8 +1,10 @@
 """Physical-plan properties that matter at scale."""
 
+import re
+
 import pytest
 
-import __spark_entry__ as E
+from tallyspark.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,24 +18,37 @@ def formatted(df) -> str:
         if hasattr(df._sc._jvm, "PythonSQLUtils") else plan_text(df)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_the_plan(spark, name):
-    text = plan_text(E.queries()[name](spark, SF))
+    text = plan_text(QUERIES[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in text, (name, node)
 
 
 def test_turnover_date_filter_reaches_the_scan(spark):
-    text = formatted(E.queries()["account_turnover"](spark, SF))
+    text = formatted(QUERIES["account_turnover"](spark, SF))
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate,1998-09-15" in text
 
 
 def test_mirror_merge_is_aggregate_based(spark):
-    text = plan_text(E.queries()["mirror_merge"](spark, SF))
+    text = plan_text(QUERIES["mirror_merge"](spark, SF))
     assert "Window" not in text
 
 
 def test_no_cartesian_or_nested_loop_joins(spark):
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         text = plan_text(q(spark, SF))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def scans_and_exchanges(df) -> tuple[int, int]:
+    df.write.format("noop").mode("overwrite").save()
+    text = plan_text(df)
+    return len(re.findall(r"(?:Batched)?FileScan |Scan parquet", text)), len(re.findall(r"\bExchange ", text))
+
+
+@pytest.mark.parametrize("name,scans", [("mirror_merge", 12), ("versioned_import", 23)])
+def test_inputs_are_read_few_times(spark, name, scans):
+    """Planned scans, the derivation of the test inputs included."""
+    found, _ = scans_and_exchanges(QUERIES[name](spark, SF))
+    assert found <= scans, found
