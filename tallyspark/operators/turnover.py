@@ -80,26 +80,26 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
                     "debet_amount", "debet_amount_rub"))
 
 
-def rates_by_day(rates: DataFrame, first_day, last_day) -> DataFrame:
-    """Each rate row expanded to the days of [first_day, last_day] it covers.
+def rates_by_month(rates: DataFrame) -> DataFrame:
+    """Each rate row once for each month that its interval touches.
 
     Turns the interval condition ``day BETWEEN start AND end`` into an equality
-    on (currency_rk, day).  Output size is bounded by rate rows x days in the
-    requested range, independent of the fact table.
+    on (currency_rk, month), with the interval as a rest condition.  The size
+    is bounded by rate rows x months of their intervals, whatever the postings
+    are, and no posting has to be read first.
     """
-    a, b = F.lit(as_date(first_day)), F.lit(as_date(last_day))
-    lo = F.greatest(F.col("data_actual_date"), a)
-    hi = F.least(F.col("data_actual_end_date"), b)
-    return (rates.filter((F.col("data_actual_date") <= b) & (F.col("data_actual_end_date") >= a))
-            .select("currency_rk", "reduced_cource", F.explode(F.sequence(lo, hi)).alias("day")))
+    months = F.sequence(F.trunc("data_actual_date", "MM"), F.trunc("data_actual_end_date", "MM"), F.expr("INTERVAL 1 MONTH"))
+    return (rates.filter(F.col("data_actual_date") <= F.col("data_actual_end_date"))
+            .select("currency_rk", "reduced_cource", F.col("data_actual_date").alias("rate_start"),
+                    F.col("data_actual_end_date").alias("rate_end"), F.explode(months).alias("rate_month")))
 
 
-def posting_span(postings: DataFrame) -> tuple[dt.date, dt.date] | None:
-    """First and last posting date (a one-row aggregate; a bounded control value)."""
-    row = postings.agg(F.min("oper_date").alias("lo"), F.max("oper_date").alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    return row["lo"], row["hi"]
+def with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
+    """``rows`` (currency_rk, oper_date, ...) with every rate valid on their date (left join; overlaps fan out)."""
+    rt = rates_by_month(rates).withColumnRenamed("currency_rk", "rate_currency")
+    on = ((F.col("currency_rk") == F.col("rate_currency")) & (F.trunc("oper_date", "MM") == F.col("rate_month"))
+          & F.col("oper_date").between(F.col("rate_start"), F.col("rate_end")))
+    return rows.join(rt, on, "left").drop("rate_currency", "rate_month", "rate_start", "rate_end")
 
 
 def account_turnover_range(postings: DataFrame, accounts: DataFrame, rates: DataFrame, first_day=None,
@@ -109,29 +109,26 @@ def account_turnover_range(postings: DataFrame, accounts: DataFrame, rates: Data
     Equal, day by day, to calling ``account_turnover`` for each date; the date
     becomes a column instead of a literal, the account-version test becomes a
     per-row condition on an equi-join on ``account_rk``, and the rate interval
-    becomes an equi-join on (currency_rk, day) against ``rates_by_day``.
+    becomes an equi-join on (currency_rk, month).  Without bounds every
+    posting date takes part.
     """
-    if first_day is None or last_day is None:
-        span = posting_span(postings)
-        if span is None:
-            span = (dt.date(1970, 1, 1), dt.date(1970, 1, 1))
-        first_day = first_day or span[0]
-        last_day = last_day or span[1]
-    a, b = as_date(first_day), as_date(last_day)
-    legs = posting_legs(postings.filter(F.col("oper_date").between(F.lit(a), F.lit(b))))
-    per_account = (legs.filter(F.col("account_rk").isNotNull())
+    if first_day is not None:
+        postings = postings.filter(F.col("oper_date") >= F.lit(as_date(first_day)))
+        accounts = accounts.filter(F.col("data_actual_end_date") >= F.lit(as_date(first_day)))
+    if last_day is not None:
+        postings = postings.filter(F.col("oper_date") <= F.lit(as_date(last_day)))
+        accounts = accounts.filter(F.col("data_actual_date") <= F.lit(as_date(last_day)))
+    legs = posting_legs(postings)
+    per_account = (legs.filter(F.col("account_rk").isNotNull() & F.col("oper_date").isNotNull())
                    .groupBy("account_rk", "oper_date")
                    .agg(F.sum("credit_amount").alias("cre"), F.sum("debet_amount").alias("deb")))
-    acc = accounts.filter((F.col("data_actual_date") <= F.lit(b)) & (F.col("data_actual_end_date") >= F.lit(a)))
-    acc = acc.select("account_rk", "currency_rk",
-                     F.col("data_actual_date").alias("acc_start"), F.col("data_actual_end_date").alias("acc_end"))
+    acc = accounts.select("account_rk", "currency_rk",
+                          F.col("data_actual_date").alias("acc_start"), F.col("data_actual_end_date").alias("acc_end"))
     cond = F.col("oper_date").between(F.col("acc_start"), F.col("acc_end"))
     if account_start_in_month:
         cond = cond & F.col("acc_start").between(F.trunc("oper_date", "MM"), F.last_day("oper_date"))
     joined = per_account.join(acc, "account_rk").filter(cond).drop("acc_start", "acc_end")
-    rt = rates_by_day(rates, a, b).withColumnRenamed("day", "oper_date")
-    joined = joined.join(rt, ["currency_rk", "oper_date"], "left")
-    return (_converted_sums(joined, ["oper_date", "account_rk"])
+    return (_converted_sums(with_rates(joined, rates), ["oper_date", "account_rk"])
             .select(F.col("oper_date").alias("on_date"), "account_rk", "credit_amount", "credit_amount_rub",
                     "debet_amount", "debet_amount_rub"))
 
@@ -139,20 +136,12 @@ def account_turnover_range(postings: DataFrame, accounts: DataFrame, rates: Data
 def rate_interval_join(postings: DataFrame, accounts: DataFrame, rates: DataFrame) -> DataFrame:
     """Every posting leg with the rate valid on its own date (left join; overlaps fan out).
 
-    The interval is expanded over the postings' own date span, read from the
-    data as a two-value aggregate, so the join is an equality on
-    (currency_rk, oper_date).
+    The interval is an equality on (currency_rk, month) with the dates as a
+    rest condition.
     """
     legs = posting_legs(postings).filter(F.col("account_rk").isNotNull())
     acc = accounts.select("account_rk", "currency_rk", "data_actual_date", "data_actual_end_date")
     joined = legs.join(acc, "account_rk").filter(
         F.col("oper_date").between(F.col("data_actual_date"), F.col("data_actual_end_date")))
-    span = posting_span(postings)
-    if span is None:
-        # No postings: nothing to match, keep the schema.
-        rt = rates.select("currency_rk", "reduced_cource",
-                          F.col("data_actual_date").alias("oper_date")).filter(F.lit(False))
-    else:
-        rt = rates_by_day(rates, span[0], span[1]).withColumnRenamed("day", "oper_date")
-    return joined.join(rt, ["currency_rk", "oper_date"], "left").select(
+    return with_rates(joined, rates).select(
         "oper_date", "account_rk", "currency_rk", "credit_amount", "debet_amount", "reduced_cource")
