@@ -394,7 +394,10 @@ def remove(docs: DataFrame, text: str = "text", spans: str = "spans", kept: str
     """``docs`` with the removed byte ranges of ``text`` (array of start, end) and the bytes that are left."""
     doc, key, gone = (own_name(docs, c) for c in ("suffix_doc", "suffix_text", "suffix_runs"))
     body = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(key, F.xxhash64(body))
+    keyed = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
+    # Only rows that share a doc_id need their text to be told apart.
+    shared = keyed.groupBy(doc).count().filter("count > 1").take(1)
+    keyed = keyed.withColumn(key, F.xxhash64(body) if shared else F.lit(0).cast("long"))
     runs = repeated_windows(keyed.select(F.col(doc).alias("doc"), F.col(key).alias("text_key"), body.alias("text")))
     runs = runs.groupBy(F.col("doc").alias(doc), F.col("text_key").alias(key)).agg(F.collect_list(F.struct("at", "n")).alias(gone))
     rows = keyed.join(runs, [doc, key], "left").select(*docs.columns, gone)
