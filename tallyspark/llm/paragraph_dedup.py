@@ -1,10 +1,12 @@
-"""Removal of repeated passages: paragraphs, MinHash banding, exact Jaccard, components.
+"""Removal of repeated passages: paragraphs, MinHash banding, exact Jaccard, components; equal runs of words.
 
 Passages are copied into the middle of other lines, so paragraphs are cut by
 content: a line is cut after about every second sentence end, chosen by a hash
 of the words there, once with one half of the ends and once with the other.
 The same passage is then cut at the same words wherever it stands.  Paragraphs
-of fewer than ``MIN_WORDS`` words are left alone (greetings, template lines).
+of fewer than ``MIN_WORDS`` words are left alone (greetings, template lines);
+neighbouring lines that are all shorter than that are joined first, up to a
+blank line, so that hard-wrapped text has paragraphs.
 
 Words are compared in lower case without punctuation at their ends.  A
 paragraph is the set of its 5-word shingles; paragraphs that share one of
@@ -13,10 +15,20 @@ is computed exactly.  With 6 bands of 2 a pair at 0.8 meets with probability
 0.998, an equal pair always.  Links form components; a component's paragraphs
 outside the first document that has one are repeats.
 
+Paragraphs need sentence ends and whole paragraphs inside a passage.  Beside
+them, ``runs`` finds equal runs of words wherever they begin: windows of
+``WINDOW`` words are compared whose first words have the least hash among
+``REACH`` neighbouring places (line ends and punctuation play no part), so every
+equal run of ``WINDOW + REACH - 1`` words or more has a window in common.  A
+window that an earlier document has is extended by up to ``REACH - 1`` words to
+either side, as far as the words there are equal to those around its first
+place in that document, and overlapping ones are joined.
+
 Scale: equal paragraphs are one node before the banding.  In a bucket each node
 is first compared with the bucket's centre; buckets that hold several
 components after that are compared inside, in parts of bounded size.  Texts of
-paragraphs are only shuffled for nodes that have a candidate.
+paragraphs are only shuffled for nodes that have a candidate.  Windows are
+grouped by a digest; only those in several documents are written.
 
 Defined cases: null and empty texts have no paragraphs; rows without doc_id
 come after all others; rows that share a doc_id are one document; repeats
@@ -45,6 +57,7 @@ MIN_WORDS = 16
 SHINGLE = 5
 PERCENT = 80
 BAND_ROWS, BANDS = 2, 6
+WINDOW, REACH = 16, 16
 PART_ROWS = 256
 MAX_BROADCAST_NODES = 500_000
 CACHE_WORDS = 300_000
@@ -95,7 +108,10 @@ def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = (w & _u(1)).astype(bool)
     w &= ~_u(1)
     line_end = np.zeros(len(w), bool)
-    line_end[np.cumsum([len(line) for line in lines if line]) - 1] = True
+    size = np.array([len(line) for line in lines] + [0])
+    short = (size > 0) & (size < MIN_WORDS)
+    cut = (size > 0) & ~(short & np.append(short[1:], False))
+    line_end[np.cumsum(size)[cut] - 1] = True
     half = ((_mixed(w, np.concatenate([w[:1], w[:-1]])) >> _u(40)) & _u(1)).astype(bool)
     firsts, sizes = [], []
     for chosen in (half, ~half):
@@ -226,10 +242,106 @@ def repeats(docs: DataFrame) -> DataFrame:
                       real("first_doc").alias("first_doc_id"))
 
 
+def windows(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Compared hash of each word; first word of each chosen window."""
+    flat = (text or "").split()
+    w = np.fromiter(map(_words.__getitem__, flat), _u, len(flat)) & ~_u(1)
+    if len(w) < WINDOW:
+        return w, np.array([], int)
+    h = _mixed(shingle_hashes(w)[:len(w) - WINDOW + 1], _u(0))
+    least = np.lib.stride_tricks.sliding_window_view(h, min(REACH, len(h))).argmin(axis=1)
+    return w, np.unique(least + np.arange(len(least)))
+
+
+def _digests(w: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Digest of the window at each place, in two halves."""
+    x = w[at[:, None] + np.arange(WINDOW)]
+    a, b = np.full(len(at), 1, _u), np.full(len(at), 2, _u)
+    for j in range(WINDOW):
+        a, b = _mixed(a, x[:, j]), _mixed(b, x[:, j] * _u(0xD6E8FEB86659FD93))
+    return a.view(np.int64), b.view(np.int64)
+
+
+def _windowed(docs: DataFrame, around: bool) -> DataFrame:
+    """doc, copy, first, a, b (digest) of each chosen window of ``docs`` (doc, copy, text); with ``around`` the words before (nearest first) and after."""
+    names = ["doc", "copy", "first", "a", "b"] + ["before", "after"] * around
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 2 * around
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, copy, text in zip(*(c.to_pylist() for c in batch.columns)):
+                w, at = windows(text)
+                if not len(at):
+                    continue
+                columns = [np.full(len(at), doc), np.full(len(at), copy), at, *_digests(w, at)]
+                if around:
+                    near, size = (w >> _u(32)).astype("<u4"), 4 * (REACH - 1)
+                    raw, back = near.tobytes(), near[::-1].tobytes()
+                    columns += [[back[4 * (len(w) - x):][:size] for x in at.tolist()], [raw[4 * (x + WINDOW):][:size] for x in at.tolist()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return docs.mapInArrow(run, "doc long, copy long, first int, a long, b long" + ", before binary, after binary" * around)
+
+
+def _equal_words(x: bytes, y: bytes) -> int:
+    """Number of leading words (four bytes each) in which x and y agree."""
+    n = 0
+    while n < min(len(x), len(y)) and x[n:n + 4] == y[n:n + 4]:
+        n += 4
+    return n // 4
+
+
+def runs(docs: DataFrame) -> DataFrame:
+    """doc_id, first_word, n_words, first_doc_id of each run of words of ``docs`` (doc_id, text) that an earlier document has."""
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("copy"), "text").filter(F.col("text").isNotNull())
+    node = ["a", "b"]
+    ends = _windowed(docs, False).groupBy(*node).agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+    shared = written(ends.filter("first_doc <> last_doc").select(*node, "first_doc"), "run-windows")
+    side = F.broadcast(shared) if shared.count() <= MAX_BROADCAST_NODES else shared
+    rows = written(_windowed(docs, True).join(side, node), "run-rows")
+    origin = rows.filter("doc = first_doc").groupBy(*node).agg(F.min(F.struct("first", "before", "after")).alias("o"))
+    pairs = rows.filter("doc <> first_doc").join(origin, node).select(
+        "doc", "copy", "first_doc", "first", "before", "after", F.col("o.before").alias("old_before"), F.col("o.after").alias("old_after"))
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, before, after, old_before, old_after = (batch.column(i).to_pylist() for i in range(3, 8))
+            start = [x - _equal_words(y, z) for x, y, z in zip(first, before, old_before)]
+            end = [x + WINDOW + _equal_words(y, z) for x, y, z in zip(first, after, old_after)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(start, pa.int64()), pa.array(end, pa.int64())],
+                                             names=["doc", "copy", "first_doc", "start", "end"])
+
+    spans = pairs.mapInArrow(extend, "doc long, copy long, first_doc long, start long, end long")
+    lists = spans.groupBy("doc", "copy", "first_doc").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, first_doc, spans in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                low, high = spans[0]["start"], spans[0]["end"]
+                for s in spans[1:]:
+                    if s["start"] > high:
+                        out.append((doc, low, high - low, first_doc))
+                        low = s["start"]
+                    high = max(high, s["end"])
+                out.append((doc, low, high - low, first_doc))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 4,
+                                             names=["doc", "first_word", "n_words", "first_doc"])
+
+    out = lists.mapInArrow(join, "doc long, first_word long, n_words long, first_doc long")
+    real = lambda c: F.when(F.col(c) != LAST, F.col(c))
+    return out.select(real("doc").alias("doc_id"), "first_word", "n_words", real("first_doc").alias("first_doc_id"))
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """All repeats: near-equal paragraphs and equal runs of words (rows may overlap)."""
+    return repeats(docs).unionByName(runs(docs))
+
+
 def remove(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the words of repeated paragraphs (the white space after each goes with it)."""
+    """``docs`` without the words of repeated passages (the white space after each goes with it)."""
     doc, spans = own_name(docs, "repeat_doc"), own_name(docs, "repeat_spans")
-    found = repeats(docs.select("doc_id", F.col(text).alias("text"))).groupBy("doc_id").agg(F.collect_set(F.struct("first_word", "n_words")).alias(spans))
+    found = passages(docs.select("doc_id", F.col(text).alias("text"))).groupBy("doc_id").agg(F.collect_set(F.struct("first_word", "n_words")).alias(spans))
     rows = docs.join(found.withColumnRenamed("doc_id", doc), F.col("doc_id").eqNullSafe(F.col(doc)), "left").drop(doc)
     schema = T.StructType(docs.schema.fields)
 

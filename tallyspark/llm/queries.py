@@ -32,7 +32,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_paragraph_dedup")
 def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_dedup.repeats(table(spark, sf_dir, "documents"))
+    return paragraph_dedup.passages(table(spark, sf_dir, "documents"))
 
 
 @query("op3_pstable_lsh")
