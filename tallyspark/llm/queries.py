@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, langid, license_scan, mixing, paragraph_dedup, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup
+from tallyspark.llm import bpe, collocations, langid, license_scan, mixing, paragraph_dedup, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup
 from tallyspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
                       F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]).alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query("op11_collocations", collocations.oracle())
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

@@ -25,6 +25,8 @@ COLUMNS = {
     "op9_quality_mcd": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint",
                         "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     "op10_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
+    "op11_collocations": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint",
+                          "score": "bigint"},
 }
 
 
