@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, collocations, langid, license_scan, mixing, paragraph_dedup, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup
+from tallyspark.llm import bpe, collocations, hard_negatives, langid, license_scan, mixing, paragraph_dedup, pstable_lsh, quality_mcd, secret_scan, setsketch, suffix_dedup, warc
 from tallyspark.llm.shared import table
+from tallyspark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -116,3 +117,45 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_collocations", collocations.oracle())
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_hard_negatives", r"""
+WITH kept AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM kept a JOIN kept b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY score DESC, vec_id) <= 3""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+@query("op13_warc", r"""
+WITH sized AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digested AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS digest, payload FROM sized),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM digested),
+-- 40 hexadecimal digits as 32 characters of five bits each
+coded AS (
+  SELECT *, list_reduce(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (CAST(('0x' || substr(digest || '00', 1 + CAST(floor(i * 5 / 4) AS INTEGER), 3)) AS BIGINT) >> (7 - (i * 5) % 4)) & 31 AS INTEGER), 1)),
+           lambda x, y: x || y) AS payload_digest FROM firsts)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM coded""")
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    warc.register(spark)
+    warc.archive_pages(pages, path, "2024-01-01T00:00:00Z")
+    return warc.read_pages(spark, path)

@@ -27,6 +27,9 @@ COLUMNS = {
     "op10_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
     "op11_collocations": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint",
                           "score": "bigint"},
+    "op12_hard_negatives": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint",
+                            "negative_score": "bigint"},
+    "op13_warc": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
 }
 
 
@@ -47,7 +50,8 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_rows_equal_the_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name_ in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{SF}/{name_}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     columns = ", ".join(got.columns)
     want = con.execute(f"SELECT {columns} FROM ({queries.ORACLE[name]})").fetchall()
