@@ -41,7 +41,7 @@ from pyspark.sql.datasource import (
 
 #: Payloads with at least one row in HOT are joined by broadcast: there are HOT of them at most.
 HOT = 10_000
-PARTITION_BYTES = 128 << 20
+PARTITION_BYTES = 16 << 20
 FILE_BYTES = 256 << 20
 READ_BYTES = 1 << 16
 # The named fields of a record that have columns of their own.
