@@ -92,3 +92,42 @@ def naive_timestamp(value) -> Column:
     else:
         text = str(value)
     return F.lit(text).cast("timestamp_ntz")
+
+
+# ---------------------------------------------------------------- dyadic days
+
+# Days are counted from 0001-01-01, so that every date of the calendar (up to 9999-12-31) has a number below 2**22.
+EPOCH_SHIFT = 719162
+LEVELS = 23
+
+
+def day_number(d: Column) -> Column:
+    return F.unix_date(d) + F.lit(EPOCH_SHIFT)
+
+
+def dyadic_cover(start: Column, end: Column) -> Column:
+    """The interval [start, end] as disjoint dyadic ranges: array of (level, bin), ``bin`` = day >> level.
+
+    At most two ranges a level, so 44 for any interval, one day or open to year 9999; none if a bound is NULL or
+    start lies after end.  A day lies in the interval exactly if one of its ``dyadic_path`` ranges is in the cover."""
+    lo, hi = day_number(start), day_number(end) + F.lit(1)
+
+    def at(level: Column) -> Column:
+        # First whole range from lo on, and the first one that is not whole before hi.
+        a, b = -_shifted(-lo, level), _shifted(hi, level)
+        take = lambda odd, value: F.when((a < b) & (odd % 2 == 1), F.struct(level.cast("int").alias("level"), value.cast("int").alias("bin")))
+        return F.array(take(a, a), take(b, b - 1))
+    ranges = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at))
+    return F.filter(ranges, lambda r: r.isNotNull())
+
+
+def dyadic_path(day: Column) -> Column:
+    """Every dyadic range that holds the day: array of (level, bin), one for each level."""
+    number = day_number(day)
+    return F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)),
+                       lambda level: F.struct(level.cast("int").alias("level"), _shifted(number, level).cast("int").alias("bin")))
+
+
+def _shifted(n: Column, level: Column) -> Column:
+    """``n`` divided by 2**level, rounded down."""
+    return F.call_function("shiftright", n, level)

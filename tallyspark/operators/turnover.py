@@ -24,7 +24,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.dates import as_date, month_bounds_py, valid_on
+from tallyspark.functions.dates import as_date, dyadic_cover, dyadic_path, month_bounds_py, valid_on
 from tallyspark.functions.money import SUM_AMOUNT, to_mart
 from tallyspark.schemas import AMOUNT
 
@@ -80,26 +80,25 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
                     "debet_amount", "debet_amount_rub"))
 
 
-def rates_by_month(rates: DataFrame) -> DataFrame:
-    """Each rate row once for each month that its interval touches.
+def rate_ranges(rates: DataFrame) -> DataFrame:
+    """Each rate row once for each dyadic range of days of its interval: at most 44 rows, however long it is valid."""
+    cover = dyadic_cover(F.col("data_actual_date"), F.col("data_actual_end_date"))
+    return rates.select("currency_rk", "reduced_cource", F.inline(cover))
 
-    Turns the interval condition ``day BETWEEN start AND end`` into an equality
-    on (currency_rk, month), with the interval as a rest condition.  The size
-    is bounded by rate rows x months of their intervals, whatever the postings
-    are, and no posting has to be read first.
-    """
-    months = F.sequence(F.trunc("data_actual_date", "MM"), F.trunc("data_actual_end_date", "MM"), F.expr("INTERVAL 1 MONTH"))
-    return (rates.filter(F.col("data_actual_date") <= F.col("data_actual_end_date"))
-            .select("currency_rk", "reduced_cource", F.col("data_actual_date").alias("rate_start"),
-                    F.col("data_actual_end_date").alias("rate_end"), F.explode(months).alias("rate_month")))
+
+def rates_on_days(days: DataFrame, rates: DataFrame) -> DataFrame:
+    """(currency_rk, oper_date, reduced_cource): every rate valid on each of the distinct (currency_rk, oper_date) ``days``.
+
+    The interval condition is an equality on (currency_rk, level, bin): a day meets a rate in one range at most.
+    Only the distinct days, never the rows behind them, are spread over the levels."""
+    probes = days.select("currency_rk", "oper_date", F.inline(dyadic_path(F.col("oper_date"))))
+    return probes.join(rate_ranges(rates), ["currency_rk", "level", "bin"]).select("currency_rk", "oper_date", "reduced_cource")
 
 
 def with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
     """``rows`` (currency_rk, oper_date, ...) with every rate valid on their date (left join; overlaps fan out)."""
-    rt = rates_by_month(rates).withColumnRenamed("currency_rk", "rate_currency")
-    on = ((F.col("currency_rk") == F.col("rate_currency")) & (F.trunc("oper_date", "MM") == F.col("rate_month"))
-          & F.col("oper_date").between(F.col("rate_start"), F.col("rate_end")))
-    return rows.join(rt, on, "left").drop("rate_currency", "rate_month", "rate_start", "rate_end")
+    days = rows.select("currency_rk", "oper_date").filter("currency_rk IS NOT NULL AND oper_date IS NOT NULL").distinct()
+    return rows.join(rates_on_days(days, rates), ["currency_rk", "oper_date"], "left")
 
 
 def account_turnover_range(postings: DataFrame, accounts: DataFrame, rates: DataFrame, first_day=None,
@@ -109,8 +108,8 @@ def account_turnover_range(postings: DataFrame, accounts: DataFrame, rates: Data
     Equal, day by day, to calling ``account_turnover`` for each date; the date
     becomes a column instead of a literal, the account-version test becomes a
     per-row condition on an equi-join on ``account_rk``, and the rate interval
-    becomes an equi-join on (currency_rk, month).  Without bounds every
-    posting date takes part.
+    becomes an equi-join on dyadic ranges of days, made once for each currency
+    and date.  Without bounds every posting date takes part.
     """
     if first_day is not None:
         postings = postings.filter(F.col("oper_date") >= F.lit(as_date(first_day)))
@@ -136,8 +135,8 @@ def account_turnover_range(postings: DataFrame, accounts: DataFrame, rates: Data
 def rate_interval_join(postings: DataFrame, accounts: DataFrame, rates: DataFrame) -> DataFrame:
     """Every posting leg with the rate valid on its own date (left join; overlaps fan out).
 
-    The interval is an equality on (currency_rk, month) with the dates as a
-    rest condition.
+    The interval is an equality on dyadic ranges of days, resolved once for
+    each currency and date (``rates_on_days``).
     """
     legs = posting_legs(postings).filter(F.col("account_rk").isNotNull())
     acc = accounts.select("account_rk", "currency_rk", "data_actual_date", "data_actual_end_date")

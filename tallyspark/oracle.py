@@ -20,7 +20,11 @@ FROM (SELECT s_suppkey AS rk, s_nationkey AS nk, s_acctbal AS bal FROM supplier
       UNION ALL SELECT c_custkey + 1000000, c_nationkey, c_acctbal FROM customer) u""",
     "md_account_d": """
 SELECT data_actual_date, data_actual_end_date, account_rk, account_number, char_type, currency_rk, currency_code
-FROM md_account_src""",
+FROM md_account_src
+UNION ALL
+SELECT start_day, last_day(start_day), account_rk, account_number, char_type, currency_rk, currency_code
+FROM (SELECT *, CAST(DATE '1992-01-01' + to_months(CAST((CAST(account_rk AS BIGINT) * 7 + k * 26) % 79 AS INTEGER)) AS DATE) AS start_day
+      FROM md_account_src, (SELECT unnest([0, 1, 2]) AS k) earlier) v""",
     "md_currency_d": """
 SELECT n_nationkey AS currency_rk, DATE '1990-01-01' AS data_actual_date, DATE '2050-12-31' AS data_actual_end_date,
        CASE n_nationkey WHEN 0 THEN '643' WHEN 1 THEN '810' WHEN 24 THEN NULL ELSE CAST(840 + n_nationkey AS VARCHAR) END AS currency_code,
@@ -31,11 +35,11 @@ SELECT DATE '1990-01-01' AS data_actual_date, DATE '1998-09-14' AS data_actual_e
        CAST(CAST(n_nationkey * 125 + 50 AS DECIMAL(10,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,6)) AS reduced_cource
 FROM nation WHERE n_nationkey NOT IN (0, 23)
 UNION ALL
-SELECT DATE '1998-09-15', DATE '2050-12-31', n_nationkey,
+SELECT DATE '1998-09-15', CASE WHEN n_nationkey % 4 = 1 THEN DATE '9999-12-31' ELSE DATE '2050-12-31' END, n_nationkey,
        CAST(CAST(n_nationkey * 131 + 57 AS DECIMAL(10,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,6))
 FROM nation WHERE n_nationkey NOT IN (0, 23)
 UNION ALL
-SELECT DATE '1998-09-15', DATE '2050-12-31', n_nationkey,
+SELECT DATE '1998-09-15', CASE WHEN n_nationkey % 4 = 1 THEN DATE '9999-12-31' ELSE DATE '2050-12-31' END, n_nationkey,
        CAST(CAST(n_nationkey * 131 + 57 AS DECIMAL(10,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,6))
 FROM nation WHERE n_nationkey % 5 = 2""",
     "md_exchange_rate_d": """

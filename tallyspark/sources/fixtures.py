@@ -25,6 +25,8 @@ from tallyspark.sources.testdata import BaseTables
 
 D = dt.date
 FAR = D(2050, 12, 31)
+# A validity that never ends.
+NEVER = D(9999, 12, 31)
 REPORT_DATE = D(1998, 9, 15)
 LOADED_UP_TO = "2024-01-10"
 
@@ -57,7 +59,13 @@ def accounts_with_balance(t: BaseTables) -> DataFrame:
 
 
 def md_account_d(t: BaseTables) -> DataFrame:
-    return accounts_with_balance(t).drop("bal")
+    """The current versions, and three earlier ones of every account, a month each between 1992 and July 1998."""
+    current = accounts_with_balance(t).drop("bal")
+    month = (F.col("account_rk") * 7 + F.col("k") * 26) % 79
+    start = F.add_months(F.lit(D(1992, 1, 1)), month.cast("int"))
+    earlier = (current.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
+               .withColumns({"data_actual_date": start, "data_actual_end_date": F.last_day(start)}).drop("k"))
+    return current.unionByName(earlier)
 
 
 def md_currency_d(t: BaseTables) -> DataFrame:
@@ -82,10 +90,10 @@ def exchange_rate_raw(t: BaseTables) -> DataFrame:
         F.lit(D(1990, 1, 1)).alias("data_actual_date"), F.lit(D(1998, 9, 14)).alias("data_actual_end_date"),
         n.alias("currency_rk"), _rate(n, 125, 50).alias("reduced_cource"))
     new = nation.filter(~n.isin(0, 23)).select(
-        F.lit(REPORT_DATE).alias("data_actual_date"), F.lit(FAR).alias("data_actual_end_date"),
+        F.lit(REPORT_DATE).alias("data_actual_date"), F.when(n % 4 == 1, F.lit(NEVER)).otherwise(F.lit(FAR)).alias("data_actual_end_date"),
         n.alias("currency_rk"), _rate(n, 131, 57).alias("reduced_cource"))
     dup = nation.filter(n % 5 == 2).select(
-        F.lit(REPORT_DATE).alias("data_actual_date"), F.lit(FAR).alias("data_actual_end_date"),
+        F.lit(REPORT_DATE).alias("data_actual_date"), F.when(n % 4 == 1, F.lit(NEVER)).otherwise(F.lit(FAR)).alias("data_actual_end_date"),
         n.alias("currency_rk"), _rate(n, 131, 57).alias("reduced_cource"))
     return old.unionByName(new).unionByName(dup)
 
