@@ -169,10 +169,9 @@ def fill_turnover_range(spark: SparkSession, detail: dict[str, DataFrame], mart_
                         log_root: str | None = None) -> dict:
     """Replace every day of [first_day, last_day] in the turnover mart with one computation.
 
-    Days with rows are replaced by a dynamic partition overwrite in one write
-    job.  Stored days of the range that now come out empty are cleared
-    afterwards (as the one-day job clears an empty day); the days written come
-    from an ``Observation`` on the same job, so nothing is computed twice.
+    The days with rows are written in one job and then exchanged one by one;
+    stored days of the range that now come out empty are cleared (as the
+    one-day job clears an empty day).
     """
     a, b = as_date(first_day), as_date(last_day)
     root = f"{mart_root.rstrip('/')}/dm_account_turnover_f"
@@ -180,13 +179,8 @@ def fill_turnover_range(spark: SparkSession, detail: dict[str, DataFrame], mart_
     turn = TO.account_turnover_range(detail["ft_posting_f"], detail["md_account_d"], detail["md_exchange_rate_d"],
                                      a, b)
     obs = Observation(f"turnover_{a.isoformat()}_{b.isoformat()}")
-    observed = turn.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set("on_date").alias("days"))
-    (observed.hint("rebalance", "on_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("on_date").parquet(root))
-    written = set(obs.get["days"] or [])
+    written = {as_date(d) for d in FS.replace_partitions(turn.observe(obs, F.count(F.lit(1)).alias("rows")), root, "on_date", sorted(stored))}
     cleared = sorted(stored - written)
-    for d in cleared:
-        FS.replace_partition(turn.filter(F.lit(False)), root, {"on_date": d})
     n = int(obs.get["rows"])
     if log_root:
         writelog(spark, log_root, [f"[END] inserted {n} rows for {a.isoformat()} .. {b.isoformat()}."])
@@ -201,8 +195,11 @@ def fill_report(spark: SparkSession, detail: dict[str, DataFrame], mart_root: st
     if log_root:
         writelog(spark, log_root, [f"[BEGIN] fill(i_OnDate => date '{d.isoformat()}');",
                                    f"delete on_date = {d.isoformat()}", "insert"])
-    turn = TB.stored_rows(spark, mart_root, "dm_account_turnover_f", S.DM_ACCOUNT_TURNOVER_F)
-    if turn is None:  # no turnover stored yet: opening balances only
+    try:
+        turn = FS.read_partitioned(spark, f"{mart_root.rstrip('/')}/dm_account_turnover_f", S.DM_ACCOUNT_TURNOVER_F)
+    except Exception as e:  # no turnover stored yet: opening balances only
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
         turn = spark.createDataFrame([], S.DM_ACCOUNT_TURNOVER_F)
     rep = RP.ledger_report(detail["md_account_d"], detail["md_currency_d"], detail["md_ledger_account_s"],
                            detail["ft_balance_f"], detail["md_exchange_rate_d"], turn, d)

@@ -1,16 +1,27 @@
 """File sinks: period replace, snapshots, CSV exports.
 
-Period replace writes the new rows to a hidden folder of the same table and,
-once they are complete, puts it in the place of the partition directory
-(``root/on_date=YYYY-MM-DD``): a job that fails leaves the old rows, an empty
-result clears the period, and other periods are never touched.  Re-running a
-period is idempotent.
+Period replace writes the new rows beside the table (``{root}.swap``) and, once
+they are complete, moves the partition directory (``root/on_date=YYYY-MM-DD``)
+away and the new one into its place.  The old copy stays until the new one is
+there, so at every moment the period has its old or its new rows:
+
+* the write fails: nothing was moved;
+* a move fails: the old copy is moved back;
+* the process ends between the two moves: ``read_partitioned`` reads the old
+  copy in place of the missing period, and the next replace of the period moves
+  it back first.
+
+An empty result clears the period, other periods are never touched, and
+re-running a period is idempotent.  One job at a time may replace a period.
+Moving a folder is one step on HDFS and local disks; on object stores, where
+it is a copy, the old copy in the swap folder covers the time it takes.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,28 +73,109 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def swap_root(root: str) -> str:
+    """Where new rows and old copies of a table's periods lie while they are exchanged."""
+    return f"{root.rstrip('/')}.swap"
+
+
+def _old_copies(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(swap folder, period path below the table) of every old copy that an exchange has left: a listing."""
+    base = swap_root(root)
+    out = []
+    for name in folder_names(spark, base) if _exists(spark, base) else []:
+        if name.startswith("old-"):
+            path, inner = f"{base}/{name}", []
+            while inner_names := [n for n in folder_names(spark, path) if "=" in n]:
+                inner.append(inner_names[0])
+                path += f"/{inner_names[0]}"
+            if inner:
+                out.append((f"{base}/{name}", "/".join(inner)))
+    return out
+
+
+def _recover(spark: SparkSession, root: str, period: str) -> None:
+    """End an exchange of the period that was cut off: the old copy goes back, or goes if the new rows are in place."""
+    for folder, inner in _old_copies(spark, root):
+        if inner == period:
+            if not _exists(spark, f"{root}/{period}"):
+                _parents(spark, f"{root}/{period}")
+                _moved(spark, f"{folder}/{inner}", f"{root}/{period}")
+            _deleted(spark, folder)
+
+
+def _exchange(spark: SparkSession, root: str, period: str, new: str) -> None:
+    """Put folder ``new`` in the place of the period; a failure leaves the old rows in place."""
+    path, old = f"{root}/{period}", f"{swap_root(root)}/old-{uuid.uuid4().hex}"
+    _parents(spark, path)
+    if _exists(spark, path):
+        _parents(spark, f"{old}/{period}")
+        _moved(spark, path, f"{old}/{period}")
+        try:
+            _moved(spark, new, path)
+        except Exception:
+            _moved(spark, f"{old}/{period}", path)
+            _deleted(spark, old)
+            raise
+        _deleted(spark, old)
+    else:
+        _moved(spark, new, path)
+
+
 def replace_partition(df: DataFrame, root: str, spec: dict) -> str:
     """Replace one period of a partitioned parquet table with ``df`` (may be empty)."""
-    spark, path, token = df.sparkSession, partition_dir(root, spec), uuid.uuid4().hex
-    new, old = f"{root.rstrip('/')}/_new-{token}", f"{root.rstrip('/')}/_old-{token}"
+    spark, root = df.sparkSession, root.rstrip("/")
+    period = partition_dir("", spec).strip("/")
+    new = f"{swap_root(root)}/new-{uuid.uuid4().hex}"
+    _recover(spark, root, period)
     try:
         df.drop(*spec.keys()).write.parquet(new)
+        _exchange(spark, root, period, new)
     except Exception:
         _deleted(spark, new)
         raise
-    _parents(spark, path)
-    if _exists(spark, path):
-        _moved(spark, path, old)
-    _moved(spark, new, path)
-    _deleted(spark, old)
     # Readers of this session list the folder again.
     spark.catalog.refreshByPath(root)
-    return path
+    return f"{root}/{period}"
+
+
+def replace_partitions(df: DataFrame, root: str, column: str, clear=()) -> list[str]:
+    """Replace every period of ``column`` that ``df`` holds, written in one job, and empty those in ``clear``; the periods written.
+
+    Each period is exchanged for itself: after a failure some have their new rows and the others their old ones, and
+    running it again ends it."""
+    spark, root = df.sparkSession, root.rstrip("/")
+    new = f"{swap_root(root)}/new-{uuid.uuid4().hex}"
+    try:
+        df.hint("rebalance", column).write.partitionBy(column).parquet(new)
+        # As many as periods were written.
+        written = [n for n in folder_names(spark, new) if n.startswith(f"{column}=")]
+        for period in written:
+            _recover(spark, root, period)
+            _exchange(spark, root, period, f"{new}/{period}")
+    finally:
+        _deleted(spark, new)
+    empty = df.limit(0)
+    for value in clear:
+        if partition_dir("", {column: value}).strip("/") not in written:
+            replace_partition(empty, root, {column: value})
+    spark.catalog.refreshByPath(root)
+    return [n.partition("=")[2] for n in written]
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Read a period-partitioned table with the partition columns typed by ``schema``."""
-    return spark.read.schema(schema).parquet(root).select(*schema.names)
+    """Read a period-partitioned table with the partition columns typed by ``schema``.
+
+    A period whose exchange was cut off between its two moves is read from its old copy."""
+    root = root.rstrip("/")
+    while True:
+        copies = _old_copies(spark, root)
+        missing = [(folder, inner) for folder, inner in copies if not _exists(spark, f"{root}/{inner}")]
+        if copies == _old_copies(spark, root):
+            break
+    parts = [spark.read.schema(schema).parquet(root).select(*schema.names)] if _exists(spark, root) or not missing else []
+    for folder, inner in missing:
+        parts.append(spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/{inner}").select(*schema.names))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def to_text_columns(df: DataFrame) -> DataFrame:
