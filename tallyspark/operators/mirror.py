@@ -15,7 +15,8 @@ the job in both cases, ``'last'`` keeps the row with the greatest
 
 from __future__ import annotations
 
-from functools import reduce
+import csv
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,12 @@ from pyspark.sql import types as T
 from tallyspark.functions.dates import naive_timestamp
 from tallyspark.operators.upsert import latest_per_key, unique_on
 from tallyspark.schemas import LOAD_LOG
-from tallyspark.sources.csv import by_name
+from tallyspark.sinks import files as FS
+from tallyspark.sources.csv import parsed
 
 BATCH_COL = "delta_id"
+# Start of a local file's address, which has one or three slashes.
+LOCAL = re.compile("^file:/+")
 
 
 def pending_batches(batch_ids: DataFrame, load_log: DataFrame, table: str) -> DataFrame:
@@ -72,20 +76,32 @@ def batch_log(pending: DataFrame, table: str, begin, end) -> DataFrame:
 def read_batches(spark: SparkSession, path: str, table: str, schema, ids: list[str], sep: str = ";") -> DataFrame | None:
     """The rows of ``{path}/{id}/{table}.csv`` for the listed batch folders, with the folder name as ``delta_id``.
 
-    Columns are matched by header name; a value that its type cannot hold fails the job.  Only the listed
-    folders are opened.  Headers may differ between batches, so each batch is a plan of its own; a column that
-    a batch lacks is NULL there.  None if no folder is listed."""
+    One plan with one scan, however many batches there are.  Columns are matched by header name in any case and order:
+    the header of each file (folders may hold several part files) is a row (file, place of each column) that the rows
+    of the file join; a value that its type cannot hold fails the job, a column that a file lacks is NULL there.  Only
+    the listed folders are opened.  None if no folder is listed."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    frames = []
-    for i in ids:
-        text = spark.read.option("header", True).option("sep", sep).csv(f"{path.rstrip('/')}/{i}/{table}.csv")
-        frames.append(by_name(text, schema).withColumn(BATCH_COL, F.lit(i)))
-    if not frames:
+    if not ids:
         return None
-    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    missing = [f for f in schema.fields if f.name not in every.columns]
-    every = every.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else every
-    return every.select(*[f.name for f in schema.fields], BATCH_COL)
+    files, batches = [], []
+    root = path.rstrip("/")
+    for i, found in zip(ids, FS.files_of_each(spark, [f"{root}/{i}/{table}.csv" for i in ids])):
+        files += found
+        batches += [i] * len(found)
+    wanted = [f.name.lower() for f in schema.fields]
+    heads, width = [], 1
+    for (_, address), batch, line in zip(files, batches, FS.first_lines(spark, [path for path, _ in files])):
+        names = [n.strip().lower() for n in next(csv.reader([line], delimiter=sep), [])]
+        width = max(width, len(names))
+        heads.append((LOCAL.sub("file:/", address), batch, [names.index(n) if n in names else None for n in wanted]))
+    places = spark.createDataFrame(heads, f"_file STRING, {BATCH_COL} STRING, _places ARRAY<INT>")
+    if not files:
+        return places.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], BATCH_COL)
+    texts = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    rows = spark.read.schema(texts).option("header", True).option("sep", sep).csv([path for path, _ in files])
+    rows = rows.select(F.array(*texts.names).alias("_values"), F.regexp_replace("_metadata.file_path", LOCAL.pattern, "file:/").alias("_file")).join(places, "_file")
+    value = lambda i: F.get(F.col("_values"), F.col("_places")[i])
+    return rows.select(*[parsed(value(i), f.dataType, f.name).alias(f.name) for i, f in enumerate(schema.fields)], BATCH_COL)
 
 
 def read_batch_folders(spark: SparkSession, root: str, schema) -> DataFrame:

@@ -318,18 +318,33 @@ def run_mirror(spark: SparkSession, deltas_path: str, table: str, keys: list[str
     ids = [r[MI.BATCH_COL] for r in pending.collect()]
     if not ids:
         return []
-    todo = MI.read_batches(spark, deltas_path, table, schema, ids)
-    write_batches(todo, keys, mirror_root, table)
-    mirror = read_mirror(spark, mirror_root, table, keys, todo.schema)
-    mirror.write.mode("overwrite").csv(export_path, header=True, sep=";")
-    end = dt.datetime.now()
-    rows = spark.createDataFrame([(i,) for i in ids], f"{MI.BATCH_COL} STRING")
-    # Every part file carries its own header, so appended parts read back cleanly.
-    MI.batch_log(rows, table, begin, end).write.mode("append").option("header", True).option("sep", ";") \
-        .csv(log_path)
+    apply_batches(spark, deltas_path, table, keys, mirror_root, log_path, schema, ids, ids, begin)
+    export_mirror(spark, table, keys, mirror_root, export_path, schema)
     return ids
 
 
+def apply_batches(spark: SparkSession, deltas_path: str, table: str, keys: list[str], mirror_root: str, log_path: str, schema,
+                  ids: list[str], unlogged: list[str], begin: dt.datetime) -> None:
+    """Store the listed batches whole, then append the load log of those that it lacks: a repeated run adds nothing."""
+    write_batches(MI.read_batches(spark, deltas_path, table, schema, ids), keys, mirror_root, table)
+    if unlogged:
+        rows = spark.createDataFrame([(i,) for i in unlogged], f"{MI.BATCH_COL} STRING")
+        # Every part file carries its own header, so appended parts read back cleanly.
+        (MI.batch_log(rows, table, begin, dt.datetime.now()).coalesce(1).write.mode("append").option("header", True)
+         .option("sep", ";").csv(log_path))
+
+
+def export_mirror(spark: SparkSession, table: str, keys: list[str], mirror_root: str, export_path: str, schema) -> None:
+    """The current mirror as ';' CSV with a header, in the place of the last export."""
+    read_mirror(spark, mirror_root, table, keys, store_schema(schema)).write.mode("overwrite").csv(export_path, header=True, sep=";")
+
+
+def store_schema(schema) -> T.StructType:
+    """Columns of the mirror store: those of the mirror and the batch id."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return T.StructType([f for f in schema.fields if f.name != MI.BATCH_COL] + [T.StructField(MI.BATCH_COL, T.StringType(), True)])
+
+
 def write_batches(rows: DataFrame, keys: list[str], mirror_root: str, table: str) -> None:
     """Store the rows of whole batches; a batch holding a key twice fails, a batch written again replaces itself."""
     (UP.unique_on(rows, keys + [MI.BATCH_COL], "batch").hint("rebalance", MI.BATCH_COL).write.mode("overwrite")

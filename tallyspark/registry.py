@@ -540,21 +540,46 @@ def q_load_upsert_job(spark, sf_dir):
     return JB.detail_tables(spark, f"{root}/ds", ["ft_balance_f"])["ft_balance_f"]
 
 
-@query("mirror_job", O.with_views(["mirror_delta"], """
+_MIRROR_SQL = """
 SELECT user_id, event_type, event_id, value
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY delta_id DESC) AS rn FROM mirror_delta) r
-WHERE rn = 1"""))
-def q_mirror_job(spark, sf_dir):
+WHERE rn = 1"""
+
+
+def _mirror_run(spark, sf_dir) -> tuple[str, object]:
     """CSV delta folders applied by the mirror job in two runs, the later folders with their columns in another order."""
     deltas, root = Fixtures(spark, sf_dir).mirror_delta, scratch_path(spark, "mirror_job")
     schema = deltas.drop("delta_id").schema
-    # Folder names: as many as there are batches.
-    ids = sorted(r[0] for r in deltas.select("delta_id").distinct().collect())
-    for half, columns in ((ids[:len(ids) // 2], schema.names), (ids[len(ids) // 2:], schema.names[::-1])):
-        for i in half:
-            deltas.filter(F.col("delta_id") == i).select(*columns).write.csv(f"{root}/deltas/{i}/events.csv", header=True, sep=";")
+    # All folders from one job, then named as batches are.
+    halves = [("early", deltas.filter("delta_id <= '2024-01-15'"), schema.names), ("late", deltas.filter("delta_id > '2024-01-15'"), schema.names[::-1])]
+    for half, rows, columns in halves:
+        rows.hint("rebalance", "delta_id").select(*columns, "delta_id").write.partitionBy("delta_id").csv(f"{root}/{half}", header=True, sep=";")
+        for name in FS.folder_names(spark, f"{root}/{half}"):
+            FS.moved_into(spark, f"{root}/{half}/{name}", f"{root}/deltas/{name.partition('=')[2]}/events.csv")
         JB.run_mirror(spark, f"{root}/deltas", "events", MIRROR_KEYS, f"{root}/store", f"{root}/log", f"{root}/export", schema)
-    return JB.read_mirror(spark, f"{root}/store", "events", MIRROR_KEYS, deltas.schema).select("user_id", "event_type", "event_id", "value")
+    return root, deltas.schema
+
+
+@query("mirror_job", O.with_views(["mirror_delta"], _MIRROR_SQL))
+def q_mirror_job(spark, sf_dir):
+    root, schema = _mirror_run(spark, sf_dir)
+    return JB.read_mirror(spark, f"{root}/store", "events", MIRROR_KEYS, JB.store_schema(schema)).select("user_id", "event_type", "event_id", "value")
+
+
+@query("mirror_export", O.with_views(["mirror_delta"], "SELECT CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(event_id AS VARCHAR) AS event_id, "
+                                     "CAST(value AS VARCHAR) AS value FROM (" + _MIRROR_SQL + ") m"))
+def q_mirror_export(spark, sf_dir):
+    """The export of the mirror job, read back as text."""
+    root, schema = _mirror_run(spark, sf_dir)
+    exported = FS.read_text_csv(spark, f"{root}/export", [c for c in schema.names if c != "delta_id"])
+    return exported.select("user_id", "event_type", "event_id", "value")
+
+
+@query("mirror_log", O.with_views(["mirror_delta"], """SELECT DISTINCT delta_id AS "ID", 'events' AS "TABLE", TRUE AS ended FROM mirror_delta"""))
+def q_mirror_log(spark, sf_dir):
+    """The load log of the mirror job's two runs: every batch once."""
+    root, _ = _mirror_run(spark, sf_dir)
+    return MI.read_load_log(spark, f"{root}/log").select("ID", "TABLE", (F.col("BEGIN") <= F.col("END")).alias("ended"))
 
 
 # ---------------------------------------------------------------- categories and round trips

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,10 @@ from pyspark.sql import types as T
 from tallyspark.functions.money import decimal_text
 
 
+# Folders and files looked into at a time.
+LISTERS = 16
+
+
 def _partition_value(v) -> str:
     if isinstance(v, (dt.date, dt.datetime)):
         return v.isoformat()[:10]
@@ -51,6 +56,12 @@ def _moved(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def moved_into(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to ``target``, whose parent folders are made."""
+    _parents(spark, target)
+    _moved(spark, source, target)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -121,6 +132,35 @@ def _exchange(spark: SparkSession, root: str, period: str, new: str) -> None:
         _moved(spark, new, path)
 
 
+def files_of_each(spark: SparkSession, paths: list[str]) -> list[list[tuple[str, str]]]:
+    """(path, address as rows' ``_metadata.file_path`` has it) of the files at each of ``paths`` (a file, or a folder of
+    part files), hidden ones left out: listings, no file is opened."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def files(path: str) -> list[tuple[str, str]]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        shown = [s for s in p.getFileSystem(conf).listStatus(p) if s.isFile()]
+        return [(s.getPath().toString(), s.getPath().toUri().toString()) for s in shown if not s.getPath().getName().startswith(("_", "."))]
+    with ThreadPoolExecutor(LISTERS) as pool:
+        return list(pool.map(files, paths))
+
+
+def first_lines(spark: SparkSession, files: list[str], limit: int = 1 << 16) -> list[str]:
+    """The first line of each file, read from its first ``limit`` bytes."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def line(path: str) -> str:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            head = bytes(stream.readNBytes(limit))
+        finally:
+            stream.close()
+        return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+    with ThreadPoolExecutor(LISTERS) as pool:
+        return list(pool.map(line, files))
+
+
 def replace_partition(df: DataFrame, root: str, spec: dict) -> str:
     """Replace one period of a partitioned parquet table with ``df`` (may be empty)."""
     spark, root = df.sparkSession, root.rstrip("/")
