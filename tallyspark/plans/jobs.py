@@ -57,7 +57,8 @@ def writelog(spark: SparkSession, root: str, texts: list[str], message_type: int
         row = current.agg(F.max("record_id").alias("m")).first()
         last = int(row["m"] or 0)
     msgs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "msg_no BIGINT, message_text STRING")
-    pieces = AU.split_messages(msgs, "message_text", ["msg_no"], first_id=last + 1, message_type=message_type)
+    pieces = AU.split_messages(msgs, "message_text", ["msg_no"], first_id=last + 1, message_type=message_type,
+                               bounds=[])
     (pieces.select("record_id", F.localtimestamp().alias("date_time"), "message", "message_type")
      .write.mode("append").parquet(f"{root.rstrip('/')}/{MESSAGE_TABLE}"))
 

@@ -82,7 +82,7 @@ def test_upsert_matches_dict_update_and_is_idempotent(spark, target, incoming):
 def test_split_messages_matches_piece_loop(spark, texts):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id INT, text STRING")
     got = [(r.record_id, r.doc_id, r.piece_no, r.message)
-           for r in AU.split_messages(docs, "text", ["doc_id"], first_id=5, size=4, bucket_width=2)
+           for r in AU.split_messages(docs, "text", ["doc_id"], first_id=5, size=4, bounds=[1, 3, 4])
            .orderBy("record_id").collect()]
     want, rid = [], 5
     for i, t in enumerate(texts):
@@ -145,11 +145,40 @@ def test_versioned_import_with_a_hot_key(spark):
 def test_consecutive_ids_with_sparse_ids_and_few_buckets(spark):
     from pyspark.sql import functions as F
     df = spark.range(1000).select((F.col("id") * 1_000_000_000_007).alias("doc"), F.lit(0).alias("piece"))
-    out = AU.consecutive_ids(df, ["doc", "piece"], "rid", start=10, max_buckets=4)
+    out = AU.consecutive_ids(df, ["doc", "piece"], "rid", start=10, bounds=AU.quantile_bounds(df, "doc", 4))
     got = [r.rid for r in out.orderBy("doc").collect()]
     assert got == list(range(10, 1010))
 
 
+def test_an_outlying_id_leaves_the_buckets_balanced(spark):
+    from pyspark.sql import functions as F
+    far = 9_000_000_000_000_000_000
+    df = spark.range(20_000).select(F.when(F.col("id") == 7, far).when(F.col("id") == 8, -far).otherwise(F.col("id")).alias("doc"))
+    bounds = AU.quantile_bounds(df, "doc", 100)
+    sizes = [r["count"] for r in df.groupBy(AU.bucket_of(F.col("doc"), bounds)).count().collect()]
+    assert len(sizes) == 100 and max(sizes) <= 2 * min(sizes)
+    out = AU.consecutive_ids(df, ["doc"], "rid", bounds=bounds).orderBy("doc").collect()
+    assert [r.rid for r in out] == list(range(1, 20_001)) and out[0].doc == -far and out[-1].doc == far
+
+
+def test_bounds_of_other_types_and_null_order_values(spark):
+    from pyspark.sql import functions as F
+    days = spark.range(500).select(F.when(F.col("id") < 490, F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int"))).alias("day"), "id")
+    out = AU.consecutive_ids(days, ["day", "id"], "rid", bounds=AU.quantile_bounds(days, "day", 8)).orderBy("rid").collect()
+    assert [r.rid for r in out] == list(range(1, 501)) and [r.id for r in out] == [*range(490, 500), *range(490)]
+    money = spark.range(100).select((F.col("id") * 1.5).cast("decimal(10,2)").alias("m"), "id")
+    assert [r.id for r in AU.consecutive_ids(money, ["m"], "rid", bounds=AU.quantile_bounds(money, "m", 5)).orderBy("rid").collect()] == list(range(100))
+
+
+def test_the_text_is_scanned_once(spark):
+    import re
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = AU.split_messages(docs, "text", ["doc_id"])
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall("FileScan", final)) == 1 and final.count("ReusedExchange") == 1
+
+
 @settings(**{**SETTINGS, "max_examples": 4})
 @given(current=st.dictionaries(st.integers(0, 4), st.integers(0, 3), max_size=4),
        files=st.lists(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3)), max_size=8), min_size=1, max_size=2))
