@@ -6,35 +6,32 @@ skipped; otherwise the current version is closed (``actuality = false``) and
 the row becomes the new current version.  Keys absent from the file are left
 alone; one file may carry several versions of a key.
 
-Set-based form:
-
-1. ``u`` = open versions (seq = -1) union parsed incoming rows (seq = file order)
-2. keep the open version, or a row whose measures differ from the row just
-   before it in (key, seq) order (a skipped row equals the state, so comparing
-   with the previous row equals comparing with the state)
-3. ``actuality`` = no later kept row of the key.
-
-Only open versions of keys present in the file enter step 1; closed history
-rows and open versions of other keys are carried over untouched and never
-enter the shuffle.
-
-"Previous / next row of the key" comes from ``neighbours_in_key``, which
-windows by (key, seq bucket) so a key with very many versions is spread over
-many tasks instead of one window per key.  Text that does not parse is
-split off as a rejected row with a ``BAD ROW: <k0:k1:...>`` message and an
-error text cut to 250 characters.
+Set-based form, which windows the file only:
+
+1. a row of the file is a change if its measures differ from those of the row
+   before it in (key, file order); the first row of a key is one if they differ
+   from the open version's, or there is none (a skipped row equals the state, so
+   comparing with the previous row equals comparing with the state);
+2. the last change of a key is its new current version;
+3. an open version is closed if its key has a change.
+
+Rows are windowed by (key, bucket of the file order), so a key with very many
+versions is spread over many tasks; a table with one row per (key, bucket)
+carries the last measures of a bucket into the next one, the key's last change
+and the open version.  The file is read and shuffled once for all of this.  Of
+the history only open versions are joined on the key; closed rows are carried
+over untouched.  Text that does not parse is split off as a rejected row with a
+``BAD ROW: <k0:k1:...>`` message and an error text cut to 250 characters.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.functions.dates import naive_timestamp
-from tallyspark.operators.sequence import BUCKET, DEFAULT_BUCKET, KEY, neighbours_in_key
+from tallyspark.operators.sequence import BUCKET, DEFAULT_BUCKET, KEY, by_bucket
 
 # Fixed value: length limit of the logged error text.
 ERROR_TEXT_LIMIT = 250
@@ -99,49 +96,41 @@ def bad_rows(incoming: DataFrame, keys: list[str], measures: dict[str, str], tar
 
 
 def _version_scan(history: DataFrame, incoming: DataFrame, keys: list[str], measures: dict[str, str],
-                  insert_date, text_columns: dict[str, str] | None, seq_col: str, date_col: str, flag_col: str,
-                  bucket_width: int, carry: list[str]):
-    """Shared scan: (touched open + kept new rows with ``_old``/``_seq``, untouched open rows, closed rows).
-
-    ``carry`` columns of the history ride along on the open versions (NULL
-    on new rows), e.g. a stored row identity.
-    """
-    text_columns = text_columns or {m: m for m in measures}
+                  text_columns: dict[str, str] | None, seq_col: str, flag_col: str, bucket_width: int):
+    """Shared scan: new versions (keys, measures, ``_seq``, flag) and the open versions of the history, their flag renewed."""
     names = list(measures)
-    date_type = history.schema[date_col].dataType
-    carried = [F.col(c) for c in carry]
-    no_carry = [F.lit(None).cast(history.schema[c].dataType).alias(c) for c in carry]
     parsed = parse_incoming(incoming, measures, text_columns).filter(F.col("_bad").isNull())
-    new_rows = parsed.select(*keys, *[F.col(f"_p_{m}").alias(m) for m in names],
-                             _date_literal(insert_date, date_type).alias(date_col), *no_carry,
-                             F.col(seq_col).cast("bigint").alias("_seq"), F.lit(False).alias("_old"))
-    open_rows = history.filter(F.col(flag_col)).select(
-        *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], F.col(date_col), *carried,
-        F.lit(-1).cast("bigint").alias("_seq"), F.lit(True).alias("_old"))
-    # Only open versions of keys present in the file take part; the others
-    # stay as they are (the incoming key set is usually far smaller than the
-    # history, and Spark broadcasts it when it measures it small).
-    file_keys = new_rows.select(*[F.col(k).alias(f"_fk_{k}") for k in keys]).distinct()
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_fk_{k}")) for k in keys])
-    touched = open_rows.join(file_keys, on, "left_semi")
-    untouched = open_rows.join(file_keys, on, "left_anti").select(
-        *keys, *names, date_col, *carry, F.lit(True).alias(flag_col))
-    u = touched.unionByName(new_rows)
-    state = F.struct(*[F.coalesce(F.col(m), F.lit(0).cast(measures[m])).alias(m) for m in names])
-    u = u.withColumn("_s", state)
-    # Previous row of the same key in seq order (NULL: the key has no version yet).
-    scanned = neighbours_in_key(u, keys, "_seq", ["_s"], prev_col="_prev", next_col=None,
-                                bucket_width=bucket_width, keep_grouping=True)
-    kept = scanned.filter(F.col("_old") | F.col("_prev").isNull() | ~F.col("_prev._s").eqNullSafe(F.col("_s")))
-    # Current version = no later kept row of the same key.  The second pass
-    # keeps the first pass's grouping columns, so it needs no new shuffle.
-    kept = neighbours_in_key(kept.select(*keys, *names, date_col, *carry, "_seq", "_old", KEY, BUCKET), keys,
-                             "_seq", ["_seq"], prev_col=None, next_col="_nxt", bucket_width=bucket_width)
-    current = kept.select(*keys, *names, date_col, *carry, "_seq", "_old",
-                          F.col("_nxt").isNull().alias(flag_col))
-    closed = history.filter(~F.coalesce(F.col(flag_col), F.lit(False))).select(
-        *keys, *[F.col(m).cast(measures[m]).alias(m) for m in names], date_col, *carried, flag_col)
-    return current, untouched, closed
+    rows = by_bucket(parsed.select(*keys, F.col(seq_col).cast("bigint").alias("_seq"),
+                                   F.struct(*[F.col(f"_p_{m}").alias(m) for m in names]).alias("_s")), keys, "_seq", bucket_width)
+    local = (rows.select(KEY, BUCKET, "_seq", "_s")
+             .withColumn("_lp", F.lag("_s").over(Window.partitionBy(KEY, BUCKET).orderBy("_seq"))))
+    differs = lambda a, b: ~F.col(a).eqNullSafe(F.col(b))
+    # One row per (key, bucket).
+    edges = local.groupBy(KEY, BUCKET).agg(
+        F.min_by("_s", "_seq").alias("_first"), F.max_by("_s", "_seq").alias("_last"), F.min("_seq").alias("_from"),
+        F.max(F.when(F.col("_lp").isNotNull() & differs("_lp", "_s"), F.col("_seq"))).alias("_changed"))
+    in_order, whole = Window.partitionBy(KEY).orderBy(BUCKET), Window.partitionBy(KEY)
+    edges = edges.withColumns({"_bp": F.lag("_last").over(in_order), "_head": F.min_by("_first", "_from").over(whole), "_start": F.min("_from").over(whole)})
+    at_edge = F.when(F.col("_bp").isNotNull() & differs("_bp", "_first"), F.col("_from"))
+    edges = edges.withColumn("_later", F.max(F.coalesce("_changed", at_edge)).over(whole))
+    stored = history.filter(F.col(flag_col)).withColumn(KEY, F.struct(*keys))
+    state = F.struct(*[F.coalesce(F.col(m).cast(measures[m]), F.lit(0).cast(measures[m])).alias(m) for m in names])
+    edges = edges.join(stored.groupBy(KEY).agg(F.max(state).alias("_open")), KEY, "left")
+    begins = F.col("_open").isNull() | differs("_open", "_head")
+    edges = edges.select(KEY, BUCKET, "_bp", "_from", "_start", begins.alias("_begins"),
+                         F.coalesce("_later", F.when(begins, F.col("_start"))).alias("_current"))
+    seen = local.join(edges, [KEY, BUCKET]).withColumn("_prev", F.coalesce("_lp", "_bp"))
+    kept = seen.filter(F.when(F.col("_prev").isNull(), F.col("_begins")).otherwise(differs("_prev", "_s")))
+    new = kept.select(f"{KEY}.*", "_s.*", "_seq", (F.col("_seq") == F.col("_current")).alias(flag_col))
+    # One row per key with a change.
+    changed = edges.filter((F.col("_from") == F.col("_start")) & F.col("_current").isNotNull()).select(KEY, F.lit(True).alias("_closed"))
+    open_rows = stored.join(changed, KEY, "left").withColumn(flag_col, F.col("_closed").isNull()).drop(KEY, "_closed")
+    return new, open_rows
+
+
+def _typed(measures: dict[str, str]) -> list[Column]:
+    """Stored measures at their types."""
+    return [F.col(m).cast(measures[m]).alias(m) for m in measures]
 
 
 def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], measures: dict[str, str],
@@ -149,11 +138,12 @@ def versioned_import(history: DataFrame, incoming: DataFrame, keys: list[str], m
                      date_col: str = "insert_date", flag_col: str = "actuality",
                      bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
     """Next version of the history table after importing ``incoming`` (valid rows only)."""
-    current, untouched, closed = _version_scan(history, incoming, keys, measures, insert_date, text_columns,
-                                               seq_col, date_col, flag_col, bucket_width, [])
-    names = list(measures)
-    return (current.select(*keys, *names, date_col, flag_col)
-            .unionByName(untouched).unionByName(closed))
+    new, open_rows = _version_scan(history, incoming, keys, measures, text_columns, seq_col, flag_col, bucket_width)
+    date = _date_literal(insert_date, history.schema[date_col].dataType).alias(date_col)
+    closed = history.filter(~F.coalesce(F.col(flag_col), F.lit(False)))
+    return (new.select(*keys, *measures, date, flag_col)
+            .unionByName(open_rows.select(*keys, *_typed(measures), date_col, flag_col))
+            .unionByName(closed.select(*keys, *_typed(measures), date_col, flag_col)))
 
 
 def versioned_changes(history: DataFrame, incoming: DataFrame, keys: list[str], measures: dict[str, str],
@@ -171,14 +161,13 @@ def versioned_changes(history: DataFrame, incoming: DataFrame, keys: list[str],
     ``versioned_import``.
     """
     rload, rseq = row_cols
-    current, _, _ = _version_scan(history, incoming, keys, measures, insert_date, text_columns, seq_col,
-                                  date_col, flag_col, bucket_width, [rload, rseq])
-    names = list(measures)
-    changed = current.filter(~F.col("_old") | ~F.col(flag_col))
-    return changed.select(
-        *keys, *names, date_col, flag_col,
-        F.when(F.col("_old"), F.col(rload)).otherwise(F.lit(load_id)).cast("bigint").alias(rload),
-        F.when(F.col("_old"), F.col(rseq)).otherwise(F.col("_seq")).cast("bigint").alias(rseq))
+    new, open_rows = _version_scan(history, incoming, keys, measures, text_columns, seq_col, flag_col, bucket_width)
+    date = _date_literal(insert_date, history.schema[date_col].dataType).alias(date_col)
+    own = [F.lit(load_id).cast("bigint").alias(rload), F.col("_seq").alias(rseq)]
+    ended = open_rows.filter(~F.col(flag_col))
+    return (new.select(*keys, *measures, date, flag_col, *own)
+            .unionByName(ended.select(*keys, *_typed(measures), date_col, flag_col, F.col(rload).cast("bigint").alias(rload),
+                                      F.col(rseq).cast("bigint").alias(rseq))))
 
 
 def _date_literal(value, date_type) -> Column:

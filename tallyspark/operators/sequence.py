@@ -11,9 +11,9 @@ bucket of the same key, found on a table with one row per (key, bucket).
 The key is carried as one struct column (``_kk``): a struct is never NULL
 itself, so plain equality on it is null-safe, and the window, the per-bucket
 edge table and the edge join all use the same (``_kk``, ``_b``) hash
-partitioning; only the small edge table moves.  Callers that run several
-passes keep ``_kk``/``_b`` between them (``keep_grouping=True``) so the later
-passes reuse the partitioning instead of shuffling again.
+partitioning; only the small edge table moves.  Edges are taken from the
+window's own output and ask for the columns that the rows have, so both read
+one shuffle and the input is derived once.
 
 Everything is a deterministic function of the data (no sampling, no
 partition ids), so re-running a lost task gives the same rows.
@@ -29,9 +29,14 @@ KEY = "_kk"
 BUCKET = "_b"
 
 
+def by_bucket(df: DataFrame, keys: list[str], seq_col: str, bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
+    """``df`` with the key as one struct and the bucket of its sequence number."""
+    return df.withColumns({KEY: F.struct(*[F.col(k) for k in keys]), BUCKET: F.floor(F.col(seq_col) / F.lit(bucket_width)).cast("bigint")})
+
+
 def neighbours_in_key(df: DataFrame, keys: list[str], seq_col: str, value_cols: list[str],
                       prev_col: str | None = "_prev", next_col: str | None = "_next",
-                      bucket_width: int = DEFAULT_BUCKET, keep_grouping: bool = False) -> DataFrame:
+                      bucket_width: int = DEFAULT_BUCKET) -> DataFrame:
     """Add ``prev_col`` / ``next_col``: struct of ``value_cols`` of the previous / next row of the
     same key in ``seq_col`` order (NULL for the first / last row of the key).
 
@@ -39,33 +44,17 @@ def neighbours_in_key(df: DataFrame, keys: list[str], seq_col: str, value_cols:
     form one key (null-safe grouping).
     """
     value = F.struct(*[F.col(c) for c in value_cols])
-    seq = F.col(seq_col)
-    grouped = df
-    if KEY not in df.columns:
-        grouped = grouped.withColumn(KEY, F.struct(*[F.col(k) for k in keys]))
-    if BUCKET not in df.columns:
-        grouped = grouped.withColumn(BUCKET, F.floor(seq / F.lit(bucket_width)).cast("bigint"))
-    w = Window.partitionBy(KEY, BUCKET).orderBy(seq)
-    local = grouped
-    if prev_col:
-        local = local.withColumn("_lp", F.lag(value).over(w))
-    if next_col:
-        local = local.withColumn("_ln", F.lead(value).over(w))
-    # One row per (key, bucket); built from the same partitioning as the window.
-    edges = grouped.groupBy(KEY, BUCKET).agg(F.min_by(value, seq).alias("_first"),
-                                             F.max_by(value, seq).alias("_last"))
+    grouped = by_bucket(df, keys, seq_col, bucket_width)
+    w = Window.partitionBy(KEY, BUCKET).orderBy(seq_col)
+    local = grouped.withColumns({"_lp": F.lag(value).over(w), "_ln": F.lead(value).over(w)})
+    # One row per (key, bucket); the hash asks for all columns, so both sides share the shuffle below the window.
+    edges = local.groupBy(KEY, BUCKET).agg(F.min_by(value, seq_col).alias("_first"), F.max_by(value, seq_col).alias("_last"),
+                                           F.max(F.hash(*df.columns)).alias("_all"))
     ew = Window.partitionBy(KEY).orderBy(BUCKET)
-    edge_cols = [F.col(KEY), F.col(BUCKET)]
-    if prev_col:
-        edge_cols.append(F.lag("_last").over(ew).alias("_bp"))
-    if next_col:
-        edge_cols.append(F.lead("_first").over(ew).alias("_bn"))
-    out = local.join(edges.select(*edge_cols), [KEY, BUCKET], "inner")
-    drop = [] if keep_grouping else [KEY, BUCKET]
+    edges = edges.select(KEY, BUCKET, F.lag("_last").over(ew).alias("_bp"), F.lead("_first").over(ew).alias("_bn"), "_all").filter("_all IS NOT NULL")
+    out = local.join(edges.drop("_all"), [KEY, BUCKET])
     if prev_col:
-        out = out.withColumn(prev_col, F.coalesce(F.col("_lp"), F.col("_bp")))
-        drop += ["_lp", "_bp"]
+        out = out.withColumn(prev_col, F.coalesce("_lp", "_bp"))
     if next_col:
-        out = out.withColumn(next_col, F.coalesce(F.col("_ln"), F.col("_bn")))
-        drop += ["_ln", "_bn"]
-    return out.drop(*drop)
+        out = out.withColumn(next_col, F.coalesce("_ln", "_bn"))
+    return out.drop(KEY, BUCKET, "_lp", "_ln", "_bp", "_bn")
