@@ -36,6 +36,25 @@ def length_violations(df: DataFrame, table: str, limits: dict[str, int]) -> Data
         for c, n in present.items()])))
 
 
+def constraint_findings(df: DataFrame, table: str, keys: list[str], not_null: list[str], limits: dict[str, int]) -> DataFrame:
+    """All findings of a table from one scan: (table_name, rule, column_name, n_rows).
+
+    ``key``: keys without NULL that occur more than once, under the names of the key columns; ``not null``: rows with NULL,
+    for each key and NOT NULL column; ``length``: values over their limit.  Rows are grouped by key once, NULL and
+    length counts ride along as sums, and a second aggregate with one row per task adds them up."""
+    nulls = [c for c in [*keys, *not_null] if c in df.columns]
+    long = {c: n for c, n in limits.items() if c in df.columns}
+    flags = [F.count_if(F.col(c).isNull()) for c in nulls] + [F.count_if(F.length(c) > n) for c, n in long.items()]
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[f.alias(f"_f{i}") for i, f in enumerate(flags)])
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    found = grouped.agg(F.count_if((F.col("_n") > 1) & whole).alias("_k"), *[F.coalesce(F.sum(f"_f{i}"), F.lit(0)).alias(f"_f{i}") for i in range(len(flags))])
+    rules = [("key", ",".join(keys), "_k")] + [("not null", c, f"_f{i}") for i, c in enumerate(nulls)]
+    rules += [("length", c, f"_f{i}") for i, c in enumerate(long, len(nulls))]
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), F.lit(c).alias("column_name"), F.col(n).alias("n_rows"))
+        for rule, c, n in rules])))
+
+
 def enforced(df: DataFrame, table: str, not_null: list[str], limits: dict[str, int]) -> DataFrame:
     """``df`` itself, failing the job at a NULL in ``not_null`` or a text over its limit (a filter: never optimised away)."""
     fault = F.lit(None).cast("string")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.functions.money import checked, checked_sum
 from tallyspark.schemas import KEYS
 
 
@@ -27,7 +28,8 @@ def posting_preagg(raw: DataFrame, keys: list[str] | None = None, amounts: list[
         t = raw.schema[c].dataType
         # The stored column keeps the detail money type.
         target = T.DecimalType(15, 2) if isinstance(t, T.DecimalType) else t
-        aggs.append(F.coalesce(F.sum(c), F.lit(0)).cast(target).alias(c))
+        total = F.coalesce(checked_sum(F.col(c)), F.lit(0)) if isinstance(t, T.DecimalType) else F.coalesce(F.sum(c), F.lit(0))
+        aggs.append(checked(total, target).alias(c))
     return raw.dropna(subset=keys).groupBy(*keys).agg(*aggs)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import as_date, month_bounds_py, prev_month_end_py, valid_on
-from tallyspark.functions.money import to_mart, zero_mart
+from tallyspark.functions.money import checked_sum, to_mart, zero_mart
 from tallyspark.schemas import REPORT_COLUMNS, REPORT_MEASURES
 
 # Currency codes that count as roubles.
@@ -128,8 +128,8 @@ def ledger_report(accounts: DataFrame, currencies: DataFrame, ledger: DataFrame,
     """``dm_f101_round_f`` rows for the month of ``on_date`` (29 columns)."""
     rows = report_rows(accounts, currencies, ledger, balances, rates, turnover, on_date,
                        turnover_grain, missing_balance)
-    sums = [to_mart(F.sum(m)).alias(m) for m in REPORT_MEASURES if m != "balance_out_total"]
-    sums.append(to_mart(F.sum(F.col("balance_out_rub") + F.col("balance_out_val"))).alias("balance_out_total"))
+    sums = [to_mart(checked_sum(F.col(m))).alias(m) for m in REPORT_MEASURES if m != "balance_out_total"]
+    sums.append(to_mart(checked_sum(F.col("balance_out_rub") + F.col("balance_out_val"))).alias("balance_out_total"))
     agg = rows.groupBy("from_date", "to_date", "chapter", "ledger_account", "characteristic").agg(*sums)
     out = []
     for c in REPORT_COLUMNS:

@@ -12,7 +12,8 @@ Aggregating the legs per account *before* the joins makes the joins see at
 most one row per account and day, so a hot account (one holding a large share
 of all postings) is collapsed map-side instead of landing in one join task.
 Summation is linear, so summing per account first and multiplying by the rate
-afterwards is exact in decimals.  Overlapping rate rows fan out exactly as in
+afterwards is exact in decimals; the amount's width follows the type of the
+rate, and casts and sums that overflow fail the job.  Overlapping rate rows fan out exactly as in
 the reference's join: the converted amount sums over every matching rate and
 the native amount is counted once per matching rate.
 """
@@ -23,20 +24,22 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.functions.dates import as_date, dyadic_cover, dyadic_path, month_bounds_py, valid_on
-from tallyspark.functions.money import SUM_AMOUNT, to_mart
-from tallyspark.schemas import AMOUNT
+from tallyspark.functions.money import amount_for, checked, checked_sum, to_mart
+from tallyspark.schemas import AMOUNT, RATE
 
 
 def posting_legs(postings: DataFrame) -> DataFrame:
     """Credit leg and debit leg of every posting from a single scan."""
     null_amount = F.lit(None).cast(AMOUNT)
+    amount = lambda c: F.col(c) if postings.schema[c].dataType == AMOUNT else checked(F.col(c), AMOUNT)
     return postings.select(F.inline(F.array(
         F.struct(F.col("oper_date"), F.col("credit_account_rk").alias("account_rk"),
-                 F.col("credit_amount").cast(AMOUNT).alias("credit_amount"), null_amount.alias("debet_amount")),
+                 amount("credit_amount").alias("credit_amount"), null_amount.alias("debet_amount")),
         F.struct(F.col("oper_date"), F.col("debet_account_rk").alias("account_rk"),
-                 null_amount.alias("credit_amount"), F.col("debet_amount").cast(AMOUNT).alias("debet_amount")),
+                 null_amount.alias("credit_amount"), amount("debet_amount").alias("debet_amount")),
     )))
 
 
@@ -49,14 +52,17 @@ def _accounts_valid(accounts: DataFrame, d: dt.date, start_in_month: bool) -> Da
 
 
 def _converted_sums(joined: DataFrame, group: list[str]) -> DataFrame:
-    rate = F.coalesce(F.col("reduced_cource"), F.lit(1))
-    cre = F.col("cre").cast(SUM_AMOUNT)
-    deb = F.col("deb").cast(SUM_AMOUNT)
+    kind = joined.schema["reduced_cource"].dataType
+    kind = kind if isinstance(kind, T.DecimalType) else RATE
+    given = F.col("reduced_cource") if kind == joined.schema["reduced_cource"].dataType else checked(F.col("reduced_cource"), kind)
+    rate = F.coalesce(given, F.lit(1).cast(kind))
+    amount = amount_for(kind)
+    mart = lambda c: to_mart(F.coalesce(checked_sum(c), F.lit(0)))
     return joined.groupBy(*group).agg(
-        to_mart(F.coalesce(F.sum("cre"), F.lit(0))).alias("credit_amount"),
-        to_mart(F.coalesce(F.sum(cre * rate), F.lit(0))).alias("credit_amount_rub"),
-        to_mart(F.coalesce(F.sum("deb"), F.lit(0))).alias("debet_amount"),
-        to_mart(F.coalesce(F.sum(deb * rate), F.lit(0))).alias("debet_amount_rub"),
+        mart(F.col("cre")).alias("credit_amount"),
+        mart(checked(F.col("cre"), amount) * rate).alias("credit_amount_rub"),
+        mart(F.col("deb")).alias("debet_amount"),
+        mart(checked(F.col("deb"), amount) * rate).alias("debet_amount_rub"),
     )
 
 
@@ -71,7 +77,7 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     legs = posting_legs(postings.filter(F.col("oper_date") == F.lit(d)))
     per_account = (legs.filter(F.col("account_rk").isNotNull())
                    .groupBy("account_rk")
-                   .agg(F.sum("credit_amount").alias("cre"), F.sum("debet_amount").alias("deb")))
+                   .agg(checked_sum(F.col("credit_amount")).alias("cre"), checked_sum(F.col("debet_amount")).alias("deb")))
     acc = _accounts_valid(accounts, d, account_start_in_month)
     rt = rates.filter(valid_on(d, "data_actual_date", "data_actual_end_date")).select("currency_rk", "reduced_cource")
     joined = per_account.join(acc, "account_rk").join(rt, "currency_rk", "left")
@@ -120,7 +126,7 @@ def account_turnover_range(postings: DataFrame, accounts: DataFrame, rates: Data
     legs = posting_legs(postings)
     per_account = (legs.filter(F.col("account_rk").isNotNull() & F.col("oper_date").isNotNull())
                    .groupBy("account_rk", "oper_date")
-                   .agg(F.sum("credit_amount").alias("cre"), F.sum("debet_amount").alias("deb")))
+                   .agg(checked_sum(F.col("credit_amount")).alias("cre"), checked_sum(F.col("debet_amount")).alias("deb")))
     acc = accounts.select("account_rk", "currency_rk",
                           F.col("data_actual_date").alias("acc_start"), F.col("data_actual_end_date").alias("acc_end"))
     cond = F.col("oper_date").between(F.col("acc_start"), F.col("acc_end"))

@@ -7,6 +7,8 @@ with the DataFrame API, so the two are independent implementations.
 
 from __future__ import annotations
 
+from tallyspark.schemas import REPORT_COLUMNS
+
 # Fixture views, in dependency order (same rules as tallyspark.sources.fixtures).
 FIXTURE_SQL: dict[str, str] = {
     "md_account_src": """
@@ -109,7 +111,30 @@ SELECT CASE WHEN o_orderkey % 7 = 0 THEN strftime(o_orderdate, '%d.%m.%Y')
 FROM orders""",
 }
 
+
+
+def _report_lines_sql() -> str:
+    names = REPORT_COLUMNS[5:]
+    plain = {m: f"CAST(CAST(c_acctbal AS DECIMAL(23,8)) + {i} AS VARCHAR)" for i, m in enumerate(names)}
+    keys = {"from_date": "'1998-09-01'", "to_date": "'1998-09-30'", "chapter": "CASE WHEN c_custkey % 2 = 0 THEN 'A' ELSE 'B' END",
+            "ledger_account": "LPAD(CAST(c_custkey % 100000 AS VARCHAR), 5, '0')",
+            "characteristic": "CASE WHEN (c_custkey // 100000) % 2 = 0 THEN 'A' ELSE 'P' END"}
+    second = plain | {names[2]: f"CASE WHEN c_custkey % 9 = 0 THEN '' ELSE {plain[names[2]]} END",
+                      names[7]: f"CASE WHEN c_custkey % 11 = 0 THEN 'bad' ELSE {plain[names[7]]} END",
+                      names[23]: f"CASE WHEN c_custkey % 5 = 2 THEN '0.00000001' ELSE {plain[names[23]]} END"}
+    parts = [(keys | plain, "c_custkey % 4 <> 0"), (keys | second | {"from_date": "CASE WHEN c_custkey % 13 = 0 THEN '1998-13-45' ELSE '1998-09-01' END"}, "TRUE"),
+             (keys | plain | {names[0]: "'7'"}, "c_custkey % 7 = 0")]
+    return "\nUNION ALL\n".join("SELECT " + ", ".join(f"{v} AS {c}" for c, v in cols.items()) + f", {i} AS part FROM customer WHERE {where}"
+                                 for i, (cols, where) in enumerate(parts))
+
+
+FIXTURE_SQL["report_lines"] = _report_lines_sql()
+FIXTURE_SQL["ledger_full"] = """
+SELECT a.chapter, a.ledger_account, a.start_date, a.end_date, r.pair_account, r.section_name
+FROM md_ledger_account_s a LEFT JOIN ledger_raw r ON r.ledger_account = a.ledger_account"""
+
 _DEPENDS = {
+    "ledger_full": ["md_ledger_account_s", "ledger_raw"],
     "md_account_d": ["md_account_src"],
     "ft_balance_f": ["md_account_src"],
     "md_exchange_rate_d": ["exchange_rate_raw"],

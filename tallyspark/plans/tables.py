@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.operators.upsert import latest_per_key
+from tallyspark.sinks import files as FS
 
 
 def table_path(root: str, table: str) -> str:
@@ -31,12 +32,14 @@ LOAD_COL = "_load"
 
 
 def new_load_id(spark: SparkSession, root: str, tables: list[str]) -> int:
-    """A load id above every stored one: the clock (microseconds since the epoch, UTC) unless that has fallen back."""
+    """A load id above every stored one: the clock (microseconds since the epoch, UTC) unless that has fallen back.
+
+    Loads are folders (``_load=<id>``), so stored ids come from a listing; no data file is opened."""
     now = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
     for table in tables:
-        stored = stored_rows(spark, root, table, T.StructType([T.StructField(LOAD_COL, T.LongType())]))
-        if stored is not None:
-            now = max(now, (stored.agg(F.max(LOAD_COL)).first()[0] or 0) + 1)
+        path = table_path(root, table)
+        names = FS.folder_names(spark, path) if FS.exists(spark, path) else []
+        now = max([now, *(int(n.partition("=")[2]) + 1 for n in names if n.startswith(f"{LOAD_COL}="))])
     return now
 
 
@@ -52,14 +55,12 @@ def stored_rows(spark: SparkSession, root: str, table: str, schema=None) -> Data
 
 
 def append_load(df: DataFrame, root: str, table: str, load_id: int, partition_by: list[str] | None = None) -> int:
+    """Append the rows of a load in a folder of its own, below it by ``partition_by``."""
     out = df.withColumn(LOAD_COL, F.lit(load_id).cast("bigint"))
     if partition_by:
         # Few files per folder; AQE still splits a folder holding a hot date.
         out = out.hint("rebalance", *partition_by)
-    writer = out.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(table_path(root, table))
+    out.write.mode("append").partitionBy(LOAD_COL, *(partition_by or [])).parquet(table_path(root, table))
     return load_id
 
 

@@ -349,6 +349,37 @@ def q_length_violations(spark, sf_dir):
     return CK.union_all([CK.length_violations(f.md_account_d, "md_account_d", MAX_LENGTH["md_account_d"]),
                          CK.length_violations(f.md_currency_d, "md_currency_d", MAX_LENGTH["md_currency_d"])])
 
+FINDING_TABLES = {"ft_balance_f": "ft_balance_f", "ft_posting_f": "posting_raw", "md_account_d": "md_account_d", "md_currency_d": "md_currency_d",
+                  "md_exchange_rate_d": "exchange_rate_raw", "md_ledger_account_s": "ledger_full"}
+
+
+def _findings_sql() -> str:
+    """Each rule of each table by a statement of its own."""
+    out = []
+    for table, view in FINDING_TABLES.items():
+        keys = KEYS[table]
+        whole = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        out.append(f"SELECT '{table}' AS table_name, 'key' AS rule, '{','.join(keys)}' AS column_name, COUNT(*) AS n_rows "
+                   f"FROM (SELECT 1 FROM {view} WHERE {whole} GROUP BY {', '.join(keys)} HAVING COUNT(*) > 1) d")
+        out += [f"SELECT '{table}', 'not null', '{c}', COUNT(*) FROM {view} WHERE {c} IS NULL" for c in keys + NOT_NULL.get(table, [])]
+        out += [f"SELECT '{table}', 'length', '{c}', COUNT(*) FROM {view} WHERE length({c}) > {n}" for c, n in _limits(table).items()]
+    return "\nUNION ALL\n".join(out)
+
+
+def _limits(table: str) -> dict[str, int]:
+    """Length limits of the columns that the derived table has."""
+    absent = {"md_exchange_rate_d": {"code_iso_num"}, "md_ledger_account_s": set(MAX_LENGTH["md_ledger_account_s"]) - {"chapter", "section_name"}}
+    return {c: n for c, n in MAX_LENGTH.get(table, {}).items() if c not in absent.get(table, ())}
+
+
+@query("constraint_findings", O.with_views(list(FINDING_TABLES.values()), _findings_sql()))
+def q_constraint_findings(spark, sf_dir):
+    """Keys, NOT NULL and length rules of all six detail tables, one scan a table."""
+    f = Fixtures(spark, sf_dir)
+    return CK.union_all([CK.constraint_findings(getattr(f, view), table, KEYS[table], NOT_NULL.get(table, []), _limits(table))
+                         for table, view in FINDING_TABLES.items()])
+
+
 # ---------------------------------------------------------------- upsert, period replace, counts
 
 from tallyspark import schemas as SC  # noqa: E402
@@ -521,23 +552,147 @@ from tallyspark.plans import jobs as JB  # noqa: E402
 from tallyspark.sources import csv as CSVS  # noqa: E402
 
 
-@query("load_upsert_job", O.with_views(["ft_balance_f"], """
-SELECT on_date, account_rk, currency_rk,
-       CAST(CASE WHEN account_rk % 2 = 0 THEN balance_out + 1 ELSE balance_out END AS DECIMAL(15,2)) AS balance_out
-FROM ft_balance_f"""))
-def q_load_upsert_job(spark, sf_dir):
-    """Balances loaded by the load job, then every second one again with a changed amount, from a file with its
-    columns in another order and without the currency, which keeps its stored value."""
+# Column that the second file of a table changes in the rows of even number, and the rows' number.
+LOAD_CHANGES = {
+    "ft_balance_f": ("balance_out", "balance_out + 1", "account_rk"), "ft_posting_f": ("credit_amount", "credit_amount + 1", "credit_account_rk"),
+    "md_account_d": ("currency_code", "'978'", "account_rk"), "md_currency_d": ("code_iso_char", "lower(code_iso_char)", "currency_rk"),
+    "md_exchange_rate_d": ("reduced_cource", "reduced_cource * 2", "currency_rk"), "md_ledger_account_s": ("section_name", "'changed'", "ledger_account"),
+}
+LOAD_VIEWS = {"ft_balance_f": "ft_balance_f", "ft_posting_f": "ft_posting_f", "md_account_d": "md_account_d", "md_currency_d": "md_currency_d",
+              "md_exchange_rate_d": "md_exchange_rate_d", "md_ledger_account_s": "ledger_full"}
+
+
+def _row_text(columns) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS STRING), '~')" for c in columns) + ")"
+
+
+def _load_sql() -> str:
+    out = []
+    for table, (column, value, number) in LOAD_CHANGES.items():
+        names = [f.name for f in dict(CSVS.DETAIL_FILES)[table].fields]
+        kind = "" if column in ("currency_code", "code_iso_char", "section_name") else dict(CSVS.DETAIL_FILES)[table][column].dataType.simpleString()
+        changed = f"CASE WHEN {number} % 2 = 0 THEN {value} ELSE {column} END"
+        have = {"md_ledger_account_s": ["chapter", "ledger_account", "start_date", "end_date", "pair_account", "section_name"]}.get(
+            table, [n for n in names if n != "code_iso_num"])
+        cols = [(f"CAST({changed} AS {kind})" if kind else changed) if n == column else n for n in have]
+        # Blank text instead of NULL, and columns of the table that the file lacks.
+        texts = [n for n in names if n not in have]
+        blank = {"ledger_full": "COALESCE({}, '')"}.get(LOAD_VIEWS[table])
+        shown = {n: (blank.format(c) if blank and n in ("chapter", "section_name") else c) for n, c in zip(have, cols)}
+        if table == "md_ledger_account_s":
+            shown["pair_account"] = "COALESCE(CAST(CAST(trunc(pair_account) AS BIGINT) AS VARCHAR), '')"
+        shown |= {n: "NULL" for n in texts}
+        row = _row_text([shown[n] for n in names]).replace("STRING", "VARCHAR")
+        out.append(f"SELECT '{table}' AS table_name, {row} AS row_text FROM {LOAD_VIEWS[table]}")
+    return "\nUNION ALL\n".join(out)
+
+
+def _loaded(spark, sf_dir) -> str:
+    """All six detail files loaded by the load job, then every second row again with a changed value, from files that have
+    their columns in another order and only the keys and that column."""
     f, root = Fixtures(spark, sf_dir), scratch_path(spark, "load_job")
-    CSVS.write_detail_csv(f.ft_balance_f, f"{root}/in1/ft_balance_f.csv")
-    again = f.ft_balance_f.filter("account_rk % 2 = 0").select((F.col("balance_out") + 1).cast("decimal(15,2)").alias("balance_out"),
-                                                               "account_rk", "on_date")
-    CSVS.write_detail_csv(again, f"{root}/in2/ft_balance_f.csv")
+    for table, (column, value, number) in LOAD_CHANGES.items():
+        df, kind = getattr(f, LOAD_VIEWS[table]), dict(CSVS.DETAIL_FILES)[table][column].dataType
+        CSVS.write_detail_csv(df, f"{root}/in1/{table}.csv")
+        again = df.filter(f"{number} % 2 = 0").select(F.expr(value).cast(kind).alias(column), *KEYS[table][::-1])
+        CSVS.write_detail_csv(again, f"{root}/in2/{table}.csv")
     for folder in ("in1", "in2"):
-        results = JB.load_detail(spark, f"{root}/{folder}", f"{root}/ds", f"{root}/logs", tables=["ft_balance_f"])
-        if results != {"ft_balance_f": "ok"}:
+        # The derived postings have few rows a day: only balances are stored by date.
+        results = JB.load_detail(spark, f"{root}/{folder}", f"{root}/ds", f"{root}/logs", partition_by={"ft_balance_f": ["on_date"]})
+        if set(results.values()) != {"ok"}:
             raise RuntimeError(f"load failed: {results}")
-    return JB.detail_tables(spark, f"{root}/ds", ["ft_balance_f"])["ft_balance_f"]
+    return root
+
+
+@query("load_upsert_job", O.with_views(list(LOAD_VIEWS.values()), _load_sql()))
+def q_load_upsert_job(spark, sf_dir):
+    """Rows of all six tables after two loads, each as text."""
+    tables = JB.detail_tables(spark, f"{_loaded(spark, sf_dir)}/ds")
+    return CK.union_all([df.select(F.lit(t).alias("table_name"), F.expr(_row_text(df.columns)).alias("row_text")) for t, df in tables.items()])
+
+
+@query("load_log", "SELECT status, verb || ' loading table ' || tab AS description FROM "
+       "(VALUES ('BEGIN_LOADING', 'Start'), ('FINISH_LOADING', 'Finish')) v(status, verb), (VALUES "
+       + ", ".join(f"('{t}')" for t in LOAD_VIEWS) + ") t(tab), (VALUES (1), (2)) n(run)")
+def q_load_log(spark, sf_dir):
+    """The audit log of two loads of all six files, read back."""
+    return JB.read_log(spark, f"{_loaded(spark, sf_dir)}/logs").select("status", "description")
+
+
+@query("fill_log", O.with_views(TURNOVER_VIEWS, """
+SELECT * FROM (VALUES (1, '[BEGIN] fill(i_OnDate => date ''1998-09-15'');'), (2, 'delete on_date = 1998-09-15'), (3, 'insert')) v(record_id, message)
+UNION ALL SELECT 4, '[END] inserted ' || CAST(COUNT(*) AS VARCHAR) || ' rows.' FROM (""" + turnover_select([D15]) + ") x"))
+def q_fill_log(spark, sf_dir):
+    """The message log of the day's turnover fill, read back."""
+    f, root = Fixtures(spark, sf_dir), scratch_path(spark, "fill")
+    detail = {t: getattr(f, t) for t in ("ft_posting_f", "md_account_d", "md_exchange_rate_d")}
+    JB.fill_turnover(spark, detail, f"{root}/dm", D15, f"{root}/logs")
+    return JB.read_messages(spark, f"{root}/logs").select(F.col("record_id").cast("int").alias("record_id"), "message")
+
+
+# ---- the report import: five keys, 24 measures, part files
+
+IMPORT_DAYS = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)]
+_REPORT_MEASURES = SC.REPORT_COLUMNS[5:]
+_REPORT_TARGET = "dm.dm_f101_round_f_v2"
+
+
+def _import_history_sql() -> str:
+    names = ", ".join(_REPORT_MEASURES)
+    state = "[" + names + "]"
+    return f"""
+SELECT from_date, to_date, chapter, ledger_account, characteristic, {names}, insert_date,
+       LEAD(seq) OVER (PARTITION BY from_date, to_date, chapter, ledger_account, characteristic ORDER BY seq) IS NULL AS actuality
+FROM (SELECT *, LAG({state}) OVER (PARTITION BY from_date, to_date, chapter, ledger_account, characteristic ORDER BY seq) AS before FROM every) l
+WHERE before IS NULL OR before <> {state}"""
+
+
+def _import_views() -> dict[str, str]:
+    number = lambda m: f"CASE WHEN trim({m}) = '' THEN CAST(0 AS DECIMAL(23,8)) ELSE TRY_CAST({m} AS DECIMAL(23,8)) END AS {m}"
+    return {
+        "typed": "SELECT TRY_CAST(from_date AS DATE) AS from_date, from_date AS from_text, TRY_CAST(to_date AS DATE) AS to_date, chapter, ledger_account, "
+                 "characteristic, part, " + ", ".join(number(m) for m in _REPORT_MEASURES) + f", {_REPORT_MEASURES[7]} AS bad_text FROM report_lines",
+        "every": "SELECT *, part AS seq, CASE part WHEN 0 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-01-02' END AS insert_date FROM typed "
+                 f"WHERE from_date IS NOT NULL AND {_REPORT_MEASURES[7]} IS NOT NULL",
+    }
+
+
+def _imported(spark, sf_dir) -> str:
+    """Two imports of report files: all good lines, then two part files with changed, unchanged, blank, bad and double ones."""
+    lines, root = Fixtures(spark, sf_dir).report_lines, scratch_path(spark, "report_import")
+    for part in (0, 1, 2):
+        lines.filter(F.col("part") == part).drop("part").write.csv(f"{root}/made/{part}", header=True, sep=";")
+    for folder, parts in (("first", [0]), ("second", [1, 2])):
+        for part in parts:
+            # Files of a folder are read in the order of their names.
+            for n, (path, _) in enumerate(FS.files_of_each(spark, [f"{root}/made/{part}"])[0]):
+                FS.moved_into(spark, path, f"{root}/{folder}/part-{part:05d}-{n:05d}.csv")
+    for folder, day in zip(("first", "second"), IMPORT_DAYS):
+        JB.import_report_versions(spark, f"{root}/{folder}", f"{root}/hist", f"{root}/logs", day)
+    return root
+
+
+@query("report_import_job", O.with_views(["report_lines"], _import_history_sql(), _import_views()))
+def q_report_import_job(spark, sf_dir):
+    """The versioned report table after two imports."""
+    return JB.read_history(spark, f"{_imported(spark, sf_dir)}/hist")
+
+
+@query("report_import_log", O.with_views(["report_lines"], f"""
+SELECT 'BEGIN_LOADING' AS status, 'Start loading table dm_f101_round_f_v2' AS description FROM (VALUES (1), (2)) v(run)
+UNION ALL
+SELECT 'FINISH_LOADING', 'Finish loading table dm_f101_round_f_v2 - Inserted: ' || CAST(COUNT(*) FILTER (WHERE insert_date = run_at) AS VARCHAR)
+FROM ({_import_history_sql()}) h, (VALUES (TIMESTAMP '2024-01-01'), (TIMESTAMP '2024-01-02')) v(run_at) GROUP BY run_at
+UNION ALL
+SELECT 'ERROR', substr(CASE WHEN from_date IS NULL THEN 'INSERT_ERROR: {_REPORT_TARGET} - invalid date in from_date: ' || from_text
+                       ELSE 'INSERT_ERROR: {_REPORT_TARGET} - invalid number in {_REPORT_MEASURES[7]}: ' || bad_text END, 1, 250)
+FROM typed WHERE from_date IS NULL OR {_REPORT_MEASURES[7]} IS NULL
+UNION ALL
+SELECT 'INFORM_MESS', 'BAD ROW: <' || concat_ws(':', from_text, CAST(to_date AS VARCHAR), chapter, ledger_account, characteristic) || '>'
+FROM typed WHERE from_date IS NULL OR {_REPORT_MEASURES[7]} IS NULL""", _import_views()))
+def q_report_import_log(spark, sf_dir):
+    """The audit log of the two imports: rejected lines, counts of rows inserted."""
+    return JB.read_log(spark, f"{_imported(spark, sf_dir)}/logs").select("status", "description")
 
 
 _MIRROR_SQL = """
@@ -602,13 +757,13 @@ def q_category_join(spark, sf_dir):
     return CA.category_join(CA.category_counts(f.athletes), f.disciplines)
 
 
-@query("csv_roundtrip", O.with_views(["athletes"], _COUNTS_SQL))
+@query("csv_roundtrip", O.with_views(["athletes", "disciplines"], _JOIN_SQL, {"counts": _COUNTS_SQL}))
 def q_csv_roundtrip(spark, sf_dir):
-    """Counts written as tab-separated files with a header, read back with a schema."""
-    counts = CA.category_counts(Fixtures(spark, sf_dir).athletes)
-    path = scratch_path(spark, "counts_tsv")
-    counts.write.csv(path, header=True, sep="\t")
-    return spark.read.schema("Discipline STRING, count BIGINT").csv(path, header=True, sep="\t")
+    """The small dimension written as one tab-separated file with a header, read back with a schema and joined."""
+    f = Fixtures(spark, sf_dir)
+    path = FS.export_csv(f.disciplines, scratch_path(spark, "disciplines_tsv"), sep="\t", single_file=True)
+    dimension = spark.read.schema(SC.DISCIPLINES).csv(path, header=True, sep="\t")
+    return CA.category_join(CA.category_counts(f.athletes), dimension)
 
 
 @query("athletes_csv_counts", O.with_views(["athletes"], _COUNTS_SQL))

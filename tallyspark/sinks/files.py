@@ -62,7 +62,7 @@ def moved_into(spark: SparkSession, source: str, target: str) -> None:
     _moved(spark, source, target)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
@@ -93,7 +93,7 @@ def _old_copies(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     """(swap folder, period path below the table) of every old copy that an exchange has left: a listing."""
     base = swap_root(root)
     out = []
-    for name in folder_names(spark, base) if _exists(spark, base) else []:
+    for name in folder_names(spark, base) if exists(spark, base) else []:
         if name.startswith("old-"):
             path, inner = f"{base}/{name}", []
             while inner_names := [n for n in folder_names(spark, path) if "=" in n]:
@@ -108,7 +108,7 @@ def _recover(spark: SparkSession, root: str, period: str) -> None:
     """End an exchange of the period that was cut off: the old copy goes back, or goes if the new rows are in place."""
     for folder, inner in _old_copies(spark, root):
         if inner == period:
-            if not _exists(spark, f"{root}/{period}"):
+            if not exists(spark, f"{root}/{period}"):
                 _parents(spark, f"{root}/{period}")
                 _moved(spark, f"{folder}/{inner}", f"{root}/{period}")
             _deleted(spark, folder)
@@ -118,7 +118,7 @@ def _exchange(spark: SparkSession, root: str, period: str, new: str) -> None:
     """Put folder ``new`` in the place of the period; a failure leaves the old rows in place."""
     path, old = f"{root}/{period}", f"{swap_root(root)}/old-{uuid.uuid4().hex}"
     _parents(spark, path)
-    if _exists(spark, path):
+    if exists(spark, path):
         _parents(spark, f"{old}/{period}")
         _moved(spark, path, f"{old}/{period}")
         try:
@@ -209,10 +209,10 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> Da
     root = root.rstrip("/")
     while True:
         copies = _old_copies(spark, root)
-        missing = [(folder, inner) for folder, inner in copies if not _exists(spark, f"{root}/{inner}")]
+        missing = [(folder, inner) for folder, inner in copies if not exists(spark, f"{root}/{inner}")]
         if copies == _old_copies(spark, root):
             break
-    parts = [spark.read.schema(schema).parquet(root).select(*schema.names)] if _exists(spark, root) or not missing else []
+    parts = [spark.read.schema(schema).parquet(root).select(*schema.names)] if exists(spark, root) or not missing else []
     for folder, inner in missing:
         parts.append(spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/{inner}").select(*schema.names))
     return reduce(DataFrame.unionByName, parts)

@@ -15,12 +15,14 @@ every derived table grows with the input tables.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.money import decimal_text
 from tallyspark.operators.clean import posting_preagg, rate_dedupe
+from tallyspark.schemas import REPORT_COLUMNS
 from tallyspark.sources.testdata import BaseTables
 
 D = dt.date
@@ -143,6 +145,33 @@ def ledger_raw(t: BaseTables) -> DataFrame:
     )
 
 
+def ledger_full(t: BaseTables) -> DataFrame:
+    """The ledger-account file: chapter, dates, float pair account and section, the other columns of the table empty."""
+    full = md_ledger_account_s(t).join(ledger_raw(t).select("ledger_account", "pair_account", "section_name"), "ledger_account", "left")
+    return full.select("chapter", F.col("ledger_account").cast("int").alias("ledger_account"), "start_date", "end_date", "pair_account", "section_name")
+
+
+def report_lines(t: BaseTables) -> DataFrame:
+    """Text lines of report files with all 24 measures; part 0 is a first import, parts 1 and 2 are the files of a second one.
+
+    Part 1 has every key again: unchanged, one measure changed, a blank, a number or a date that does not parse; part 2
+    has a further version of some."""
+    k, names = F.col("c_custkey"), REPORT_COLUMNS[5:]
+    bal = _dec(F.col("c_acctbal"), 23, 8)
+    base = t.customer.select(
+        F.lit("1998-09-01").alias("from_date"), F.lit("1998-09-30").alias("to_date"), F.when(k % 2 == 0, "A").otherwise("B").alias("chapter"),
+        F.lpad((k % 100000).cast("string"), 5, "0").alias("ledger_account"), F.when((k / 100000).cast("int") % 2 == 0, "A").otherwise("P").alias("characteristic"),
+        *[decimal_text(bal + i, 8).alias(m) for i, m in enumerate(names)], k.alias("k"))
+    changed = base.withColumns({
+        "from_date": F.when(F.col("k") % 13 == 0, "1998-13-45").otherwise(F.col("from_date")),
+        names[2]: F.when(F.col("k") % 9 == 0, "").otherwise(F.col(names[2])),
+        names[7]: F.when(F.col("k") % 11 == 0, "bad").otherwise(F.col(names[7])),
+        names[23]: F.when(F.col("k") % 5 == 2, "0.00000001").otherwise(F.col(names[23]))})
+    later = base.filter(F.col("k") % 7 == 0).withColumn(names[0], F.lit("7"))
+    parts = [base.filter(F.col("k") % 4 != 0), changed, later]
+    return reduce(DataFrame.unionByName, [p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)]).drop("k")
+
+
 def upsert_target(t: BaseTables) -> DataFrame:
     c = t.customer
     return c.filter(F.col("c_custkey") % 3 != 0).select(
@@ -267,5 +296,5 @@ _BUILDERS = {
     "upsert_target": upsert_target, "upsert_incoming": upsert_incoming,
     "version_current": version_current, "version_incoming": version_incoming,
     "mirror_delta": mirror_delta, "loaded_batches": loaded_batches, "athletes": athletes,
-    "disciplines": disciplines, "audit_raw": audit_raw, "date_text": date_text,
+    "ledger_full": ledger_full, "report_lines": report_lines, "disciplines": disciplines, "audit_raw": audit_raw, "date_text": date_text,
 }
