@@ -8,6 +8,8 @@ new files; nothing is read and overwritten in one step.
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ from tallyspark.sources import csv as CSV
 
 LOG_TABLE = "log_data"
 MESSAGE_TABLE = "lg_messages"
+RESERVE_TRIES = 1000
+RESERVING = threading.Lock()
 
 
 def _append_log(spark: SparkSession, root: str, status: str, text: str, at=None) -> None:
@@ -42,25 +46,43 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
 
 def read_messages(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(f"{root.rstrip('/')}/{MESSAGE_TABLE}")
+        return spark.read.parquet(f"{root.rstrip('/')}/{MESSAGE_TABLE}").drop("call")
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return None
         raise
 
 
+def reserve_ids(spark: SparkSession, root: str, n: int) -> int:
+    """The first of ``n`` record ids of the message log that no other writer gets.
+
+    A reservation is a small file named after its first id that holds the last one; two writers cannot make the same
+    file, and the one that comes second goes on behind the other.  The log itself is not read."""
+    folder = f"{root.rstrip('/')}/{MESSAGE_TABLE}_ids"
+    for _ in range(RESERVE_TRIES):
+        names = FS.file_names(spark, folder)
+        held = FS.first_lines(spark, [f"{folder}/{max(names)}"])[0] if names else "0"
+        # An empty file is being written.
+        with RESERVING:
+            won = held and FS.created(spark, f"{folder}/{int(held) + 1:020d}", str(int(held) + n))
+        if won:
+            return int(held) + 1
+        if not held:
+            time.sleep(0.05)
+    raise RuntimeError(f"no record ids could be reserved in {folder}")
+
+
 def writelog(spark: SparkSession, root: str, texts: list[str], message_type: int = AU.NOTICE) -> None:
-    """Append messages to the message log: 4,000-character pieces, ids continuing the log's maximum."""
-    current = read_messages(spark, root)
-    last = 0
-    if current is not None:
-        row = current.agg(F.max("record_id").alias("m")).first()
-        last = int(row["m"] or 0)
+    """Append messages to the message log: 4,000-character pieces, with consecutive ids behind those of earlier calls."""
+    n = sum(-(-len(t or "") // AU.PIECE_SIZE) for t in texts)
+    if not n:
+        return
+    first = reserve_ids(spark, root, n)
     msgs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "msg_no BIGINT, message_text STRING")
-    pieces = AU.split_messages(msgs, "message_text", ["msg_no"], first_id=last + 1, message_type=message_type,
-                               bounds=[])
+    pieces = AU.split_messages(msgs, "message_text", ["msg_no"], first_id=first, message_type=message_type, bounds=[])
+    # A folder for each call: writers at the same time do not meet in one job folder.
     (pieces.select("record_id", F.localtimestamp().alias("date_time"), "message", "message_type")
-     .write.mode("append").parquet(f"{root.rstrip('/')}/{MESSAGE_TABLE}"))
+     .write.parquet(f"{root.rstrip('/')}/{MESSAGE_TABLE}/call={first}"))
 
 
 # ---------------------------------------------------------------- E-1: load detail files, then calculate

@@ -161,6 +161,25 @@ def first_lines(spark: SparkSession, files: list[str], limit: int = 1 << 16) ->
         return list(pool.map(line, files))
 
 
+def created(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file with the text unless it is there already: one of several writers makes it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, False)
+    except Exception as e:
+        if "AlreadyExists" in str(e):
+            return False
+        raise
+    stream.writeBytes(text)
+    stream.close()
+    return True
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path``, none if it does not exist."""
+    return [p.rpartition("/")[2] for p, _ in files_of_each(spark, [path])[0]] if exists(spark, path) else []
+
+
 def replace_partition(df: DataFrame, root: str, spec: dict) -> str:
     """Replace one period of a partitioned parquet table with ``df`` (may be empty)."""
     spark, root = df.sparkSession, root.rstrip("/")
