@@ -18,11 +18,16 @@ def formatted(df) -> str:
         if hasattr(df._sc._jvm, "PythonSQLUtils") else plan_text(df)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_in_the_plan(spark, name):
-    text = plan_text(QUERIES[name](spark, SF))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
-        assert node not in text, (name, node)
+@pytest.fixture(scope="module")
+def plans(spark):
+    """The plan of every registered query; each is built once, as file jobs run while they are built."""
+    return {name: plan_text(q(spark, SF)) for name, q in QUERIES.items()}
+
+
+def test_no_python_in_the_plan(plans):
+    for name, text in plans.items():
+        for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+            assert node not in text, (name, node)
 
 
 def test_turnover_date_filter_reaches_the_scan(spark):
@@ -35,9 +40,8 @@ def test_mirror_merge_is_aggregate_based(spark):
     assert "Window" not in text
 
 
-def test_no_cartesian_or_nested_loop_joins(spark):
-    for name, q in QUERIES.items():
-        text = plan_text(q(spark, SF))
+def test_no_cartesian_or_nested_loop_joins(plans):
+    for name, text in plans.items():
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 

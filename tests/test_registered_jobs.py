@@ -3,7 +3,6 @@
 import glob
 
 from tallyspark import registry as R
-from tallyspark.plans import jobs as J
 from tallyspark.sinks import files as FS
 from tallyspark.sources.fixtures import Fixtures
 
@@ -26,11 +25,3 @@ def test_import_cases_are_all_there(spark):
     assert lines.filter("from_date = '1998-13-45'").count() and lines.filter("part = 2").count()
     twice = lines.filter("part > 0").groupBy(*R.SC.REPORT_KEYS).count().filter("count = 2")
     assert twice.count()
-
-
-def test_loads_of_the_six_files_are_folders(spark):
-    root = R._loaded(spark, SF)
-    for table in R.LOAD_VIEWS:
-        assert len([n for n in FS.folder_names(spark, f"{root}/ds/{table}") if n.startswith("_load=")]) == 2
-    # Blank codes and leading zeros survive; nothing was rejected.
-    assert J.read_log(spark, f"{root}/logs").filter("status = 'ERROR'").count() == 0
