@@ -74,6 +74,6 @@ def test_op10_equals_all_windows(spark, documents):
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
 def test_empty_tables(spark, tmp_path, name):
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         spark.read.parquet(f"{SF}/{t}.parquet").filter("false").write.parquet(f"{tmp_path}/{t}.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).collect() == []
