@@ -12,28 +12,33 @@ Words are compared in lower case without punctuation at their ends.  A
 paragraph is the set of its 5-word shingles; paragraphs that share one of
 ``BANDS`` bands of ``BAND_ROWS`` minima are joined and their Jaccard similarity
 is computed exactly.  With 6 bands of 2 a pair at 0.8 meets with probability
-0.998, an equal pair always.  Links form components; a component's paragraphs
-outside the first document that has one are repeats.
+0.998, an equal pair always.  Links form components; the first place of a
+component, by document and then by word, stays, and its other paragraphs are
+repeats, in the same document too (but for those that overlap the first place,
+as the two cuttings of one passage do).
 
 Paragraphs need sentence ends and whole paragraphs inside a passage.  Beside
 them, ``runs`` finds equal runs of words wherever they begin: windows of
 ``WINDOW`` words are compared whose first words have the least hash among
 ``REACH`` neighbouring places (line ends and punctuation play no part), so every
 equal run of ``WINDOW + REACH - 1`` words or more has a window in common.  A
-window that an earlier document has is extended by up to ``REACH - 1`` words to
-either side, as far as the words there are equal to those around its first
-place in that document, and overlapping ones are joined.
-
-Scale: equal paragraphs are one node before the banding.  In a bucket each node
-is first compared with the bucket's centre; buckets that hold several
-components after that are compared inside, in parts of bounded size.  Texts of
-paragraphs are only shuffled for nodes that have a candidate.  Windows are
-grouped by a digest; only those in several documents are written.
+window that also stands earlier, in another or in the same document, is
+extended by up to ``REACH - 1`` words to either side, as far as the words there
+are equal to those around its first place, and overlapping ones are joined.
+
+Scale: texts are taken apart once, into a table of paragraphs and windows that
+both searches read.  Equal paragraphs are one node before the banding, which
+shuffles hashes only; nodes are named in those buckets alone that hold two.  In
+a bucket each node is first compared with the bucket's centre; buckets that hold
+several components after that are compared inside, in parts of bounded size.
+Words are read again at the places of nodes that share a bucket and of windows
+that stand twice.  Intermediate tables and shuffles go when no step reads them.
 
 Defined cases: null and empty texts have no paragraphs; rows without doc_id
-come after all others; rows that share a doc_id are one document; repeats
-inside one document are left alone; an empty table gives an empty result;
-other columns are ignored (``remove`` passes them through).
+come after all others; rows that share a doc_id are one document, and those that
+share the text too are one row, which repeats nothing by itself; a text that
+repeats its own start at once keeps the first period; an empty table gives an
+empty result; other columns are ignored (``remove`` passes them through).
 """
 
 from __future__ import annotations
@@ -51,7 +56,8 @@ from pyspark.sql import types as T
 
 from tallyspark.llm.components import components
 from tallyspark.llm.setsketch import _groups, _linked, _paired_parts, _Sets
-from tallyspark.llm.shared import own_name, written
+from tallyspark.llm.shared import cleaned_shuffles, own_name, removed, written
+from tallyspark.session import scratch_path
 
 MIN_WORDS = 16
 SHINGLE = 5
@@ -61,6 +67,7 @@ WINDOW, REACH = 16, 16
 PART_ROWS = 256
 MAX_BROADCAST_NODES = 500_000
 CACHE_WORDS = 300_000
+CHUNK_WORDS = 200_000
 LAST = (1 << 63) - 1
 
 _u = np.uint64
@@ -77,8 +84,12 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        plain = _EDGES.sub("", word.lower()) or word
-        h = self[word] = xxhash.xxh3_64_intdigest(plain.encode("utf-8", "surrogatepass")) & ~1 | bool(_END.search(word))
+        if word.isalnum():
+            h = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) & ~1
+        else:
+            plain = _EDGES.sub("", word.lower()) or word
+            h = xxhash.xxh3_64_intdigest(plain.encode("utf-8", "surrogatepass")) & ~1 | bool(_END.search(word))
+        self[word] = h
         return h
 
 
@@ -98,6 +109,12 @@ def shingle_hashes(w: np.ndarray) -> np.ndarray:
     return h
 
 
+def hashes(text: str | None) -> np.ndarray:
+    """Compared hash of each word."""
+    flat = (text or "").split()
+    return np.fromiter(map(_words.__getitem__, flat), _u, len(flat)) & ~_u(1)
+
+
 def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Compared hash of each word; first word and number of words of each paragraph, in both cuttings."""
     lines = [line.split() for line in (text or "").split("\n")]
@@ -123,70 +140,124 @@ def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return w, np.concatenate(firsts), np.concatenate(sizes)
 
 
-def _located(docs: DataFrame) -> DataFrame:
-    """doc, first, n, node (digest of the words), values (one for each band) of each paragraph of ``docs`` (doc, text)."""
+def chosen_windows(w: np.ndarray) -> np.ndarray:
+    """First word of each chosen window of a text with the word hashes ``w``."""
+    if len(w) < WINDOW:
+        return np.array([], int)
+    h = _mixed(shingle_hashes(w)[:len(w) - WINDOW + 1], _u(0))
+    least = np.lib.stride_tricks.sliding_window_view(h, min(REACH, len(h))).argmin(axis=1)
+    return np.unique(least + np.arange(len(least)))
+
+
+def _digests(w: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Digest of the window at each place, 16 bytes in two columns."""
+    a, b = np.full(len(at), 1, _u), np.full(len(at), 2, _u)
+    for j in range(WINDOW):
+        x = w[at + j]
+        a, b = _mixed(a, x), _mixed(b, x * _u(0xD6E8FEB86659FD93))
+    return np.stack([a, b], axis=1)
+
+
+def _band_values(w: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """One value for each band of each paragraph; paragraphs may overlap, as those of the two cuttings do."""
+    h = shingle_hashes(w)
+    bounds = np.stack([at, at + n - SHINGLE + 1], axis=1).ravel()
+    value = np.zeros((len(at), BANDS), _u)
+    for j in range(BAND_ROWS):
+        low = np.empty((len(at), BANDS), _u)
+        for band in range(BANDS):
+            k = band * BAND_ROWS + j
+            low[:, band] = np.minimum.reduceat(np.append(h * _MULTIPLY[k] + _ADD[k], _u(0)), bounds)[::2]
+        value = _mixed(value, low)
+    return value.view(np.int64)
+
+
+VALUES = [f"v{band}" for band in range(BANDS)]
+PLACES = "doc long, copy long, first int, n int, node binary, " + ", ".join(f"{v} long" for v in VALUES)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, str]]]:
+    """Rows (doc, copy, text) in chunks of about ``CHUNK_WORDS`` words, a longer text alone."""
+    for batch in batches:
+        chunk, size = [], 0
+        for row in zip(*(c.to_pylist() for c in batch.columns[:3])):
+            if chunk and size + len(row[2]) // 6 > CHUNK_WORDS:
+                yield chunk
+                chunk, size = [], 0
+            chunk.append(row)
+            size += len(row[2]) // 6
+        if chunk:
+            yield chunk
+
+
+def _places(docs: DataFrame) -> DataFrame:
+    """Each paragraph (n words, with its band values) and each chosen window (n is 0) of ``docs`` (doc, copy, text); node is the digest of its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc, first, size, node, values = [], [], [], [], []
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                w, at, n = paragraphs(text)
-                if not len(at):
+        for chunk in _chunks(batches):
+            found = [paragraphs(text) for _, _, text in chunk]
+            windows = [chosen_windows(w) for w, _, _ in found]
+            flat = np.concatenate([w for w, _, _ in found])
+            begin = np.concatenate([[0], np.cumsum([len(w) for w, _, _ in found])[:-1]]).astype(int)
+            raw = flat.tobytes()
+            for at, n in (([a for _, a, _ in found], np.concatenate([n for _, _, n in found])), (windows, None)):
+                counts = [len(a) for a in at]
+                first = np.concatenate(at).astype(int)
+                if not len(first):
                     continue
-                h = shingle_hashes(w)
-                low = np.empty((len(at), BANDS * BAND_ROWS), _u)
-                # Minima over the shingles inside each paragraph; paragraphs of one cutting do not overlap.
-                bounds = np.stack([at, at + n - SHINGLE + 1], axis=1)
-                for k in range(BANDS * BAND_ROWS):
-                    x = np.append(h * _MULTIPLY[k] + _ADD[k], _u(0))
-                    low[:, k] = np.minimum.reduceat(x, bounds.ravel())[::2]
-                value = np.zeros((len(at), BANDS), _u)
-                for j in range(BAND_ROWS):
-                    value = _mixed(value, low[:, j::BAND_ROWS])
-                raw = w.tobytes()
-                doc += [d] * len(at)
-                first.append(at)
-                size.append(n)
-                node += [hashlib.blake2b(raw[8 * a:8 * (a + m)], digest_size=16).digest() for a, m in zip(at.tolist(), n.tolist())]
-                values.append(value.view(np.int64))
-            if doc:
-                flat = np.concatenate(values).ravel()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(doc, pa.int64()), pa.array(np.concatenate(first).astype(np.int32)), pa.array(np.concatenate(size).astype(np.int32)),
-                    pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(doc) + 1, dtype=np.int32) * BANDS), pa.array(flat))],
-                    names=["doc", "first", "n", "node", "values"])
-
-    return docs.mapInArrow(run, "doc long, first int, n int, node binary, values array<long>")
-
-
-def _word_lists(docs: DataFrame, used: DataFrame) -> DataFrame:
-    """node, words (hashes, packed) of the nodes in ``used`` (node)."""
-    used = written(used, "paragraphs-to-read")
-    side = F.broadcast(used) if used.count() <= MAX_BROADCAST_NODES else used
-
+                place = first + np.repeat(begin, counts)
+                if n is None:
+                    n, values = np.zeros(len(first), int), [pa.nulls(len(first), pa.int64())] * BANDS
+                    node = _digests(flat, place).tobytes()
+                else:
+                    values = [pa.array(v) for v in _band_values(flat, place, n).T]
+                    node = b"".join(hashlib.blake2b(raw[8 * a:8 * (a + m)], digest_size=16).digest() for a, m in zip(place.tolist(), n.tolist()))
+                doc, copy = (np.repeat(np.array([r[i] for r in chunk], np.int64), counts) for i in range(2))
+                node = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(first), [None, pa.py_buffer(node)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc), pa.array(copy), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), node, *values],
+                    names=["doc", "copy", "first", "n", "node", *VALUES])
+
+    return docs.mapInArrow(run, PLACES)
+
+
+def _at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """doc, copy, text, places (first, n, node) of the ``docs`` that hold ``places``, each text once."""
+    lists = written(places.groupBy("doc", "copy").agg(F.collect_set(F.struct("first", "n", "node")).alias("places")), "passage-places")
+    sizes = lists.agg(F.sum(F.size("places"))).first()[0] or 0
+    side = F.broadcast(lists) if sizes <= MAX_BROADCAST_NODES else lists
+    return docs.join(side, ["doc", "copy"])
+
+
+def _word_lists(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """node, words (hashes, packed) of the paragraphs at ``places`` (doc, copy, first, n, node)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {}
-            for text in batch.column(0).to_pylist():
-                w, at, n = paragraphs(text)
-                raw = w.tobytes()
-                for a, m in zip(at.tolist(), n.tolist()):
-                    part = raw[8 * a:8 * (a + m)]
-                    found[hashlib.blake2b(part, digest_size=16).digest()] = part
+            for text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                raw = hashes(text).tobytes()
+                found |= {p["node"]: raw[8 * p["first"]:8 * (p["first"] + p["n"])] for p in places}
             yield pa.RecordBatch.from_pydict({"node": pa.array(list(found), pa.binary()), "words": pa.array(list(found.values()), pa.binary())})
 
-    return docs.select("text").mapInArrow(run, "node binary, words binary").join(side, "node").dropDuplicates(["node"])
+    return _at(docs, places).select("text", "places").mapInArrow(run, "node binary, words binary").dropDuplicates(["node"])
 
 
 def _set(words: bytes) -> np.ndarray:
     return np.unique(shingle_hashes(np.frombuffer(words, _u)))
 
 
-def _links(bands: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
     """True links (a, b) between nodes that share a band value; no more inside a bucket than connect it, after its star."""
     bucket = ["band", "value"]
-    centre = bands.groupBy(*bucket).agg(F.min("node").alias("b"), F.max("node").alias("other")).filter("b <> other").select(*bucket, "b")
-    shared = written(bands.join(centre, bucket), "paragraph-buckets")
-    words = written(_word_lists(docs, shared.select("node").distinct()), "paragraph-words")
+    bands = nodes.select("node", F.expr("stack({}, {})".format(BANDS, ", ".join(f"{i}, {v}" for i, v in enumerate(VALUES)))).alias(*bucket))
+    # Numbers only, so that the counts are hashed and not sorted; nodes are named in the few buckets that hold two.
+    number = F.xxhash64("node")
+    held = bands.groupBy(*bucket).agg(F.min(number).alias("lo"), F.max(number).alias("hi")).filter("lo <> hi").select(*bucket)
+    held = written(held, "paragraph-held")
+    side = F.broadcast(held) if held.count() <= MAX_BROADCAST_NODES else held
+    shared = written(bands.join(side, bucket), "paragraph-buckets")
+    centre = shared.groupBy(*bucket).agg(F.min("node").alias("b"))
+    used = places.join(shared.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("doc", "copy", "first", "n")).alias("p"))
+    words = written(_word_lists(docs, used.select("p.*", "node")), "paragraph-words")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +265,7 @@ def _links(bands: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     left, right = (words.select(F.col("node").alias(c), F.col("words").alias(f"w{c}")) for c in "ab")
-    pairs = shared.select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
+    pairs = shared.join(centre, bucket).select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
     stars = written(pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(check, "a binary, b binary"), "paragraph-stars")
     roots = components(stars)
     named = shared.select(*bucket, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -225,83 +296,76 @@ def _links(bands: DataFrame, docs: DataFrame) -> DataFrame:
     return stars.unionByName(cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(inside, "a binary, b binary"))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, first_word, n_words, first_doc_id of each paragraph of ``docs`` (doc_id, text) that an earlier document has."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), "text").filter(F.col("text").isNotNull())
-    rows = written(_located(docs), "paragraphs")
-    nodes = rows.groupBy("node").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("values").alias("values"))
-    nodes = written(nodes, "paragraph-nodes")
-    bands = nodes.select("node", F.posexplode("values").alias("band", "value"))
-    roots = components(written(_links(bands, docs), "paragraph-links"))
-    named = nodes.select("node", "low", "high").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = named.groupBy("root").agg(F.min("low").alias("first_doc"), F.max("high").alias("last_doc")).filter("first_doc <> last_doc")
-    found = written(named.join(classes, "root").select("node", "first_doc"), "paragraph-classes")
-    out = rows.join(found, "node").filter("doc <> first_doc")
-    real = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return out.select(real("doc").alias("doc_id"), F.col("first").cast("long").alias("first_word"), F.col("n").cast("long").alias("n_words"),
-                      real("first_doc").alias("first_doc_id"))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """doc, copy (tells texts of one document apart), text of ``docs`` (doc_id, text)."""
+    return docs.filter(F.col("text").isNotNull()).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("copy"), "text")
 
 
-def windows(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Compared hash of each word; first word of each chosen window."""
-    flat = (text or "").split()
-    w = np.fromiter(map(_words.__getitem__, flat), _u, len(flat)) & ~_u(1)
-    if len(w) < WINDOW:
-        return w, np.array([], int)
-    h = _mixed(shingle_hashes(w)[:len(w) - WINDOW + 1], _u(0))
-    least = np.lib.stride_tricks.sliding_window_view(h, min(REACH, len(h))).argmin(axis=1)
-    return w, np.unique(least + np.arange(len(least)))
-
-
-def _digests(w: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Digest of the window at each place, in two halves."""
-    x = w[at[:, None] + np.arange(WINDOW)]
-    a, b = np.full(len(at), 1, _u), np.full(len(at), 2, _u)
-    for j in range(WINDOW):
-        a, b = _mixed(a, x[:, j]), _mixed(b, x[:, j] * _u(0xD6E8FEB86659FD93))
-    return a.view(np.int64), b.view(np.int64)
+def _named(found: DataFrame) -> DataFrame:
+    real = lambda c: F.when(F.col(c) != LAST, F.col(c))
+    return found.select(real("doc").alias("doc_id"), F.col("first_word").cast("long").alias("first_word"), F.col("n_words").cast("long").alias("n_words"),
+                        real("first_doc").alias("first_doc_id"))
 
 
-def _windowed(docs: DataFrame, around: bool) -> DataFrame:
-    """doc, copy, first, a, b (digest) of each chosen window of ``docs`` (doc, copy, text); with ``around`` the words before (nearest first) and after."""
-    names = ["doc", "copy", "first", "a", "b"] + ["before", "after"] * around
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 2 * around
+def _repeats(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc, copy, first_word, n_words, first_doc of each paragraph of ``places`` that stands after another of its class."""
+    rows = places.filter("n > 0").select("doc", "copy", "first", "n", "node")
+    nodes = places.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("times"), *[F.min(v).alias(v) for v in VALUES])
+    nodes = written(nodes, "paragraph-nodes")
+    roots = components(written(_links(nodes, rows, docs), "paragraph-links"))
+    alone = nodes.filter("times > 1").select("node").join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+    classes = written(roots.select("node", "root").unionByName(alone), "paragraph-classes")
+    seats = written(rows.join(classes, "node").select("root", "doc", "copy", "first", "n").distinct(), "paragraph-seats")
+    origin = seats.groupBy("root").agg(F.min(F.struct("doc", "copy", "first", "n")).alias("o"))
+    inside = (F.col("doc") == F.col("o.doc")) & (F.col("copy") == F.col("o.copy")) & (F.col("first") < F.col("o.first") + F.col("o.n"))
+    return seats.join(origin, "root").filter(~inside).select("doc", "copy", F.col("first").alias("first_word"), F.col("n").alias("n_words"), F.col("o.doc").alias("first_doc"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, copy, text in zip(*(c.to_pylist() for c in batch.columns)):
-                w, at = windows(text)
-                if not len(at):
-                    continue
-                columns = [np.full(len(at), doc), np.full(len(at), copy), at, *_digests(w, at)]
-                if around:
-                    near, size = (w >> _u(32)).astype("<u4"), 4 * (REACH - 1)
-                    raw, back = near.tobytes(), near[::-1].tobytes()
-                    columns += [[back[4 * (len(w) - x):][:size] for x in at.tolist()], [raw[4 * (x + WINDOW):][:size] for x in at.tolist()]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return docs.mapInArrow(run, "doc long, copy long, first int, a long, b long" + ", before binary, after binary" * around)
+def repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, first_word, n_words, first_doc_id of each paragraph of ``docs`` (doc_id, text) that stands earlier too, in the first document with it."""
+    docs = _numbered(docs)
+    return _named(_repeats(written(_places(docs), "passages"), docs))
 
 
 def _equal_words(x: bytes, y: bytes) -> int:
-    """Number of leading words (four bytes each) in which x and y agree."""
+    """Number of leading words (eight bytes each) in which x and y agree."""
+    n = min(len(x), len(y))
+    if x[:n] == y[:n]:
+        return n // 8
     n = 0
-    while n < min(len(x), len(y)) and x[n:n + 4] == y[n:n + 4]:
-        n += 4
-    return n // 4
+    while x[n:n + 8] == y[n:n + 8]:
+        n += 8
+    return n // 8
 
 
-def runs(docs: DataFrame) -> DataFrame:
-    """doc_id, first_word, n_words, first_doc_id of each run of words of ``docs`` (doc_id, text) that an earlier document has."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("copy"), "text").filter(F.col("text").isNotNull())
-    node = ["a", "b"]
-    ends = _windowed(docs, False).groupBy(*node).agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
-    shared = written(ends.filter("first_doc <> last_doc").select(*node, "first_doc"), "run-windows")
-    side = F.broadcast(shared) if shared.count() <= MAX_BROADCAST_NODES else shared
-    rows = written(_windowed(docs, True).join(side, node), "run-rows")
-    origin = rows.filter("doc = first_doc").groupBy(*node).agg(F.min(F.struct("first", "before", "after")).alias("o"))
-    pairs = rows.filter("doc <> first_doc").join(origin, node).select(
-        "doc", "copy", "first_doc", "first", "before", "after", F.col("o.before").alias("old_before"), F.col("o.after").alias("old_after"))
+def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """doc, copy, first, node of ``places`` with the words before (nearest first) and after each window."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 8 * (REACH - 1)
+        for batch in batches:
+            for doc, copy, text, places in zip(*(c.to_pylist() for c in batch.columns)):
+                w = hashes(text)
+                raw, back = w.tobytes(), w[::-1].tobytes()
+                first, node = [p["first"] for p in places], [p["node"] for p in places]
+                columns = [np.full(len(first), doc), np.full(len(first), copy), first, node,
+                           [back[8 * (len(w) - x):][:size] for x in first], [raw[8 * (x + WINDOW):8 * (x + WINDOW) + size] for x in first]]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc", "copy", "first", "node", "before", "after"])
+
+    return _at(docs, places).select("doc", "copy", "text", "places").mapInArrow(run, "doc long, copy long, first int, node binary, before binary, after binary").distinct()
+
+
+def _runs(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc, copy, first_word, n_words, first_doc of each run of words that stands earlier too."""
+    rows = places.filter("n = 0").select("doc", "copy", "first", "n", "node")
+    seat = F.xxhash64("doc", "copy", "first")
+    held = written(rows.groupBy("node").agg(F.min(seat).alias("lo"), F.max(seat).alias("hi")).filter("lo <> hi").select("node"), "run-windows")
+    side = F.broadcast(held) if held.count() <= MAX_BROADCAST_NODES else held
+    rows = written(_around(docs, rows.join(side, "node")), "run-rows")
+    origin = rows.groupBy("node").agg(F.min(F.struct("doc", "copy", "first", "before", "after")).alias("o"))
+    later = F.struct("doc", "copy", "first") > F.struct("o.doc", "o.copy", "o.first")
+    pairs = rows.join(origin, "node").filter(later).select(
+        "doc", "copy", F.col("o.doc").alias("first_doc"), "first", "before", "after", F.col("o.before").alias("old_before"), F.col("o.after").alias("old_after"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,32 +381,51 @@ def runs(docs: DataFrame) -> DataFrame:
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, first_doc, spans in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for doc, copy, first_doc, spans in zip(*(c.to_pylist() for c in batch.columns)):
                 low, high = spans[0]["start"], spans[0]["end"]
                 for s in spans[1:]:
                     if s["start"] > high:
-                        out.append((doc, low, high - low, first_doc))
+                        out.append((doc, copy, low, high - low, first_doc))
                         low = s["start"]
                     high = max(high, s["end"])
-                out.append((doc, low, high - low, first_doc))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 4,
-                                             names=["doc", "first_word", "n_words", "first_doc"])
+                out.append((doc, copy, low, high - low, first_doc))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 5,
+                                             names=["doc", "copy", "first_word", "n_words", "first_doc"])
 
-    out = lists.mapInArrow(join, "doc long, first_word long, n_words long, first_doc long")
-    real = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return out.select(real("doc").alias("doc_id"), "first_word", "n_words", real("first_doc").alias("first_doc_id"))
+    return lists.mapInArrow(join, "doc long, copy long, first_word long, n_words long, first_doc long")
+
+
+def runs(docs: DataFrame) -> DataFrame:
+    """doc_id, first_word, n_words, first_doc_id of each run of words of ``docs`` (doc_id, text) that stands earlier too, in the first document with it."""
+    docs = _numbered(docs)
+    return _named(_runs(written(_places(docs), "passages"), docs))
+
+
+def _passages(docs: DataFrame) -> DataFrame:
+    """doc, copy, first_word, n_words, first_doc of all repeats in ``docs`` (doc_id, text)."""
+    spark, docs = docs.sparkSession, _numbered(docs)
+    with cleaned_shuffles(spark):
+        path, places = scratch_path(spark, "passages"), _places(docs)
+        places.write.parquet(path)
+        places = spark.read.schema(places.schema).parquet(path)
+        out = written(_repeats(places, docs), "passage-repeats")
+        more = written(_runs(places, docs), "passage-runs")
+        removed(spark, path)
+    return out.unionByName(more)
 
 
 def passages(docs: DataFrame) -> DataFrame:
     """All repeats: near-equal paragraphs and equal runs of words (rows may overlap)."""
-    return repeats(docs).unionByName(runs(docs))
+    return _named(_passages(docs))
 
 
 def remove(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the words of repeated passages (the white space after each goes with it)."""
-    doc, spans = own_name(docs, "repeat_doc"), own_name(docs, "repeat_spans")
-    found = passages(docs.select("doc_id", F.col(text).alias("text"))).groupBy("doc_id").agg(F.collect_set(F.struct("first_word", "n_words")).alias(spans))
-    rows = docs.join(found.withColumnRenamed("doc_id", doc), F.col("doc_id").eqNullSafe(F.col(doc)), "left").drop(doc)
+    doc, copy, spans = (own_name(docs, c) for c in ("repeat_doc", "repeat_copy", "repeat_spans"))
+    found = _passages(docs.select("doc_id", F.col(text).alias("text"))).groupBy(F.col("doc").alias(doc), F.col("copy").alias(copy)).agg(
+        F.collect_set(F.struct("first_word", "n_words")).alias(spans))
+    same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col(doc)) & (F.xxhash64(F.col(text)) == F.col(copy))
+    rows = docs.join(found, same, "left").drop(doc, copy)
     schema = T.StructType(docs.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,12 +8,12 @@ from tallyspark.llm import paragraph_dedup as P
 
 
 def brute(rows):
-    """(doc, first, n, first doc) by comparing all paragraphs pairwise."""
-    items = []
-    for doc, text in rows:
+    """(doc, first, n, first doc) of rows (doc, copy, text) by comparing all paragraphs pairwise."""
+    items = set()
+    for doc, copy, text in rows:
         w, at, n = P.paragraphs(text)
-        items += [(P.LAST if doc is None else doc, int(a), int(m), w[a:a + m].tobytes()) for a, m in zip(at, n)]
-    names = sorted({i[3] for i in items})
+        items |= {(P.LAST if doc is None else doc, copy, int(a), int(m), w[a:a + m].tobytes()) for a, m in zip(at, n)}
+    names = sorted({i[4] for i in items})
     sets = [set(P._set(x).tolist()) for x in names]
     up = list(range(len(names)))
 
@@ -28,10 +28,11 @@ def brute(rows):
                 up[find(i)] = find(j)
     root = {x: find(i) for i, x in enumerate(names)}
     first = {}
-    for doc, _, _, x in items:
-        first[root[x]] = min(first.get(root[x], doc), doc)
+    for *place, x in sorted(items):
+        first.setdefault(root[x], place)
     real = lambda d: None if d == P.LAST else d
-    return sorted(((real(d), a, m, first[root[x]]) for d, a, m, x in items if d != first[root[x]]), key=str)
+    later = lambda p, o: p[:2] != o[:2] or p[2] >= o[2] + o[3]
+    return sorted(((real(p[0]), *p[2:], real(first[root[x]][0])) for *p, x in items if later(p, first[root[x]])), key=str)
 
 
 def run(df):
@@ -60,7 +61,7 @@ def made_rows():
         for _ in range(rng.randrange(3)):
             w[rng.randrange(len(w))] = f"v{rng.randrange(10**6)}"
         rows.append(" ".join(w))
-    rows += [rows[30]] * 20
+    rows += [rows[30]] * 20 + [f"{rows[31]} and again {rows[31]}", "\n".join([prose(6)] * 3)]
     rng.shuffle(rows)
     return list(enumerate(rows)) + [(None, rows[40]), (3, rows[50]), (3, rows[3]), (None, None)]
 
@@ -70,7 +71,8 @@ def test_repeats_against_all_pairs(spark, part, monkeypatch):
     monkeypatch.setattr(P, "PART_ROWS", part)
     rows = made_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("NODE", F.lit(1)).withColumn("values", F.lit("x"))
-    want, got = brute(rows), run(df)
+    want = brute([tuple(r) for r in df.select("doc_id", F.xxhash64("text"), "text").collect()])
+    got = run(df)
     assert len(want) > 300
     # Banding may miss a pair near the threshold; nothing is found beside the pairs.
     assert {g[:3] for g in got} <= {w[:3] for w in want} and len(got) >= 0.995 * len(want)
@@ -98,13 +100,15 @@ def test_remove(spark):
 
 
 def test_empty_table(spark):
-    assert run(spark.createDataFrame([], "doc_id long, text string")) == []
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert run(empty) == [] and P.passages(empty).collect() == [] and P.remove(empty).collect() == []
 
 
 def test_minima_equal_a_plain_minimum(spark):
     text = made_rows()[20][1] or made_rows()[21][1]
     w, at, n = P.paragraphs(text)
-    row = {(r["first"], r["n"]): r["values"] for r in P._located(spark.createDataFrame([(1, text)], "doc long, text string")).collect()}
+    places = P._places(spark.createDataFrame([(0, 0, "other text"), (1, 5, text)], "doc long, copy long, text string")).filter("doc = 1 AND n > 0")
+    row = {(r["first"], r["n"]): [r[v] for v in P.VALUES] for r in places.collect()}
     for a, m in zip(at.tolist(), n.tolist()):
         h = P.shingle_hashes(w[a:a + m])
         low = np.array([(h * x + y).min() for x, y in zip(P._MULTIPLY, P._ADD)])

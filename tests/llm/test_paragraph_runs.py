@@ -38,3 +38,53 @@ def test_wrapped_text_has_the_paragraphs_of_the_plain_text():
     words = [f"w{rng.randrange(5000)}" + "." * (rng.random() < 0.1) for _ in range(300)]
     want, got = P.paragraphs(" ".join(words)), P.paragraphs(wrapped(words, 10))
     assert len(want[1]) > 5 and all((a == b).all() for a, b in zip(want, got))
+
+
+def brute_runs(rows):
+    """Words (doc, place) that chosen windows and their extensions cover, by comparing each later window with the first equal one."""
+    first, out = {}, set()
+    for doc, text in rows:
+        plain = text.split()
+        w = P.hashes(text)
+        for at in P.chosen_windows(w).tolist():
+            key = tuple(plain[at:at + P.WINDOW])
+            source, old, o = first.setdefault(key, (doc, plain, at))
+            if (source, o) == (doc, at):
+                continue
+            left = right = 0
+            while left < min(P.REACH - 1, at, o) and plain[at - left - 1] == old[o - left - 1]:
+                left += 1
+            end, old_end = at + P.WINDOW, o + P.WINDOW
+            while right < min(P.REACH - 1, len(plain) - end, len(old) - old_end) and plain[end + right] == old[old_end + right]:
+                right += 1
+            out |= {(doc, k) for k in range(at - left, end + right)}
+    return out
+
+
+def test_runs_against_brute_force(spark):
+    rng = random.Random(4)
+    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    known = [words(rng.randrange(10, 120)) for _ in range(10)]
+    rows = []
+    for i in range(120):
+        parts = [words(rng.randrange(40)) for _ in range(3)] + [rng.choice(known)[rng.randrange(8):] for _ in range(rng.randrange(3))]
+        rng.shuffle(parts)
+        rows.append((i, " ".join(x for p in parts for x in p)))
+    rows += [(200, "a b c " * 40), (201, " ".join(words(5) + ["a", "b", "c"] * 40)), (202, rows[3][1]), (203, ""), (204, "one two")]
+    rows.append((205, " ".join(words(60000) + known[0] + words(60000) + known[0])))
+    got = set()
+    for r in P.runs(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got |= {(r.doc_id, k) for k in range(r.first_word, r.first_word + r.n_words)}
+    want = brute_runs(rows)
+    assert got == want and len(want) > 1000
+
+
+def test_passage_twice_in_one_document(spark):
+    rng = random.Random(6)
+    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    passage = words(80)
+    df = spark.createDataFrame([(7, " ".join(words(30) + passage + words(20) + passage + words(10))), (8, " ".join(words(200)))], "doc_id long, text string")
+    got = P.passages(df).collect()
+    assert {r.doc_id for r in got} == {7} and {r.first_doc_id for r in got} == {7}
+    assert {k for r in got for k in range(r.first_word, r.first_word + r.n_words)} == set(range(130, 210))
+    assert len(P.remove(df).filter("doc_id = 7").first().text.split()) == 140
