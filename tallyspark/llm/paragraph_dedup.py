@@ -28,11 +28,12 @@ are equal to those around its first place, and overlapping ones are joined.
 
 Scale: texts are taken apart once, into a table of paragraphs and windows that
 both searches read.  Equal paragraphs are one node before the banding, which
-shuffles hashes only; nodes are named in those buckets alone that hold two.  In
+shuffles hashes only; nodes are named in those buckets alone that hold two (and
+not just the two cuttings of the same words).  In
 a bucket each node is first compared with the bucket's centre; buckets that hold
 several components after that are compared inside, in parts of bounded size.
-Words are read again at the places of nodes that share a bucket and of windows
-that stand twice.  Intermediate tables and shuffles go when no step reads them.
+Words are read again at the places of nodes that share a bucket and at the ends
+of stretches of windows that stand twice.  Intermediate tables and shuffles go when no step reads them.
 
 Defined cases: null and empty texts have no paragraphs; rows without doc_id
 come after all others; rows that share a doc_id are one document, and those that
@@ -56,8 +57,7 @@ from pyspark.sql import types as T
 
 from tallyspark.llm.components import components
 from tallyspark.llm.setsketch import _groups, _linked, _paired_parts, _Sets
-from tallyspark.llm.shared import cleaned_shuffles, own_name, removed, written
-from tallyspark.session import scratch_path
+from tallyspark.llm.shared import cleaned_shuffles, dropped, own_name, written
 
 MIN_WORDS = 16
 SHINGLE = 5
@@ -248,13 +248,15 @@ def _set(words: bytes) -> np.ndarray:
 def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
     """True links (a, b) between nodes that share a band value; no more inside a bucket than connect it, after its star."""
     bucket = ["band", "value"]
-    bands = nodes.select("node", F.expr("stack({}, {})".format(BANDS, ", ".join(f"{i}, {v}" for i, v in enumerate(VALUES)))).alias(*bucket))
+    bands = nodes.select("node", "home", "other_home", "low", "high", "n", F.expr("stack({}, {})".format(BANDS, ", ".join(f"{i}, {v}" for i, v in enumerate(VALUES)))).alias(*bucket))
     # Numbers only, so that the counts are hashed and not sorted; nodes are named in the few buckets that hold two.
+    # Those whose paragraphs all overlap in the one text that has them (two cuttings of the same words) link nothing.
     number = F.xxhash64("node")
-    held = bands.groupBy(*bucket).agg(F.min(number).alias("lo"), F.max(number).alias("hi")).filter("lo <> hi").select(*bucket)
-    held = written(held, "paragraph-held")
+    held = bands.groupBy(*bucket).agg(F.min(number).alias("lo"), F.max(number).alias("hi"), F.min("home").alias("home"), F.max("other_home").alias("other_home"),
+                                      F.max("high").alias("last"), F.min(F.col("low") + F.col("n")).alias("end"))
+    held = written(held.filter("lo <> hi AND (home <> other_home OR last >= end)").select(*bucket), "paragraph-held")
     side = F.broadcast(held) if held.count() <= MAX_BROADCAST_NODES else held
-    shared = written(bands.join(side, bucket), "paragraph-buckets")
+    shared = written(bands.select("node", *bucket).join(side, bucket), "paragraph-buckets")
     centre = shared.groupBy(*bucket).agg(F.min("node").alias("b"))
     used = places.join(shared.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("doc", "copy", "first", "n")).alias("p"))
     words = written(_word_lists(docs, used.select("p.*", "node")), "paragraph-words")
@@ -293,7 +295,9 @@ def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
 
     cells = _paired_parts(named.join(open_, bucket), bucket, PART_ROWS).join(words, "node")
     cells = cells.select(*key, "node", "root", "part", "words", (F.col("p") != F.col("q")).alias("apart"))
-    return stars.unionByName(cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(inside, "a binary, b binary"))
+    links = written(stars.unionByName(cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(inside, "a binary, b binary")), "paragraph-links")
+    dropped(held, shared, words, stars, named)
+    return links
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -310,15 +314,21 @@ def _named(found: DataFrame) -> DataFrame:
 def _repeats(places: DataFrame, docs: DataFrame) -> DataFrame:
     """doc, copy, first_word, n_words, first_doc of each paragraph of ``places`` that stands after another of its class."""
     rows = places.filter("n > 0").select("doc", "copy", "first", "n", "node")
-    nodes = places.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("times"), *[F.min(v).alias(v) for v in VALUES])
+    home = F.xxhash64("doc", "copy")
+    nodes = places.filter("n > 0").groupBy("node").agg(
+        F.min(home).alias("home"), F.max(home).alias("other_home"), F.min("first").alias("low"), F.max("first").alias("high"), F.min("n").alias("n"),
+        *[F.min(v).alias(v) for v in VALUES])
     nodes = written(nodes, "paragraph-nodes")
-    roots = components(written(_links(nodes, rows, docs), "paragraph-links"))
-    alone = nodes.filter("times > 1").select("node").join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+    roots = components(_links(nodes, rows, docs))
+    alone = nodes.filter("home <> other_home OR low < high").select("node").join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
     classes = written(roots.select("node", "root").unionByName(alone), "paragraph-classes")
     seats = written(rows.join(classes, "node").select("root", "doc", "copy", "first", "n").distinct(), "paragraph-seats")
     origin = seats.groupBy("root").agg(F.min(F.struct("doc", "copy", "first", "n")).alias("o"))
     inside = (F.col("doc") == F.col("o.doc")) & (F.col("copy") == F.col("o.copy")) & (F.col("first") < F.col("o.first") + F.col("o.n"))
-    return seats.join(origin, "root").filter(~inside).select("doc", "copy", F.col("first").alias("first_word"), F.col("n").alias("n_words"), F.col("o.doc").alias("first_doc"))
+    out = seats.join(origin, "root").filter(~inside).select("doc", "copy", F.col("first").alias("first_word"), F.col("n").alias("n_words"), F.col("o.doc").alias("first_doc"))
+    out = written(out, "passage-repeats")
+    dropped(nodes, classes, seats)
+    return out
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -339,39 +349,71 @@ def _equal_words(x: bytes, y: bytes) -> int:
 
 
 def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """doc, copy, first, node of ``places`` with the words before (nearest first) and after each window."""
+    """``places`` (doc, copy, first, n) with the words before (nearest first) and after each stretch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 8 * (REACH - 1)
         for batch in batches:
             for doc, copy, text, places in zip(*(c.to_pylist() for c in batch.columns)):
                 w = hashes(text)
                 raw, back = w.tobytes(), w[::-1].tobytes()
-                first, node = [p["first"] for p in places], [p["node"] for p in places]
-                columns = [np.full(len(first), doc), np.full(len(first), copy), first, node,
-                           [back[8 * (len(w) - x):][:size] for x in first], [raw[8 * (x + WINDOW):8 * (x + WINDOW) + size] for x in first]]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc", "copy", "first", "node", "before", "after"])
+                first, n = [p["first"] for p in places], [p["n"] for p in places]
+                columns = [np.full(len(first), doc), np.full(len(first), copy), first, n,
+                           [back[8 * (len(w) - x):][:size] for x in first], [raw[8 * (x + m):8 * (x + m) + size] for x, m in zip(first, n)]]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc", "copy", "first", "n", "before", "after"])
 
-    return _at(docs, places).select("doc", "copy", "text", "places").mapInArrow(run, "doc long, copy long, first int, node binary, before binary, after binary").distinct()
+    found = _at(docs, places.withColumn("node", F.lit(None).cast("binary"))).select("doc", "copy", "text", "places")
+    return found.mapInArrow(run, "doc long, copy long, first int, n int, before binary, after binary").dropDuplicates(["doc", "copy", "first", "n"])
+
+
+def _stretches(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (doc, copy, old_doc, old_copy, shift, first) of windows with first places, joined where they touch: first, n of each stretch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, first, size = [], [], []
+            for i, places in enumerate(batch.column(5).to_pylist()):
+                at = np.sort(np.array(places))
+                start = np.flatnonzero(np.diff(at, prepend=-WINDOW - 1) > WINDOW)
+                last = np.append(start[1:], len(at)) - 1
+                row += [i] * len(start)
+                first.append(at[start])
+                size.append(at[last] + WINDOW - at[start])
+            if row:
+                rest = [c.take(pa.array(row)) for c in batch.columns[:5]]
+                yield pa.RecordBatch.from_arrays([*rest, *(pa.array(np.concatenate(x).astype(np.int32)) for x in (first, size))], names=[*key, "first", "n"])
+
+    key = ["doc", "copy", "old_doc", "old_copy", "shift"]
+    lists = pairs.groupBy(*key).agg(F.collect_set("first").alias("places"))
+    return lists.mapInArrow(run, "doc long, copy long, old_doc long, old_copy long, shift int, first int, n int")
 
 
 def _runs(places: DataFrame, docs: DataFrame) -> DataFrame:
     """doc, copy, first_word, n_words, first_doc of each run of words that stands earlier too."""
-    rows = places.filter("n = 0").select("doc", "copy", "first", "n", "node")
+    rows = places.filter("n = 0").select("doc", "copy", "first", "node")
     seat = F.xxhash64("doc", "copy", "first")
     held = written(rows.groupBy("node").agg(F.min(seat).alias("lo"), F.max(seat).alias("hi")).filter("lo <> hi").select("node"), "run-windows")
     side = F.broadcast(held) if held.count() <= MAX_BROADCAST_NODES else held
-    rows = written(_around(docs, rows.join(side, "node")), "run-rows")
-    origin = rows.groupBy("node").agg(F.min(F.struct("doc", "copy", "first", "before", "after")).alias("o"))
-    later = F.struct("doc", "copy", "first") > F.struct("o.doc", "o.copy", "o.first")
-    pairs = rows.join(origin, "node").filter(later).select(
-        "doc", "copy", F.col("o.doc").alias("first_doc"), "first", "before", "after", F.col("o.before").alias("old_before"), F.col("o.after").alias("old_after"))
+    rows = written(rows.join(side, "node"), "run-rows")
+    place = F.struct("doc", "copy", "first")
+    origin = rows.groupBy("node").agg(F.min(place).alias("o"))
+    later = rows.join(origin, "node").filter(place > F.col("o"))
+    later = later.select("doc", "copy", F.col("o.doc").alias("old_doc"), F.col("o.copy").alias("old_copy"), (F.col("first") - F.col("o.first")).alias("shift"), "first")
+    cores = written(_stretches(later), "run-cores")
+    # Only the ends of a stretch can be extended: inside, its windows touch.
+    new = cores.select("doc", "copy", "first", "n")
+    old = cores.select(F.col("old_doc").alias("doc"), F.col("old_copy").alias("copy"), (F.col("first") - F.col("shift")).alias("first"), "n")
+    words = written(_around(docs, new.unionByName(old)), "run-words")
+    before = words.select(F.col("doc").alias("old_doc"), F.col("copy").alias("old_copy"), F.col("first").alias("old_first"), "n",
+                          F.col("before").alias("old_before"), F.col("after").alias("old_after"))
+    pairs = cores.withColumn("old_first", F.col("first") - F.col("shift")).join(words, ["doc", "copy", "first", "n"]).join(
+        before, ["old_doc", "old_copy", "old_first", "n"]).select(
+        "doc", "copy", F.col("old_doc").alias("first_doc"), "first", "n", "before", "after", "old_before", "old_after")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, before, after, old_before, old_after = (batch.column(i).to_pylist() for i in range(3, 8))
+            first, n, before, after, old_before, old_after = (batch.column(i).to_pylist() for i in range(3, 9))
             start = [x - _equal_words(y, z) for x, y, z in zip(first, before, old_before)]
-            end = [x + WINDOW + _equal_words(y, z) for x, y, z in zip(first, after, old_after)]
+            end = [x + m + _equal_words(y, z) for x, m, y, z in zip(first, n, after, old_after)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(start, pa.int64()), pa.array(end, pa.int64())],
                                              names=["doc", "copy", "first_doc", "start", "end"])
 
@@ -392,7 +434,9 @@ def _runs(places: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 5,
                                              names=["doc", "copy", "first_word", "n_words", "first_doc"])
 
-    return lists.mapInArrow(join, "doc long, copy long, first_word long, n_words long, first_doc long")
+    out = written(lists.mapInArrow(join, "doc long, copy long, first_word long, n_words long, first_doc long"), "passage-runs")
+    dropped(held, rows, cores, words)
+    return out
 
 
 def runs(docs: DataFrame) -> DataFrame:
@@ -405,12 +449,10 @@ def _passages(docs: DataFrame) -> DataFrame:
     """doc, copy, first_word, n_words, first_doc of all repeats in ``docs`` (doc_id, text)."""
     spark, docs = docs.sparkSession, _numbered(docs)
     with cleaned_shuffles(spark):
-        path, places = scratch_path(spark, "passages"), _places(docs)
-        places.write.parquet(path)
-        places = spark.read.schema(places.schema).parquet(path)
-        out = written(_repeats(places, docs), "passage-repeats")
-        more = written(_runs(places, docs), "passage-runs")
-        removed(spark, path)
+        places = written(_places(docs), "passages")
+        more = _runs(places, docs)
+        out = _repeats(places, docs)
+        dropped(places)
     return out.unionByName(more)
 
 

@@ -35,7 +35,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete the folders of ``written`` tables that no later step reads."""
+    for df in tables:
+        removed(df.sparkSession, df.folder)
 
 
 def removed(spark: SparkSession, path: str) -> None:
