@@ -33,7 +33,7 @@ not just the two cuttings of the same words).  In
 a bucket each node is first compared with the bucket's centre; buckets that hold
 several components after that are compared inside, in parts of bounded size.
 Words are read again at the places of nodes that share a bucket and at the ends
-of stretches of windows that stand twice.  Intermediate tables and shuffles go when no step reads them.
+of stretches of windows that stand twice, where no other stretch covers them.  Intermediate tables and shuffles go when no step reads them.
 
 Defined cases: null and empty texts have no paragraphs; rows without doc_id
 come after all others; rows that share a doc_id are one document, and those that
@@ -51,13 +51,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm.components import components
 from tallyspark.llm.setsketch import _groups, _linked, _paired_parts, _Sets
-from tallyspark.llm.shared import cleaned_shuffles, dropped, own_name, written
+from tallyspark.llm.shared import cleaned_shuffles, dropped, own_name, removed, written
+from tallyspark.session import scratch_path
 
 MIN_WORDS = 16
 SHINGLE = 5
@@ -220,6 +221,24 @@ def _places(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, PLACES)
 
 
+def _taken_apart(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The paragraphs and the windows of ``_places``, as tables that can go one by one; texts are read once."""
+    spark, places = docs.sparkSession, _places(docs).withColumn("windows", F.col("n") == 0)
+    path, key = scratch_path(spark, "passages"), "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, "0")
+    # Both files of a task are open at once, so that its rows need not be sorted.
+    spark.conf.set(key, "2")
+    try:
+        places.write.partitionBy("windows").parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    whole, out = spark.read.schema(places.schema).parquet(path), []
+    for kind in ("false", "true"):
+        out.append(whole.filter(f"windows = {kind}").drop("windows"))
+        out[-1].folder = f"{path}/windows={kind}"
+    return out[0], out[1]
+
+
 def _at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """doc, copy, text, places (first, n, node) of the ``docs`` that hold ``places``, each text once."""
     lists = written(places.groupBy("doc", "copy").agg(F.collect_set(F.struct("first", "n", "node")).alias("places")), "passage-places")
@@ -228,47 +247,53 @@ def _at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return docs.join(side, ["doc", "copy"])
 
 
-def _word_lists(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """node, words (hashes, packed) of the paragraphs at ``places`` (doc, copy, first, n, node)."""
+def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """node, shingles (the set's hashes in order, packed) of the paragraphs at ``places`` (doc, copy, first, n, node)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {}
             for text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 raw = hashes(text).tobytes()
-                found |= {p["node"]: raw[8 * p["first"]:8 * (p["first"] + p["n"])] for p in places}
-            yield pa.RecordBatch.from_pydict({"node": pa.array(list(found), pa.binary()), "words": pa.array(list(found.values()), pa.binary())})
+                found |= {p["node"]: _set(raw[8 * p["first"]:8 * (p["first"] + p["n"])]).tobytes() for p in places}
+            yield pa.RecordBatch.from_pydict({"node": pa.array(list(found), pa.binary()), "shingles": pa.array(list(found.values()), pa.binary())})
 
-    return _at(docs, places).select("text", "places").mapInArrow(run, "node binary, words binary").dropDuplicates(["node"])
+    return _at(docs, places).select("text", "places").mapInArrow(run, "node binary, shingles binary").dropDuplicates(["node"])
 
 
 def _set(words: bytes) -> np.ndarray:
     return np.unique(shingle_hashes(np.frombuffer(words, _u)))
 
 
+def _side(held: DataFrame) -> DataFrame:
+    """``held`` as the small side of a join: sent to all tasks if it is short, else hashed part by part (the large side is not sorted)."""
+    return F.broadcast(held) if held.count() <= MAX_BROADCAST_NODES else held.hint("shuffle_hash")
+
+
 def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
     """True links (a, b) between nodes that share a band value; no more inside a bucket than connect it, after its star."""
-    bucket = ["band", "value"]
-    bands = nodes.select("node", "home", "other_home", "low", "high", "n", F.expr("stack({}, {})".format(BANDS, ", ".join(f"{i}, {v}" for i, v in enumerate(VALUES)))).alias(*bucket))
+    # A value tells its band too, as each band has its own hashes.
+    bucket = ["value"]
+    bands = nodes.withColumn("value", F.explode(F.array(*VALUES)))
     # Numbers only, so that the counts are hashed and not sorted; nodes are named in the few buckets that hold two.
     # Those whose paragraphs all overlap in the one text that has them (two cuttings of the same words) link nothing.
-    number = F.xxhash64("node")
-    held = bands.groupBy(*bucket).agg(F.min(number).alias("lo"), F.max(number).alias("hi"), F.min("home").alias("home"), F.max("other_home").alias("other_home"),
-                                      F.max("high").alias("last"), F.min(F.col("low") + F.col("n")).alias("end"))
-    held = written(held.filter("lo <> hi AND (home <> other_home OR last >= end)").select(*bucket), "paragraph-held")
-    side = F.broadcast(held) if held.count() <= MAX_BROADCAST_NODES else held
-    shared = written(bands.select("node", *bucket).join(side, bucket), "paragraph-buckets")
+    # A node of several texts stands for a text of its own.
+    single = F.col("home") == F.col("other_home")
+    home, high = F.when(single, F.col("home")).otherwise(F.xxhash64("node")), F.when(single, F.col("high")).otherwise(F.col("low"))
+    held = bands.groupBy(*bucket).agg(F.min(home).alias("home"), F.max(home).alias("other_home"), F.max(high).alias("last"), F.min(F.col("low") + F.col("n")).alias("end"))
+    held = written(held.filter("home <> other_home OR last >= end").select(*bucket), "paragraph-held")
+    shared = written(bands.select("node", *bucket).join(_side(held), bucket), "paragraph-buckets")
     centre = shared.groupBy(*bucket).agg(F.min("node").alias("b"))
     used = places.join(shared.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("doc", "copy", "first", "n")).alias("p"))
-    words = written(_word_lists(docs, used.select("p.*", "node")), "paragraph-words")
+    sets = written(_sets(docs, used.select("p.*", "node")), "paragraph-sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = pa.array([_linked(_set(x), _set(y), PERCENT) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
+            keep = pa.array([_linked(np.frombuffer(x, _u), np.frombuffer(y, _u), PERCENT) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    left, right = (words.select(F.col("node").alias(c), F.col("words").alias(f"w{c}")) for c in "ab")
+    left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     pairs = shared.join(centre, bucket).select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
-    stars = written(pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(check, "a binary, b binary"), "paragraph-stars")
+    stars = written(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a binary, b binary"), "paragraph-stars")
     roots = components(stars)
     named = shared.select(*bucket, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named, "paragraph-roots")
@@ -279,7 +304,7 @@ def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
         for table, group in _groups(batches, key):
             node, root = table.column("node").to_pylist(), table.column("root").to_pylist()
             part, apart = table.column("part").to_numpy(), table.column("apart").to_numpy()
-            sets = [_set(x) for x in table.column("words").to_pylist()]
+            sets = [np.frombuffer(x, _u) for x in table.column("shingles").to_pylist()]
             size = np.array([len(x) for x in sets])
             number = {r: k for k, r in enumerate(dict.fromkeys(root))}
             joined, links = _Sets(len(number)), []
@@ -293,10 +318,10 @@ def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
                         links.append((node[x], node[x + d]))
             yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
-    cells = _paired_parts(named.join(open_, bucket), bucket, PART_ROWS).join(words, "node")
-    cells = cells.select(*key, "node", "root", "part", "words", (F.col("p") != F.col("q")).alias("apart"))
+    cells = _paired_parts(named.join(open_, bucket), bucket, PART_ROWS).join(sets, "node")
+    cells = cells.select(*key, "node", "root", "part", "shingles", (F.col("p") != F.col("q")).alias("apart"))
     links = written(stars.unionByName(cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(inside, "a binary, b binary")), "paragraph-links")
-    dropped(held, shared, words, stars, named)
+    dropped(held, shared, sets, stars, named)
     return links
 
 
@@ -367,45 +392,46 @@ def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def _stretches(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (doc, copy, old_doc, old_copy, shift, first) of windows with first places, joined where they touch: first, n of each stretch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, first, size = [], [], []
-            for i, places in enumerate(batch.column(5).to_pylist()):
-                at = np.sort(np.array(places))
-                start = np.flatnonzero(np.diff(at, prepend=-WINDOW - 1) > WINDOW)
-                last = np.append(start[1:], len(at)) - 1
-                row += [i] * len(start)
-                first.append(at[start])
-                size.append(at[last] + WINDOW - at[start])
-            if row:
-                rest = [c.take(pa.array(row)) for c in batch.columns[:5]]
-                yield pa.RecordBatch.from_arrays([*rest, *(pa.array(np.concatenate(x).astype(np.int32)) for x in (first, size))], names=[*key, "first", "n"])
-
-    key = ["doc", "copy", "old_doc", "old_copy", "shift"]
-    lists = pairs.groupBy(*key).agg(F.collect_set("first").alias("places"))
-    return lists.mapInArrow(run, "doc long, copy long, old_doc long, old_copy long, shift int, first int, n int")
-
-
-def _runs(places: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc, copy, first_word, n_words, first_doc of each run of words that stands earlier too."""
+    """``pairs`` (doc, copy, old_doc, old_copy, shift, first) of windows with first places, joined where they touch: first, n of each stretch;
+    low, high: the words that it and the stretches it overlaps or touches cover, of those with the same old_doc."""
+    whole = ["doc", "copy", "old_doc"]
+    key = [*whole, "old_copy", "shift"]
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    each = Window.partitionBy(*key).orderBy("first")
+    new = F.coalesce((F.col("first") - F.lag("first").over(each) > WINDOW).cast("int"), F.lit(1))
+    out = pairs.repartition(*whole).withColumn("new", new).withColumn("stretch", F.sum("new").over(each.rowsBetween(*so_far)))
+    out = out.groupBy(*key, "stretch").agg(F.min("first").alias("first"), (F.max("first") - F.min("first") + WINDOW).alias("n")).drop("stretch")
+    every = Window.partitionBy(*whole).orderBy("first")
+    end = F.col("first") + F.col("n")
+    new = F.coalesce((F.col("first") > F.max(end).over(every.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1))
+    out = out.withColumn("new", new).withColumn("cover", F.sum("new").over(every.rowsBetween(*so_far)))
+    cover = Window.partitionBy(*whole, "cover")
+    return out.select(*key, "first", "n", F.min("first").over(cover).alias("low"), F.max(end).over(cover).alias("high"))
+
+
+def _runs(places: DataFrame, docs: DataFrame, done=lambda: None) -> DataFrame:
+    """doc, copy, first_word, n_words, first_doc of each run of words that stands earlier too; ``done`` is called when ``places`` are read no more."""
     rows = places.filter("n = 0").select("doc", "copy", "first", "node")
-    seat = F.xxhash64("doc", "copy", "first")
-    held = written(rows.groupBy("node").agg(F.min(seat).alias("lo"), F.max(seat).alias("hi")).filter("lo <> hi").select("node"), "run-windows")
-    side = F.broadcast(held) if held.count() <= MAX_BROADCAST_NODES else held
-    rows = written(rows.join(side, "node"), "run-rows")
+    seat, number = F.xxhash64("doc", "copy", "first"), F.xxhash64("node").alias("number")
+    held = rows.groupBy(number).agg(F.min(seat).alias("lo"), F.max(seat).alias("hi")).filter("lo <> hi").select("number")
+    held = written(held, "run-windows")
+    rows = written(rows.withColumn("number", number).join(_side(held), "number").drop("number"), "run-rows")
+    done()
     place = F.struct("doc", "copy", "first")
     origin = rows.groupBy("node").agg(F.min(place).alias("o"))
     later = rows.join(origin, "node").filter(place > F.col("o"))
     later = later.select("doc", "copy", F.col("o.doc").alias("old_doc"), F.col("o.copy").alias("old_copy"), (F.col("first") - F.col("o.first")).alias("shift"), "first")
     cores = written(_stretches(later), "run-cores")
-    # Only the ends of a stretch can be extended: inside, its windows touch.
-    new = cores.select("doc", "copy", "first", "n")
-    old = cores.select(F.col("old_doc").alias("doc"), F.col("old_copy").alias("copy"), (F.col("first") - F.col("shift")).alias("first"), "n")
+    # Only the ends of a stretch can be extended: inside, its windows touch.  They need not be where other stretches
+    # with the same old document cover as many words as an extension may have.
+    far = F.col("first") + F.col("n") + REACH - 1
+    open_ = cores.filter((F.col("low") > F.greatest(F.lit(0), F.col("first") - (REACH - 1))) | (F.col("high") < far))
+    new = open_.select("doc", "copy", "first", "n")
+    old = open_.select(F.col("old_doc").alias("doc"), F.col("old_copy").alias("copy"), (F.col("first") - F.col("shift")).alias("first"), "n")
     words = written(_around(docs, new.unionByName(old)), "run-words")
     before = words.select(F.col("doc").alias("old_doc"), F.col("copy").alias("old_copy"), F.col("first").alias("old_first"), "n",
                           F.col("before").alias("old_before"), F.col("after").alias("old_after"))
-    pairs = cores.withColumn("old_first", F.col("first") - F.col("shift")).join(words, ["doc", "copy", "first", "n"]).join(
+    pairs = open_.withColumn("old_first", F.col("first") - F.col("shift")).join(words, ["doc", "copy", "first", "n"]).join(
         before, ["old_doc", "old_copy", "old_first", "n"]).select(
         "doc", "copy", F.col("old_doc").alias("first_doc"), "first", "n", "before", "after", "old_before", "old_after")
 
@@ -418,6 +444,8 @@ def _runs(places: DataFrame, docs: DataFrame) -> DataFrame:
                                              names=["doc", "copy", "first_doc", "start", "end"])
 
     spans = pairs.mapInArrow(extend, "doc long, copy long, first_doc long, start long, end long")
+    covers = cores.select("doc", "copy", F.col("old_doc").alias("first_doc"), F.col("low").cast("long").alias("start"), F.col("high").cast("long").alias("end"))
+    spans = spans.unionByName(covers.distinct())
     lists = spans.groupBy("doc", "copy", "first_doc").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,10 +477,10 @@ def _passages(docs: DataFrame) -> DataFrame:
     """doc, copy, first_word, n_words, first_doc of all repeats in ``docs`` (doc_id, text)."""
     spark, docs = docs.sparkSession, _numbered(docs)
     with cleaned_shuffles(spark):
-        places = written(_places(docs), "passages")
-        more = _runs(places, docs)
-        out = _repeats(places, docs)
-        dropped(places)
+        paragraphs, windows = _taken_apart(docs)
+        more = _runs(windows, docs, lambda: dropped(windows))
+        out = _repeats(paragraphs, docs)
+        dropped(paragraphs)
     return out.unionByName(more)
 
 

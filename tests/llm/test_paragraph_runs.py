@@ -88,3 +88,28 @@ def test_passage_twice_in_one_document(spark):
     assert {r.doc_id for r in got} == {7} and {r.first_doc_id for r in got} == {7}
     assert {k for r in got for k in range(r.first_word, r.first_word + r.n_words)} == set(range(130, 210))
     assert len(P.remove(df).filter("doc_id = 7").first().text.split()) == 140
+
+
+def test_stretches_inside_others_are_not_extended(spark, monkeypatch):
+    rng = random.Random(9)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(300)
+    # The middle stands twice in document 0, so its windows come first at another place than those around it.
+    rows = [(0, " ".join(words(20) + passage[100:150] + words(30) + passage + words(5))), (1, " ".join(words(7) + passage + words(9)))]
+    asked, around = [], P._around
+    monkeypatch.setattr(P, "_around", lambda docs, places: asked.extend(places.collect()) or around(docs, places))
+    df, got = spark.createDataFrame(rows, "doc_id long, text string"), set()
+    for r in P.runs(df).collect():
+        got |= {(r.doc_id, k) for k in range(r.first_word, r.first_word + r.n_words)}
+    assert got == brute_runs(rows) and {(1, k) for k in range(7, 307)} <= got
+    starts = {r["first"] for r in asked if r["doc"] == 1}
+    assert starts and not any(107 <= x < 142 for x in starts)
+
+
+def test_windows_are_gone_before_paragraphs_are_compared(spark, monkeypatch):
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(5000)}" for _ in range(90))
+    seen, repeats = [], P._repeats
+    monkeypatch.setattr(P, "_repeats", lambda places, docs: seen.append((places.filter("n = 0").count(), places.filter("n > 0").count())) or repeats(places, docs))
+    assert P.passages(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")).count()
+    assert seen[0][0] == 0 and seen[0][1] > 0
