@@ -57,13 +57,17 @@ def unique_on(df: DataFrame, keys: list[str], what: str = "incoming") -> DataFra
     return _unpacked(checked, keys, others, df.columns)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: list[str], order_col: str, null_keys: bool = True, combine: bool = True) -> DataFrame:
     """The row with the greatest ``order_col`` per key (an aggregate: hot keys combine map-side).
 
-    Rows with a NULL key are returned unchanged (they never match anything).
+    Rows with a NULL key are returned unchanged (they never match anything); without ``null_keys`` they are left out, and
+    the result is partitioned on the keys.  Without ``combine`` plain rows are shuffled and aggregated after that: for
+    keys that have a few rows each.
     """
     others = [c for c in df.columns if c not in keys]
-    rows, by = _by_key(df, keys)
+    rows, by = _by_key(df, keys) if null_keys else (df.dropna(subset=keys), keys)
+    if not combine:
+        rows = rows.repartition(*by)
     best = rows.groupBy(*by).agg(F.max_by(F.struct(F.lit(0).alias("_"), *others), F.col(order_col)).alias("_r"))
     return _unpacked(best, keys, others, df.columns)
 

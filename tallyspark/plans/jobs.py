@@ -141,7 +141,9 @@ def _with_old_values(spark: SparkSession, df: DataFrame, detail_root: str, table
     if not set(keys) <= set(df.columns):
         raise ValueError(f"{table}: the file lacks key columns {sorted(set(keys) - set(df.columns))}")
     if lacking:
-        stored = TB.read_latest(spark, detail_root, table, keys, schema)
+        # Only the columns that are needed; a NULL key matches nothing.
+        part = T.StructType([f for f in schema.fields if f.name in keys or f.name in lacking])
+        stored = TB.read_latest(spark, detail_root, table, keys, part, null_keys=False)
         if stored is None:
             df = df.withColumns({c: F.lit(None).cast(schema[c].dataType) for c in lacking})
         else:

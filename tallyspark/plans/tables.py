@@ -64,9 +64,12 @@ def append_load(df: DataFrame, root: str, table: str, load_id: int, partition_by
     return load_id
 
 
-def read_latest(spark: SparkSession, root: str, table: str, keys: list[str], schema=None, where=None
+def read_latest(spark: SparkSession, root: str, table: str, keys: list[str], schema=None, where=None, null_keys: bool = True
                 ) -> DataFrame | None:
-    """Current rows of a merge-on-read table (latest load per key; NULL-key rows all kept).
+    """Current rows of a merge-on-read table (latest load per key; NULL-key rows all kept, or none without ``null_keys``).
+
+    A load holds a key once, so a key has as many records as loads sent it: rows are shuffled as they are, without a
+    partial aggregate that would find nothing to combine.
 
     ``where`` filters the stored records before the per-key step; it must only
     test columns that are equal in every record of a key (so it selects whole
@@ -78,7 +81,7 @@ def read_latest(spark: SparkSession, root: str, table: str, keys: list[str], sch
     if where is not None:
         df = df.filter(where)
     cols = schema.names if schema is not None else [c for c in df.columns if c != LOAD_COL]
-    return latest_per_key(df, keys, LOAD_COL).select(*cols)
+    return latest_per_key(df, keys, LOAD_COL, null_keys, combine=False).select(*cols)
 
 
 def _with_load(schema):

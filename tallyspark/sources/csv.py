@@ -77,9 +77,9 @@ def read_text_rows(spark: SparkSession, path: str, sep: str = ";", seq_col: str
     return rows.join(pieces, ["_file", "_start"]).select(*columns, (F.col("_piece") * (1 << ROW_BITS) + F.col("_row")).alias(seq_col))
 
 
-def write_detail_csv(df: DataFrame, path: str, sep: str = ";") -> str:
-    """Write a table in the detail-file layout (row-number column first, upper-case header)."""
+def write_detail_csv(df: DataFrame, path: str, sep: str = ";", compression: str = "none") -> str:
+    """Write a table in the detail-file layout (row-number column first, upper-case header), a part file for each task."""
     out = df.select(F.monotonically_increasing_id().cast("string").alias(""),
                     *[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    out.write.mode("overwrite").option("header", True).option("sep", sep).option("compression", compression).csv(path)
     return path

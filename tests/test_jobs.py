@@ -1,6 +1,7 @@
 """End-to-end file jobs: load + calculate, export + versioned import, mirror from delta folders."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from tallyspark.operators import mirror as MI
 from tallyspark.operators import report as RP
 from tallyspark.operators import turnover as TO
 from tallyspark.plans import jobs as J
+from tallyspark.plans import tables as TB
 from tallyspark.sources import csv as CSV
 from tallyspark.sources.fixtures import Fixtures
 
@@ -152,3 +154,24 @@ def test_turnover_range_fill_replaces_days_and_clears_empty_ones(spark, tmp_dir)
     assert got.filter(F.col("on_date") == dt.date(1998, 10, 20)).count() == stale.count()
     assert res["days_cleared"] == 1  # the stale 1998-07-20 folder
     assert got.filter(F.col("on_date") == dt.date(1998, 7, 20)).count() == 0
+
+
+def test_second_load_shuffles_stored_rows_once_and_uncombined(spark, tmp_path, request):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    request.addfinalizer(lambda before=spark.conf.get(key): spark.conf.set(key, before))
+    spark.conf.set(key, "-1")
+    schema = dict(CSV.DETAIL_FILES)["ft_balance_f"]
+    rows = [(dt.date(2018, 1, 31), i, 643, Decimal(i)) for i in range(20)]
+    TB.append_load(spark.createDataFrame(rows, schema), str(tmp_path), "ft_balance_f", 1)
+    late = [(d, rk, 840, b + 1) for d, rk, _, b in rows[::2]]
+    TB.append_load(spark.createDataFrame(late, schema), str(tmp_path), "ft_balance_f", 2)
+    file = spark.createDataFrame([(*r[:2], Decimal(7)) for r in [*rows, (None, 1, 0, 0)]], "on_date date, account_rk int, balance_out decimal(23,8)")
+    out = J._with_old_values(spark, file.repartition("on_date", "account_rk"), str(tmp_path), "ft_balance_f", schema)
+    # The stored rows carry no column that the file has, and the aggregate's partitions serve the join.
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") <= 2 and "partial_max_by" in plan
+    scan = next(line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in line)
+    assert "balance_out" not in scan
+    assert {(r.account_rk, r.currency_rk) for r in out.collect() if r.on_date} == {(i, 643 if i % 2 else 840) for i in range(20)}
+    latest = TB.read_latest(spark, str(tmp_path), "ft_balance_f", ["on_date", "account_rk"], schema)
+    assert {(r.account_rk, r.balance_out) for r in latest.collect()} == {(i, i + (i % 2 == 0)) for i in range(20)}
