@@ -50,6 +50,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,7 +67,7 @@ PERCENT = 80
 BAND_ROWS, BANDS = 2, 6
 WINDOW, REACH = 16, 16
 PART_ROWS = 256
-MAX_BROADCAST_NODES = 500_000
+MAX_BROADCAST_NODES = 50_000
 CACHE_WORDS = 300_000
 CHUNK_WORDS = 200_000
 LAST = (1 << 63) - 1
@@ -77,24 +78,31 @@ _MULTIPLY = _rng.integers(1 << 63, size=BANDS * BAND_ROWS, dtype=_u) * _u(2) + _
 _ADD = _rng.integers(1 << 63, size=BANDS * BAND_ROWS, dtype=_u)
 _END = re.compile(r"[.!?][^\w]*$")
 _EDGES = re.compile(r"^\W+|\W+$")
+# White space outside ASCII, where str.split cuts too; the bytes that are white space within.
+_FAR_SPACES = re.compile("[" + "".join(c for c in map(chr, range(128, 0x3001)) if c.isspace()) + "]")
+_SPACES = np.array([c < 128 and chr(c).isspace() for c in range(256)])
+_ASCII_EDGES = bytes(c for c in range(128) if re.match(r"\W", chr(c)))
 
 
 class _Words(dict):
-    """Hash of a word in its compared form; the lowest bit tells whether it ends a sentence."""
+    """Hash of a word (UTF-8) in its compared form; the lowest bit tells whether it ends a sentence."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        if word.isalnum():
-            h = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) & ~1
+        if word.isascii():
+            low = word.lower()
+            body = low.rstrip(_ASCII_EDGES)
+            plain, tail = body.lstrip(_ASCII_EDGES) or word, low[len(body):]
+            end = b"." in tail or b"!" in tail or b"?" in tail
         else:
-            plain = _EDGES.sub("", word.lower()) or word
-            h = xxhash.xxh3_64_intdigest(plain.encode("utf-8", "surrogatepass")) & ~1 | bool(_END.search(word))
-        self[word] = h
+            text = word.decode("utf-8", "surrogatepass")
+            plain, end = (_EDGES.sub("", text.lower()) or text).encode("utf-8", "surrogatepass"), bool(_END.search(text))
+        self[word] = h = _hash(plain) & ~1 | end
         return h
 
 
-_words = _Words()
+_words, _hash = _Words(), xxhash.xxh3_64_intdigest
 
 
 def _mixed(h: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -110,27 +118,66 @@ def shingle_hashes(w: np.ndarray) -> np.ndarray:
     return h
 
 
+def _split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the words of all ``texts`` (UTF-8), one after the other; length of each word; its line; first word of each text, and their number.
+
+    An empty line is put between two texts."""
+    texts = [t if t.isascii() else _FAR_SPACES.sub(" ", t.decode("utf-8", "surrogatepass")).encode("utf-8", "surrogatepass") for t in texts]
+    raw = np.frombuffer(b"\n\n".join([*texts, b""]), np.uint8)
+    gap = _SPACES[raw]
+    turn = np.flatnonzero(np.diff(gap, prepend=True, append=True))
+    start, stop = turn[::2], turn[1::2]
+    begin = np.searchsorted(start, np.cumsum([0, *(len(t) + 2 for t in texts)]))
+    return raw[~gap], stop - start, np.searchsorted(np.flatnonzero(raw == 10), start), begin
+
+
+def _hashed(letters: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of each word, with the bit of sentence ends; each different word is looked up once."""
+    if not len(size):
+        return np.array([], _u)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(letters))]).dictionary_encode()
+    names = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+    # Words of ASCII letters and digits, most, are hashed faster than they are found.
+    return np.array([_hash(x.lower()) & ~1 if x.isalnum() else _words[x] for x in names], _u)[words.indices.to_numpy()]
+
+
+def _hashes_at(texts: list[bytes], text: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Compared hash of each word of ``texts`` that one of the stretches (``text``, ``first``, ``n``) holds, 0 elsewhere; first word of each text, and their number."""
+    letters, size, _, begin = _split(texts)
+    low, high = np.maximum(begin[text] + first, begin[text]), np.minimum(begin[text] + first + n, begin[text + 1])
+    wanted = np.cumsum(np.bincount(low, minlength=len(size) + 1) - np.bincount(high, minlength=len(size) + 1))[:len(size)] > 0
+    w = np.zeros(len(size), _u)
+    w[wanted] = _hashed(letters[np.repeat(wanted, size)], size[wanted]) & ~_u(1)
+    return w, begin
+
+
+def _bytes(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
 def hashes(text: str | None) -> np.ndarray:
     """Compared hash of each word."""
-    flat = (text or "").split()
-    return np.fromiter(map(_words.__getitem__, flat), _u, len(flat)) & ~_u(1)
+    return _hashed(*_split([_bytes(text)])[:2]) & ~_u(1)
 
 
-def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Compared hash of each word; first word and number of words of each paragraph, in both cuttings."""
-    lines = [line.split() for line in (text or "").split("\n")]
-    flat = [x for line in lines for x in line]
-    w = np.fromiter(map(_words.__getitem__, flat), _u, len(flat))
+def _paragraphs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Compared hash of each word of all ``texts``; first word and number of words of each paragraph, in both cuttings; first word of each text, and their number."""
+    letters, size, line, begin = _split(texts)
+    w = _hashed(letters, size)
     if not len(w):
-        return w, np.array([], int), np.array([], int)
+        return w, np.array([], int), np.array([], int), begin
     ends = (w & _u(1)).astype(bool)
     w &= ~_u(1)
     line_end = np.zeros(len(w), bool)
-    size = np.array([len(line) for line in lines] + [0])
+    size = np.append(np.bincount(line), 0)
     short = (size > 0) & (size < MIN_WORDS)
     cut = (size > 0) & ~(short & np.append(short[1:], False))
     line_end[np.cumsum(size)[cut] - 1] = True
-    half = ((_mixed(w, np.concatenate([w[:1], w[:-1]])) >> _u(40)) & _u(1)).astype(bool)
+    before = np.concatenate([w[:1], w[:-1]])
+    opening = begin[:-1][begin[:-1] < begin[1:]]
+    before[opening] = w[opening]
+    half = ((_mixed(w, before) >> _u(40)) & _u(1)).astype(bool)
     firsts, sizes = [], []
     for chosen in (half, ~half):
         stop = np.flatnonzero(line_end | (ends & chosen)) + 1
@@ -138,16 +185,41 @@ def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         long = stop - start >= MIN_WORDS
         firsts.append(start[long])
         sizes.append((stop - start)[long])
-    return w, np.concatenate(firsts), np.concatenate(sizes)
+    return w, np.concatenate(firsts), np.concatenate(sizes), begin
+
+
+def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Compared hash of each word; first word and number of words of each paragraph, in both cuttings."""
+    return _paragraphs([_bytes(text)])[:3]
+
+
+def _windows(w: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """First word of each chosen window of texts that begin at ``begin`` in the word hashes ``w`` (and end there)."""
+    long = np.flatnonzero(np.diff(begin) >= WINDOW)
+    if not len(long):
+        return np.array([], int)
+    low = _mixed(shingle_hashes(w)[:len(w) - WINDOW + 1], _u(0))
+    least, span, out = np.arange(len(low)), 1, []
+    seats = np.diff(begin)[long] - WINDOW + 1
+    few = long[seats < REACH]
+    out = [a + low[a:b - WINDOW + 1].argmin(keepdims=True) for a, b in zip(begin[few].tolist(), begin[few + 1].tolist())]
+    if (seats >= REACH).any():
+        # The least of ever more neighbouring places, the first of equal ones.
+        while span < REACH:
+            step = min(span, REACH - span)
+            right = low[step:] < low[:-step]
+            low, least = np.where(right, low[step:], low[:-step]), np.where(right, least[step:], least[:-step])
+            span += step
+        many = long[seats >= REACH]
+        inside = np.cumsum(np.bincount(begin[many], minlength=len(w) + 1) - np.bincount(begin[many + 1] - WINDOW - REACH + 2, minlength=len(w) + 1))
+        least = least[inside[:len(least)] > 0]
+        out.append(least[np.append(True, least[1:] != least[:-1])])
+    return np.concatenate(out)
 
 
 def chosen_windows(w: np.ndarray) -> np.ndarray:
     """First word of each chosen window of a text with the word hashes ``w``."""
-    if len(w) < WINDOW:
-        return np.array([], int)
-    h = _mixed(shingle_hashes(w)[:len(w) - WINDOW + 1], _u(0))
-    least = np.lib.stride_tricks.sliding_window_view(h, min(REACH, len(h))).argmin(axis=1)
-    return np.unique(least + np.arange(len(least)))
+    return _windows(w, np.array([0, len(w)]))
 
 
 def _digests(w: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -177,42 +249,38 @@ VALUES = [f"v{band}" for band in range(BANDS)]
 PLACES = "doc long, copy long, first int, n int, node binary, " + ", ".join(f"{v} long" for v in VALUES)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, str]]]:
-    """Rows (doc, copy, text) in chunks of about ``CHUNK_WORDS`` words, a longer text alone."""
+def _chunks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of about ``CHUNK_WORDS`` words, a longer text alone, and their texts (column ``at``)."""
     for batch in batches:
-        chunk, size = [], 0
-        for row in zip(*(c.to_pylist() for c in batch.columns[:3])):
-            if chunk and size + len(row[2]) // 6 > CHUNK_WORDS:
-                yield chunk
-                chunk, size = [], 0
-            chunk.append(row)
-            size += len(row[2]) // 6
-        if chunk:
-            yield chunk
+        size = pc.binary_length(batch.column(at)).to_numpy()
+        low, room = 0, 6 * CHUNK_WORDS
+        for high, x in enumerate(size.tolist()):
+            if high > low and x > room:
+                yield (part := batch.slice(low, high - low)), part.column(at).cast(pa.binary()).to_pylist()
+                low, room = high, 6 * CHUNK_WORDS
+            room -= x
+        if low < len(size):
+            yield (part := batch.slice(low)), part.column(at).cast(pa.binary()).to_pylist()
 
 
 def _places(docs: DataFrame) -> DataFrame:
     """Each paragraph (n words, with its band values) and each chosen window (n is 0) of ``docs`` (doc, copy, text); node is the digest of its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
-            found = [paragraphs(text) for _, _, text in chunk]
-            windows = [chosen_windows(w) for w, _, _ in found]
-            flat = np.concatenate([w for w, _, _ in found])
-            begin = np.concatenate([[0], np.cumsum([len(w) for w, _, _ in found])[:-1]]).astype(int)
+        for chunk, texts in _chunks(batches, 2):
+            flat, at, sizes, begin = _paragraphs(texts)
             raw = flat.tobytes()
-            for at, n in (([a for _, a, _ in found], np.concatenate([n for _, _, n in found])), (windows, None)):
-                counts = [len(a) for a in at]
-                first = np.concatenate(at).astype(int)
-                if not len(first):
+            for place, n in ((at, sizes), (_windows(flat, begin), None)):
+                if not len(place):
                     continue
-                place = first + np.repeat(begin, counts)
+                text = np.searchsorted(begin, place, "right") - 1
+                first = place - begin[text]
                 if n is None:
                     n, values = np.zeros(len(first), int), [pa.nulls(len(first), pa.int64())] * BANDS
                     node = _digests(flat, place).tobytes()
                 else:
                     values = [pa.array(v) for v in _band_values(flat, place, n).T]
                     node = b"".join(hashlib.blake2b(raw[8 * a:8 * (a + m)], digest_size=16).digest() for a, m in zip(place.tolist(), n.tolist()))
-                doc, copy = (np.repeat(np.array([r[i] for r in chunk], np.int64), counts) for i in range(2))
+                doc, copy = (chunk.column(i).to_numpy()[text] for i in range(2))
                 node = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(first), [None, pa.py_buffer(node)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc), pa.array(copy), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), node, *values],
@@ -247,14 +315,20 @@ def _at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return docs.join(side, ["doc", "copy"])
 
 
+def _listed(places: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Row, first, n and node of each of the ``places`` of the rows."""
+    first, n, node = places.flatten().flatten()
+    return np.repeat(np.arange(len(places)), pc.list_value_length(places).to_numpy()), first.to_numpy().astype(int), n.to_numpy().astype(int), node
+
+
 def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
     """node, shingles (the set's hashes in order, packed) of the paragraphs at ``places`` (doc, copy, first, n, node)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = {}
-            for text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = hashes(text).tobytes()
-                found |= {p["node"]: _set(raw[8 * p["first"]:8 * (p["first"] + p["n"])]).tobytes() for p in places}
+        for chunk, texts in _chunks(batches, 0):
+            text, first, n, node = _listed(chunk.column(1))
+            w, begin = _hashes_at(texts, text, first, n)
+            raw, low = w.tobytes(), (begin[text] + first).tolist()
+            found = {x: _set(raw[8 * a:8 * (a + m)]).tobytes() for x, a, m in zip(node.to_pylist(), low, n.tolist())}
             yield pa.RecordBatch.from_pydict({"node": pa.array(list(found), pa.binary()), "shingles": pa.array(list(found.values()), pa.binary())})
 
     return _at(docs, places).select("text", "places").mapInArrow(run, "node binary, shingles binary").dropDuplicates(["node"])
@@ -269,8 +343,8 @@ def _side(held: DataFrame) -> DataFrame:
     return F.broadcast(held) if held.count() <= MAX_BROADCAST_NODES else held.hint("shuffle_hash")
 
 
-def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
-    """True links (a, b) between nodes that share a band value; no more inside a bucket than connect it, after its star."""
+def _roots(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, root of ``nodes`` that are linked to others: nodes that share a band value are compared, first with the bucket's centre."""
     # A value tells its band too, as each band has its own hashes.
     bucket = ["value"]
     bands = nodes.withColumn("value", F.explode(F.array(*VALUES)))
@@ -283,8 +357,9 @@ def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
     held = written(held.filter("home <> other_home OR last >= end").select(*bucket), "paragraph-held")
     shared = written(bands.select("node", *bucket).join(_side(held), bucket), "paragraph-buckets")
     centre = shared.groupBy(*bucket).agg(F.min("node").alias("b"))
-    used = places.join(shared.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("doc", "copy", "first", "n")).alias("p"))
-    sets = written(_sets(docs, used.select("p.*", "node")), "paragraph-sets")
+    used = written(shared.select("node").distinct(), "paragraph-used")
+    used = nodes.select("doc", "copy", "first", "n", "node").join(_side(used), "node")
+    sets = written(_sets(docs, used), "paragraph-sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,7 +372,11 @@ def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
     roots = components(stars)
     named = shared.select(*bucket, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named, "paragraph-roots")
-    open_ = named.groupBy(*bucket).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select(*bucket)
+    spread = [F.min("root").alias("lo"), F.max("root").alias("hi")]
+    # All were compared with the centre, so that a bucket of two is done and others are compared without it.
+    open_ = named.groupBy(*bucket).agg(*spread, F.min("node").alias("b"), F.count(F.lit(1)).alias("held")).filter("lo <> hi AND held > 2")
+    rest = written(named.join(open_.select(*bucket, "b"), bucket).filter("node <> b").drop("b"), "paragraph-rest")
+    open_ = rest.groupBy(*bucket).agg(*spread).filter("lo <> hi").select(*bucket)
     key = [*bucket, "p", "q"]
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,14 +394,18 @@ def _links(nodes: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
                     a, b = number[root[x]], number[root[x + d]]
                     if joined.find(a) != joined.find(b) and _linked(sets[x], sets[x + d], PERCENT):
                         joined.join(a, b)
-                        links.append((node[x], node[x + d]))
+                        links.append((root[x], root[x + d]))
             yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
-    cells = _paired_parts(named.join(open_, bucket), bucket, PART_ROWS).join(sets, "node")
+    cells = _paired_parts(rest.join(open_, bucket), bucket, PART_ROWS).join(sets, "node")
     cells = cells.select(*key, "node", "root", "part", "shingles", (F.col("p") != F.col("q")).alias("apart"))
-    links = written(stars.unionByName(cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(inside, "a binary, b binary")), "paragraph-links")
-    dropped(held, shared, sets, stars, named)
-    return links
+    links = cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(inside, "a binary, b binary")
+    # Only components are joined now; a node without a link so far is one of its own.
+    more = components(links)
+    joined = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    roots = written(joined.unionByName(more.join(roots, "node", "left_anti")), "paragraph-classes")
+    dropped(held, shared, sets, stars, named, rest)
+    return roots
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -337,14 +420,16 @@ def _named(found: DataFrame) -> DataFrame:
 
 
 def _repeats(places: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc, copy, first_word, n_words, first_doc of each paragraph of ``places`` that stands after another of its class."""
-    rows = places.filter("n > 0").select("doc", "copy", "first", "n", "node")
+    """doc, copy, first_word, n_words, first_doc of each paragraph of ``places`` (``written``, deleted when read) that stands after another of its class."""
+    rows = written(places.filter("n > 0").select("doc", "copy", "first", "n", "node"), "paragraph-rows")
     home = F.xxhash64("doc", "copy")
     nodes = places.filter("n > 0").groupBy("node").agg(
         F.min(home).alias("home"), F.max(home).alias("other_home"), F.min("first").alias("low"), F.max("first").alias("high"), F.min("n").alias("n"),
-        *[F.min(v).alias(v) for v in VALUES])
+        # Any one place: the words are the same everywhere.
+        *[F.first(c).alias(c) for c in ("doc", "copy", "first")], *[F.min(v).alias(v) for v in VALUES])
     nodes = written(nodes, "paragraph-nodes")
-    roots = components(_links(nodes, rows, docs))
+    dropped(places)
+    roots = _roots(nodes, docs)
     alone = nodes.filter("home <> other_home OR low < high").select("node").join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
     classes = written(roots.select("node", "root").unionByName(alone), "paragraph-classes")
     seats = written(rows.join(classes, "node").select("root", "doc", "copy", "first", "n").distinct(), "paragraph-seats")
@@ -352,7 +437,7 @@ def _repeats(places: DataFrame, docs: DataFrame) -> DataFrame:
     inside = (F.col("doc") == F.col("o.doc")) & (F.col("copy") == F.col("o.copy")) & (F.col("first") < F.col("o.first") + F.col("o.n"))
     out = seats.join(origin, "root").filter(~inside).select("doc", "copy", F.col("first").alias("first_word"), F.col("n").alias("n_words"), F.col("o.doc").alias("first_doc"))
     out = written(out, "passage-repeats")
-    dropped(nodes, classes, seats)
+    dropped(rows, nodes, classes, seats)
     return out
 
 
@@ -376,16 +461,18 @@ def _equal_words(x: bytes, y: bytes) -> int:
 def _around(docs: DataFrame, places: DataFrame) -> DataFrame:
     """``places`` (doc, copy, first, n) with the words before (nearest first) and after each stretch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = 8 * (REACH - 1)
-        for batch in batches:
-            for doc, copy, text, places in zip(*(c.to_pylist() for c in batch.columns)):
-                w = hashes(text)
-                raw, back = w.tobytes(), w[::-1].tobytes()
-                first, n = [p["first"] for p in places], [p["n"] for p in places]
-                columns = [np.full(len(first), doc), np.full(len(first), copy), first, n,
-                           [back[8 * (len(w) - x):][:size] for x in first], [raw[8 * (x + m):8 * (x + m) + size] for x, m in zip(first, n)]]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc", "copy", "first", "n", "before", "after"])
+        far = REACH - 1
+        for chunk, texts in _chunks(batches, 2):
+            text, first, n, _ = _listed(chunk.column(3))
+            w, begin = _hashes_at(texts, np.tile(text, 2), np.concatenate([first - far, first + n]), np.full(2 * len(text), far))
+            raw, back = w.tobytes(), w[::-1].tobytes()
+            low, high = begin[text] + first, begin[text] + first + n
+            before, after = np.minimum(first, far), np.minimum(begin[text + 1] - high, far)
+            columns = [chunk.column(0).to_numpy()[text], chunk.column(1).to_numpy()[text], first, n,
+                       [back[8 * (len(w) - x):8 * (len(w) - x + m)] for x, m in zip(low.tolist(), before.tolist())],
+                       [raw[8 * x:8 * (x + m)] for x, m in zip(high.tolist(), after.tolist())]]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc", "copy", "first", "n", "before", "after"])
 
     found = _at(docs, places.withColumn("node", F.lit(None).cast("binary"))).select("doc", "copy", "text", "places")
     return found.mapInArrow(run, "doc long, copy long, first int, n int, before binary, after binary").dropDuplicates(["doc", "copy", "first", "n"])
@@ -412,10 +499,10 @@ def _stretches(pairs: DataFrame) -> DataFrame:
 def _runs(places: DataFrame, docs: DataFrame, done=lambda: None) -> DataFrame:
     """doc, copy, first_word, n_words, first_doc of each run of words that stands earlier too; ``done`` is called when ``places`` are read no more."""
     rows = places.filter("n = 0").select("doc", "copy", "first", "node")
-    seat, number = F.xxhash64("doc", "copy", "first"), F.xxhash64("node").alias("number")
-    held = rows.groupBy(number).agg(F.min(seat).alias("lo"), F.max(seat).alias("hi")).filter("lo <> hi").select("number")
-    held = written(held, "run-windows")
-    rows = written(rows.withColumn("number", number).join(_side(held), "number").drop("number"), "run-rows")
+    # Numbers only; a row that the table holds twice is left out later, as its place is not after the first.
+    number = F.xxhash64("node")
+    held = written(rows.groupBy(number.alias("number")).count().filter("count > 1").select("number"), "run-windows")
+    rows = written(rows.join(_side(held), number == F.col("number")).drop("number"), "run-rows")
     done()
     place = F.struct("doc", "copy", "first")
     origin = rows.groupBy("node").agg(F.min(place).alias("o"))
@@ -480,7 +567,6 @@ def _passages(docs: DataFrame) -> DataFrame:
         paragraphs, windows = _taken_apart(docs)
         more = _runs(windows, docs, lambda: dropped(windows))
         out = _repeats(paragraphs, docs)
-        dropped(paragraphs)
     return out.unionByName(more)
 
 
